@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from issuerlake.functions.clean import collapse_ws, tokens
@@ -172,9 +172,10 @@ def bm25_topk(
 
 def _fuse(vector_hits: DataFrame, keyword_hits: DataFrame, phrases: DataFrame, texts: DataFrame) -> DataFrame:
     """Candidates of both rankings with cosine and normalized, phrase-boosted keyword score."""
-    best = keyword_hits.filter(F.col("rank") == 1).select("query_id", F.col("score").alias("_max"))
-    keyword = keyword_hits.join(best, "query_id").select(
-        "query_id", "doc_id", (F.col("score") / F.col("_max")).alias("keyword"), F.col("rank").alias("keyword_rank")
+    # The hits are already grouped by query and at most k each, so this window costs no shuffle.
+    best = F.max("score").over(Window.partitionBy("query_id"))
+    keyword = keyword_hits.select(
+        "query_id", "doc_id", (F.col("score") / best).alias("keyword"), F.col("rank").alias("keyword_rank")
     )
     vector = vector_hits.select("query_id", "doc_id", F.col("score").alias("cosine"), F.col("rank").alias("vector_rank"))
     zero = F.lit(0.0)

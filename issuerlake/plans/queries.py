@@ -560,7 +560,7 @@ def chunk_rows(spark, sf):
 @query
 def l2_normalize(spark, sf):
     scaled = fx.table(spark, sf, "embeddings").select(
-        "vec_id", F.transform("embedding", lambda x: x * (F.col("label") + 2)).alias("v")
+        "vec_id", F.transform("embedding", lambda x: x.cast("double") * (F.col("label") + 2)).alias("v")
     )
     return scaled.select("vec_id", F.posexplode(fn.l2_normalize(F.col("v"))).alias("pos", "x")).withColumn("x", F.round("x", 5))
 
