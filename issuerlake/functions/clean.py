@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 # Whitespace as Python's str.split / str.strip see it. Java's plain \s and SQL trim() are narrower.
 WS = r"[\s\x0B\x1C-\x1F\x{85}\p{Z}]"
+NOT_WS = WS.replace("[", "[^", 1)
 
 # Text standing for a missing value, and the letters folded in source column names.
 NULL_TOKENS = ["nan", "None", "-", ""]
@@ -128,8 +129,11 @@ def tokens(c: Column) -> Column:
 
 def words(c: Column) -> Column:
     """Whitespace words, as an array; blank text has none."""
-    s = collapse_ws(c)
-    return F.when(s == "", F.array().cast("array<string>")).otherwise(F.split(s, " "))
+    return F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(NOT_WS + "+"), F.lit(0))
+
+
+def n_words(c: Column) -> Column:
+    return F.regexp_count(c, F.lit(NOT_WS + "+"))
 
 
 def object_path(layer, source, doc_type, *, agg=None, version=None, extra=None, ref_date, ext) -> Column:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from issuerlake.functions.clean import words
-from issuerlake.operators.common import first_per_group
+from issuerlake.functions.clean import n_words, words
+from issuerlake.operators.common import first_per_group, unnest
 from issuerlake.schemas import CHUNK_OVERLAP, CHUNK_TOKENS
 
 # How a text falls into pieces.
@@ -24,7 +24,7 @@ def chunk_naive(docs: DataFrame, limit: int = CHUNK_TOKENS, unit: str = "line",
     keep = [c for c in docs.columns if c != text]
     pieces = F.split(F.coalesce(F.col(text), F.lit("")), PIECE_SPLIT[unit])
     sized = docs.select(*keep, pieces.alias("_p")).select(
-        *keep, "_p", F.transform("_p", lambda p: F.size(words(p))).alias("_n")
+        *keep, "_p", F.transform("_p", lambda p: n_words(p)).alias("_n")
     )
     start = F.struct(F.array().cast("array<int>").alias("starts"), F.lit(0).alias("i"), F.lit(0).alias("used"))
 
@@ -39,7 +39,7 @@ def chunk_naive(docs: DataFrame, limit: int = CHUNK_TOKENS, unit: str = "line",
     packed = sized.select(
         *keep, "_p", "_n", F.aggregate("_n", start, step, lambda acc: acc["starts"]).alias("_starts")
     )
-    chunks = packed.select(*keep, "_p", "_n", "_starts", F.posexplode("_starts").alias("chunk_no", "_from"))
+    chunks = unnest(packed, [*keep, "_p", "_n", "_starts"], F.col("_starts"), "_from", "chunk_no")
     end = F.coalesce(F.get("_starts", F.col("chunk_no") + 1), F.size("_p"))
     size = end - F.col("_from")
     return chunks.select(
@@ -58,12 +58,10 @@ def chunk_overlap(
     step = size - overlap
     n = F.size("_w")
     last = F.greatest(F.ceil((n - overlap) / step) - 1, F.lit(0)).cast("int")
-    windows = (
-        docs.select(*keep, words(F.col(text)).alias("_w"))
-        .filter(n > 0)
-        .select(*keep, "_w", F.explode(F.sequence(F.lit(0), last)).alias("chunk_no"))
-        .select(*keep, "chunk_no", F.slice("_w", F.col("chunk_no") * step + 1, size).alias("_w"))
-    )
+    starts = F.when(n > 0, F.sequence(F.lit(0), last))
+    windows = unnest(
+        docs.select(*keep, words(F.col(text)).alias("_w")), [*keep, "_w"], starts, "chunk_no"
+    ).select(*keep, "chunk_no", F.slice("_w", F.col("chunk_no") * step + 1, size).alias("_w"))
     return windows.select(*keep, "chunk_no", F.array_join("_w", " ").alias("text"), n.alias("tokens"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from issuerlake.functions.clean import collapse_ws, tokens
-from issuerlake.operators.common import top_per_group
+from issuerlake.operators.common import top_per_group, unnest
 from issuerlake.schemas import (
     EXACT_MATCH_BOOST, KEYWORD_WEIGHT, RERANK_TOP_K, RETRIEVAL_TOP_K, SIMILARITY_THRESHOLD, SYNONYMS, VECTOR_WEIGHT,
 )
@@ -125,7 +125,7 @@ def knn_cosine(
 
 def query_terms(queries: DataFrame, text: str = "q") -> DataFrame:
     """Distinct terms of each query."""
-    return queries.select("query_id", F.explode(F.array_distinct(tokens(F.col(text)))).alias("term"))
+    return unnest(queries, ["query_id"], F.array_distinct(tokens(F.col(text))), "term").drop("_pos")
 
 
 def bm25_topk(
@@ -140,25 +140,23 @@ def bm25_topk(
     """
     for c, v in (filters or {}).items():
         corpus = corpus.filter(F.col(c) == v)
-    docs = corpus.select("doc_id", tokens(F.coalesce(F.col("text"), F.lit(""))).alias("_t"))
+    docs = corpus.select("doc_id", tokens(F.coalesce(F.col("text"), F.lit(""))).alias("_t")).withColumn("_len", F.size("_t"))
     terms = queries.select("query_id", "term").distinct()
     vocabulary = terms.select("term").distinct()
 
     postings = (
-        docs.select("doc_id", F.size("_t").alias("_len"), F.explode("_t").alias("term"))
+        unnest(docs, ["doc_id", "_len"], F.col("_t"), "term")
         .join(vocabulary, "term", "left_semi")
         .groupBy("doc_id", "_len", "term")
         .agg(F.count(F.lit(1)).alias("_tf"))
     )
-    totals = docs.agg(F.count(F.lit(1)).alias("_n"), F.avg(F.size("_t")).alias("_avg"))
+    totals = docs.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("_len").alias("avg"))).scalar()
     # Summing _tf as well keeps this branch's exchange identical to the scoring branch's, so Spark reuses it.
     frequency = postings.groupBy("term").agg(F.count(F.lit(1)).alias("_df"), F.sum("_tf").alias("_cf"))
-    idf = F.log(1 + (F.col("_n") - F.col("_df") + 0.5) / (F.col("_df") + 0.5))
+    idf = F.log(1 + (F.col("_totals.n") - F.col("_df") + 0.5) / (F.col("_df") + 0.5))
     weights = (
-        terms.join(frequency.filter(F.col("_cf") > 0), "term")
-        .withColumn("_one", F.lit(1))
-        .join(F.broadcast(totals.withColumn("_one", F.lit(1))), "_one")
-        .select("query_id", "term", idf.alias("_idf"), "_avg")
+        terms.join(frequency.filter(F.col("_cf") > 0), "term").withColumn("_totals", totals)
+        .select("query_id", "term", idf.alias("_idf"), F.col("_totals.avg").alias("_avg"))
     )
     tf = F.col("_tf")
     part = F.col("_idf") * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("_len") / F.col("_avg")))
@@ -259,7 +257,8 @@ def synonym_table(spark) -> DataFrame:
 def expand_query(queries: DataFrame, synonyms: DataFrame, text: str = "q") -> DataFrame:
     """Query terms plus the words of their synonyms: (query_id, term, is_original), one row per term."""
     base = query_terms(queries, text)
-    words = synonyms.select(F.lower("term").alias("term"), F.explode(tokens(F.col("synonym"))).alias("_s")).distinct()
+    lowered = synonyms.select(F.lower("term").alias("term"), "synonym")
+    words = unnest(lowered, ["term"], tokens(F.col("synonym")), "_s").select("term", "_s").distinct()
     added = base.join(words, "term").select("query_id", F.col("_s").alias("term"), F.lit(False).alias("is_original"))
     both = base.withColumn("is_original", F.lit(True)).unionByName(added)
     return both.groupBy("query_id", "term").agg(F.max("is_original").alias("is_original"))

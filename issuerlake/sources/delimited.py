@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from issuerlake.functions.clean import map_labels
+from issuerlake.operators.common import unnest
 from issuerlake.schemas import AGGREGATIONS, STATEMENT_CODES
 
 # Texts the sources' usual reader takes for a missing value.
@@ -85,7 +86,7 @@ def read_preamble_tsv(
     checked = F.when(header == F.lit(sep.join(columns)), F.slice("lines", skip + 2, F.greatest(F.size("lines"), F.lit(1)))).otherwise(
         F.raise_error(F.concat(F.lit("unexpected header in "), F.col("source_path"))).cast("array<string>")
     )
-    rows = lines.select("source_path", F.posexplode(checked).alias("line_no", "line")).filter(F.col("line") != "")
+    rows = unnest(lines, ["source_path"], checked, "line", "line_no").filter(F.col("line") != "")
     fields = F.split("line", sep)
 
     def field(i: int) -> Column:

@@ -6,18 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from issuerlake.functions.clean import br_number, date_strict, map_labels, numeric_lenient, pick_filled
+from issuerlake.operators.common import unnest
 from issuerlake.schemas import MACRO_GOLD, MACRO_ITEM, MACRO_TYPES
 
 
 def parse_macro(df: DataFrame, body: str = "body") -> DataFrame:
     """One row per quote. An empty array gives no rows; malformed JSON fails the job."""
-    return df.select(F.inline(F.from_json(body, MACRO_ITEM, {"mode": "FAILFAST"}))).select(
-        F.col("securityIdentificationCode").alias("security_id"),
-        "description",
-        F.col("groupDescription").alias("group_label"),
-        "value",
-        "rate",
-        F.col("lastUpdate").alias("last_update"),
+    return unnest(df, [], F.from_json(body, MACRO_ITEM, {"mode": "FAILFAST"}), "_q").select(
+        F.col("_q.securityIdentificationCode").alias("security_id"),
+        "_q.description",
+        F.col("_q.groupDescription").alias("group_label"),
+        "_q.value",
+        "_q.rate",
+        F.col("_q.lastUpdate").alias("last_update"),
     )
 
 

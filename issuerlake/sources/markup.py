@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from issuerlake.functions.clean import strip
+from issuerlake.operators.common import unnest
 from issuerlake.schemas import LISTING_TABLE_CLASS
 
 # Entities that occur in the listings.
@@ -30,9 +31,8 @@ def extract_rows(
     """
     keep = [c for c in pages.columns if c != html]
     table = rf"""(?is)<table[^>]*class=["'][^"']*\b{table_class}\b[^"']*["'][^>]*>(.*?)</table>"""
-    rows = pages.select(*keep, F.explode(F.regexp_extract_all(html, F.lit(table), F.lit(1))).alias("_table")).select(
-        *keep, F.explode(F.regexp_extract_all("_table", F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1))).alias("_row")
-    )
+    tables = unnest(pages, keep, F.regexp_extract_all(html, F.lit(table), F.lit(1)), "_table")
+    rows = unnest(tables, keep, F.regexp_extract_all("_table", F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1)), "_row")
     cells = rows.select(*keep, F.regexp_extract_all("_row", F.lit(r"(?is)<td[^>]*>(.*?)</td>"), F.lit(1)).alias("_td"))
     return (
         cells.filter(F.size("_td") >= min_cells)
@@ -50,9 +50,7 @@ def extract_links(pages: DataFrame, html: str = "html") -> DataFrame:
     """List items that are links: position, target and text."""
     keep = [c for c in pages.columns if c != html]
     item = r"""(?is)<li[^>]*>\s*(<a\b[^>]*>.*?</a>)\s*</li>"""
-    return pages.select(
-        *keep, F.posexplode(F.regexp_extract_all(html, F.lit(item), F.lit(1))).alias("position", "_a")
-    ).select(
+    return unnest(pages, keep, F.regexp_extract_all(html, F.lit(item), F.lit(1)), "_a", "position").select(
         *keep,
         "position",
         F.regexp_extract("_a", r"""(?is)^<a\b[^>]*href=["']([^"']*)["']""", 1).alias("href"),
@@ -107,7 +105,7 @@ def extract_payloads(docs: DataFrame, xml: str = "xml") -> DataFrame:
     )
     content = F.try_to_binary(strip(F.regexp_extract("_pair", r"<ImagemObjetoArquivoPdf>([^<]*)<", 1)), F.lit("base64"))
     return (
-        docs.select(*keep, F.posexplode(F.regexp_extract_all(xml, F.lit(pair), F.lit(0))).alias("ordinal", "_pair"))
+        unnest(docs, keep, F.regexp_extract_all(xml, F.lit(pair), F.lit(0)), "_pair", "ordinal")
         .select(
             *keep,
             "ordinal",
