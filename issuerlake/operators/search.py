@@ -20,12 +20,14 @@ from issuerlake.schemas import (
 K1, B = 1.2, 0.75
 # Query vectors sent to every task: at most this many values (64 MiB of doubles).
 BROADCAST_VALUES = 8_000_000
+# Document ids broadcast to pick texts: at most this many.
+BROADCAST_ROWS = 2_000_000
 # Larger query sets meet the corpus in cells of about this many rows on either side.
 CELL_ROWS = 4096
 # Scores held at once in a task (32 MiB of doubles).
 BLOCK_SCORES = 4_000_000
 SCORE_DIGITS = 6
-HITS = "query_id bigint, doc_id bigint, score double"
+HITS = "query_id bigint not null, doc_id bigint not null, score double not null"
 HIT_ARROW = pa.schema([("query_id", pa.int64()), ("doc_id", pa.int64()), ("score", pa.float64())])
 
 
@@ -260,36 +262,45 @@ def _bm25_joins(terms: DataFrame, docs: DataFrame) -> DataFrame:
     )
 
 
-def _fuse(vector_hits: DataFrame, keyword_hits: DataFrame, phrases: DataFrame, texts: DataFrame) -> DataFrame:
+def _fuse(
+    queries: DataFrame, vectors: DataFrame, texts: DataFrame, retrieval_k: int, filters: dict[str, str] | None = None
+) -> DataFrame:
     """Candidates of both rankings with cosine and normalized, phrase-boosted keyword score."""
+    keyword_hits = bm25_topk(query_terms(queries), texts, retrieval_k, filters)
     # The hits are already grouped by query and at most k each, so this window costs no shuffle.
     best = F.max("score").over(Window.partitionBy("query_id"))
     keyword = keyword_hits.select(
         "query_id", "doc_id", (F.col("score") / best).alias("keyword"), F.col("rank").alias("keyword_rank")
     )
-    vector = vector_hits.select("query_id", "doc_id", F.col("score").alias("cosine"), F.col("rank").alias("vector_rank"))
-    zero = F.lit(0.0)
-    candidates = vector.join(keyword, ["query_id", "doc_id"], "full_outer").join(phrases, "query_id", "left")
-    text = collapse_ws(F.lower("text"))
-    return candidates.join(texts.select("doc_id", "text"), "doc_id", "left").select(
+    vector = knn_cosine(queries, vectors, retrieval_k, filters).select(
+        "query_id", "doc_id", F.col("score").alias("cosine"), F.col("rank").alias("vector_rank")
+    )
+    candidates = vector.join(keyword, ["query_id", "doc_id"], "full_outer")
+    # Only texts of keyword hits can be boosted: at most k per query, so their ids filter the texts
+    # before anything of the corpus moves.
+    ids = keyword_hits.select("doc_id").distinct()
+    if queries.count() * retrieval_k <= BROADCAST_ROWS:
+        ids = F.broadcast(ids)
+    hit_texts = texts.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    phrase = F.nullif(collapse_ws(F.lower("q")), F.lit(""))
+    boosted = (
+        keyword_hits.select("query_id", "doc_id")
+        .join(hit_texts, "doc_id")
+        .join(queries.select("query_id", phrase.alias("_phrase")), "query_id")
+        .filter(F.contains(collapse_ws(F.lower("text")), F.col("_phrase")))
+        .select("query_id", "doc_id", F.lit(EXACT_MATCH_BOOST).alias("_boost"))
+    )
+    zero, one = F.lit(0.0), F.lit(1.0)
+    return candidates.join(boosted, ["query_id", "doc_id"], "left").select(
         "query_id",
         "doc_id",
         F.coalesce("cosine", zero).alias("cosine"),
-        (
-            F.coalesce("keyword", zero)
-            * F.when(F.contains(text, F.col("_phrase")), F.lit(EXACT_MATCH_BOOST)).otherwise(F.lit(1.0))
-        ).alias("keyword"),
+        (F.coalesce("keyword", zero) * F.coalesce("_boost", one)).alias("keyword"),
         "vector_rank",
         "keyword_rank",
     )
 
 
-def _phrases(queries: DataFrame) -> DataFrame:
-    return queries.select("query_id", collapse_ws(F.lower("q")).alias("_phrase")).withColumn(
-        "_phrase", F.nullif(F.col("_phrase"), F.lit(""))
-    )
-
-
 def hybrid_search(
     queries: DataFrame, vectors: DataFrame, texts: DataFrame,
     weights: tuple[float, float] = (VECTOR_WEIGHT, KEYWORD_WEIGHT), threshold: float = SIMILARITY_THRESHOLD,
@@ -300,12 +311,7 @@ def hybrid_search(
     ``queries`` is (query_id, q, vector). The keyword score is divided by the query's best one and
     boosted where the whole phrase occurs. Both retrieval depths are settings of the search itself.
     """
-    fused = _fuse(
-        knn_cosine(queries, vectors, retrieval_k, filters),
-        bm25_topk(query_terms(queries), texts, retrieval_k, filters),
-        _phrases(queries),
-        texts,
-    )
+    fused = _fuse(queries, vectors, texts, retrieval_k, filters)
     score = F.round(weights[0] * F.col("cosine") + weights[1] * F.col("keyword"), SCORE_DIGITS)
     ranked = fused.select("query_id", "doc_id", score.alias("score")).filter(F.col("score") >= threshold)
     return top_per_group(ranked, ["query_id"], [F.desc("score"), F.asc("doc_id")], k)
@@ -319,12 +325,7 @@ def agent_profiles(requests: DataFrame, profiles: DataFrame, vectors: DataFrame,
     setting serves all profiles.
     """
     depth = profiles.agg(F.max("retrieval_top_k")).first()[0]
-    fused = _fuse(
-        knn_cosine(requests, vectors, depth),
-        bm25_topk(query_terms(requests), texts, depth),
-        _phrases(requests),
-        texts,
-    )
+    fused = _fuse(requests, vectors, texts, depth)
     with_profile = fused.join(requests.select("query_id", "profile"), "query_id").join(profiles, "profile")
     in_vector = F.coalesce(F.col("vector_rank") <= F.col("retrieval_top_k"), F.lit(False))
     in_keyword = F.coalesce(F.col("keyword_rank") <= F.col("retrieval_top_k"), F.lit(False))
