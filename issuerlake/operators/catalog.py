@@ -12,9 +12,12 @@ def parent_folder(path: Column) -> Column:
     return F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
 
 
-def catalog_rows(files: DataFrame, run: dict[str, str], content: str = "content") -> DataFrame:
-    """One lineage row per object; the content itself is replaced by its SHA-256."""
+def catalog_rows(
+    files: DataFrame, run: dict[str, str], content: str = "content", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """One lineage row per object; the content is replaced by its SHA-256, further columns on request."""
     return files.select(
+        *keep,
         "object_path",
         parent_folder(F.col("object_path")).alias("folder"),
         F.sha2(F.col(content).cast("binary"), 256).alias("file_hash"),

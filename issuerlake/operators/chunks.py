@@ -65,22 +65,24 @@ def chunk_overlap(
     return windows.select(*keep, "chunk_no", F.array_join("_w", " ").alias("text"), n.alias("tokens"))
 
 
-def chunk_rows(chunks: DataFrame, meta: DataFrame, key: str = "object_path") -> DataFrame:
-    """Index records: id ``path#chunk_i``, the first 512 characters as exact-match text, lineage of the object."""
+def chunk_rows(chunks: DataFrame, meta: DataFrame | None = None, key: str = "object_path") -> DataFrame:
+    """Index records: id ``path#chunk_i``, the first 512 characters as exact-match text, lineage of the object.
+
+    The chunkers keep the other columns of a document, so lineage that is there already needs no
+    join and no text is shuffled; ``meta`` joins it in where it is not.
+    """
     lineage = ["ingest_ts", "source", "file_hash", "trace_id", "document_type", "ref_date", "aggregation_type"]
-    return (
-        chunks.select(key, "chunk_no", "text", "tokens")
-        .join(meta.select(key, *lineage), key, "left")
-        .select(
-            F.col(key).alias("doc_id"),
-            F.concat(F.col(key), F.lit("#chunk_"), F.col("chunk_no").cast("string")).alias("chunk_id"),
-            "text",
-            F.substring("text", 1, 512).alias("text_raw"),
-            "tokens",
-            F.col("ingest_ts").alias("ingestion_ts"),
-            *lineage[1:-1],
-            F.coalesce("aggregation_type", F.lit("")).alias("aggregation_type"),
-        )
+    if meta is not None:
+        chunks = chunks.select(key, "chunk_no", "text", "tokens").join(meta.select(key, *lineage), key, "left")
+    return chunks.select(
+        F.col(key).alias("doc_id"),
+        F.concat(F.col(key), F.lit("#chunk_"), F.col("chunk_no").cast("string")).alias("chunk_id"),
+        "text",
+        F.substring("text", 1, 512).alias("text_raw"),
+        "tokens",
+        F.col("ingest_ts").alias("ingestion_ts"),
+        *lineage[1:-1],
+        F.coalesce("aggregation_type", F.lit("")).alias("aggregation_type"),
     )
 
 
@@ -100,6 +102,15 @@ def index_completeness(chunks: DataFrame, stored: DataFrame, force: bool = False
 
 
 def upsert_chunks(stored: DataFrame, incoming: DataFrame, version: str = "version") -> DataFrame:
-    """The newest record of every chunk id; ties between equal versions go to the incoming side."""
-    both = stored.withColumn("_new", F.lit(0)).unionByName(incoming.withColumn("_new", F.lit(1)))
-    return first_per_group(both, ["chunk_id"], [F.desc(version), F.desc("_new")]).drop("_new")
+    """The newest record of every chunk id; ties between equal versions go to the incoming side.
+
+    ``stored`` is an index table, unique by chunk id. It is only compared with the ids of the incoming
+    records, so against a small batch its texts stay where they are.
+    """
+    newest = first_per_group(incoming, ["chunk_id"], [F.desc(version)])
+    new_ids = newest.select(F.col("chunk_id").alias("_id"), F.col(version).alias("_v"))
+    old_ids = stored.select(F.col("chunk_id").alias("_id"), F.col(version).alias("_v"))
+    same = F.col("chunk_id") == F.col("_id")
+    kept = stored.join(new_ids, same & (F.col("_v") >= F.col(version)), "left_anti")
+    written = newest.join(old_ids, same & (F.col("_v") > F.col(version)), "left_anti")
+    return kept.unionByName(written)

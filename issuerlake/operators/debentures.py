@@ -78,9 +78,13 @@ def clean_events(raw: DataFrame) -> DataFrame:
     )
 
 
+# Payment order, made total by the other columns.
+SCHEDULE_ORDER = ["payment_date", "asset_code", "event", "event_date", "issuer", "yield_type", "rate_or_percent"]
+
+
 def events_schedule(raw: DataFrame) -> DataFrame:
-    """The cleaned schedule in payment order: a range-partitioned sort, made total by the other columns."""
-    return clean_events(raw).orderBy("payment_date", "asset_code", "event", "event_date", "issuer", "yield_type", "rate_or_percent")
+    """The cleaned schedule in payment order, by a range-partitioned sort."""
+    return clean_events(raw).orderBy(*SCHEDULE_ORDER)
 
 
 def traded_prices(raw: DataFrame) -> DataFrame:

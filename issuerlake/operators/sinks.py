@@ -6,14 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_gold(df: DataFrame, path: str, partitions: list[str]) -> None:
+def write_gold(df: DataFrame, path: str, partitions: list[str], order: list[str] | None = None) -> None:
     """Parquet partitioned by ``partitions``; only the partitions present in ``df`` are replaced.
 
     The rebalance hint sizes the files at runtime and splits a partition value that holds much of
-    the table, where a plain repartition by these columns would give it to one task.
+    the table, where a plain repartition by these columns would give it to one task. With ``order``
+    the files are ranges of that order instead, each sorted.
     """
+    if order:
+        laid_out = df.repartitionByRange(*partitions, *order).sortWithinPartitions(*partitions, *order)
+    else:
+        laid_out = df.hint("rebalance", *partitions)
     (
-        df.hint("rebalance", *partitions)
+        laid_out
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)

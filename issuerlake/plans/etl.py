@@ -57,9 +57,11 @@ def financial_statements(
     return gold
 
 
-def _publish(df: DataFrame, out: str, table: str, run: Run, keys: list[str]) -> DataFrame:
+def _publish(
+    df: DataFrame, out: str, table: str, run: Run, keys: list[str], order: list[str] | None = None
+) -> DataFrame:
     path = f"{out}/gold/serving/{table}"
-    op.write_gold(df.withColumn("snapshot_date", F.lit(run["ref_date"])), path, ["snapshot_date"])
+    op.write_gold(df.withColumn("snapshot_date", F.lit(run["ref_date"])), path, ["snapshot_date"], order)
     gold = df.sparkSession.read.parquet(path).filter(F.col("snapshot_date") == run["ref_date"]).drop("snapshot_date")
     gold.write.mode("overwrite").option("header", True).csv(f"{out}/gold/export/{table}")
     _serve(gold, out, table, run, keys)
@@ -73,7 +75,8 @@ def events_schedule(spark: SparkSession, replies: str, skip: int, out: str, run:
     )
     known = raw.join(op.reply_not_found(raw, "source_path").select("source_path"), "source_path", "left_anti")
     return _publish(
-        op.events_schedule(known), out, "debentures_financial_events_schedule", run, ["asset_code", "event_date", "event"]
+        op.clean_events(known), out, "debentures_financial_events_schedule", run, ["asset_code", "event_date", "event"],
+        op.SCHEDULE_ORDER,
     )
 
 

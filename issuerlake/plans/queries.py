@@ -552,9 +552,8 @@ def chunk_overlap(spark, sf):
 
 @query
 def chunk_rows(spark, sf):
-    docs = fx.filings(spark, sf)
-    meta = op.catalog_rows(docs, fx.RUN, content="text")
-    return op.chunk_rows(op.chunk_overlap(docs.select("object_path", "text")), meta)
+    docs = op.catalog_rows(fx.filings(spark, sf), fx.RUN, content="text", keep=("text",))
+    return op.chunk_rows(op.chunk_overlap(docs))
 
 
 @query
