@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from issuerlake.functions.clean import collapse_ws, tokens
+from issuerlake.operators.blocks import (
+    HITS, SCORE_DIGITS, cell_scorer, keyword_scorer, matrix, term_counter, unit_rows, vector_scorer,
+)
 from issuerlake.operators.common import top_per_group, unnest
 from issuerlake.schemas import (
     EXACT_MATCH_BOOST, KEYWORD_WEIGHT, RERANK_TOP_K, RETRIEVAL_TOP_K, SIMILARITY_THRESHOLD, SYNONYMS, VECTOR_WEIGHT,
@@ -24,69 +23,6 @@ BROADCAST_VALUES = 8_000_000
 BROADCAST_ROWS = 2_000_000
 # Larger query sets meet the corpus in cells of about this many rows on either side.
 CELL_ROWS = 4096
-# Scores held at once in a task (32 MiB of doubles).
-BLOCK_SCORES = 4_000_000
-SCORE_DIGITS = 6
-HITS = "query_id bigint not null, doc_id bigint not null, score double not null"
-HIT_ARROW = pa.schema([("query_id", pa.int64()), ("doc_id", pa.int64()), ("score", pa.float64())])
-
-
-def _unit_rows(m: np.ndarray) -> np.ndarray:
-    n = np.sqrt((m * m).sum(axis=1, keepdims=True))
-    n[n == 0] = 1.0
-    return m / n
-
-
-def _matrix(vectors: pa.Array | pd.Series) -> np.ndarray:
-    """List column -> one row per vector; vectors of different length cannot be compared and fail."""
-    column = pa.array(vectors) if isinstance(vectors, pd.Series) else vectors
-    if len(column) == 0:
-        return np.zeros((0, 0))
-    lengths = np.unique(pc.list_value_length(column).to_numpy(zero_copy_only=False))
-    if len(lengths) != 1:
-        raise ValueError(f"vectors of different dimensions: {lengths.tolist()}")
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
-
-
-class _Best:
-    """Running k best (score descending, then document id) of a block of queries."""
-
-    def __init__(self, query_ids: np.ndarray, k: int):
-        self.query_ids, self.k = query_ids, k
-        self.ids = np.empty((len(query_ids), 0), dtype=np.int64)
-        self.scores = np.empty((len(query_ids), 0))
-
-    def add(self, doc_ids: np.ndarray, scores: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
-        rows = slice(first, first + len(scores))
-        ids = np.hstack([self.ids[rows], np.broadcast_to(doc_ids.astype(np.int64), scores.shape)])
-        both = np.hstack([self.scores[rows], np.round(scores, SCORE_DIGITS) + 0.0])
-        order = np.lexsort((ids, -both), axis=-1)[:, : self.k]
-        return np.take_along_axis(ids, order, 1), np.take_along_axis(both, order, 1)
-
-    def update(self, weights: np.ndarray, doc_ids: np.ndarray, docs: np.ndarray, matches_only: bool = False) -> None:
-        """Score documents (one row each) against all queries, a limited block of scores at a time.
-
-        With ``matches_only`` a score of 0 means that the pair has nothing in common and is no hit.
-        """
-        step = max(1, BLOCK_SCORES // max(1, len(docs)))
-        parts = []
-        for i in range(0, len(weights), step):
-            scores = weights[i : i + step] @ docs.T
-            parts.append(self.add(doc_ids, np.where(scores > 0, scores, -np.inf) if matches_only else scores, i))
-        self.ids, self.scores = (np.vstack(p) for p in zip(*parts))
-
-    def batch(self) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pandas(self.frame(), schema=HIT_ARROW, preserve_index=False)
-
-    def frame(self) -> pd.DataFrame:
-        hits = pd.DataFrame(
-            {
-                "query_id": np.repeat(self.query_ids, self.ids.shape[1]),
-                "doc_id": self.ids.ravel(),
-                "score": self.scores.ravel(),
-            }
-        )
-        return hits[np.isfinite(hits["score"])]
 
 
 def knn_cosine(
@@ -109,21 +45,11 @@ def knn_cosine(
     wanted = queries.select(F.col("query_id").cast("bigint"), "vector").filter(F.col("vector").isNotNull())
     # The look at the query side is bounded: one value sum, then a limited fetch.
     n_rows, n_values = wanted.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("vector")), F.lit(0))).first()
-    if n_values <= broadcast_values:
+    if n_rows + n_values <= broadcast_values:
         local = wanted.toPandas()
-        units = _unit_rows(_matrix(local["vector"]))
+        units = unit_rows(matrix(local["vector"]))
         shared = docs.sparkSession.sparkContext.broadcast((local["query_id"].to_numpy(dtype=np.int64), units))
-
-        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            q_ids, q = shared.value
-            best = _Best(q_ids, k)
-            for batch in batches:
-                if len(batch) and len(q_ids):
-                    ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-                    best.update(q, ids, _unit_rows(_matrix(batch.column("vector"))))
-            yield best.batch()
-
-        partial = docs.mapInArrow(score, HITS)
+        partial = docs.mapInArrow(vector_scorer(shared, k), HITS)
     else:
         n_docs = docs.count()
         q_cells, d_cells = (int(np.ceil(n / cell_rows)) for n in (n_rows, max(n_docs, 1)))
@@ -133,15 +59,7 @@ def knn_cosine(
         right = docs.withColumn("_dc", F.pmod(F.xxhash64("doc_id"), F.lit(d_cells)).cast("int")).withColumn(
             "_qc", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(q_cells - 1).cast("bigint")))
         )
-
-        def score_cell(q: pd.DataFrame, d: pd.DataFrame) -> pd.DataFrame:
-            if q.empty or d.empty:
-                return HIT_ARROW.empty_table().to_pandas()
-            best = _Best(q["query_id"].to_numpy(), k)
-            best.update(_unit_rows(_matrix(q["vector"])), d["doc_id"].to_numpy(), _unit_rows(_matrix(d["vector"])))
-            return best.frame()
-
-        partial = left.groupBy("_qc", "_dc").cogroup(right.groupBy("_qc", "_dc")).applyInPandas(score_cell, HITS)
+        partial = left.groupBy("_qc", "_dc").cogroup(right.groupBy("_qc", "_dc")).applyInPandas(cell_scorer(k), HITS)
     return top_per_group(partial, ["query_id"], [F.desc("score"), F.asc("doc_id")], k)
 
 
@@ -166,30 +84,13 @@ def bm25_topk(
     """
     for c, v in (filters or {}).items():
         corpus = corpus.filter(F.col(c) == v)
-    docs = corpus.select(F.col("doc_id").cast("bigint"), tokens(F.coalesce(F.col("text"), F.lit(""))).alias("_t"))
+    docs = corpus.select(F.col("doc_id").cast("bigint"), tokens(F.coalesce(F.col("text"), F.lit(""))).alias("terms"))
     terms = queries.select(F.col("query_id").cast("bigint"), "term").distinct()
     n_queries, n_terms = terms.agg(F.count_distinct("query_id"), F.count_distinct("term")).first()
     scored = _bm25_blocks(terms, docs, k) if n_queries * n_terms <= broadcast_values else _bm25_joins(terms, docs)
     return top_per_group(scored, ["query_id"], [F.desc("score"), F.asc("doc_id")], k)
 
 
-def _term_counts(batch: pa.RecordBatch, vocabulary: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(row numbers, lengths, counts per vocabulary term) of a batch, in blocks of limited size."""
-    lists = batch.column("_t")
-    lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-    slots = pc.index_in(lists.flatten(), value_set=vocabulary)
-    found = slots.is_valid().to_numpy(zero_copy_only=False)
-    rows = np.repeat(np.arange(len(lengths)), lengths)[found]
-    cols = slots.drop_null().to_numpy().astype(np.int64)
-    width = max(1, len(vocabulary))
-    step = max(1, BLOCK_SCORES // width)
-    for i in range(0, len(lengths), step):
-        n = min(step, len(lengths) - i)
-        lo, hi = np.searchsorted(rows, [i, i + n])
-        counts = np.bincount((rows[lo:hi] - i) * width + cols[lo:hi], minlength=n * width).reshape(n, width)
-        yield np.arange(i, i + n), lengths[i : i + n], counts
-
-
 def _bm25_blocks(terms: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     context = docs.sparkSession.sparkContext
     pairs = terms.toPandas()
@@ -197,38 +98,15 @@ def _bm25_blocks(terms: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     words, cols = np.unique(pairs["term"].to_numpy(dtype=object), return_inverse=True)
     vocabulary = context.broadcast(pa.array(words, pa.string()))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Slot -> documents with the term; slot -1 holds all documents, slot -2 all words."""
-        seen, n_docs, n_words = np.zeros(len(vocabulary.value), dtype=np.int64), 0, 0
-        for batch in batches:
-            for _, lengths, counts in _term_counts(batch, vocabulary.value):
-                seen += (counts > 0).sum(axis=0)
-                n_docs, n_words = n_docs + len(lengths), n_words + int(lengths.sum())
-        slots = np.concatenate([[-1, -2], np.arange(len(seen))])
-        yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(np.concatenate([[n_docs, n_words], seen]))], ["slot", "n"])
-
     # As many rows as there are query terms.
-    totals = docs.select("_t").mapInArrow(count, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
-    by_slot = dict(zip(totals["slot"], totals["n"]))
-    n_docs, n_words = int(by_slot.get(-1, 0)), int(by_slot.get(-2, 0))
-    df = np.array([by_slot.get(i, 0) for i in range(len(words))], dtype=np.float64)
-    mean = n_words / n_docs if n_words else 1.0
+    counted = docs.select("terms").mapInArrow(term_counter(vocabulary), "slot bigint, n bigint")
+    totals = {r["slot"]: r["n"] for r in counted.groupBy("slot").agg(F.sum("n").alias("n")).collect()}
+    n_docs, n_words = totals.get(-1, 0), totals.get(-2, 0)
+    df = np.array([totals.get(i, 0) for i in range(len(words))], dtype=np.float64)
     weights = np.zeros((len(query_ids), len(words)))
     weights[rows, cols] = np.log1p((n_docs - df + 0.5) / (df + 0.5))[cols]
-    shared = context.broadcast((query_ids, weights))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, w = shared.value
-        best = _Best(ids, k)
-        for batch in batches:
-            doc_ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            for at, lengths, tf in _term_counts(batch, vocabulary.value):
-                if len(ids):
-                    saturated = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths / mean)[:, None])
-                    best.update(w, doc_ids[at], saturated, matches_only=True)
-        yield best.batch()
-
-    return docs.mapInArrow(score, HITS)
+    mean = n_words / n_docs if n_words else 1.0
+    return docs.mapInArrow(keyword_scorer(context.broadcast((query_ids, weights)), vocabulary, k, K1, B, mean), HITS)
 
 
 def _bm25_joins(terms: DataFrame, docs: DataFrame) -> DataFrame:
@@ -237,10 +115,10 @@ def _bm25_joins(terms: DataFrame, docs: DataFrame) -> DataFrame:
     Only words some query asks for leave the scan; they are counted per document before the first
     shuffle, and the same exchange serves document frequencies and scores.
     """
-    docs = docs.withColumn("_len", F.size("_t"))
+    docs = docs.withColumn("_len", F.size("terms"))
     vocabulary = terms.select("term").distinct()
     postings = (
-        unnest(docs, ["doc_id", "_len"], F.col("_t"), "term")
+        unnest(docs, ["doc_id", "_len"], F.col("terms"), "term")
         .join(vocabulary, "term", "left_semi")
         .groupBy("doc_id", "_len", "term")
         .agg(F.count(F.lit(1)).alias("_tf"))

@@ -65,9 +65,11 @@ def extract_stamp(pages: DataFrame, html: str = "html", zone: str = "America/Sao
     its data-datetime attribute over ISO text inside it.
     """
     span = r"""<span[^>]*class=["'][^"']*\bautomatic-local-datetime\b[^"']*["'][^>]*>.*?</span>"""
-    in_row = rf"(?is)<th[^>]*>[^<]*Última Atualização[^<]*</th>(?:(?!</tr>).)*?({span})"
+    labelled = r"(?is)<th[^>]*>[^<]*Última Atualização[^<]*</th>"
+    table_rows = F.regexp_extract_all(html, F.lit(r"(?is)<tr\b[^>]*>.*?</tr>"), F.lit(0))
+    row = F.get(F.filter(table_rows, lambda r: r.rlike(labelled)), F.lit(0))
     found = F.coalesce(
-        F.nullif(F.regexp_extract(html, in_row, 1), F.lit("")),
+        F.nullif(F.regexp_extract(row, f"(?is)({span})", 1), F.lit("")),
         F.nullif(F.regexp_extract(html, f"(?is)({span})", 1), F.lit("")),
     )
     iso = r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:[+-]\d{2}:?\d{2}|Z)?"

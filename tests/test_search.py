@@ -5,13 +5,17 @@ from __future__ import annotations
 import math
 import random
 import re
+import subprocess
+import sys
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 
 from issuerlake import operators as op
-from issuerlake.operators import search
+from issuerlake.operators import blocks, search
 
 
 def hits(df):
@@ -64,15 +68,16 @@ def test_knn_rejects_mixed_dimensions(spark):
         op.knn_cosine(q, d, 5).collect()
 
 
-def test_running_best_keeps_blocks_apart(monkeypatch):
-    monkeypatch.setattr(search, "BLOCK_SCORES", 3)
+def test_running_best_over_blocks(monkeypatch):
+    monkeypatch.setattr(blocks, "BLOCK_VALUES", 3)
     rng = np.random.default_rng(1)
-    w, docs = rng.normal(size=(5, 4)), rng.normal(size=(40, 4))
-    best = search._Best(np.arange(5), 3)
+    w, docs = rng.integers(-2, 3, (5, 3)).astype(float), rng.integers(-2, 3, (40, 3)).astype(float)
+    ids = rng.permutation(40)
+    best = blocks.Best(np.arange(5) * 10, 3)
     for i in range(0, 40, 7):
-        best.update(w, np.arange(i, min(i + 7, 40)), docs[i : i + 7])
-    want = np.argsort(-np.round(w @ docs.T, 6), axis=1, kind="stable")[:, :3]
-    assert best.ids.tolist() == want.tolist()
+        best.update(w, ids[i : i + 7], docs[i : i + 7])
+    want = [(q * 10, d, s) for q in range(5) for s, d in sorted((-(w[q] @ docs[j]), ids[j]) for j in range(40))[:3]]
+    assert [tuple(r) for r in best.frame().itertuples(index=False)] == [(q, d, -s + 0.0) for q, d, s in want]
 
 
 def words(t):
@@ -117,17 +122,23 @@ def test_bm25_is_exact(spark, corpus, broadcast_values):
     assert hits(op.bm25_topk(q, d, 6, broadcast_values=broadcast_values)) == brute_bm25(queries, docs, 6)
 
 
-def test_bm25_small_blocks(spark, corpus, monkeypatch):
-    queries, docs = corpus
-    batch = __import__("pyarrow").RecordBatch.from_pydict({"_t": [words(t or "") for _, t in docs]})
-    vocabulary = __import__("pyarrow").array(["hot", "w1", "w7"])
-    whole = [c for _, _, counts in search._term_counts(batch, vocabulary) for c in counts.tolist()]
-    monkeypatch.setattr(search, "BLOCK_SCORES", 10)
-    blocks = list(search._term_counts(batch, vocabulary))
-    assert len(blocks) > 50 and [c for _, _, counts in blocks for c in counts.tolist()] == whole
+def test_term_counts_in_blocks(corpus, monkeypatch):
+    _, docs = corpus
+    lists, vocabulary = pa.array([words(t or "") for _, t in docs]), pa.array(["hot", "w1", "w7"])
+    whole = [c for _, _, counts in blocks.term_counts(lists, vocabulary) for c in counts.tolist()]
+    monkeypatch.setattr(blocks, "BLOCK_VALUES", 10)
+    parts = list(blocks.term_counts(lists, vocabulary))
+    assert len(parts) > 50 and [c for _, _, counts in parts for c in counts.tolist()] == whole
     assert whole == [[words(t or "").count(w) for w in ("hot", "w1", "w7")] for _, t in docs]
 
 
+def test_tasks_do_not_need_the_package():
+    """Functions sent to tasks carry their helpers with them."""
+    payload = cloudpickle.dumps([blocks.vector_scorer(None, 3), blocks.keyword_scorer(None, None, 3, 1.2, 0.75, 1.0), blocks.cell_scorer(2)])
+    code = "import sys, pickle; pickle.loads(sys.stdin.buffer.read()); assert not any(m.startswith('issuerlake') for m in sys.modules)"
+    subprocess.run([sys.executable, "-c", code], input=payload, check=True, cwd="/")
+
+
 def test_hybrid_boost_threshold_and_missing_sides(spark):
     q = spark.createDataFrame([(1, "exact phrase", [1.0, 0.0])], "query_id bigint, q string, vector array<double>")
     v = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.6, 0.8]), (3, [0.0, 1.0])], "doc_id bigint, vector array<double>")
