@@ -41,7 +41,8 @@ def br(cents: str) -> str:
 
 
 def dmy(d: str) -> str:
-    return f"date_format({d}, 'dd/MM/yyyy')"
+    iso = f"cast(cast({d} as date) as string)"
+    return f"concat(substr({iso}, 9, 2), '/', substr({iso}, 6, 2), '/', substr({iso}, 1, 4))"
 
 
 def asset(k: str, n: int) -> str:
@@ -51,7 +52,7 @@ def asset(k: str, n: int) -> str:
 def statement_rows(spark: SparkSession, sf: str, lineitem: DataFrame | None = None) -> DataFrame:
     """account rows as the statement files hold them, with the path of the file they belong to."""
     codes = ", ".join(f"'{c}'" for c in ACCOUNT_CODES)
-    quarter_end = "last_day(add_months(date_trunc('quarter', l_shipdate), 2))"
+    quarter_end = "last_day(make_date(year(l_shipdate), quarter(l_shipdate) * 3, 1))"
     code = f"element_at(array({codes}), cast(l_partkey % 14 as int) + 1)"
     stmts = "'BPA', 'BPP', 'DRE'"
     rows = (lineitem or table(spark, sf, "lineitem")).selectExpr(
@@ -89,8 +90,9 @@ def tagged_statements(spark: SparkSession, sf: str, lineitem: DataFrame | None =
 
 def raw_events(spark: SparkSession, sf: str) -> DataFrame:
     """event schedule as text, under the names of the gold table."""
-    pay = "ts + make_interval(0, 0, 0, cast(event_id % 5 as int))"
-    return table(spark, sf, "events").selectExpr(
+    pay = "date_add(ts, cast(event_id % 5 as int))"
+    rows = table(spark, sf, "events").selectExpr("*", "cast(round(value * 100) as bigint) AS cents")
+    return rows.selectExpr(
         "event_id",
         f"{dmy('ts')} AS event_date",
         f"CASE WHEN event_id % 97 = 0 THEN '31/02/2024' ELSE {dmy(pay)} END AS payment_date",
@@ -99,7 +101,7 @@ def raw_events(spark: SparkSession, sf: str) -> DataFrame:
         "CASE WHEN event_type IN ('purchase', 'signup') THEN ' Juros ' ELSE 'Amortizacao' END AS event",
         "concat(event_type, event_type) AS yield_type",
         "CASE WHEN event_id % 11 = 0 THEN '-' WHEN event_id % 13 = 0 THEN 'nan' WHEN event_id % 17 = 0 THEN '' "
-        f"ELSE {br('cast(round(value * 100) as bigint)')} END AS rate_or_percent",
+        f"ELSE {br('cents')} END AS rate_or_percent",
         f"{dmy(pay)} AS settlement_date",
     )
 
@@ -124,18 +126,20 @@ def event_replies(spark: SparkSession, sf: str, rows_per_reply: int = 2000) -> s
 
 def raw_prices(spark: SparkSession, sf: str) -> DataFrame:
     """traded prices as text."""
-    cents = "cast(round(l_extendedprice * 100) as bigint)"
-    return table(spark, sf, "lineitem").selectExpr(
+    rows = table(spark, sf, "lineitem").selectExpr(
+        "l_shipdate", "l_partkey", "l_quantity", "l_linenumber", "cast(round(l_extendedprice * 100) as bigint) AS cents",
+    ).selectExpr("*", "cents * 9 div 10 AS low", "cents * 11 div 10 AS high", "l_partkey % 20000 AS curve")
+    return rows.selectExpr(
         f"{dmy('l_shipdate')} AS ref_date",
         f"{cnpj('l_partkey')} AS issuer",
         f"{asset('l_partkey', 200)} AS asset_code",
         "concat('BR', cast(l_partkey as string)) AS ISIN",
         "cast(l_quantity as bigint) AS qty",
         "cast(l_linenumber as bigint) AS amt_of_trades",
-        f"{br(f'({cents} * 9 div 10)')} AS min_unit_price",
-        f"{br(cents)} AS avg_unit_price",
-        f"{br(f'({cents} * 11 div 10)')} AS max_unit_price",
-        f"{br('(l_partkey % 20000)')} AS curve_price_percent",
+        f"{br('low')} AS min_unit_price",
+        f"{br('cents')} AS avg_unit_price",
+        f"{br('high')} AS max_unit_price",
+        f"{br('curve')} AS curve_price_percent",
     )
 
 
@@ -171,7 +175,7 @@ def rad_texts(spark: SparkSession, sf: str, per_reply: int = 20) -> DataFrame:
         f"""concat_ws('$&', cast(o_custkey % 50 as string), concat(' Company ', o_custkey % 50, ' '), o_orderpriority,
         CASE WHEN o_orderkey % 2 = 0 THEN 'PDF' ELSE 'XML' END, concat('<b>Doc ', o_orderkey, '</b>'),
         concat('<span>', {dmy('o_orderdate')}, '</span>'),
-        CASE WHEN o_orderkey % 7 = 0 THEN 'sem data' ELSE {dmy('o_orderdate + make_interval(0, 0, 0, 3)')} END,
+        CASE WHEN o_orderkey % 7 = 0 THEN 'sem data' ELSE {dmy('date_add(o_orderdate, 3)')} END,
         o_orderstatus, '1', 'x',
         concat('<i onclick="OpenDownloadDocumentos(''', o_orderkey, ''')"></i><a href="?NumeroProtocoloEntrega=',
         o_orderkey + 100000, '">'))"""
