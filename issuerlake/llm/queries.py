@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from issuerlake.llm import bpe, contamination, html, language, licenses, neardup, quality, secrets, topk
+from issuerlake.llm import bpe, contamination, html, language, licenses, neardup, quality, secrets, topk, toxicity
 from issuerlake.llm.common import bucket
 
 REGISTRY = {}
@@ -54,6 +54,17 @@ def op5_language_id(spark, sf):
     return found.select("doc_id", (bucket("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op6_toxicity(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    labels = table(spark, sf, "labels").where(bucket("doc_id", 5) != 0)
+    scored = toxicity.score(docs, toxicity.train(docs, labels))
+    return scored.select(
+        "doc_id", (bucket("doc_id", 5) == 0).alias("held_out"), F.col("toxic").alias("score"),
+        (F.col("toxic") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "repeated", "dense",
+    )
+
+
 @query
 def op7_bpe(spark, sf):
     import public_tokenizers
