@@ -39,7 +39,7 @@ def _sum(xs: Column) -> Column:
 
 
 def with_spans(docs: DataFrame, text: str, kinds: list[str]) -> DataFrame:
-    """Adds, per kind, an array of spans in order.
+    """Adds, per kind, an array of spans in order, named ``__span_`` and the kind.
 
     Split gives what lies between the matches, extraction the matches; a span's start is the sum of all
     lengths before it, taken in steps so that the work stays linear for texts full of matches.
@@ -76,19 +76,19 @@ def with_spans(docs: DataFrame, text: str, kinds: list[str]) -> DataFrame:
                 lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), (x["start"] + x["hit"]).alias("end")),
             )
 
-        return F.flatten(F.transform(f"__{k}", of)).cast(f"array<{SPAN}>").alias(k)
+        return F.flatten(F.transform(f"__{k}", of)).cast(f"array<{SPAN}>").alias(f"__span_{k}")
 
     return out.select(*docs.columns, *[spans(k) for k in kinds])
 
 
 def linked(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """a, b (of ``identified``), weak: the weak spans of a document that have a complementary part in scope."""
-    spans = with_spans(docs, "__text", list(KINDS)).select("__a", "__b", *KINDS)
-    some = lambda *ks: F.greatest(*[F.size(k) for k in ks]) > 0
+    """__a, __b, __weak: the weak spans of a document that have a complementary part in scope."""
+    spans = with_spans(docs, "__text", list(KINDS)).select("__a", "__b", *[f"__span_{k}" for k in KINDS])
+    some = lambda *ks: F.greatest(*[F.size(f"__span_{k}") for k in ks]) > 0
     weak = [k for k in KINDS if k not in STRONG]
     # A document can have a linked part only if it has a secret, and a name or an address.
     spans = spans.where(some(*weak) & some("assign", "hex", "weak") & some("access", "name", "address"))
-    parts = spans.select("__a", "__b", F.explode(F.concat(*KINDS)).alias("p")).select("__a", "__b", "p.*").distinct()
+    parts = spans.select("__a", "__b", F.explode(F.concat(*[f"__span_{k}" for k in KINDS])).alias("p")).select("__a", "__b", "p.*").distinct()
 
     def binned(rows: DataFrame, reach: int) -> DataFrame:
         at = lambda x: F.floor(x / scope).cast("bigint")
@@ -103,19 +103,23 @@ def linked(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("__a", "__b", "bin")]
     hits = left.join(right, [*same, near, fits], "left_semi").select("__a", "__b", "kind", "start", "end").distinct()
     span = F.struct("kind", "start", "end").cast(SPAN)
-    return hits.groupBy("__a", "__b").agg(F.collect_list(span).alias("weak"))
+    return hits.groupBy("__a", "__b").agg(F.collect_list(span).alias("__weak"))
 
 
-def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", scope: int = SCOPE, carry: list[str] | None = None) -> DataFrame:
-    """key (or the columns to carry), and arrays of spans: one per strong kind, and ``linked`` weak ones."""
-    carried = carry or [key]
+def _scan(docs: DataFrame, key: str, text: str, scope: int, carried: list[str]) -> DataFrame:
+    """The carried columns and the arrays ``__span_`` assign, access, hex and linked."""
     rows = docs.select(
         *carried, F.coalesce(text, F.lit("")).alias("__text"), F.xxhash64(key, text).alias("__a"), F.xxhash64(F.lit(1), text, key).alias("__b")
     )
-    strong = with_spans(rows, "__text", STRONG).select(*carried, "__a", "__b", *STRONG)
+    strong = with_spans(rows, "__text", STRONG)
     weak = linked(rows.select("__text", "__a", "__b"), scope)
-    out = strong.join(weak, ["__a", "__b"], "left")
-    return out.select(*carried, *STRONG, F.coalesce("weak", F.array().cast(f"array<{SPAN}>")).alias("linked"))
+    found = F.coalesce("__weak", F.array().cast(f"array<{SPAN}>")).alias("__span_linked")
+    return strong.join(weak, ["__a", "__b"], "left").select(*carried, *[f"__span_{k}" for k in STRONG], found)
+
+
+def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", scope: int = SCOPE) -> DataFrame:
+    """key, and arrays of spans: one per strong kind, and ``linked`` weak ones."""
+    return _scan(docs, key, text, scope, [key]).select(key, *[F.col(f"__span_{k}").alias(k) for k in [*STRONG, "linked"]])
 
 
 def ordered(*spans: str) -> Column:
@@ -140,7 +144,8 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", mark: str =
     """The documents with every reported span replaced by a mark, overlapping spans by one; ``n_chars``,
     where there is such a column, follows. Texts without a span, null texts and all other columns stay."""
     columns = docs.columns
-    found = scan(docs, key, text, scope, carry=columns).withColumn("__spans", ordered(*STRONG, "linked"))
+    spans = ordered(*[f"__span_{k}" for k in [*STRONG, "linked"]])
+    found = _scan(docs, key, text, scope, columns).withColumn("__spans", spans)
     cut = F.aggregate(
         "__spans", F.struct(F.lit(0).cast("bigint").alias("end"), F.array().cast("array<string>").alias("out")),
         lambda s, x: F.when(x["start"] < s["end"], F.struct(F.greatest(s["end"], x["end"]).alias("end"), s["out"].alias("out"))).otherwise(
