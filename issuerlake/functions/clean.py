@@ -52,6 +52,12 @@ def br_number(c: Column) -> Column:
     return _number(F.replace(F.replace(c, F.lit("."), F.lit("")), F.lit(","), F.lit(".")), c)
 
 
+def feed_number(c: Column) -> Column:
+    """Text with a comma has the Brazilian format, any other a decimal point."""
+    c = c.cast("string")
+    return F.when(F.contains(c, F.lit(",")), br_number(c)).otherwise(numeric_lenient(c))
+
+
 def br_number_for(field: T.StructField) -> Column:
     """Numeric columns pass through unchanged, text goes through ``br_number``."""
     c = F.col(f"`{field.name}`")

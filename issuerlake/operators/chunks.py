@@ -10,8 +10,8 @@ from issuerlake.operators.common import first_per_group, unnest
 from issuerlake.schemas import CHUNK_OVERLAP, CHUNK_TOKENS
 
 # How a text falls into pieces.
-PIECE_SPLIT = {"line": r"\n", "sentence": r"(?<=[.!?])\s+"}
-PIECE_JOIN = {"line": "\n", "sentence": " "}
+PIECE_SPLIT = {"line": r"\n", "sentence": r"(?<=[.!?])\s+", "paragraph": r"\n(?:[ \t\r]*\n)+"}
+PIECE_JOIN = {"line": "\n", "sentence": " ", "paragraph": "\n\n"}
 
 
 def chunk_naive(docs: DataFrame, limit: int = CHUNK_TOKENS, unit: str = "line", text: str = "text") -> DataFrame:
@@ -39,15 +39,17 @@ def chunk_naive(docs: DataFrame, limit: int = CHUNK_TOKENS, unit: str = "line",
     packed = sized.select(
         *keep, "_p", "_n", F.aggregate("_n", start, step, lambda acc: acc["starts"]).alias("_starts")
     )
-    chunks = unnest(packed, [*keep, "_p", "_n", "_starts"], F.col("_starts"), "_from", "chunk_no")
-    end = F.coalesce(F.get("_starts", F.col("chunk_no") + 1), F.size("_p"))
-    size = end - F.col("_from")
-    return chunks.select(
-        *keep,
-        "chunk_no",
-        F.array_join(F.slice("_p", F.col("_from") + 1, size), PIECE_JOIN[unit]).alias("text"),
-        F.aggregate(F.slice("_n", F.col("_from") + 1, size), F.lit(0), lambda a, n: a + n).alias("tokens"),
-    )
+
+    def chunk(start: Column, i: Column) -> Column:
+        size = F.coalesce(F.get("_starts", i + 1), F.size("_p")) - start
+        return F.struct(
+            F.array_join(F.slice("_p", start + 1, size), PIECE_JOIN[unit]).alias("text"),
+            F.aggregate(F.slice("_n", start + 1, size), F.lit(0), lambda a, n: a + n).alias("tokens"),
+        )
+
+    # Chunks are finished inside the document's row; nothing of the document's size is copied to them.
+    made = packed.select(*keep, F.transform("_starts", chunk).alias("_chunks"))
+    return unnest(made, keep, F.col("_chunks"), "_c", "chunk_no").select(*keep, "chunk_no", "_c.text", "_c.tokens")
 
 
 def chunk_overlap(
@@ -69,20 +71,29 @@ def chunk_rows(chunks: DataFrame, meta: DataFrame | None = None, key: str = "obj
     """Index records: id ``path#chunk_i``, the first 512 characters as exact-match text, lineage of the object.
 
     The chunkers keep the other columns of a document, so lineage that is there already needs no
-    join and no text is shuffled; ``meta`` joins it in where it is not.
+    join and no text is shuffled; ``meta`` joins it in where it is not. Reading confidence and method,
+    pages and embedding come from columns of these names, and are null where the chunks have none.
     """
+    optional = {"confidence": "float", "read_method": "string", "page_start": "int", "page_end": "int", "embedding": "array<float>"}
+    own = {n: (F.col(n).cast(t) if n in chunks.columns else F.lit(None).cast(t)).alias(n) for n, t in optional.items()}
     lineage = ["ingest_ts", "source", "file_hash", "trace_id", "document_type", "ref_date", "aggregation_type"]
     if meta is not None:
-        chunks = chunks.select(key, "chunk_no", "text", "tokens").join(meta.select(key, *lineage), key, "left")
+        present = [n for n in optional if n in chunks.columns]
+        chunks = chunks.select(key, "chunk_no", "text", "tokens", *present).join(meta.select(key, *lineage), key, "left")
     return chunks.select(
         F.col(key).alias("doc_id"),
         F.concat(F.col(key), F.lit("#chunk_"), F.col("chunk_no").cast("string")).alias("chunk_id"),
+        own["confidence"],
+        own["read_method"],
         "text",
         F.substring("text", 1, 512).alias("text_raw"),
+        own["page_start"],
+        own["page_end"],
         "tokens",
         F.col("ingest_ts").alias("ingestion_ts"),
         *lineage[1:-1],
         F.coalesce("aggregation_type", F.lit("")).alias("aggregation_type"),
+        own["embedding"],
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from issuerlake.functions.clean import (
-    br_number, br_number_for, date_lenient, halve_doubled, null_token, null_tokens, snake_name,
+    br_number, br_number_for, date_lenient, feed_number, halve_doubled, null_token, null_tokens, snake_name,
 )
 from issuerlake.operators.checks import conform_schema
 from issuerlake.operators.common import top_per_group
@@ -26,13 +26,22 @@ def conform(
     df: DataFrame, mapping: dict[str, str] = TERMS_COLUMNS, consumed: list[str] = COVENANT_COLUMNS,
     keys: tuple[str, ...] = ("asset_code",),
 ) -> DataFrame:
-    """Known columns renamed, covenants combined, every other source column kept as enr_<snake_case>."""
+    """Known columns renamed, covenants combined, every other source column kept as enr_<snake_case>.
+
+    Two headers that fold to the same name are an error, named here rather than where the column is used.
+    """
     renamed = [F.col(f"`{src}`").alias(dst) for src, dst in mapping.items() if src in df.columns]
     rest = [
         F.col(f"`{c}`").alias(f"enr_{snake_name(c)}")
         for c in df.columns
         if c not in mapping and c not in consumed and c not in keys
     ]
+    folded: dict[str, str] = {}
+    for c in df.columns:
+        if c not in mapping and c not in consumed and c not in keys:
+            if (name := snake_name(c)) in folded:
+                raise ValueError(f"columns {folded[name]!r} and {c!r} both become enr_{name}")
+            folded[name] = c
     return df.select(*keys, *renamed, covenants(df.columns, consumed).alias("covenants"), *rest)
 
 
@@ -58,7 +67,7 @@ def terms_gold(raw: DataFrame, key: str = "asset_code") -> DataFrame:
     df = null_tokens(fallback_by_group(conform(raw, keys=(key,)), key))
     typed = {c: date_lenient(F.col(c)) for c in ("issue_date", "maturity") if c in df.columns}
     if "coupon" in df.columns:
-        typed["coupon"] = br_number(F.col("coupon"))
+        typed["coupon"] = feed_number(F.col("coupon"))
     return df.withColumns(typed)
 
 
@@ -79,12 +88,12 @@ def clean_events(raw: DataFrame) -> DataFrame:
 
 
 # Payment order, made total by the other columns.
-SCHEDULE_ORDER = ["payment_date", "asset_code", "event", "event_date", "issuer", "yield_type", "rate_or_percent"]
+SCHEDULE_ORDER = ["payment_date", "asset_code", "event", "event_date", "issuer", "yield_type", "rate_or_percent", "settlement_date"]
 
 
 def events_schedule(raw: DataFrame) -> DataFrame:
-    """The cleaned schedule in payment order, by a range-partitioned sort."""
-    return clean_events(raw).orderBy(*SCHEDULE_ORDER)
+    """The cleaned schedule in payment order, missing values last, by a range-partitioned sort."""
+    return clean_events(raw).orderBy(*[F.asc_nulls_last(c) for c in SCHEDULE_ORDER])
 
 
 def traded_prices(raw: DataFrame) -> DataFrame:

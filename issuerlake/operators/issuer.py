@@ -50,37 +50,40 @@ def key_legal_risks(cases: DataFrame, levels: tuple[str, ...] = ("high", "medium
 def resolve_issuer(requests: DataFrame, issuers: DataFrame, listing: DataFrame) -> DataFrame:
     """Issuer of each request: by ticker, else by tax id, else by name.
 
-    Three equi-joins instead of one on an OR; the lookups are unique per key, so no request is
-    multiplied, and null keys are spread so that they do not share a partition.
+    Lookups are made unique per key and joined with the issuers first, so that a request takes part
+    in three equi-joins and is never multiplied. Of rows that repeat a tax id the first name counts.
+    Null keys are spread so that they do not share a partition.
     """
+    dim = first_per_group(
+        issuers.filter(F.col("issuer_cnpj").isNotNull()), ["issuer_cnpj"], [F.asc_nulls_last("issuer_name"), F.asc_nulls_last("industry")]
+    ).select(F.col("issuer_cnpj").alias("_id"), F.col("issuer_name").alias("_name"), F.col("industry").alias("_industry"))
     by_ticker = first_per_group(listing.select("asset_code", "issuer"), ["asset_code"], [F.asc("issuer")])
-    by_name = first_per_group(issuers, ["issuer_name"], [F.asc("issuer_cnpj")])
+    by_name = first_per_group(issuers.select("issuer_name", "issuer_cnpj"), ["issuer_name"], [F.asc("issuer_cnpj")])
     rid = F.col("request_id")
 
-    def attach(df: DataFrame, key: str, lookup: DataFrame, lookup_key: str, value: str, out: str) -> DataFrame:
-        side = lookup.select(F.col(lookup_key).alias("_k"), F.col(value).alias(out))
-        return df.withColumn("_k", spread_nulls(F.col(key), rid)).join(side, "_k", "left").drop("_k")
+    def lookup(df: DataFrame, key: str, value: str) -> DataFrame:
+        side = df.select(F.col(key).alias("_k"), F.col(value).alias("_v")).filter(F.col("_k").isNotNull())
+        found = F.struct(F.col("_v").alias("cnpj"), F.col("_name").alias("name"), F.col("_industry").alias("industry"))
+        return side.join(dim, side["_v"] == dim["_id"], "left").select("_k", F.when(F.col("_v").isNotNull(), found).alias("_found"))
 
-    found = attach(requests, "ticker", by_ticker, "asset_code", "issuer", "_by_ticker")
-    found = attach(found, "issuer_cnpj", issuers, "issuer_cnpj", "issuer_cnpj", "_by_cnpj")
-    found = attach(found, "issuer_name", by_name, "issuer_name", "issuer_cnpj", "_by_name")
-    resolved = found.withColumn("_cnpj", F.coalesce("_by_ticker", "_by_cnpj", "_by_name"))
+    def attach(df: DataFrame, key: str, side: DataFrame, out: str) -> DataFrame:
+        keyed = df.withColumn("_k", spread_nulls(F.col(key), rid))
+        return keyed.join(side, "_k", "left").withColumnRenamed("_found", out).drop("_k")
+
+    known = F.struct(F.col("_id").alias("cnpj"), F.col("_name").alias("name"), F.col("_industry").alias("industry"))
+    found = attach(requests, "ticker", lookup(by_ticker, "asset_code", "issuer"), "_by_ticker")
+    found = attach(found, "issuer_cnpj", dim.select(F.col("_id").alias("_k"), known.alias("_found")), "_by_cnpj")
+    found = attach(found, "issuer_name", lookup(by_name, "issuer_name", "issuer_cnpj"), "_by_name")
+    resolved = found.withColumn("_r", F.coalesce("_by_ticker", "_by_cnpj", "_by_name"))
     no_key = F.col("ticker").isNull() & F.col("issuer_cnpj").isNull() & F.col("issuer_name").isNull()
-    dim = issuers.select(
-        F.col("issuer_cnpj").alias("_k"), F.col("issuer_name").alias("_name"), F.col("industry").alias("_industry")
-    )
     na = F.lit("N/A")
-    return (
-        resolved.withColumn("_k", spread_nulls(F.col("_cnpj"), rid))
-        .join(dim, "_k", "left")
-        .select(
-            "request_id",
-            F.when(no_key, "INVALID_INPUT").when(F.col("_cnpj").isNull(), "NOT_FOUND").otherwise("OK").alias("status"),
-            F.coalesce("_cnpj", na).alias("resolved_cnpj"),
-            F.coalesce("_name", na).alias("resolved_name"),
-            F.coalesce("_industry", na).alias("resolved_industry"),
-            F.when(F.col("_by_ticker").isNotNull(), F.col("ticker")).otherwise(na).alias("resolved_ticker"),
-        )
+    return resolved.select(
+        "request_id",
+        F.when(no_key, "INVALID_INPUT").when(F.col("_r").isNull(), "NOT_FOUND").otherwise("OK").alias("status"),
+        F.coalesce("_r.cnpj", na).alias("resolved_cnpj"),
+        F.coalesce("_r.name", na).alias("resolved_name"),
+        F.coalesce("_r.industry", na).alias("resolved_industry"),
+        F.when(F.col("_by_ticker").isNotNull(), F.col("ticker")).otherwise(na).alias("resolved_ticker"),
     )
 
 
@@ -91,12 +94,20 @@ def _ranked_list(df: DataFrame, key: str, fields: dict[str, Column], out: str) -
     return df.groupBy(F.col(key).alias("issuer_cnpj")).agg(ordered.alias(out))
 
 
+def _optional(df: DataFrame, names: list[str], kind: str = "string") -> Column:
+    """The first of the columns that the table has, else null."""
+    return next((F.col(n) for n in names if n in df.columns), F.lit(None).cast(kind))
+
+
 def issuer_profile(
     issuers: DataFrame, documents: DataFrame, cases: DataFrame, events: DataFrame, from_date: str,
-    document_k: int = 5, risk_k: int = 10, payment_k: int = 10,
+    document_k: int = 5, risk_k: int = 10, payment_k: int = 10, listing: DataFrame | None = None,
 ) -> DataFrame:
     """Latest documents, gravest cases and next payments of every issuer, with counts and exposure.
 
+    Summaries, case type, impact, amount and status come from columns of the tables that have them; a
+    payment without a status is scheduled. The ticker is the first listed code of the issuer.
+
     Counts and exposure cover the listed rows, as in the response this reproduces; ``risk_exposure``
     gives the totals. Each branch has one row per issuer before the joins.
     """
@@ -108,7 +119,8 @@ def issuer_profile(
             "title": F.col("title"),
             "date": F.col("ref_date"),
             "source": F.col("source"),
-            "url": F.col("object_path"),
+            "url": F.coalesce(_optional(documents, ["document_url"]), F.col("object_path")),
+            "summary": _optional(documents, ["summary"]),
         },
         "latest_documents",
     )
@@ -118,9 +130,12 @@ def issuer_profile(
         {
             "case_id": F.col("case_id"),
             "court": F.col("court"),
+            "case_type": _optional(cases, ["case_type"]),
             "risk_level": F.col("risk_level"),
             "claimed_value": F.col("claimed_amount"),
             "stage": F.col("stage"),
+            "summary": _optional(cases, ["enr_principais_fatos"]),
+            "impact": _optional(cases, ["enr_impacto_em_caso_de_perda"]),
             "last_update": F.col("last_movement_date"),
         },
         "key_legal_risks",
@@ -132,13 +147,17 @@ def issuer_profile(
             "debenture_ticker": F.col("asset_code"),
             "event_type": F.col("event"),
             "payment_date": F.col("payment_date"),
+            "amount": _optional(events, ["amount"], "decimal(18,2)"),
             "interest_rate": F.col("rate_or_percent"),
-            "status": F.lit("scheduled"),
+            "status": F.coalesce(_optional(events, ["status"]), F.lit("scheduled")),
         },
         "upcoming_payments",
     )
     joined = issuers
-    for side in (docs, risks, payments):
+    sides = [docs, risks, payments]
+    if listing is not None:
+        sides.append(listing.groupBy(F.col("issuer").alias("issuer_cnpj")).agg(F.min("asset_code").alias("_ticker")))
+    for side in sides:
         joined = joined.join(side, "issuer_cnpj", "left")
 
     def count(c: str) -> Column:
@@ -152,6 +171,7 @@ def issuer_profile(
     return joined.select(
         "issuer_cnpj",
         F.coalesce("issuer_name", F.lit("N/A")).alias("issuer_name"),
+        F.coalesce(_optional(joined, ["_ticker", "ticker"]), F.lit("N/A")).alias("ticker"),
         F.coalesce("industry", F.lit("N/A")).alias("industry"),
         count("latest_documents").alias("total_documents"),
         count("key_legal_risks").alias("total_legal_risks"),

@@ -83,11 +83,12 @@ def account_sums(
     Rows are combined before the shuffle, so a group of any size reaches the reducers as one row
     per task. Groups without a matching account are kept with zeros; rows with a null key are not.
     Prefix sums add a parent and its children, as the source tables intend; ``leaf_only`` drops
-    accounts that have a child in the group.
+    accounts that have a child in the group, after the rows of a code are summed, so that the join runs on
+    a few rows per group.
     """
     rows = df.dropna(subset=keys)
     if leaf_only:
-        rows = leaves(rows, keys, code)
+        rows = leaves(rows.groupBy(*keys, code).agg(F.sum(value).alias(value)), keys, code)
 
     def total(hit: Column) -> Column:
         return F.coalesce(F.sum(F.when(hit, F.col(value))), F.lit(0).cast("decimal(38,6)"))

@@ -156,17 +156,19 @@ def listing_pages(spark: SparkSession, sf: str, rows_per_page: int = 40) -> Data
     """Listing pages: one table of the listing class per block of parts, and one of another class."""
     row = F.expr(
         f"""concat('<tr><td>&nbsp;</td><td><a href="x?selecao=', {asset('p_partkey', 250)}, '"> ', {asset('p_partkey', 250)},
-        ' </a></td><td> ', {cnpj('p_partkey')}, ' &amp; CIA</td><td></td><td>', p_type, '</td><td></td></tr>')"""
+        ' </a></td><td> ', {cnpj('p_partkey')}, ' &amp; CIA &Ccedil;&#213;ES</td><td></td><td>',
+        CASE WHEN p_partkey % 3 = 0 THEN concat('<table class=inner><tr><td>', p_type, '</td></tr></table>') ELSE p_type END,
+        '</td><td></td></tr>')"""
     )
     empty = "<tr><td></td><td>no link</td><td>x</td><td></td><td>y</td></tr><tr><th>head</th></tr>"
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", row.alias("r")))), lambda x: x["r"]), "\n")
     html = F.concat(
         F.lit('<html><table class="other"><tr><td>1</td><td><a>NO</a></td><td>3</td><td>4</td><td>5</td></tr></table>'),
-        F.lit(f'<TABLE width="1" class="Tab10333333">{empty}'), body, F.lit("</TABLE></html>"),
-    )
-    return (
-        table(spark, sf, "part").groupBy(F.expr(f"p_partkey div {rows_per_page}").alias("page_id")).agg(html.alias("html"))
+        F.expr("""CASE WHEN page_id % 2 = 0 THEN '<TABLE width="1" class="wide Tab10333333">' ELSE '<table class=Tab10333333 width=1>' END"""),
+        F.lit(empty), F.col("body"), F.lit("</TABLE></html>"),
     )
+    grouped = table(spark, sf, "part").withColumn("page_id", F.expr(f"p_partkey div {rows_per_page}")).groupBy("page_id")
+    return grouped.agg(body.alias("body")).select("page_id", html.alias("html"))
 
 
 def rad_texts(spark: SparkSession, sf: str, per_reply: int = 20) -> DataFrame:
@@ -224,6 +226,8 @@ def filings(spark: SparkSession, sf: str, documents: DataFrame | None = None) ->
         "CASE WHEN doc_id % 2 = 0 THEN 'ITR' ELSE 'DFP' END AS form",
         "CASE WHEN doc_id % 4 = 0 THEN 'Consolidado' WHEN doc_id % 4 = 1 THEN 'Individual' END AS aggregation_type",
         "concat('https://filings.example.org/', doc_id) AS url",
+        "CASE WHEN doc_id % 3 <> 0 THEN concat('Resumo ', doc_id) END AS summary",
+        "CASE WHEN doc_id % 2 = 0 THEN concat('https://filings.example.org/', doc_id) END AS document_url",
     )
 
 
@@ -243,23 +247,29 @@ def litigation(spark: SparkSession, sf: str) -> DataFrame:
         "concat(cast(1 + o_orderkey % 9 as string), 'a Vara') AS court",
         "o_orderstatus AS stage",
         "date_format(o_orderdate, 'yyyy-MM-dd') AS last_movement_date",
+        "CASE WHEN o_orderkey % 3 = 0 THEN 'Ação de Indenização' ELSE 'Ação Trabalhista' END AS case_type",
+        "CASE WHEN o_orderkey % 4 <> 0 THEN concat('Fatos ', o_orderkey) END AS enr_principais_fatos",
+        "CASE WHEN o_orderkey % 5 <> 0 THEN concat('Impacto ', o_orderkey) END AS enr_impacto_em_caso_de_perda",
         "CASE WHEN o_orderkey % 31 = 0 THEN 'n/d' ELSE cast(o_totalprice as string) END AS claimed_value",
         "element_at(array('high', 'Provável', 'medium', 'Possível', 'Remoto'), cast(left(o_orderpriority, 1) as int)) AS risk",
     )
 
 
 def payload_xml(spark: SparkSession, sf: str) -> DataFrame:
-    """one XML per document with two sections holding a base64 payload."""
-    def section(tag: str, name: str, content: str) -> str:
-        return (
-            f"'<{tag}><NomeArquivoPdf>', {name}, '</NomeArquivoPdf><ImagemObjetoArquivoPdf>', "
-            f"replace(base64(encode({content}, 'UTF-8')), '\\r\\n', ''), '</ImagemObjetoArquivoPdf></{tag}>'"
-        )
-
-    text = section("SecText", "concat('doc_', doc_id, '.pdf')", "text")
-    src = section("SecSource", "concat('src_', doc_id, '.pdf')", "source")
+    """XML documents whose sections hold a base64 payload: beside other elements, before or after its
+    name, with attributes, and in every fifth document one without a name."""
+
+    def payload(content: str) -> str:
+        encoded = f"replace(base64(encode({content}, 'UTF-8')), '\\r\\n', '')"
+        return f"concat('<ImagemObjetoArquivoPdf>', {encoded}, '</ImagemObjetoArquivoPdf>')"
+
+    name = lambda prefix: f"concat('<NomeArquivoPdf>{prefix}_', doc_id, '.pdf</NomeArquivoPdf>')"
     return table(spark, sf, "documents").selectExpr(
-        "doc_id", f"concat('<Doc><Note>n', doc_id, '</Note>', {text}, {src}, '</Doc>') AS xml"
+        "doc_id",
+        f"""concat('<Doc><Note>n', doc_id, '</Note><SecText ref="http://x/y>z"><Id>1</Id>', {name('doc')}, '<!-- <x> -->', {payload('text')},
+        '</SecText><SecSource>', CASE WHEN doc_id % 3 = 0 THEN concat({payload('source')}, '<Date/>', {name('src')})
+        ELSE concat({name('src')}, {payload('source')}) END, '</SecSource>',
+        CASE WHEN doc_id % 5 = 0 THEN concat('<SecBare>', {payload('lang')}, '<ImagemObjetoArquivoPdf/></SecBare>') ELSE '' END, '</Doc>') AS xml""",
     )
 
 
@@ -303,7 +313,7 @@ def raw_terms(spark: SparkSession, sf: str) -> DataFrame:
         "CASE WHEN p_partkey % 9 = 0 THEN '31/02/2024' ELSE '17/04/2029' END AS `Data de Vencimento`",
         "CASE WHEN p_size % 5 = 0 THEN ' - ' ELSE p_type END AS indice",
         "CASE WHEN (p_partkey % 250) % 4 = 0 OR (p_partkey % 4 = 1 AND p_size % 2 = 0) THEN NULL "
-        "ELSE concat(p_size div 10, ',', p_size % 10) END AS `Juros Criterio Novo - Taxa`",
+        "ELSE concat(p_size div 10, CASE WHEN p_partkey % 3 = 0 THEN '.' ELSE ',' END, p_size % 10) END AS `Juros Criterio Novo - Taxa`",
         "cast(p_size + 100 as string) AS `Percentual Multiplicador/Rentabilidade`",
         "element_at(array('S', 'N', ''), cast(p_partkey % 3 as int) + 1) AS `Resgate Antecipado`",
         "CASE WHEN p_partkey % 5 <> 0 THEN 'N' END AS `Escritura Padronizada`",

@@ -102,7 +102,7 @@ F7 = f"""f7 AS (SELECT doc_id, text, source, 'gold/documents/' || source || '/do
 
 F8 = f"""f8 AS (SELECT lpad(CAST(o_orderkey AS VARCHAR), 7, '0') || '-56.2024.8.26.0100' AS case_id,
   {cnpj('o_custkey')} AS issuer_cnpj, ['high','high','medium','medium','low'][CAST(left(o_orderpriority, 1) AS INTEGER)] AS level,
-  CASE WHEN o_orderkey % 31 <> 0 THEN CAST(o_totalprice AS DECIMAL(18,2)) END AS amount FROM orders)"""
+  CASE WHEN o_orderkey % 31 <> 0 THEN CAST(o_totalprice AS DECIMAL(18,2)) END AS amount, o_orderkey, o_orderstatus, o_orderdate FROM orders)"""
 
 F14 = f"""f14 AS (SELECT {cnpj('c_custkey')} AS issuer_cnpj, arg_min(c_name, c_custkey) AS issuer_name,
   arg_min(c_mktsegment, c_custkey) AS industry FROM customer GROUP BY 1)"""
@@ -115,7 +115,7 @@ F15 = f"""f15 AS (SELECT event_id AS request_id,
 
 F16 = f"""f16 AS (SELECT {asset('p_partkey', 250)} AS asset_code, p_partkey, p_brand AS series, p_type AS indexer, p_name, p_size,
   CASE WHEN (p_partkey % 250) % 4 = 0 OR (p_partkey % 4 = 1 AND p_size % 2 = 0) THEN NULL
-    ELSE (p_size // 10) || ',' || (p_size % 10) END AS coupon,
+    ELSE (p_size // 10) || CASE WHEN p_partkey % 3 = 0 THEN '.' ELSE ',' END || (p_size % 10) END AS coupon,
   CAST(p_size + 100 AS VARCHAR) AS coupon_alt,
   concat_ws('; ', CASE p_partkey % 3 WHEN 0 THEN 'Resgate Antecipado: S' WHEN 1 THEN 'Resgate Antecipado: N' END,
     CASE WHEN p_partkey % 5 <> 0 THEN 'Escritura Padronizada: N' END, 'Classe: ' || left(p_type, 3)) AS covenants
@@ -164,7 +164,7 @@ add("parse_rad_results", f"""SELECT CAST(o_custkey % 50 AS VARCHAR) AS company_c
   CAST(o_orderkey + 100000 AS VARCHAR) AS protocol_id, CAST(o_orderkey AS VARCHAR) AS download_id,
   CAST(NULL AS VARCHAR) AS publication_info FROM orders""")
 add("extract_listing_rows", f"""SELECT p_partkey // 40 AS page_id, {asset('p_partkey', 250)} AS asset_code,
-  {cnpj('p_partkey')} || ' & CIA' AS issuer, p_type AS situation FROM part""")
+  {cnpj('p_partkey')} || ' & CIA ÇÕES' AS issuer, p_type AS situation FROM part""")
 add("extract_page_links", r"""WITH a AS (SELECT page_id, regexp_extract_all(html, '<li[^>]*>\s*(<a [^>]*>[^<]*</a>)\s*</li>', 1) AS items FROM pages),
   b AS (SELECT page_id, unnest(items) AS item, generate_subscripts(items, 1) AS i FROM a)
 SELECT page_id, CAST(i - 1 AS INTEGER) AS position, regexp_extract(item, 'href="([^"]*)"', 1) AS href,
@@ -174,10 +174,15 @@ add("extract_update_stamp", """SELECT event_id, CASE WHEN event_id % 7 <> 0
 add("extract_embedded_pdfs", """SELECT doc_id, CAST(0 AS INTEGER) AS ordinal, 'SecText' AS tag, 'doc_' || doc_id || '.pdf' AS file_name,
   sha256(text) AS file_hash, CAST(octet_length(CAST(encode(text) AS BLOB)) AS INTEGER) AS n_bytes FROM documents
 UNION ALL SELECT doc_id, 1, 'SecSource', 'src_' || doc_id || '.pdf', sha256(source),
-  CAST(octet_length(CAST(encode(source) AS BLOB)) AS INTEGER) FROM documents""")
-SECTION = "<{0}><NomeArquivoPdf>{1}_' || doc_id || '.pdf</NomeArquivoPdf><ImagemObjetoArquivoPdf></ImagemObjetoArquivoPdf></{0}>"
-add("strip_embedded_pdfs", f"""SELECT doc_id, '<Doc><Note>n' || doc_id || '</Note>{SECTION.format('SecText', 'doc')}'
-  || '{SECTION.format('SecSource', 'src')}</Doc>' AS xml FROM documents""")
+  CAST(octet_length(CAST(encode(source) AS BLOB)) AS INTEGER) FROM documents
+UNION ALL SELECT doc_id, 2, 'SecBare', NULL, sha256(lang),
+  CAST(octet_length(CAST(encode(lang) AS BLOB)) AS INTEGER) FROM documents WHERE doc_id % 5 = 0""")
+BLANK = "<ImagemObjetoArquivoPdf></ImagemObjetoArquivoPdf>"
+add("strip_embedded_pdfs", f"""SELECT doc_id, '<Doc><Note>n' || doc_id || '</Note><SecText ref="http://x/y>z"><Id>1</Id><NomeArquivoPdf>doc_'
+  || doc_id || '.pdf</NomeArquivoPdf><!-- <x> -->{BLANK}</SecText><SecSource>'
+  || CASE WHEN doc_id % 3 = 0 THEN '{BLANK}<Date/><NomeArquivoPdf>src_' || doc_id || '.pdf</NomeArquivoPdf>'
+    ELSE '<NomeArquivoPdf>src_' || doc_id || '.pdf</NomeArquivoPdf>{BLANK}' END || '</SecSource>'
+  || CASE WHEN doc_id % 5 = 0 THEN '<SecBare>{BLANK}<ImagemObjetoArquivoPdf/></SecBare>' ELSE '' END || '</Doc>' AS xml FROM documents""")
 add("decode_rad_payload", """SELECT doc_id, sha256(text) AS file_hash,
   CAST(octet_length(CAST(encode(text) AS BLOB)) AS INTEGER) AS n_bytes FROM documents""")
 add("download_manifest", with_(F7) + """SELECT issuer_cnpj, document_type, url, version, ref_date,
@@ -303,7 +308,9 @@ add("dataset_ref_date", with_(F1) + "SELECT enr_aggregation_type, strftime(max(D
 
 # --- debentures ----------------------------------------------------------------------------------
 
-add("events_schedule", with_(F2) + EVENTS_GOLD)
+PLACE = """CAST(row_number() OVER (PARTITION BY issuer ORDER BY payment_date NULLS LAST, asset_code, event, event_date, yield_type,
+  rate_or_percent NULLS LAST, settlement_date) AS INTEGER)"""
+add("events_schedule", with_(F2) + f"SELECT *, {PLACE} AS place FROM ({EVENTS_GOLD})")
 add("traded_prices", with_(F3) + f"""SELECT d AS ref_date, issuer, asset_code, ISIN, qty, amt_of_trades, {PRICES},
   (l_partkey % 20000) / 100.0::DOUBLE AS curve_price_percent FROM f3""")
 T4 = """t4 AS (SELECT *, row_number() OVER (PARTITION BY issuer ORDER BY pay_d, asset_code, event, event_d, event_type,
@@ -341,15 +348,23 @@ add("resolve_issuer", with_(F4, F14, F15) + """SELECT request_id, CASE WHEN r.ti
     LEFT JOIN f4 ON f15.ticker = f4.asset_code LEFT JOIN f14 a ON f15.issuer_cnpj = a.issuer_cnpj
     LEFT JOIN f14 b ON f15.issuer_name = b.issuer_name) r
   LEFT JOIN f14 d ON d.issuer_cnpj = r.c""")
-add("issuer_profile", with_(F2, F7, F8, F14, T2, T3, T4) + """SELECT i.issuer_cnpj, i.issuer_name, i.industry,
+PROFILE_DOC = """concat_ws('~', document_type, category, ref_date, source, CASE WHEN doc_id % 2 = 0 THEN url ELSE object_path END,
+  CASE WHEN doc_id % 3 <> 0 THEN 'Resumo ' || doc_id ELSE '-' END)"""
+PROFILE_CASE = """concat_ws('~', case_id, (1 + o_orderkey % 9) || 'a Vara', CASE WHEN o_orderkey % 3 = 0 THEN 'Ação de Indenização'
+  ELSE 'Ação Trabalhista' END, level, coalesce(amount::VARCHAR, '-'), o_orderstatus,
+  CASE WHEN o_orderkey % 4 <> 0 THEN 'Fatos ' || o_orderkey ELSE '-' END, CASE WHEN o_orderkey % 5 <> 0 THEN 'Impacto ' || o_orderkey ELSE '-' END,
+  strftime(o_orderdate, '%Y-%m-%d'))"""
+PROFILE_PAY = """concat_ws('~', asset_code, event, strftime(pay_d, '%Y-%m-%d'), coalesce((rate::DECIMAL(18,2) * 10)::DECIMAL(18,2)::VARCHAR, '-'),
+  coalesce(rate::DECIMAL(18,2)::VARCHAR, '-'), CASE WHEN day(pay_d) % 2 = 0 THEN 'confirmed' ELSE 'scheduled' END)"""
+add("issuer_profile", with_(F2, F4, F7, F8, F14, T2, T3, T4) + f"""SELECT i.issuer_cnpj, i.issuer_name, coalesce(f.ticker, 'N/A') AS ticker, i.industry,
   coalesce(d.n, 0) AS total_documents, coalesce(l.n, 0) AS total_legal_risks, coalesce(l.x, 0) AS total_risk_exposure,
-  coalesce(p.n, 0) AS total_upcoming_payments, d.u AS document_urls, l.u AS case_ids, p.u AS payment_dates, p.t AS tickers
+  coalesce(p.n, 0) AS total_upcoming_payments, d.u AS latest_documents, l.u AS key_legal_risks, p.u AS upcoming_payments
   FROM f14 i
-  LEFT JOIN (SELECT issuer_cnpj, count(*) AS n, string_agg(object_path, ',' ORDER BY rank) AS u FROM t2 GROUP BY 1) d USING (issuer_cnpj)
+  LEFT JOIN (SELECT issuer_cnpj, count(*) AS n, string_agg({PROFILE_DOC}, ';' ORDER BY rank) AS u FROM t2 GROUP BY 1) d USING (issuer_cnpj)
   LEFT JOIN (SELECT issuer_cnpj, count(*) AS n, CAST(coalesce(sum(amount), 0) AS DOUBLE) AS x,
-    string_agg(case_id, ',' ORDER BY rank) AS u FROM t3 GROUP BY 1) l USING (issuer_cnpj)
-  LEFT JOIN (SELECT issuer AS issuer_cnpj, count(*) AS n, string_agg(strftime(pay_d, '%Y-%m-%d'), ',' ORDER BY rank) AS u,
-    string_agg(asset_code, ',' ORDER BY rank) AS t FROM t4 GROUP BY 1) p USING (issuer_cnpj)""")
+    string_agg({PROFILE_CASE}, ';' ORDER BY rank) AS u FROM t3 GROUP BY 1) l USING (issuer_cnpj)
+  LEFT JOIN (SELECT issuer AS issuer_cnpj, count(*) AS n, string_agg({PROFILE_PAY}, ';' ORDER BY rank) AS u FROM t4 GROUP BY 1) p USING (issuer_cnpj)
+  LEFT JOIN (SELECT issuer AS issuer_cnpj, min(asset_code) AS ticker FROM f4 GROUP BY 1) f USING (issuer_cnpj)""")
 add("attach_metadata", with_(F7, F14) + """SELECT doc_id, object_path, '{"empresa":"' || issuer_name || '","CNPJ":"' || issuer_cnpj
   || '","origem":"' || source || '","tipo_documento":"' || document_type || '","file_hash":"' || file_hash || '"'
   || coalesce(',"tipo_agregacao_demonstrativo_financeiro":"' || aggregation_type || '"', '') || '}' AS meta_fields
@@ -403,6 +418,9 @@ chunks AS (SELECT doc_id, source, lang, chunk_no, array_to_string(ws[chunk_no *
   CAST(len(ws[chunk_no * 384 + 1 : chunk_no * 384 + 512]) AS INTEGER) AS tokens FROM v)"""
 add("chunk_overlap", with_(WINDOWS) + "SELECT doc_id, chunk_no, text, tokens FROM chunks")
 add("chunk_rows", with_(WINDOWS, F7) + """SELECT f7.object_path AS doc_id, f7.object_path || '#chunk_' || chunk_no AS chunk_id, c.text,
+  CASE WHEN doc_id % 4 = 0 THEN 0.5::DOUBLE ELSE 1.0::DOUBLE END AS confidence, CASE WHEN doc_id % 4 = 0 THEN 'ocr' ELSE 'text' END AS read_method,
+  CAST(chunk_no // 2 + 1 AS INTEGER) AS page_start, CAST((chunk_no + 1) // 2 + 1 AS INTEGER) AS page_end,
+  tokens::DOUBLE AS embedding_0, chunk_no::DOUBLE AS embedding_1,
   left(c.text, 512) AS text_raw, tokens, '2025-10-19T12:00:00' AS ingestion_ts, f7.source, file_hash, 'trace-0001' AS trace_id,
   document_type, ref_date, coalesce(aggregation_type, '') AS aggregation_type FROM chunks c JOIN f7 USING (doc_id)""")
 add("l2_normalize", """WITH s AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE) * (label + 2)) AS v FROM embeddings),

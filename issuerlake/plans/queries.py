@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from issuerlake import functions as fn
@@ -391,7 +391,10 @@ def dataset_ref_date(spark, sf):
 
 @query
 def events_schedule(spark, sf):
-    return op.events_schedule(fx.raw_events(spark, sf))
+    # The place within the issuer, numbered in the order of the rows, shows the order of the whole.
+    placed = op.events_schedule(fx.raw_events(spark, sf)).withColumn("_at", F.monotonically_increasing_id())
+    place = F.row_number().over(Window.partitionBy("issuer").orderBy("_at"))
+    return placed.withColumn("place", place).drop("_at")
 
 
 @query
@@ -450,21 +453,28 @@ def resolve_issuer(spark, sf):
 
 @query
 def issuer_profile(spark, sf):
+    events = op.clean_events(fx.raw_events(spark, sf)).withColumns({
+        "amount": F.expr("cast(rate_or_percent * 10 as decimal(18,2))"),
+        "status": F.expr("CASE WHEN day(payment_date) % 2 = 0 THEN 'confirmed' END"),
+    })
     profile = op.issuer_profile(
-        fx.issuers(spark, sf), fx.filings(spark, sf), fx.litigation(spark, sf),
-        op.clean_events(fx.raw_events(spark, sf)), FROM_DATE,
+        fx.issuers(spark, sf), fx.filings(spark, sf), fx.litigation(spark, sf), events, FROM_DATE, listing=fx.listing(spark, sf)
     )
+    exact = {"claimed_value": "decimal(18,2)", "interest_rate": "decimal(18,2)"}
 
-    def ids(c, field):
-        return F.array_join(F.transform(c, lambda x: x[field].cast("string")), ",")
+    def items(c):
+        """Every field of every struct, as text."""
+        names = profile.schema[c].dataType.elementType.names
+
+        def item(x):
+            fields = [x[n].cast(exact[n]) if n in exact else x[n] for n in names]
+            return F.concat_ws("~", *[F.coalesce(f.cast("string"), F.lit("-")) for f in fields])
+
+        return F.array_join(F.transform(c, item), ";").alias(c)
 
     return profile.select(
-        "issuer_cnpj", "issuer_name", "industry", "total_documents", "total_legal_risks", "total_risk_exposure",
-        "total_upcoming_payments",
-        ids("latest_documents", "url").alias("document_urls"),
-        ids("key_legal_risks", "case_id").alias("case_ids"),
-        ids("upcoming_payments", "payment_date").alias("payment_dates"),
-        ids("upcoming_payments", "debenture_ticker").alias("tickers"),
+        "issuer_cnpj", "issuer_name", "ticker", "industry", "total_documents", "total_legal_risks", "total_risk_exposure",
+        "total_upcoming_payments", *[items(c) for c in ("latest_documents", "key_legal_risks", "upcoming_payments")],
     )
 
 
@@ -552,8 +562,19 @@ def chunk_overlap(spark, sf):
 
 @query
 def chunk_rows(spark, sf):
-    docs = op.catalog_rows(fx.filings(spark, sf), fx.RUN, content="text", keep=("text",))
-    return op.chunk_rows(op.chunk_overlap(docs))
+    docs = op.catalog_rows(fx.filings(spark, sf), fx.RUN, content="text", keep=("text", "doc_id"))
+    read = op.chunk_overlap(docs).withColumns({
+        "confidence": F.expr("CASE WHEN doc_id % 4 = 0 THEN 0.5 ELSE 1.0 END"),
+        "read_method": F.expr("CASE WHEN doc_id % 4 = 0 THEN 'ocr' ELSE 'text' END"),
+        "page_start": F.expr("chunk_no div 2 + 1"), "page_end": F.expr("(chunk_no + 1) div 2 + 1"),
+        "embedding": F.expr("array(cast(tokens as float), cast(chunk_no as float))"),
+    })
+    records = op.chunk_rows(read)
+    # Arrays are compared as their elements.
+    return records.select(
+        *[c for c in records.columns if c not in ("embedding", "confidence")], F.col("confidence").cast("double").alias("confidence"),
+        *[F.col("embedding")[i].cast("double").alias(f"embedding_{i}") for i in (0, 1)],
+    )
 
 
 @query

@@ -74,8 +74,9 @@ def read_preamble_tsv(
 ) -> DataFrame:
     """Tab-separated replies with ``skip`` lines before the header, one reply per file, all columns text.
 
-    Work is parallel over files; a reply is what one request returned, so each fits a task. A header
-    other than ``columns`` fails the job. ``names`` renames the columns in the same order.
+    Work is parallel over files; a reply is what one request returned, so each fits a task. Cells may be
+    quoted, with quotes doubled inside. A header other than ``columns`` fails the job, and so does a row
+    with more cells than the header; missing cells are null. ``names`` renames the columns in the same order.
     """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
@@ -87,13 +88,18 @@ def read_preamble_tsv(
         F.raise_error(F.concat(F.lit("unexpected header in "), F.col("source_path"))).cast("array<string>")
     )
     rows = unnest(lines, ["source_path"], checked, "line", "line_no").filter(F.col("line") != "")
-    fields = F.split("line", sep)
+    # One field more than the header has takes what is too much.
+    fields = ", ".join(f"_{i} string" for i in range(len(columns) + 1))
+    cells = F.from_csv("line", F.lit(fields), {"sep": sep, "quote": '"', "escape": '"', "maxCharsPerColumn": "-1"})
+    parsed = rows.select("source_path", "line_no", cells.alias("_c"))
 
     def field(i: int) -> Column:
-        v = F.get(fields, F.lit(i))
+        v = F.col(f"_c._{i}")
         return F.when(~v.isin(MISSING), v)
 
-    return rows.select("source_path", "line_no", *[field(i).alias(n) for i, n in enumerate(names or columns)])
+    too_many = F.raise_error(F.concat(F.lit("more cells than columns in "), F.col("source_path"), F.lit(", row "), F.col("line_no").cast("string")))
+    fits = F.when(F.col(f"_c._{len(columns)}").isNull(), True).otherwise(too_many.cast("boolean"))
+    return parsed.filter(fits).select("source_path", "line_no", *[field(i).alias(n) for i, n in enumerate(names or columns)])
 
 
 def select_ragged(df: DataFrame, columns: list[str]) -> DataFrame:

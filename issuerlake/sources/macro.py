@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from issuerlake.functions.clean import br_number, date_strict, map_labels, numeric_lenient, pick_filled
+from issuerlake.functions.clean import date_strict, feed_number, map_labels, pick_filled
 from issuerlake.operators.common import unnest
 from issuerlake.schemas import MACRO_GOLD, MACRO_ITEM, MACRO_TYPES
 
@@ -22,11 +22,6 @@ def parse_macro(df: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
-def feed_number(c):
-    """JSON numbers carry a decimal point, text values the Brazilian format."""
-    return F.when(F.contains(c, F.lit(",")), br_number(c)).otherwise(numeric_lenient(c))
-
-
 def macro_gold(items: DataFrame, strict: bool = True) -> DataFrame:
     """Gold quotes: mapped type, the larger of value and rate compared as numbers, ISO date."""
     from issuerlake.operators.checks import conform_schema

@@ -1,4 +1,4 @@
-"""Rows and stamps out of HTML, payloads out of XML, by JVM regular expressions."""
+"""Rows and stamps out of HTML, payloads out of XML: by parsers where markup nests, else by regular expressions."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from issuerlake.functions.clean import strip
 from issuerlake.operators.common import unnest
 from issuerlake.schemas import LISTING_TABLE_CLASS
+from issuerlake.sources.parsers import embedded_files, listing_rows, parse_column, without_payloads
 
 # Entities that occur in the listings.
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
@@ -27,23 +28,14 @@ def extract_rows(
     """Listing rows: code from the link in the second cell, issuer in the third, status in the fifth.
 
     Only tables of ``table_class`` and rows with at least ``min_cells`` cells count; rows without a
-    code are dropped.
+    code are dropped. Quoted or not, nested or not, with any character references.
     """
     keep = [c for c in pages.columns if c != html]
-    table = rf"""(?is)<table[^>]*class=["'][^"']*\b{table_class}\b[^"']*["'][^>]*>(.*?)</table>"""
-    tables = unnest(pages, keep, F.regexp_extract_all(html, F.lit(table), F.lit(1)), "_table")
-    rows = unnest(tables, keep, F.regexp_extract_all("_table", F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1)), "_row")
-    cells = rows.select(*keep, F.regexp_extract_all("_row", F.lit(r"(?is)<td[^>]*>(.*?)</td>"), F.lit(1)).alias("_td"))
-    return (
-        cells.filter(F.size("_td") >= min_cells)
-        .select(
-            *keep,
-            inner_text(F.regexp_extract(F.col("_td")[1], r"(?is)<a\b[^>]*>(.*?)</a>", 1)).alias("asset_code"),
-            inner_text(F.col("_td")[2]).alias("issuer"),
-            inner_text(F.col("_td")[4]).alias("situation"),
-        )
-        .filter(F.col("asset_code") != "")
-    )
+    fields = "_rows array<struct<asset_code: string, issuer: string, situation: string>>"
+    parsed = parse_column(pages, html, fields, lambda page: [listing_rows(page, table_class, min_cells)])
+    return unnest(parsed, keep, F.col("_rows"), "_r").select(
+        *keep, *[strip(F.col(f"_r.{c}")).alias(c) for c in ("asset_code", "issuer", "situation")]
+    ).filter(F.col("asset_code") != "")
 
 
 def extract_links(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -96,32 +88,22 @@ def extract_stamp(pages: DataFrame, html: str = "html", zone: str = "America/Sao
 
 
 def extract_payloads(docs: DataFrame, xml: str = "xml") -> DataFrame:
-    """Embedded PDFs: enclosing tag, stated file name, bytes, hash and size; broken base64 gives null bytes.
+    """Embedded PDFs: parent tag, file name stated in the same parent, bytes, hash and size.
 
-    The tag is the nearest element around the name/payload pair; ``ordinal`` tells repeated tags apart.
+    Every payload element with text counts, wherever it stands; without a name beside it the name is
+    null, and broken base64 gives null bytes. ``ordinal`` numbers the files of a document.
     """
     keep = [c for c in docs.columns if c != xml]
-    pair = (
-        r"(?s)<[^<>/!?]+>\s*<NomeArquivoPdf>[^<]*</NomeArquivoPdf>\s*"
-        r"<ImagemObjetoArquivoPdf>[^<]+</ImagemObjetoArquivoPdf>"
-    )
-    content = F.try_to_binary(strip(F.regexp_extract("_pair", r"<ImagemObjetoArquivoPdf>([^<]*)<", 1)), F.lit("base64"))
+    fields = "_files array<struct<tag: string, file_name: string, text: string>>"
+    parsed = parse_column(docs, xml, fields, lambda text: [embedded_files(text)])
     return (
-        unnest(docs, keep, F.regexp_extract_all(xml, F.lit(pair), F.lit(0)), "_pair", "ordinal")
-        .select(
-            *keep,
-            "ordinal",
-            F.regexp_extract("_pair", r"^<([^\s<>]+)", 1).alias("tag"),
-            F.regexp_extract("_pair", r"<NomeArquivoPdf>([^<]*)<", 1).alias("file_name"),
-            content.alias("content"),
-        )
+        unnest(parsed, keep, F.col("_files"), "_f", "ordinal")
+        .select(*keep, "ordinal", "_f.tag", "_f.file_name", F.try_to_binary(strip(F.col("_f.text")), F.lit("base64")).alias("content"))
         .withColumns({"file_hash": F.sha2("content", 256), "n_bytes": F.octet_length("content")})
     )
 
 
 def strip_payloads(docs: DataFrame, xml: str = "xml") -> DataFrame:
-    """The same XML with every payload text blanked."""
-    return docs.withColumn(
-        xml,
-        F.regexp_replace(xml, r"(<ImagemObjetoArquivoPdf>)[^<]*(</ImagemObjetoArquivoPdf>)", "$1$2"),
-    )
+    """The same XML with the text of every extracted payload blanked, and nothing else."""
+    blanked = parse_column(docs, xml, "_blanked string", lambda text: [without_payloads(text)])
+    return blanked.select(*[F.col("_blanked").alias(c) if c == xml else F.col(c) for c in docs.columns])

@@ -7,14 +7,14 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from issuerlake.plans.queries import REGISTRY
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 
 
 def plan(spark, name):
-    df = entry.queries()[name](spark, SF)
+    df = REGISTRY[name](spark, SF)
     return df._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
 
 
@@ -23,7 +23,7 @@ def shuffles(text):
 
 
 LAZY = sorted(
-    n for n in entry.queries()
+    n for n in REGISTRY
     if not n.startswith("stream_") and n not in ("scan_statements", "scan_preamble_tsv", "write_gold", "export_sheets")
 )
 
