@@ -40,20 +40,14 @@ def matrix(vectors: pa.Array | pd.Series) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
-def term_counts(lists: pa.Array, vocabulary: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(row numbers, word counts, counts per vocabulary term) of a list column, in blocks of limited size."""
+def term_entries(lists: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, vocabulary number, count) of the words of a list column that are in the vocabulary, in this order."""
     lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     slots = pc.index_in(lists.flatten(), value_set=vocabulary)
-    found = slots.is_valid().to_numpy(zero_copy_only=False)
-    rows = np.repeat(np.arange(len(lengths)), lengths)[found]
-    cols = slots.drop_null().to_numpy().astype(np.int64)
+    rows = np.repeat(np.arange(len(lengths)), lengths)[slots.is_valid().to_numpy(zero_copy_only=False)]
     width = max(1, len(vocabulary))
-    step = max(1, BLOCK_VALUES // width)
-    for i in range(0, len(lengths), step):
-        n = min(step, len(lengths) - i)
-        lo, hi = np.searchsorted(rows, [i, i + n])
-        counts = np.bincount((rows[lo:hi] - i) * width + cols[lo:hi], minlength=n * width).reshape(n, width)
-        yield np.arange(i, i + n), lengths[i : i + n], counts
+    found, counts = np.unique(rows * width + slots.drop_null().to_numpy().astype(np.int64), return_counts=True)
+    return found // width, found % width, counts
 
 
 class Best:
@@ -69,29 +63,22 @@ class Best:
         self.floor = np.full(len(query_ids), -np.inf)
         self.pending: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-    def update(self, weights: np.ndarray, doc_ids: np.ndarray, docs: np.ndarray, matches_only: bool = False) -> None:
-        """Score documents (one row each) against all queries, a limited block of scores at a time.
-
-        With ``matches_only`` a score of 0 means that the pair has nothing in common and is no hit.
-        """
-        n = len(docs)
-        step = max(1, BLOCK_VALUES // max(1, n))
-        for i in range(0, len(weights), step):
-            scores = weights[i : i + step] @ docs.T
-            common = scores > 0
-            scores = np.round(scores, SCORE_DIGITS) + 0.0
-            if matches_only:
-                scores[~common] = -np.inf
-            floor = self.floor[i : i + step]
-            if n > self.k:
-                floor = np.maximum(floor, np.partition(scores, n - self.k, axis=1)[:, n - self.k])
-            rows, cols = np.nonzero((scores >= floor[:, None]) & np.isfinite(scores))
-            self.pending.append((rows + i, doc_ids[cols], scores[rows, cols]))
-            if sum(len(p[0]) for p in self.pending) > BLOCK_VALUES:
-                self.merge()
-        self.merge()
+    def update(self, scores: np.ndarray, doc_ids: np.ndarray, hits: np.ndarray | None = None) -> None:
+        """Take in scores, one row per query and one column per document; ``hits`` tells which of them count."""
+        scores = np.round(scores, SCORE_DIGITS) + 0.0
+        if hits is not None:
+            scores[~hits] = -np.inf
+        n, floor = scores.shape[1], self.floor
+        if n > self.k:
+            floor = np.maximum(floor, np.partition(scores, n - self.k, axis=1)[:, n - self.k])
+        rows, cols = np.nonzero((scores >= floor[:, None]) & np.isfinite(scores))
+        self.pending.append((rows, doc_ids[cols], scores[rows, cols]))
+        if sum(len(p[0]) for p in self.pending) > BLOCK_VALUES:
+            self.merge()
 
     def merge(self) -> None:
+        if not self.pending:
+            return
         rows, ids, scores = (np.concatenate(p) for p in zip((self.rows, self.ids, self.scores), *self.pending))
         self.pending = []
         order = np.lexsort((ids, -scores, rows))
@@ -104,9 +91,11 @@ class Best:
         self.floor[full] = self.scores[place[keep] == self.k - 1]
 
     def frame(self) -> pd.DataFrame:
+        self.merge()
         return pd.DataFrame({"query_id": self.query_ids[self.rows], "doc_id": self.ids, "score": self.scores})
 
     def batch(self) -> pa.RecordBatch:
+        self.merge()
         return pa.RecordBatch.from_pandas(self.frame(), schema=HIT_ARROW, preserve_index=False)
 
 
@@ -116,54 +105,66 @@ def vector_scorer(shared, k: int):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, units = shared.value
         best = Best(ids, k)
+        step = max(1, BLOCK_VALUES // max(1, len(ids)))
         for batch in batches:
-            if len(batch) and len(ids):
-                best.update(units, batch.column("doc_id").to_numpy(), unit_rows(matrix(batch.column("vector"))))
+            docs, doc_ids = unit_rows(matrix(batch.column("vector"))), batch.column("doc_id").to_numpy()
+            for i in range(0, len(doc_ids), step):
+                best.update(units @ docs[i : i + step].T, doc_ids[i : i + step])
         yield best.batch()
 
     return score
 
 
-def cell_scorer(k: int):
-    """Cogroup function over one cell of queries and one of documents."""
-
-    def score(queries: pd.DataFrame, docs: pd.DataFrame) -> pd.DataFrame:
-        best = Best(queries["query_id"].to_numpy(np.int64), k)
-        if len(queries) and len(docs):
-            best.update(unit_rows(matrix(queries["vector"])), docs["doc_id"].to_numpy(), unit_rows(matrix(docs["vector"])))
-        return best.frame()
-
-    return score
-
-
 def term_counter(vocabulary):
-    """Task function counting documents per term: slot -1 holds all documents, slot -2 all words."""
+    """Task function counting documents per vocabulary term."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, n_docs, n_words = np.zeros(len(vocabulary.value), dtype=np.int64), 0, 0
+        seen = np.zeros(len(vocabulary.value), dtype=np.int64)
         for batch in batches:
-            for _, lengths, counts in term_counts(batch.column("terms"), vocabulary.value):
-                seen += (counts > 0).sum(axis=0)
-                n_docs, n_words = n_docs + len(lengths), n_words + int(lengths.sum())
-        slots = np.concatenate([[-1, -2], np.arange(len(seen))])
-        counts = np.concatenate([[n_docs, n_words], seen])
-        yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(counts)], ["slot", "n"])
+            seen += np.bincount(term_entries(batch.column("terms"), vocabulary.value)[1], minlength=len(seen))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(seen))), pa.array(seen)], ["slot", "n"])
 
     return count
 
 
-def keyword_scorer(shared, vocabulary, k: int, k1: float, b: float, mean: float):
-    """Task function over (doc_id, terms) batches; ``shared`` broadcasts (query ids, weight per query and term)."""
+def row_blocks(costs: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Consecutive rows whose costs add up to ``limit`` at most; a dearer row stands alone."""
+    start, total = 0, 0
+    for i, c in enumerate(costs.tolist()):
+        if i > start and total + c > limit:
+            yield start, i
+            start, total = i, 0
+        total += c
+    if start < len(costs):
+        yield start, len(costs)
+
+
+def keyword_scorer(shared, k: int, k1: float, b: float, mean: float):
+    """Task function over (doc_id, len, terms) batches.
+
+    ``shared`` broadcasts (query ids, vocabulary, and per term the places in two arrays of query numbers and
+    weights). Only (document, term) pairs that occur are scored; terms are added in the order of the vocabulary.
+    """
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, weights = shared.value
+        ids, vocabulary, starts, queries, weights = shared.value
         best = Best(ids, k)
+        fan = np.diff(starts)
         for batch in batches:
-            doc_ids = batch.column("doc_id").to_numpy()
-            for at, lengths, tf in term_counts(batch.column("terms"), vocabulary.value):
-                if len(ids):
-                    saturated = tf * (k1 + 1) / (tf + k1 * (1 - b + b * lengths / mean)[:, None])
-                    best.update(weights, doc_ids[at], saturated, matches_only=True)
+            rows, slots, tf = term_entries(batch.column("terms"), vocabulary)
+            hit, rows = np.unique(rows, return_inverse=True)
+            doc_ids = batch.column("doc_id").to_numpy()[hit]
+            length = batch.column("len").to_numpy()[hit][rows]
+            saturated = tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / mean))
+            costs = np.bincount(rows, fan[slots], len(hit)) + len(ids) if len(hit) else np.empty(0)
+            for lo, hi in row_blocks(costs, BLOCK_VALUES):
+                e = slice(*np.searchsorted(rows, [lo, hi]))
+                n = fan[slots[e]]
+                at = np.arange(n.sum()) + np.repeat(starts[slots[e]] - (np.cumsum(n) - n), n)
+                cell = queries[at] * (hi - lo) + np.repeat(rows[e] - lo, n)
+                size = len(ids) * (hi - lo)
+                total = np.bincount(cell, weights[at] * np.repeat(saturated[e], n), size).reshape(len(ids), -1)
+                best.update(total, doc_ids[lo:hi], np.bincount(cell, minlength=size).reshape(len(ids), -1) > 0)
         yield best.batch()
 
     return score

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,9 +50,34 @@ def quality_report(df: DataFrame, rules: dict[str, Column], keys: list[str] | No
     return counts.select(*keys, "n_rows", F.expr(f"stack({len(rules)}, {named}) AS (check_name, n_violations)"))
 
 
-def reply_not_found(df: DataFrame, key: str) -> DataFrame:
-    """Replies of at most one row: the source answers so when it does not know the issuer."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") <= 1)
+def reply_not_found(df: DataFrame, key: str, required: list[str]) -> DataFrame:
+    """Replies without a row that has all required cells: (key, n_rows).
+
+    The source answers with one row of remarks where it does not know the issuer; a single event is told
+    from that by its content.
+    """
+    filled = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required])
+    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(filled).alias("_n"))
+    return counted.filter(F.col("_n") == 0).select(key, "n_rows")
+
+
+def reply_checks(replies: DataFrame, columns: list[str], skip: int, required: list[int], body: str = "body", sep: str = "\t") -> DataFrame:
+    """Per reply: whether its header differs from ``columns``, its rows, and whether none has the required cells filled.
+
+    Cells are named by place, and only looked at as far as that: no row leaves the reply.
+    """
+    keep = [c for c in replies.columns if c != body]
+    lines = replies.select(*keep, F.split(F.coalesce(body, F.lit("")), r"\r?\n").alias("_l"))
+    rows = F.filter(F.slice("_l", skip + 2, F.greatest(F.size("_l"), F.lit(1))), lambda x: x != "")
+
+    def filled(row: Column) -> Column:
+        cells = F.split(row, sep)
+        return reduce(lambda a, b: a & b, [F.coalesce(F.get(cells, F.lit(i)), F.lit("")) != "" for i in required])
+
+    header = F.coalesce(F.get("_l", F.lit(skip)), F.lit(""))
+    return lines.select(*keep, (header != sep.join(columns)).alias("header_differs"), rows.alias("_r")).select(
+        *keep, "header_differs", F.size("_r").alias("n_rows"), (~F.exists("_r", filled)).alias("not_found")
+    )
 
 
 def schema_differences(actual: T.StructType, expected: list[str]) -> list[str]:

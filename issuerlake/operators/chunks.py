@@ -14,12 +14,15 @@ PIECE_SPLIT = {"line": r"\n", "sentence": r"(?<=[.!?])\s+", "paragraph": r"\n(?:
 PIECE_JOIN = {"line": "\n", "sentence": " ", "paragraph": "\n\n"}
 
 
-def chunk_naive(docs: DataFrame, limit: int = CHUNK_TOKENS, unit: str = "line", text: str = "text") -> DataFrame:
+def chunk_naive(
+    docs: DataFrame, limit: int = CHUNK_TOKENS, unit: str = "line", text: str = "text", count: str | None = None
+) -> DataFrame:
     """Pieces packed in order into chunks of at most ``limit`` words; a longer piece stands alone.
 
     Packing is sequential within a document, so it is a fold over the document's pieces inside its
     row: no shuffle, parallel over documents. The fold carries only the first piece of each chunk,
     and pieces without words belong to the chunk they follow. Documents without words give no chunk.
+    ``count`` names a column for the number of chunks of the document.
     """
     keep = [c for c in docs.columns if c != text]
     pieces = F.split(F.coalesce(F.col(text), F.lit("")), PIECE_SPLIT[unit])
@@ -49,6 +52,9 @@ def chunk_naive(docs: DataFrame, limit: int = CHUNK_TOKENS, unit: str = "line",
 
     # Chunks are finished inside the document's row; nothing of the document's size is copied to them.
     made = packed.select(*keep, F.transform("_starts", chunk).alias("_chunks"))
+    if count:
+        keep = [*keep, count]
+        made = made.withColumn(count, F.size("_chunks"))
     return unnest(made, keep, F.col("_chunks"), "_c", "chunk_no").select(*keep, "chunk_no", "_c.text", "_c.tokens")
 
 

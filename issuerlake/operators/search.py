@@ -2,65 +2,57 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+from itertools import islice
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from issuerlake.functions.clean import collapse_ws, tokens
-from issuerlake.operators.blocks import (
-    HITS, SCORE_DIGITS, cell_scorer, keyword_scorer, matrix, term_counter, unit_rows, vector_scorer,
-)
-from issuerlake.operators.common import top_per_group, unnest
+from issuerlake.operators.blocks import HITS, SCORE_DIGITS, keyword_scorer, matrix, term_counter, unit_rows, vector_scorer
+from issuerlake.operators.common import first_per_group, top_per_group, unnest
 from issuerlake.schemas import (
     EXACT_MATCH_BOOST, KEYWORD_WEIGHT, RERANK_TOP_K, RETRIEVAL_TOP_K, SIMILARITY_THRESHOLD, SYNONYMS, VECTOR_WEIGHT,
 )
 
 K1, B = 1.2, 0.75
-# Query vectors sent to every task: at most this many values (64 MiB of doubles).
-BROADCAST_VALUES = 8_000_000
-# Document ids broadcast to pick texts: at most this many.
-BROADCAST_ROWS = 2_000_000
-# Larger query sets meet the corpus in cells of about this many rows on either side.
-CELL_ROWS = 4096
+# Queries, and distinct terms of queries, that a pass over the corpus serves. Results do not depend on them.
+BLOCK_QUERIES, BLOCK_TERMS = 4_096, 5_000
+
+
+def _union(parts: list[DataFrame], empty: DataFrame) -> DataFrame:
+    return reduce(DataFrame.unionAll, parts) if parts else empty.sparkSession.createDataFrame([], HITS)
 
 
 def knn_cosine(
     queries: DataFrame, corpus: DataFrame, k: int = RETRIEVAL_TOP_K, filters: dict[str, str] | None = None,
-    broadcast_values: int = BROADCAST_VALUES, cell_rows: int = CELL_ROWS,
+    block_queries: int = BLOCK_QUERIES,
 ) -> DataFrame:
     """Exact top-k by cosine per query: (query_id, doc_id, score, rank).
 
     ``queries`` is (query_id bigint, vector), ``corpus`` is (doc_id bigint, vector, ...); ``filters``
-    are equality filters on corpus columns, applied at the scan. Every score is computed, as a matrix
-    product on Arrow batches, but a task only emits its k best of each query, and the group limit of
-    the final ranking cuts again before the shuffle.
+    are equality filters on corpus columns, applied at the scan. Every row of the corpus is a hit of its
+    own, also where its doc_id repeats. Vectors that are null or hold null, NaN or infinite elements are
+    left out on both sides; a zero vector scores 0.
 
-    Query sets below ``broadcast_values`` numbers go to every task. Larger ones are not collected:
-    both sides are cut into cells and each pair of cells is one task's work.
+    Queries are streamed in blocks of limited size, and every block meets the whole corpus where it lies: a
+    task computes all scores as matrix products and emits its k best of each query.
     """
     for c, v in (filters or {}).items():
         corpus = corpus.filter(F.col(c) == v)
-    docs = corpus.select(F.col("doc_id").cast("bigint"), "vector").filter(F.col("vector").isNotNull())
-    wanted = queries.select(F.col("query_id").cast("bigint"), "vector").filter(F.col("vector").isNotNull())
-    # The look at the query side is bounded: one value sum, then a limited fetch.
-    n_rows, n_values = wanted.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("vector")), F.lit(0))).first()
-    if n_rows + n_values <= broadcast_values:
-        local = wanted.toPandas()
-        units = unit_rows(matrix(local["vector"]))
-        shared = docs.sparkSession.sparkContext.broadcast((local["query_id"].to_numpy(dtype=np.int64), units))
-        partial = docs.mapInArrow(vector_scorer(shared, k), HITS)
-    else:
-        n_docs = docs.count()
-        q_cells, d_cells = (int(np.ceil(n / cell_rows)) for n in (n_rows, max(n_docs, 1)))
-        left = wanted.withColumn("_qc", F.pmod(F.xxhash64("query_id"), F.lit(q_cells))).withColumn(
-            "_dc", F.explode(F.sequence(F.lit(0), F.lit(d_cells - 1)))
-        )
-        right = docs.withColumn("_dc", F.pmod(F.xxhash64("doc_id"), F.lit(d_cells)).cast("int")).withColumn(
-            "_qc", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(q_cells - 1).cast("bigint")))
-        )
-        partial = left.groupBy("_qc", "_dc").cogroup(right.groupBy("_qc", "_dc")).applyInPandas(cell_scorer(k), HITS)
-    return top_per_group(partial, ["query_id"], [F.desc("score"), F.asc("doc_id")], k)
+    finite = F.forall("vector", lambda x: x.isNotNull() & (F.abs(x.cast("double")) < F.lit(float("inf"))))
+    docs = corpus.select(F.col("doc_id").cast("bigint"), "vector").filter(F.col("vector").isNotNull() & finite)
+    wanted = queries.select(F.col("query_id").cast("bigint"), "vector").filter(F.col("vector").isNotNull() & finite)
+    rows = wanted.toLocalIterator()
+    partial = []
+    while block := list(islice(rows, block_queries)):
+        units = unit_rows(matrix(pa.array([r["vector"] for r in block])))
+        shared = docs.sparkSession.sparkContext.broadcast((np.array([r["query_id"] for r in block], dtype=np.int64), units))
+        partial.append(docs.mapInArrow(vector_scorer(shared, k), HITS))
+    return top_per_group(_union(partial, docs), ["query_id"], [F.desc("score"), F.asc("doc_id")], k)
 
 
 def query_terms(queries: DataFrame, text: str = "q") -> DataFrame:
@@ -68,97 +60,84 @@ def query_terms(queries: DataFrame, text: str = "q") -> DataFrame:
     return unnest(queries, ["query_id"], F.array_distinct(tokens(F.col(text))), "term").drop("_pos")
 
 
+def _term_blocks(terms: DataFrame, queries: int, size: int) -> Iterator[list[tuple[int, list[str]]]]:
+    """(query, its terms) in blocks of limited size; a longer query stands alone."""
+    grouped = terms.groupBy("query_id").agg(F.array_sort(F.collect_set("term")).alias("terms"))
+    block, seen = [], set()
+    for q, ts in grouped.orderBy("query_id").toLocalIterator():
+        if block and (len(block) == queries or len(seen.union(ts)) > size):
+            yield block
+            block, seen = [], set()
+        block.append((q, ts))
+        seen.update(ts)
+    if block:
+        yield block
+
+
 def bm25_topk(
     queries: DataFrame, corpus: DataFrame, k: int = RETRIEVAL_TOP_K, filters: dict[str, str] | None = None,
-    broadcast_values: int = BROADCAST_VALUES,
+    block_queries: int = BLOCK_QUERIES, block_terms: int = BLOCK_TERMS,
 ) -> DataFrame:
     """Top-k by BM25 per query: (query_id, doc_id, score, rank); documents without a query term are no hits.
 
     ``queries`` is (query_id, term) from ``query_terms`` or ``expand_query``, ``corpus`` is
     (doc_id bigint, text, ...). Document count and mean length are over the filtered corpus, empty
-    documents included.
+    documents included. Every row is a document and a hit of its own, also where its doc_id repeats.
 
-    A document is one row, so with the query terms in every task nothing of the corpus is shuffled:
-    one pass counts document frequencies, a second scores and keeps each task's k best. That needs
-    queries times terms to stay below ``broadcast_values``; larger sets go through term joins.
+    Queries are streamed in blocks of limited size. A block's terms are all that leaves the scan of a
+    document; one pass counts document frequencies, a second scores the terms that occur and keeps each
+    task's k best. Nothing of the corpus is shuffled. Statistics are those of the corpus when called.
     """
     for c, v in (filters or {}).items():
         corpus = corpus.filter(F.col(c) == v)
     docs = corpus.select(F.col("doc_id").cast("bigint"), tokens(F.coalesce(F.col("text"), F.lit(""))).alias("terms"))
-    terms = queries.select(F.col("query_id").cast("bigint"), "term").distinct()
-    n_queries, n_terms = terms.agg(F.count_distinct("query_id"), F.count_distinct("term")).first()
-    scored = _bm25_blocks(terms, docs, k) if n_queries * n_terms <= broadcast_values else _bm25_joins(terms, docs)
-    return top_per_group(scored, ["query_id"], [F.desc("score"), F.asc("doc_id")], k)
-
-
-def _bm25_blocks(terms: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    n_docs, mean = docs.agg(F.count(F.lit(1)), F.avg(F.size("terms"))).first()
     context = docs.sparkSession.sparkContext
-    pairs = terms.toPandas()
-    query_ids, rows = np.unique(pairs["query_id"].to_numpy(dtype=np.int64), return_inverse=True)
-    words, cols = np.unique(pairs["term"].to_numpy(dtype=object), return_inverse=True)
-    vocabulary = context.broadcast(pa.array(words, pa.string()))
-
-    # As many rows as there are query terms.
-    counted = docs.select("terms").mapInArrow(term_counter(vocabulary), "slot bigint, n bigint")
-    totals = {r["slot"]: r["n"] for r in counted.groupBy("slot").agg(F.sum("n").alias("n")).collect()}
-    n_docs, n_words = totals.get(-1, 0), totals.get(-2, 0)
-    df = np.array([totals.get(i, 0) for i in range(len(words))], dtype=np.float64)
-    weights = np.zeros((len(query_ids), len(words)))
-    weights[rows, cols] = np.log1p((n_docs - df + 0.5) / (df + 0.5))[cols]
-    mean = n_words / n_docs if n_words else 1.0
-    return docs.mapInArrow(keyword_scorer(context.broadcast((query_ids, weights)), vocabulary, k, K1, B, mean), HITS)
-
-
-def _bm25_joins(terms: DataFrame, docs: DataFrame) -> DataFrame:
-    """Scores of all matching pairs by joins on terms.
-
-    Only words some query asks for leave the scan; they are counted per document before the first
-    shuffle, and the same exchange serves document frequencies and scores.
-    """
-    docs = docs.withColumn("_len", F.size("terms"))
-    vocabulary = terms.select("term").distinct()
-    postings = (
-        unnest(docs, ["doc_id", "_len"], F.col("terms"), "term")
-        .join(vocabulary, "term", "left_semi")
-        .groupBy("doc_id", "_len", "term")
-        .agg(F.count(F.lit(1)).alias("_tf"))
-    )
-    totals = docs.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("_len").alias("avg"))).scalar()
-    # Summing _tf as well keeps this branch's exchange identical to the scoring branch's, so Spark reuses it.
-    frequency = postings.groupBy("term").agg(F.count(F.lit(1)).alias("_df"), F.sum("_tf").alias("_cf"))
-    idf = F.log(1 + (F.col("_totals.n") - F.col("_df") + 0.5) / (F.col("_df") + 0.5))
-    weights = (
-        terms.join(frequency.filter(F.col("_cf") > 0), "term").withColumn("_totals", totals)
-        .select("query_id", "term", idf.alias("_idf"), F.col("_totals.avg").alias("_avg"))
-    )
-    tf = F.col("_tf")
-    part = F.col("_idf") * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("_len") / F.col("_avg")))
-    return (
-        postings.join(weights, "term")
-        .groupBy("query_id", "doc_id")
-        .agg(F.round(F.sum(part), SCORE_DIGITS).alias("score"))
-    )
+    partial = []
+    for block in _term_blocks(queries.select(F.col("query_id").cast("bigint"), "term").distinct(), block_queries, block_terms):
+        words = sorted({t for _, ts in block for t in ts})
+        place = {w: i for i, w in enumerate(words)}
+        known = docs.select("doc_id", F.size("terms").alias("len"), F.filter("terms", lambda t: t.isin(words)).alias("terms"))
+        vocabulary = context.broadcast(pa.array(words, pa.string()))
+        counted = known.select("terms").mapInArrow(term_counter(vocabulary), "slot bigint, n bigint")
+        df = np.zeros(len(words))
+        for r in counted.groupBy("slot").agg(F.sum("n").alias("n")).collect():  # one row per term of the block
+            df[r["slot"]] = r["n"]
+        idf = np.log1p((n_docs - df + 0.5) / (df + 0.5))
+        pairs = np.array([(place[t], i) for i, (_, ts) in enumerate(block) for t in ts], dtype=np.int64).reshape(-1, 2)
+        pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
+        starts = np.searchsorted(pairs[:, 0], np.arange(len(words) + 1))
+        ids = np.array([q for q, _ in block], dtype=np.int64)
+        shared = context.broadcast((ids, pa.array(words, pa.string()), starts, pairs[:, 1], idf[pairs[:, 0]]))
+        partial.append(known.mapInArrow(keyword_scorer(shared, k, K1, B, mean or 1.0), HITS))
+    return top_per_group(_union(partial, docs), ["query_id"], [F.desc("score"), F.asc("doc_id")], k)
+
+
+def _per_document(hits: DataFrame) -> DataFrame:
+    """Of the hits of a query on rows with one doc_id, the best."""
+    return first_per_group(hits, ["query_id", "doc_id"], [F.asc("rank")])
 
 
 def _fuse(
     queries: DataFrame, vectors: DataFrame, texts: DataFrame, retrieval_k: int, filters: dict[str, str] | None = None
 ) -> DataFrame:
-    """Candidates of both rankings with cosine and normalized, phrase-boosted keyword score."""
-    keyword_hits = bm25_topk(query_terms(queries), texts, retrieval_k, filters)
-    # The hits are already grouped by query and at most k each, so this window costs no shuffle.
+    """Candidates of both rankings with cosine and normalized, phrase-boosted keyword score.
+
+    A doc_id that repeats is one candidate with its best row in each ranking, and boosted if any of its rows holds the phrase.
+    """
+    keyword_hits = _per_document(bm25_topk(query_terms(queries), texts, retrieval_k, filters))
+    # At most k hits per query.
     best = F.max("score").over(Window.partitionBy("query_id"))
     keyword = keyword_hits.select(
         "query_id", "doc_id", (F.col("score") / best).alias("keyword"), F.col("rank").alias("keyword_rank")
     )
-    vector = knn_cosine(queries, vectors, retrieval_k, filters).select(
+    vector = _per_document(knn_cosine(queries, vectors, retrieval_k, filters)).select(
         "query_id", "doc_id", F.col("score").alias("cosine"), F.col("rank").alias("vector_rank")
     )
     candidates = vector.join(keyword, ["query_id", "doc_id"], "full_outer")
     # Only texts of keyword hits can be boosted: at most k per query, so their ids filter the texts
     # before anything of the corpus moves.
     ids = keyword_hits.select("doc_id").distinct()
-    if queries.count() * retrieval_k <= BROADCAST_ROWS:
-        ids = F.broadcast(ids)
     hit_texts = texts.select("doc_id", "text").join(ids, "doc_id", "left_semi")
     phrase = F.nullif(collapse_ws(F.lower("q")), F.lit(""))
     boosted = (
@@ -167,6 +146,7 @@ def _fuse(
         .join(queries.select("query_id", phrase.alias("_phrase")), "query_id")
         .filter(F.contains(collapse_ws(F.lower("text")), F.col("_phrase")))
         .select("query_id", "doc_id", F.lit(EXACT_MATCH_BOOST).alias("_boost"))
+        .distinct()
     )
     zero, one = F.lit(0.0), F.lit(1.0)
     return candidates.join(boosted, ["query_id", "doc_id"], "left").select(

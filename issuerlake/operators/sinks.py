@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def write_gold(df: DataFrame, path: str, partitions: list[str], order: list[str] | None = None) -> None:
@@ -26,6 +28,16 @@ def write_gold(df: DataFrame, path: str, partitions: list[str], order: list[str]
     )
 
 
+def table_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The parquet table at ``path``; before its first write, an empty one."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def export_sheets(df: DataFrame, path: str, sheet: str = "enr_aggregation_type") -> None:
     """Headed CSV for people, one directory per sheet value."""
     df.hint("rebalance", sheet).write.mode("overwrite").partitionBy(sheet).option("header", True).csv(path)

@@ -102,7 +102,11 @@ def account_sums(
 
 def financials_quarterly(enriched: DataFrame) -> DataFrame:
     """Quarterly metrics of every issuer, reference date and aggregation type."""
-    s = account_sums(enriched)
+    return financials_of_sums(account_sums(enriched))
+
+
+def financials_of_sums(s: DataFrame) -> DataFrame:
+    """Quarterly metrics of the account sums of a group; sums of parts can be added before."""
     total_debt = F.col("debt_short_term") + F.col("debt_long_term")
     derived = {
         "issuer_cnpj": F.col("CNPJ_CIA"),

@@ -32,25 +32,50 @@ def _serve(df: DataFrame, out: str, table: str, run: Run, keys: list[str], agg:
     op.serving_json(df, table, run, keys, agg).write.mode("overwrite").parquet(f"{out}/gold/cache/{table}")
 
 
+def _landed(spark: SparkSession, landing: str | list[str]) -> DataFrame:
+    """path of every file below ``landing``, by listing only."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(landing).select("path")
+
+
 def financial_statements(
     spark: SparkSession, landing: str | list[str], out: str, run: Run, schema: str = sc.STATEMENT_SCHEMA,
     issuers: DataFrame | None = None, as_of: int | None = None, years_back: int = 2,
 ) -> DataFrame:
-    """Quarterly and annual statement files -> enriched silver rows -> ``financials_quarterly``."""
+    """Quarterly and annual statement files -> enriched silver rows -> ``financials_quarterly``.
+
+    A run covers the files it reads, for the issuers it names or all. In silver, which keeps rows by source
+    file, it replaces what it covers and leaves the rest; gold is then rebuilt from all of silver for the
+    aggregation types and years that the files have rows of, before or after. Runs over subsets of
+    issuers or over new files only thus end where one run over everything does.
+    """
     rows = src.tag_origin_file(src.tag_files(src.with_path(src.read_delimited(spark, landing, schema))))
     if as_of is not None:
         rows = op.filter_years(rows, as_of, years_back, year="file_year", form="ORIGIN_FILE")
     if issuers is not None:
         rows = op.filter_issuer(rows, issuers)
     cleaned = op.parse_statement_dates(op.filter_last_exercise(rows))
-    enriched = op.split_by_aggregation(op.enrich(op.scale_amounts(cleaned), run)).drop("source_path")
+    enriched = op.split_by_aggregation(op.enrich(op.scale_amounts(cleaned), run))
+    enriched = enriched.withColumn("source_file", F.element_at(F.split("source_path", "/"), -1)).drop("source_path")
     silver = f"{out}/silver/enriched/statements"
-    op.write_gold(enriched, silver, ["enr_aggregation_type", "enr_year"])
+    stored = op.table_or_empty(spark, silver, enriched.schema)
+    # One name per file, and one pair per aggregation type and year.
+    files = [r[0] for r in _landed(spark, landing).select(F.element_at(F.split("path", "/"), -1)).distinct().collect()]
+    before = stored.filter(F.col("source_file").isin(files))
+    years = ["enr_aggregation_type", "enr_year"]
+    touched = {tuple(r) for r in before.select(*years).distinct().collect()}
+    merged = enriched
+    if issuers is not None:
+        merged = enriched.unionByName(before.join(issuers.select(F.col("issuer_cnpj").alias("CNPJ_CIA")), "CNPJ_CIA", "left_anti"))
+    op.write_gold(merged, silver, ["enr_aggregation_type", "source_file"])
     stored = spark.read.schema(enriched.schema).parquet(silver)
-    require(op.quality_report(stored, {"issuer_missing": F.col("CNPJ_CIA").isNull()}), ["issuer_missing"])
+    now = stored.filter(F.col("source_file").isin(files))
+    require(op.quality_report(now, {"issuer_missing": F.col("CNPJ_CIA").isNull()}), ["issuer_missing"])
+    touched |= {tuple(r) for r in now.select(*years).distinct().collect()}
 
     table = f"{out}/gold/serving/financials_quarterly"
-    op.write_gold(op.financials_quarterly(stored).withColumn("ref_year", F.col("year")), table, ["enr_aggregation_type", "ref_year"])
+    changed = spark.createDataFrame(sorted(touched), "enr_aggregation_type string, enr_year int")
+    rebuilt = op.financials_quarterly(stored.filter(F.col("enr_year").isin([y for _, y in touched])).join(changed, years, "left_semi"))
+    op.write_gold(rebuilt.withColumn("ref_year", F.col("year")), table, ["enr_aggregation_type", "ref_year"])
     gold = spark.read.parquet(table).select("enr_aggregation_type", *sc.FINANCIALS_COLUMNS)
     op.export_sheets(gold, f"{out}/gold/export/financials_quarterly")
     _serve(gold, out, "financials_quarterly", run, ["issuer_cnpj", "date"], "enr_aggregation_type")
@@ -68,16 +93,29 @@ def _publish(
     return gold
 
 
-def events_schedule(spark: SparkSession, replies: str, skip: int, out: str, run: Run, encoding: str = "ISO-8859-1") -> DataFrame:
-    """Event schedule replies -> ``debentures_financial_events_schedule`` in payment order."""
+def _known(spark: SparkSession, replies: str, raw: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows of replies that have content, and (source_path, n_rows) of the others, files without a row included."""
+    paths = _landed(spark, replies).withColumnRenamed("path", "source_path")
+    counted = raw.groupBy("source_path").agg(F.count(F.lit(1)).alias("n_rows"))
+    empty = paths.join(counted, "source_path", "left_anti").select("source_path", F.lit(0).cast("bigint").alias("n_rows"))
+    dropped = op.reply_not_found(raw, "source_path", required).unionByName(empty)
+    return raw.join(dropped.select("source_path"), "source_path", "left_anti"), dropped
+
+
+def events_schedule(
+    spark: SparkSession, replies: str, skip: int, out: str, run: Run, encoding: str = "ISO-8859-1"
+) -> tuple[DataFrame, DataFrame]:
+    """Event schedule replies -> ``debentures_financial_events_schedule`` in payment order, and the replies
+    without an event."""
     raw = src.read_preamble_tsv(
         spark, replies, skip, sc.EVENTS_SCHEDULE_SOURCE, encoding=encoding, names=sc.EVENTS_SCHEDULE_COLUMNS
     )
-    known = raw.join(op.reply_not_found(raw, "source_path").select("source_path"), "source_path", "left_anti")
-    return _publish(
+    known, dropped = _known(spark, replies, raw, ["event_date", "asset_code"])
+    gold = _publish(
         op.clean_events(known), out, "debentures_financial_events_schedule", run, ["asset_code", "event_date", "event"],
         op.SCHEDULE_ORDER,
     )
+    return gold, dropped
 
 
 def debenture_terms(
@@ -94,13 +132,14 @@ def debenture_terms(
 
 def traded_prices(
     spark: SparkSession, replies: str, skip: int, listing: DataFrame, out: str, run: Run, encoding: str = "ISO-8859-1"
-) -> tuple[DataFrame, DataFrame]:
-    """Price replies -> ``debentures_secondary_market_traded_prices``, and the listed assets without a price."""
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Price replies -> ``debentures_secondary_market_traded_prices``, the listed assets without a price, and the
+    replies without one."""
     raw = src.read_preamble_tsv(spark, replies, skip, sc.TRADED_PRICES_SOURCE, encoding=encoding, names=sc.TRADED_PRICES_COLUMNS)
-    known = raw.join(op.reply_not_found(raw, "source_path").select("source_path"), "source_path", "left_anti")
+    known, dropped = _known(spark, replies, raw, ["ref_date", "asset_code"])
     table = "debentures_secondary_market_traded_prices"
     gold = _publish(op.traded_prices(known.drop("source_path", "line_no")), out, table, run, ["asset_code", "ref_date"])
-    return gold, op.uncovered_assets(listing, gold)
+    return gold, op.uncovered_assets(listing, gold), dropped
 
 
 def macro_data(spark: SparkSession, bodies: str, out: str, run: Run) -> DataFrame:
@@ -136,7 +175,9 @@ def index_documents(
 
     ``docs`` is (object_path, text), ``stored`` the index table; the result is what to upsert.
     """
-    chunks = op.chunk_naive(docs, unit=unit)
-    made = chunks.select(F.col("object_path").alias("doc_id"))
-    complete = op.index_completeness(made, stored, force).filter("skip").select(F.col("doc_id").alias("object_path"))
-    return op.chunk_rows(chunks.join(complete, "object_path", "left_anti"), meta)
+    lineage = ["ingest_ts", "source", "file_hash", "trace_id", "document_type", "ref_date", "aggregation_type"]
+    kept = stored.groupBy(F.col("doc_id").alias("object_path")).agg(F.count(F.lit(1)).alias("_stored"))
+    about = meta.select("object_path", *lineage).join(kept, "object_path", "left")
+    # Documents meet what is known of them once, before they are chunked, and are chunked once.
+    chunks = op.chunk_naive(docs.select("object_path", "text").join(about, "object_path", "left"), unit=unit, count="_n")
+    return op.chunk_rows(chunks.filter(F.lit(force) | F.col("_stored").isNull() | (F.col("_n") != F.col("_stored"))))

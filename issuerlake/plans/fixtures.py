@@ -124,6 +124,21 @@ def event_replies(spark: SparkSession, sf: str, rows_per_reply: int = 2000) -> s
     return path
 
 
+def reply_bodies(spark: SparkSession, sf: str) -> DataFrame:
+    """F2 as replies of up to 100 events. Every seventh has another header; every fifth knows no issuer; every
+    eleventh holds one event."""
+    line = F.concat_ws("\t", *[F.col(c) for c in EVENTS_SCHEDULE_COLUMNS])
+    ordered = F.array_sort(F.collect_list(F.struct("event_id", line.alias("line"))))
+    head = "\t".join(EVENTS_SCHEDULE_SOURCE)
+    lines = (
+        raw_events(spark, sf).withColumn("reply_id", F.expr("event_id div 100")).groupBy("reply_id")
+        .agg(F.transform(ordered, lambda x: x["line"]).alias("lines"))
+    )
+    rows = F.expr("CASE WHEN reply_id % 5 = 0 THEN array('Nenhum evento encontrado') WHEN reply_id % 11 = 0 THEN slice(lines, 1, 1) ELSE lines END")
+    header = F.when(F.col("reply_id") % 7 == 0, head.replace("\t", ";")).otherwise(head)
+    return lines.select("reply_id", F.concat(F.lit("\n".join(PREAMBLE) + "\n"), header, F.lit("\n"), F.array_join(rows, "\n")).alias("body"))
+
+
 def raw_prices(spark: SparkSession, sf: str) -> DataFrame:
     """traded prices as text."""
     rows = table(spark, sf, "lineitem").selectExpr(
@@ -323,9 +338,13 @@ def raw_terms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def search_queries(spark: SparkSession, sf: str) -> DataFrame:
-    """every benchmark text as a query, with the vector of the same id."""
-    b = table(spark, sf, "benchmark").selectExpr("item_id AS query_id", "text AS q")
-    return b.join(vectors(spark, sf).selectExpr("doc_id AS query_id", "vector"), "query_id")
+    """every benchmark text as a query, with a vector between those of two other ids, so that it is none of the corpus."""
+    b = table(spark, sf, "benchmark").selectExpr(
+        "item_id AS query_id", "text AS q", "(item_id * 7 + 13) % 97 AS near", "(item_id * 11 + 129) % 193 AS far"
+    )
+    v = vectors(spark, sf)
+    both = b.join(v.selectExpr("doc_id AS near", "vector AS a"), "near", "left").join(v.selectExpr("doc_id AS far", "vector AS b"), "far", "left")
+    return both.selectExpr("query_id", "q", "zip_with(a, b, (x, y) -> cast(x as double) + 0.8D * cast(y as double)) AS vector")
 
 
 def vectors(spark: SparkSession, sf: str) -> DataFrame:

@@ -253,7 +253,14 @@ add("quality_report", with_(F1, F2, F6) + f"""SELECT 'statements' AS dataset, ch
 UNION ALL SELECT 'events', check_name, (SELECT count(*) FROM f2), n_violations FROM (
   SELECT 'payment_date_missing' AS check_name, count(*) FILTER (pay_d IS NULL) AS n_violations FROM f2
   UNION ALL SELECT 'rate_missing', count(*) FILTER (rate IS NULL) FROM f2)
-UNION ALL SELECT 'macro', 'unmapped_label', count(*), count(*) FILTER ({MACRO_TYPE} IS NULL) FROM f6""")
+UNION ALL SELECT 'macro', 'unmapped_label', count(*), count(*) FILTER ({MACRO_TYPE} IS NULL) FROM f6
+UNION ALL SELECT 'replies', check_name, n, v FROM (
+  SELECT unnest(['header_differs', 'not_found', 'one_row']) AS check_name, count(*) AS n,
+    unnest([count(*) FILTER (r % 7 = 0), count(*) FILTER (r % 5 = 0), count(*) FILTER (r % 5 = 0 OR r % 11 = 0 OR c = 1)]) AS v
+  FROM (SELECT event_id // 100 AS r, count(*) AS c FROM events GROUP BY 1))
+UNION ALL SELECT 'filings', check_name, n, v FROM (
+  SELECT unnest(['protocol_id_missing', 'reference_date_missing', 'delivery_date_missing']) AS check_name, count(*) AS n,
+    unnest([0, 0, count(*) FILTER (o_orderkey % 7 = 0)]) AS v FROM orders)""")
 add("missing_categories", with_(F7) + f"""SELECT issuer_cnpj, CASE WHEN count(*) OVER (PARTITION BY issuer_cnpj) = 3 THEN 'error'
   ELSE 'warning' END AS severity, category FROM (
   (SELECT DISTINCT issuer_cnpj, c.category FROM f7, (SELECT unnest({CATS}[1:3]) AS category) c)
@@ -302,7 +309,7 @@ FINANCIALS = """SELECT enr_aggregation_type, CNPJ_CIA AS issuer_cnpj, DT_REFER A
 add("account_sums", with_(F1, sums("f1")) + f"SELECT enr_aggregation_type, CNPJ_CIA, DT_REFER, {AS_DOUBLES} FROM a1")
 add("account_sums_leaf_only", with_(F1, KIDS, LEAF, sums("leaf")) +
     f"SELECT enr_aggregation_type, CNPJ_CIA, DT_REFER, {AS_DOUBLES} FROM a1")
-for key in ("financials_quarterly", "write_gold", "export_sheets", "stream_gold_refresh"):
+for key in ("financials_quarterly", "write_gold", "export_sheets", "stream_gold_refresh", "incremental_financials"):
     add(key, with_(F1, sums("f1")) + FINANCIALS)
 add("dataset_ref_date", with_(F1) + "SELECT enr_aggregation_type, strftime(max(DT_REFER), '%Y-%m-%d') AS ref_date FROM f1 GROUP BY 1")
 
@@ -446,13 +453,16 @@ add("extract_doc_metadata", r"""SELECT doc_id,
 QT = r"""qt AS (SELECT DISTINCT item_id AS query_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS term FROM benchmark)"""
 UNITS = """u AS (SELECT vec_id, label, list_transform(e, lambda x: x / norm) AS v FROM (
   SELECT vec_id, label, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM (
-    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings)))"""
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings))),
+qm AS (SELECT item_id, list_transform(range(1, len(a.embedding) + 1), lambda i: CAST(a.embedding[i] AS DOUBLE) + CAST(0.8 AS DOUBLE) * CAST(c.embedding[i] AS DOUBLE)) AS e
+  FROM benchmark JOIN embeddings a ON a.vec_id = (item_id * 7 + 13) % 97 JOIN embeddings c ON c.vec_id = (item_id * 11 + 129) % 193),
+qu AS (SELECT item_id AS vec_id, list_transform(e, lambda x: x / sqrt(list_sum(list_transform(e, lambda y: y * y)))) AS v FROM qm)"""
 
 
 def knn(k: int, where: str = "TRUE", name: str = "v6") -> str:
     return f"""{name} AS (SELECT q.vec_id AS query_id, d.vec_id AS doc_id, round(list_dot_product(q.v, d.v), 6) AS score,
   row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_dot_product(q.v, d.v), 6) DESC, d.vec_id) AS rank
-  FROM u q JOIN benchmark b ON b.item_id = q.vec_id CROSS JOIN u d WHERE {where} QUALIFY rank <= {k})"""
+  FROM qu q CROSS JOIN u d WHERE {where} QUALIFY rank <= {k})"""
 
 
 TOK = r"""tok AS MATERIALIZED (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS t FROM documents),
@@ -484,11 +494,11 @@ FUSED = f"""fused AS (SELECT query_id, c.doc_id, coalesce(cosine, 0) AS cosine,
 add("hybrid_search", with_(QT, TOK, UNITS, knn(20), bm25(20), FUSED) + f"""{RANKED} (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM (
     SELECT query_id, doc_id, round(CAST(0.7 AS DOUBLE) * cosine + CAST(0.3 AS DOUBLE) * keyword, 6) AS score FROM fused)
-  WHERE score >= 0.65 QUALIFY rank <= 5)""")
+  WHERE score >= 0.3 QUALIFY rank <= 5)""")
 add("agent_profiles", with_(QT, TOK, UNITS, knn(20), bm25(20), FUSED,
     """prof(i, profile, top, rerank, threshold, wv, wk) AS (VALUES
-  (0, 'estruturacao', 20, 7, CAST(0.62 AS DOUBLE), CAST(0.65 AS DOUBLE), CAST(0.35 AS DOUBLE)),
-  (1, 'monitor', 15, 5, 0.70, 0.60, 0.40), (2, 'geral', 20, 5, 0.65, 0.70, 0.30))""") +
+  (0, 'estruturacao', 20, 7, CAST(0.3 AS DOUBLE), CAST(0.65 AS DOUBLE), CAST(0.35 AS DOUBLE)),
+  (1, 'monitor', 15, 5, 0.35, 0.60, 0.40), (2, 'geral', 20, 5, 0.25, 0.70, 0.30))""") +
     """SELECT query_id, profile, doc_id, score, CAST(rank AS INTEGER) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM (
     SELECT query_id, profile, doc_id, rerank, threshold,

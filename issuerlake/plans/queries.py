@@ -56,6 +56,26 @@ def scan_preamble_tsv(spark, sf):
     return raw.select("line_no", *sc.EVENTS_SCHEDULE_COLUMNS)
 
 
+@query
+def incremental_financials(spark, sf):
+    """Gold of three runs on one lake: half of the issuers, the other half, then files that arrived later."""
+    from issuerlake.plans import etl
+
+    path, lake = shared_dir(spark, "arriving"), shared_dir(spark, "lake")
+    rows = fx.statement_rows(spark, sf).withColumn("file", F.element_at(F.split("source_path", "/"), -1))
+    late = F.col("ORIGIN_FILE") == "DFP"
+    for name, part in (("early", rows.filter(~late)), ("late", rows.filter(late))):
+        (
+            part.select("file", *CSV_COLUMNS).hint("rebalance", "file").write.partitionBy("file")
+            .option("sep", ";").option("header", True).option("encoding", "ISO-8859-1").csv(f"{path}/{name}")
+        )
+    issuers = fx.issuers(spark, sf).select("issuer_cnpj")
+    half = F.crc32(F.col("issuer_cnpj").cast("binary")) % 2 == 0
+    etl.financial_statements(spark, f"{path}/early", lake, fx.RUN, issuers=issuers.filter(half))
+    etl.financial_statements(spark, f"{path}/early", lake, fx.RUN, issuers=issuers.filter(~half))
+    return etl.financial_statements(spark, f"{path}/late", lake, fx.RUN)
+
+
 @query
 def select_statement_files(spark, sf):
     tagged = src.tag_files(fx.statement_rows(spark, sf).drop("file_year"))
@@ -315,7 +335,15 @@ def quality_report(spark, sf):
     macro = op.quality_report(
         items, {"unmapped_label": fn.map_labels(F.col("group_label"), sc.MACRO_TYPES).isNull()}
     ).withColumn("dataset", F.lit("macro"))
-    return op.union_ragged(statements, events, macro)
+    checked = op.reply_checks(fx.reply_bodies(spark, sf), sc.EVENTS_SCHEDULE_SOURCE, len(fx.PREAMBLE), required=[0, 3])
+    replies = op.quality_report(checked, {
+        "header_differs": F.col("header_differs"), "not_found": F.col("not_found"), "one_row": F.col("n_rows") == 1,
+    }).withColumn("dataset", F.lit("replies"))
+    found = src.parse_rad(fx.rad_texts(spark, sf))
+    filings = op.quality_report(found, {
+        f"{c}_missing": F.col(c).isNull() for c in ("protocol_id", "reference_date", "delivery_date")
+    }).withColumn("dataset", F.lit("filings"))
+    return op.union_ragged(statements, events, macro, replies, filings)
 
 
 @query
@@ -647,7 +675,8 @@ def bm25_topk(spark, sf):
 
 @query
 def hybrid_search(spark, sf):
-    return op.hybrid_search(fx.search_queries(spark, sf), fx.vectors(spark, sf), fx.texts(spark, sf))
+    # Made-up texts agree less than real ones: a lower threshold lets several candidates through.
+    return op.hybrid_search(fx.search_queries(spark, sf), fx.vectors(spark, sf), fx.texts(spark, sf), threshold=0.3)
 
 
 @query
@@ -657,7 +686,7 @@ def agent_profiles(spark, sf):
         "profile", F.expr(f"element_at(array({names}), cast(query_id % {len(sc.AGENT_PROFILES)} as int) + 1)")
     )
     profiles = spark.createDataFrame(
-        [(n, *v) for n, v in sc.AGENT_PROFILES.items()],
+        [(n, top, rerank, low, *weights) for (n, (top, rerank, _, *weights)), low in zip(sc.AGENT_PROFILES.items(), (0.3, 0.35, 0.25))],
         "profile string, retrieval_top_k int, rerank_top_k int, similarity_threshold double, vector_weight double, "
         "keyword_weight double",
     )

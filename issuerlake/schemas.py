@@ -105,6 +105,9 @@ AGENT_PROFILES = {
     "monitor": (15, 5, 0.70, 0.60, 0.40),
     "geral": (20, 5, 0.65, 0.70, 0.30),
 }
+# Names in the portal's buttons: fixed values.
+PROTOCOL_PARAMETER, DOWNLOAD_CALL, PUBLICATION_CALL = "NumeroProtocoloEntrega", "OpenDownloadDocumentos", "mostraLocaisPublicacao"
+# The words that expand a query unless a table is given.
 SYNONYMS = {
     "lucro": ["resultado", "ganho", "lucro líquido"],
     "dívida": ["endividamento", "passivo", "débito"],

@@ -6,41 +6,34 @@ again after a failure replaces its own output instead of adding to it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from issuerlake.operators.catalog import dedup_content
 from issuerlake.operators.checks import filter_last_exercise
-from issuerlake.operators.sinks import write_gold
-from issuerlake.operators.statements import financials_quarterly, scale_amounts
+from issuerlake.operators.sinks import table_or_empty, write_gold
+from issuerlake.operators.statements import GROUP_KEYS, account_sums, financials_of_sums, scale_amounts
 
 BATCH_ID = "batch_id"
-# Statement history is kept in this many issuer buckets; a batch recomputes the buckets it touches.
+# Default number of issuer buckets; it has to stay the same for a table.
 ISSUER_BUCKETS = 64
 
 
-def _table(df: DataFrame, path: str, schema: T.StructType) -> DataFrame:
-    """The parquet table at ``path``; before its first batch, an empty one."""
-    spark = df.sparkSession
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def stream_ingest(objects: DataFrame, catalog_path: str, checkpoint: str, order: list[Column]) -> StreamingQuery:
     """New objects only: content already in its folder is skipped, within the batch and against the catalog.
 
-    The catalog table is the memory of what has landed, so no stream state grows with it.
+    The catalog table is the memory of what has landed, so no stream state grows with it. It is cut to the
+    folders and hashes of the batch where it is scanned; only what the batch could repeat moves. Every batch
+    adds a partition; ``compact_catalog`` makes them one.
     """
+    keys = ["folder", "file_hash"]
     schema = T.StructType([*objects.schema.fields, T.StructField(BATCH_ID, T.LongType())])
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        known = _table(batch, catalog_path, schema).filter(F.col(BATCH_ID) != batch_id)
+        stored = table_or_empty(batch.sparkSession, catalog_path, schema).filter(F.col(BATCH_ID) != batch_id)
+        known = stored.select(*keys).join(batch.select(*keys).distinct(), keys, "left_semi")
         new = dedup_content(batch, known, order).withColumn(BATCH_ID, F.lit(batch_id).cast("bigint"))
         write_gold(new, catalog_path, [BATCH_ID])
 
@@ -49,6 +42,16 @@ def stream_ingest(objects: DataFrame, catalog_path: str, checkpoint: str, order:
     )
 
 
+def compact_catalog(spark: SparkSession, catalog_path: str, target: str) -> None:
+    """The catalog with all its batches in one partition, written to ``target``, while no stream writes to it.
+
+    The partition has the number of the last batch, so the stream can go on with either table.
+    """
+    rows = spark.read.parquet(catalog_path)
+    last = rows.agg(F.max(BATCH_ID)).first()[0]
+    write_gold(rows.withColumn(BATCH_ID, F.lit(last).cast("bigint")), target, [BATCH_ID])
+
+
 def stream_request_log(
     log: DataFrame, sink: str, checkpoint: str, ts: str = "ts", endpoint: str = "endpoint",
     size: str = "1 hour", delay: str = "10 minutes",
@@ -66,29 +69,37 @@ def stream_request_log(
     )
 
 
-def stream_gold_refresh(statements: DataFrame, history: str, gold: str, checkpoint: str) -> StreamingQuery:
-    """Gold metrics kept current: each batch joins the history and the issuer buckets it touches are recomputed.
+def stream_gold_refresh(
+    statements: DataFrame, sums: str, gold: str, checkpoint: str, issuer_buckets: int = ISSUER_BUCKETS
+) -> StreamingQuery:
+    """Gold metrics kept current: account sums are additive, so each batch's sums are added to the stored ones.
 
-    The list of touched buckets has at most ``ISSUER_BUCKETS`` entries; history is read for those
-    partitions only and their gold partitions are replaced.
+    ``sums`` holds one row per aggregation type, issuer and date, whatever the number of statements behind it.
+    A batch reads and rewrites the buckets of the issuers it has rows of, and their gold. A row remembers
+    the batch that changed it last, so a batch that is run again after a failure adds nothing twice.
     """
-    bucket = F.pmod(F.xxhash64("CNPJ_CIA"), F.lit(ISSUER_BUCKETS)).cast("int")
-    schema = T.StructType(
-        [*statements.schema.fields, T.StructField("issuer_bucket", T.IntegerType()), T.StructField(BATCH_ID, T.LongType())]
-    )
+
+    def bucket(c: str) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(issuer_buckets)).cast("int")
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumns({"issuer_bucket": bucket, BATCH_ID: F.lit(batch_id).cast("bigint")})
-        write_gold(rows, history, ["issuer_bucket", BATCH_ID])
-        stored = _table(batch, history, schema)
-        touched = [r[0] for r in stored.filter(F.col(BATCH_ID) == batch_id).select("issuer_bucket").distinct().collect()]
+        added = account_sums(filter_last_exercise(scale_amounts(batch)))
+        names = [c for c in added.columns if c not in GROUP_KEYS]
+        added = added.select(*GROUP_KEYS, *[F.col(c).cast("decimal(38,6)").alias(c) for c in names])
+        added = added.withColumns({"issuer_bucket": bucket("CNPJ_CIA"), BATCH_ID: F.lit(batch_id).cast("bigint")})
+        # As many rows as there are buckets at most.
+        touched = [r[0] for r in batch.select(bucket("CNPJ_CIA").alias("b")).distinct().collect()]
         if not touched:
             return
-        current = filter_last_exercise(scale_amounts(stored.filter(F.col("issuer_bucket").isin(touched))))
-        metrics = financials_quarterly(current).withColumn(
-            "issuer_bucket", F.pmod(F.xxhash64("issuer_cnpj"), F.lit(ISSUER_BUCKETS)).cast("int")
+        stored = table_or_empty(batch.sparkSession, sums, added.schema).filter(F.col("issuer_bucket").isin(touched))
+        # What this batch has already added is not added again.
+        fresh = added.join(stored.filter(F.col(BATCH_ID) == batch_id).select(*GROUP_KEYS), GROUP_KEYS, "left_anti")
+        total = stored.unionByName(fresh).groupBy(*GROUP_KEYS, "issuer_bucket").agg(
+            *[F.sum(c).cast("decimal(38,6)").alias(c) for c in names], F.max(BATCH_ID).alias(BATCH_ID)
         )
-        write_gold(metrics, gold, ["issuer_bucket"])
+        write_gold(total, sums, ["issuer_bucket"])
+        current = batch.sparkSession.read.schema(added.schema).parquet(sums).filter(F.col("issuer_bucket").isin(touched))
+        write_gold(financials_of_sums(current).withColumn("issuer_bucket", bucket("issuer_cnpj")), gold, ["issuer_bucket"])
 
     return (
         statements.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)

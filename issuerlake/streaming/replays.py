@@ -16,9 +16,20 @@ def file_stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
 
 
+def batched_stream(spark: SparkSession, sf: str, name: str, key: str, batches: int = 3) -> DataFrame:
+    """The table arriving in key order, in ``batches`` parts or more, as files that are a batch each."""
+    path = shared_dir(spark, f"arriving-{name}")
+    rows = fx.table(spark, sf, name)
+    cuts = rows.approxQuantile(key, [i / batches for i in range(1, batches)], 0.01)
+    part = sum((F.col(key) > c).cast("int") for c in cuts)
+    for i in range(batches):
+        rows.filter(F.coalesce(part, F.lit(0)) == i).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def stream_ingest_documents(spark: SparkSession, sf: str) -> DataFrame:
     root = shared_dir(spark, "ingest")
-    objects = fx.filings(spark, sf, file_stream(spark, sf, "documents")).select("doc_id", "folder", "file_hash", "object_path")
+    objects = fx.filings(spark, sf, batched_stream(spark, sf, "documents", "doc_id")).select("doc_id", "folder", "file_hash", "object_path")
     jobs.stream_ingest(objects, f"{root}/catalog", f"{root}/progress", [F.asc("doc_id")]).awaitTermination()
     return spark.read.parquet(f"{root}/catalog").drop(jobs.BATCH_ID)
 
@@ -34,6 +45,6 @@ def stream_request_windows(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_gold_from_statements(spark: SparkSession, sf: str) -> DataFrame:
     root = shared_dir(spark, "refresh")
-    rows = fx.tagged_statements(spark, sf, file_stream(spark, sf, "lineitem"))
-    jobs.stream_gold_refresh(rows, f"{root}/history", f"{root}/gold", f"{root}/progress").awaitTermination()
+    rows = fx.tagged_statements(spark, sf, batched_stream(spark, sf, "lineitem", "l_orderkey"))
+    jobs.stream_gold_refresh(rows, f"{root}/sums", f"{root}/gold", f"{root}/progress").awaitTermination()
     return spark.read.parquet(f"{root}/gold").select("enr_aggregation_type", *FINANCIALS_COLUMNS)

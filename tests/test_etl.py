@@ -44,6 +44,18 @@ def test_financial_statements(spark, tmp_path, rows):
     only_a = spark.createDataFrame([("A",), ("Z",)], "issuer_cnpj string")
     assert rows(etl.financial_statements(spark, str(raw), out, RUN, as_of=2024), *cols) == want
     assert [r[1] for r in rows(etl.financial_statements(spark, str(raw), str(tmp_path / "a"), RUN, issuers=only_a), *cols)] == ["A", "A", "A"]
+    # On one lake, another subset adds to the first, and a later file to both.
+    lake = str(tmp_path / "b")
+    for name in ("A", "B"):
+        part = etl.financial_statements(spark, str(raw), lake, RUN, issuers=spark.createDataFrame([(name,)], "issuer_cnpj string"), as_of=2024)
+    assert rows(part, *cols) == want
+    write(tmp_path / "later", "itr_cia_aberta_BPA_con_2024.csv", HEADER + line("B", "2024-03-31", "ÚLTIMO", "MIL", "1.01.01", 3))
+    later = etl.financial_statements(spark, str(tmp_path / "later"), lake, RUN)
+    assert rows(later, *cols) == want and rows(later.filter("issuer_cnpj = 'B'"), "cash") == [(3e3,)]
+    # A file that lands again replaces its own rows.
+    write(tmp_path / "again", "itr_cia_aberta_BPA_con_2024.csv", HEADER + line("A", "2024-03-31", "ÚLTIMO", "MIL", "1.01.01", 8))
+    again = etl.financial_statements(spark, str(tmp_path / "again"), lake, RUN)
+    assert rows(again.filter("enr_aggregation_type = 'Consolidado'"), "issuer_cnpj", "cash") == [("A", 8e3), ("B", 0.0)]
     silver = spark.read.parquet(f"{out}/silver/enriched/statements")
     assert rows(silver.select("enr_account_type", "enr_quarter").distinct()) == [("PASSIVO", "Q1"), (None, "Q1"), (None, "Q4")]
     payload = json.loads(spark.read.parquet(f"{out}/gold/cache/financials_quarterly").filter("cache_key LIKE '%Individual%'").first()["payload"])
@@ -63,7 +75,12 @@ def test_events_schedule(spark, tmp_path, rows):
     body = "15/01/2024\t16/01/2024\t1\tAB11\t Juros \tDIDI\t1.002,45\t16/01/2024\n10/01/2024\t-\t1\tAB11\tnan\tDIDI\t-\t-\n"
     folder = write(tmp_path / "replies", "a.tsv", head + body)
     write(tmp_path / "replies", "b.tsv", head + "Nenhum\t\t\t\t\t\t\t\n")
-    gold = etl.events_schedule(spark, folder, 2, str(tmp_path / "lake"), RUN)
+    write(tmp_path / "replies", "c.tsv", head)
+    write(tmp_path / "replies", "d.tsv", head + '12/01/2024\t-\t"1 ""um"""\tAB12\tJuros\tDIDI\t-\t-\n')
+    gold, dropped = etl.events_schedule(spark, folder, 2, str(tmp_path / "lake"), RUN)
+    assert sorted((r["source_path"][-5:], r["n_rows"]) for r in dropped.collect()) == [("b.tsv", 1), ("c.tsv", 0)]
+    assert rows(gold.filter("asset_code = 'AB12'"), "issuer") == [('1 "um"',)]
+    gold = gold.filter("asset_code = 'AB11'")
     assert rows(gold, "event_date", "payment_date", "event", "yield_type", "rate_or_percent") == [
         (dt.date(2024, 1, 10), None, None, "DI", None),
         (dt.date(2024, 1, 15), dt.date(2024, 1, 16), "Juros", "DI", 1002.45),
@@ -90,9 +107,9 @@ def test_traded_prices(spark, tmp_path, rows):
     )
     folder = write(tmp_path / "replies", "a.tsv", "x\n" + body)
     listing = spark.createDataFrame([("AB11", "1"), ("AB12", "1")], "asset_code string, issuer string")
-    gold, uncovered = etl.traded_prices(spark, folder, 1, listing, str(tmp_path / "lake"), RUN)
+    gold, uncovered, dropped = etl.traded_prices(spark, folder, 1, listing, str(tmp_path / "lake"), RUN)
     assert rows(gold, "ref_date", "qty", "avg_unit_price") == [(dt.date(2024, 1, 2), 10, 1000.25), (dt.date(2024, 1, 3), 10, 1000.25)]
-    assert rows(uncovered, "asset_code") == [("AB12",)]
+    assert rows(uncovered, "asset_code") == [("AB12",)] and dropped.count() == 0
 
 
 def test_macro_data(spark, tmp_path, rows):

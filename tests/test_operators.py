@@ -75,7 +75,7 @@ def test_quality_report_per_group_and_not_found(spark, rows):
     df = spark.createDataFrame([("a", None), ("a", "x"), ("b", "x")], "k string, v string")
     report = op.quality_report(df, {"missing": F.col("v").isNull(), "all": F.lit(True)}, ["k"])
     assert rows(report) == [("a", 2, "all", 2), ("a", 2, "missing", 1), ("b", 1, "all", 1), ("b", 1, "missing", 0)]
-    assert rows(op.reply_not_found(df, "k")) == [("b", 1)]
+    assert rows(op.reply_not_found(df.withColumn("w", F.when(F.col("k") == "a", 1)), "k", ["k", "w"])) == [("b", 1)]
     assert op.schema_differences(df.schema, ["v", "k"]) == ["order differs"]
     assert op.schema_differences(df.schema, ["k", "w"]) == ["missing: w", "unexpected: v"]
 
@@ -104,6 +104,19 @@ def test_terms(spark, rows):
     ]
 
 
+def test_coupon_formats_and_clashing_headers(spark, rows):
+    raw = terms(spark, [("A", "2.45", "1", "S", "-"), ("B", "1.002,45", "1", "S", "-"), ("C", "7", "1", "S", "-"), ("D", "x", "1", "S", "-")])
+    assert rows(op.terms_gold(raw), "asset_code", "coupon") == [("A", 2.45), ("B", 1002.45), ("C", 7.0), ("D", None)]
+    with pytest.raises(ValueError, match="Ipo .x.* and .*ipo x"):
+        op.conform(raw.withColumn("ipo x", F.lit("")))
+
+
+def test_schedule_puts_missing_dates_last(spark):
+    cols = "event_date string, payment_date string, issuer string, asset_code string, event string, yield_type string, rate_or_percent string, settlement_date string"
+    raw = spark.createDataFrame([("01/01/2024", d, "i", "a", "e", "xx", "1", None) for d in ("-", "05/01/2024", "02/01/2024")], cols)
+    assert [str(r["payment_date"]) for r in op.events_schedule(raw).collect()] == ["2024-01-02", "2024-01-05", "None"]
+
+
 def test_coupon_column_absent(spark, rows):
     raw = terms(spark, [("A", None, "101", "S", "-")]).drop("Juros Criterio Novo - Taxa")
     assert rows(op.terms_gold(raw), "asset_code", "coupon") == [("A", 101.0)]
@@ -156,7 +169,8 @@ def test_legal_risks(spark):
 
 
 def test_resolve_issuer_precedence(spark, rows):
-    issuers = spark.createDataFrame([("1", "ACME", "X"), ("2", "BETA", "Y")], "issuer_cnpj string, issuer_name string, industry string")
+    # Tax id 1 repeats; its first name counts and no request is multiplied.
+    issuers = spark.createDataFrame([("1", "ACME", "X"), ("1", "ACME NEW", "X"), ("2", "BETA", "Y"), (None, "NOBODY", "Z")], "issuer_cnpj string, issuer_name string, industry string")
     listing = spark.createDataFrame([("T1", "1"), ("T1", "1")], "asset_code string, issuer string")
     asked = spark.createDataFrame(
         [(1, "T1", "2", None), (2, "T9", "2", "ACME"), (3, None, None, "ACME"), (4, None, None, None), (5, "T9", None, None)],
@@ -173,6 +187,19 @@ def test_chunks(spark, rows):
     assert [r["text"] for r in op.chunk_naive(one_doc, limit=3, unit="sentence").orderBy("chunk_no").collect()] == ["One two. Three!", "Four five six?", "Seven"]
 
 
+def test_paragraph_chunks(spark):
+    one_doc = spark.createDataFrame([(1, "a b\nc\n\nd e\n \n\nf g h i\n\nj")], "doc_id int, text string")
+    assert [r["text"] for r in op.chunk_naive(one_doc, limit=5, unit="paragraph").orderBy("chunk_no").collect()] == ["a b\nc\n\nd e", "f g h i\n\nj"]
+
+
+def test_a_long_document_is_chunked(spark):
+    line = "word " * 300 + "end"
+    docs = spark.range(1).select(F.col("id").alias("doc_id"), F.expr(f"array_join(array_repeat('{line}', 13000), '\\n')").alias("text"))
+    for f in (lambda d: op.chunk_naive(d), lambda d: op.chunk_overlap(d)):
+        r = f(docs).agg(F.count("*"), F.sum("tokens"), F.max(F.length("text"))).first()
+        assert r[0] > 7_000 and r[1] >= 13_000 * 301 and r[2] < 4_000
+
+
 @pytest.mark.parametrize("n", [1, 4, 5, 7, 8, 10, 11])
 def test_overlap_windows_cover_everything(spark, n):
     words = [f"w{i}" for i in range(n)]
@@ -191,6 +218,10 @@ def test_chunk_rows_with_and_without_join(spark, rows):
     assert rows(inline) == rows(joined)
     r = inline.first()
     assert (r["chunk_id"], len(r["text_raw"]), r["aggregation_type"]) == ("p/x.pdf#chunk_0", 512, "")
+    assert len(inline.columns) == 17 and r["page_start"] is None
+    read = op.chunk_naive(docs).withColumns({"page_start": F.lit(3), "embedding": F.array(F.lit(0.5))})
+    for made in (op.chunk_rows(read), op.chunk_rows(read, meta)):
+        assert (made.first()["page_start"], made.first()["embedding"]) == (3, [0.5])
 
 
 def test_index_completeness_and_upsert(spark, rows):

@@ -24,7 +24,7 @@ def shuffles(text):
 
 LAZY = sorted(
     n for n in REGISTRY
-    if not n.startswith("stream_") and n not in ("scan_statements", "scan_preamble_tsv", "write_gold", "export_sheets")
+    if not n.startswith("stream_") and n not in ("scan_statements", "scan_preamble_tsv", "write_gold", "export_sheets", "incremental_financials")
 )
 
 
@@ -39,12 +39,20 @@ def test_no_cross_join_no_single_task_no_row_python(spark, name):
 
 @pytest.mark.parametrize("name", [
     "financials_quarterly", "account_sums", "split_by_aggregation", "dataset_ref_date", "filter_last_exercise", "risk_exposure",
-    "missing_categories", "latest_documents", "latest_filing", "key_legal_risks", "upcoming_payments", "events_schedule",
+    "missing_categories", "latest_documents", "latest_filing", "key_legal_risks", "upcoming_payments",
 ])
 def test_one_shuffle(spark, name):
     assert shuffles(plan(spark, name)) == 1
 
 
+def test_schedule_order_takes_one_shuffle(spark):
+    from issuerlake import operators as op
+    from issuerlake.plans import fixtures as fx
+
+    df = op.events_schedule(fx.raw_events(spark, SF))
+    assert shuffles(df._jdf.queryExecution().executedPlan().toString()) == 1
+
+
 @pytest.mark.parametrize("name", [
     "chunk_naive", "chunk_sentences", "chunk_overlap", "chunk_rows", "catalog_rows", "collapse_ws", "extract_doc_metadata", "null_tokens",
     "traded_prices", "conform_terms", "extract_page_links", "extract_update_stamp", "l2_normalize", "download_manifest",
@@ -75,12 +83,24 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     assert "text" not in re.search(r"ReadSchema: struct<([^>]*)", plan(spark, "latest_documents")).group(1)
 
 
-def test_keyword_statistics_share_the_exchange(spark):
-    from issuerlake import operators as op
-    from issuerlake.plans import fixtures as fx
-    from issuerlake.plans.queries import plain_queries
+def test_search_moves_hits_only(spark):
+    for name in ("knn_cosine", "bm25_topk"):
+        text = plan(spark, name)
+        assert shuffles(text) == 1 and "MapInArrow" in text.split("Exchange")[-1]
+
+
+def test_chunks_carry_nothing_of_the_document(spark):
+    for name in ("chunk_naive", "chunk_sentences"):
+        above = plan(spark, name).split("Generate")[0]
+        assert "_p#" not in above and "_n#" not in above and "_starts#" not in above
+
+
+def test_leaf_sums_meet_parents_after_summing(spark):
+    text = plan(spark, "account_sums_leaf_only")
+    before, after = text.split("LeftAnti", 1)
+    assert "HashAggregate" in after.split("Scan parquet")[0]
+
 
-    df = op.bm25_topk(op.query_terms(plain_queries(spark, SF)), fx.texts(spark, SF), broadcast_values=0)
-    df.collect()
-    final = df._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
-    assert "ReusedExchange" in final
+def test_requests_take_part_in_three_joins(spark):
+    text = plan(spark, "resolve_issuer")
+    assert len(re.findall(r"Join \[_k#", text)) == 3

@@ -1,4 +1,4 @@
-"""Search operators against brute force, on the broadcast path and on the other one."""
+"""Search operators against brute force, with query blocks of any size."""
 
 from __future__ import annotations
 
@@ -15,7 +15,7 @@ import pytest
 from pyspark import cloudpickle
 
 from issuerlake import operators as op
-from issuerlake.operators import blocks, search
+from issuerlake.operators import blocks
 
 
 def hits(df):
@@ -39,26 +39,37 @@ def vectors():
     docs = [(i, rng.integers(-3, 4, 6).astype(float).tolist()) for i in range(300)]
     docs += [(1000 + i, docs[5][1]) for i in range(150)]  # a third of the corpus are copies
     docs.append((2000, [0.0] * 6))
+    docs += [(7, docs[9][1]), (7, docs[5][1])]  # an id that repeats
     queries = [(i, rng.integers(-3, 4, 6).astype(float).tolist()) for i in range(17)] + [(99, docs[5][1])]
     return queries, docs
 
 
-@pytest.mark.parametrize("broadcast_values", [search.BROADCAST_VALUES, 0])
-def test_knn_is_exact(spark, vectors, broadcast_values):
+def bad_vectors(n):
+    return [(3000, [float("nan")] * n), (3001, [1.0] * (n - 1) + [None]), (3002, [float("inf")] * n), (3003, None)]
+
+
+@pytest.mark.parametrize("block_queries", [1, 5, 4096])
+def test_knn_is_exact(spark, vectors, block_queries):
     queries, docs = vectors
-    q = spark.createDataFrame(queries, "query_id bigint, vector array<double>")
-    d = spark.createDataFrame(docs, "doc_id bigint, vector array<double>").repartition(5)
-    got = op.knn_cosine(q, d, k=7, broadcast_values=broadcast_values, cell_rows=50)
+    q = spark.createDataFrame(queries + bad_vectors(6), "query_id bigint, vector array<double>")
+    d = spark.createDataFrame(docs + bad_vectors(6), "doc_id bigint, vector array<double>").repartition(5)
+    got = op.knn_cosine(q, d, k=7, block_queries=block_queries)
     assert hits(got) == brute_knn(queries, docs, 7)
 
 
-@pytest.mark.parametrize("broadcast_values", [search.BROADCAST_VALUES, 0])
-def test_knn_filter_k_beyond_corpus_and_empty_sides(spark, broadcast_values):
+def test_knn_beside_nan_in_one_batch(spark):
+    q = spark.createDataFrame([(1, [1.0, 0.0])], "query_id bigint, vector array<double>")
+    d = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(5)] + bad_vectors(2), "doc_id bigint, vector array<double>").coalesce(1)
+    assert [h[2] for h in hits(op.knn_cosine(q, d, 3))] == [0, 1, 2]
+
+
+@pytest.mark.parametrize("block_queries", [1, 4096])
+def test_knn_filter_k_beyond_corpus_and_empty_sides(spark, block_queries):
     q = spark.createDataFrame([(1, [1.0, 0.0])], "query_id bigint, vector array<double>")
     d = spark.createDataFrame([(1, [1.0, 1.0], "a"), (2, [0.0, 1.0], "b"), (3, None, "a")], "doc_id bigint, vector array<double>, source string")
-    assert hits(op.knn_cosine(q, d, 5, {"source": "a"}, broadcast_values)) == [(1, 1, 1, 0.707107)]
-    assert hits(op.knn_cosine(q, d, 5, {"source": "z"}, broadcast_values)) == []
-    assert hits(op.knn_cosine(q.limit(0), d, 5, None, broadcast_values)) == []
+    assert hits(op.knn_cosine(q, d, 5, {"source": "a"}, block_queries)) == [(1, 1, 1, 0.707107)]
+    assert hits(op.knn_cosine(q, d, 5, {"source": "z"}, block_queries)) == []
+    assert hits(op.knn_cosine(q.limit(0), d, 5, None, block_queries)) == []
 
 
 def test_knn_rejects_mixed_dimensions(spark):
@@ -75,7 +86,7 @@ def test_running_best_over_blocks(monkeypatch):
     ids = rng.permutation(40)
     best = blocks.Best(np.arange(5) * 10, 3)
     for i in range(0, 40, 7):
-        best.update(w, ids[i : i + 7], docs[i : i + 7])
+        best.update(w @ docs[i : i + 7].T, ids[i : i + 7])
     want = [(q * 10, d, s) for q in range(5) for s, d in sorted((-(w[q] @ docs[j]), ids[j]) for j in range(40))[:3]]
     assert [tuple(r) for r in best.frame().itertuples(index=False)] == [(q, d, -s + 0.0) for q, d, s in want]
 
@@ -85,15 +96,15 @@ def words(t):
 
 
 def brute_bm25(queries, docs, k):
-    texts = {d: words(t or "") for d, t in docs}
-    n, mean = len(texts), sum(map(len, texts.values())) / len(texts)
-    df = Counter(w for t in texts.values() for w in set(t))
+    texts = [(d, words(t or "")) for d, t in docs]
+    n, mean = len(texts), sum(len(t) for _, t in texts) / len(texts)
+    df = Counter(w for _, t in texts for w in set(t))
     out = []
     for q, text in queries:
         scored = []
-        for d, t in texts.items():
+        for d, t in texts:
             tf = Counter(t)
-            common = [w for w in set(words(text)) if w in tf]
+            common = sorted(w for w in set(words(text)) if w in tf)
             if common:
                 s = sum(
                     math.log(1 + (n - df[w] + 0.5) / (df[w] + 0.5)) * tf[w] * 2.2 / (tf[w] + 1.2 * (0.25 + 0.75 * len(t) / mean))
@@ -109,32 +120,39 @@ def corpus():
     rng = random.Random(3)
     vocabulary = [f"w{i}" for i in range(40)]
     docs = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(0, 60)))) for i in range(200)]
-    docs += [(500 + i, "Hot, hot w1 PHRASE here") for i in range(100)] + [(900, None), (901, "...")]
+    docs += [(500 + i, "Hot, hot w1 PHRASE here") for i in range(100)] + [(900, None), (901, "..."), (3, "w1 w2 w3"), (3, "w5 phrase")]
     queries = [(1, "w1 w2 w3"), (2, "hot phrase"), (3, "unknown words only"), (4, "w5 w5 W6"), (5, "")]
     return queries, docs
 
 
-@pytest.mark.parametrize("broadcast_values", [search.BROADCAST_VALUES, 0])
-def test_bm25_is_exact(spark, corpus, broadcast_values):
+@pytest.mark.parametrize("block_queries,block_terms,values", [(1, 5_000, 7), (4096, 1, 4_000_000), (4096, 5_000, 4_000_000)])
+def test_bm25_is_exact(spark, corpus, monkeypatch, block_queries, block_terms, values):
+    monkeypatch.setattr(blocks, "BLOCK_VALUES", values)
     queries, docs = corpus
     q = op.query_terms(spark.createDataFrame(queries, "query_id bigint, q string"))
     d = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)
-    assert hits(op.bm25_topk(q, d, 6, broadcast_values=broadcast_values)) == brute_bm25(queries, docs, 6)
+    got = op.bm25_topk(q, d, 6, block_queries=block_queries, block_terms=block_terms)
+    assert hits(got) == brute_bm25(queries, docs, 6)
 
 
-def test_term_counts_in_blocks(corpus, monkeypatch):
+def test_bm25_of_empty_sides(spark, corpus):
+    d = spark.createDataFrame(corpus[1], "doc_id bigint, text string")
+    q = op.query_terms(spark.createDataFrame(corpus[0], "query_id bigint, q string"))
+    assert hits(op.bm25_topk(q.limit(0), d, 3)) == [] and hits(op.bm25_topk(q, d.limit(0), 3)) == []
+
+
+def test_term_entries(corpus):
     _, docs = corpus
     lists, vocabulary = pa.array([words(t or "") for _, t in docs]), pa.array(["hot", "w1", "w7"])
-    whole = [c for _, _, counts in blocks.term_counts(lists, vocabulary) for c in counts.tolist()]
-    monkeypatch.setattr(blocks, "BLOCK_VALUES", 10)
-    parts = list(blocks.term_counts(lists, vocabulary))
-    assert len(parts) > 50 and [c for _, _, counts in parts for c in counts.tolist()] == whole
-    assert whole == [[words(t or "").count(w) for w in ("hot", "w1", "w7")] for _, t in docs]
+    got = list(zip(*(x.tolist() for x in blocks.term_entries(lists, vocabulary))))
+    counts = [(i, j, words(t or "").count(w)) for i, (_, t) in enumerate(docs) for j, w in enumerate(("hot", "w1", "w7"))]
+    assert got == [c for c in counts if c[2]]
+    assert list(blocks.row_blocks(np.array([1, 1, 9, 1, 2, 2]), 3)) == [(0, 2), (2, 3), (3, 5), (5, 6)]
 
 
 def test_tasks_do_not_need_the_package():
     """Functions sent to tasks carry their helpers with them."""
-    payload = cloudpickle.dumps([blocks.vector_scorer(None, 3), blocks.keyword_scorer(None, None, 3, 1.2, 0.75, 1.0), blocks.cell_scorer(2)])
+    payload = cloudpickle.dumps([blocks.vector_scorer(None, 3), blocks.keyword_scorer(None, 3, 1.2, 0.75, 1.0), blocks.term_counter(None)])
     code = "import sys, pickle; pickle.loads(sys.stdin.buffer.read()); assert not any(m.startswith('issuerlake') for m in sys.modules)"
     subprocess.run([sys.executable, "-c", code], input=payload, check=True, cwd="/")
 
@@ -151,6 +169,13 @@ def test_hybrid_boost_threshold_and_missing_sides(spark):
     assert {r["doc_id"] for r in op.hybrid_search(q, v, t, threshold=0.65).collect()} == {d for d, s in want.items() if s >= 0.65}
 
 
+def test_hybrid_of_repeated_ids(spark):
+    q = spark.createDataFrame([(1, "exact phrase", [1.0, 0.0])], "query_id bigint, q string, vector array<double>")
+    v = spark.createDataFrame([(1, [1.0, 0.0]), (1, [0.6, 0.8]), (2, [0.0, 1.0])], "doc_id bigint, vector array<double>")
+    t = spark.createDataFrame([(1, "exact phrase"), (1, "phrase"), (1, "the exact phrase")], "doc_id bigint, text string")
+    assert [(r["doc_id"], r["score"]) for r in op.hybrid_search(q, v, t, threshold=0.1).collect()] == [(1, pytest.approx(0.7 + 0.3 * 1.5))]
+
+
 def test_expand_query(spark, rows):
     q = spark.createDataFrame([(1, "Lucro da receita"), (2, "resultado lucro")], "query_id bigint, q string")
     got = rows(op.expand_query(q, op.synonym_table(spark)).filter("query_id = 2"))

@@ -96,6 +96,25 @@ def test_listing_rows(spark, rows):
     assert rows(df) == [(1, "AB&C 1", "Emissor", "Registrado")]
 
 
+def test_listing_rows_of_any_markup(spark, rows):
+    html = (
+        "<table class=Tab10333333><tr><td><td><a href=1>A1 </a><td>CONSTRU&Ccedil;&Otilde;ES &#65; &amp; B<td><td>ok"
+        "<tr><td></td><td><a>B2</a></td><td>x</td><td><table><tr><td>n<td>m</table></td><td>s</td></tr></table>"
+        '<table class="Tab10333333-x"><tr><td>1<td><a>NO</a><td>3<td>4<td>5</table>'
+    )
+    df = spark.createDataFrame([(1, html), (2, None)], "page_id int, html string")
+    assert rows(src.extract_rows(df)) == [(1, "A1", "CONSTRUÇÕES A & B", "ok"), (1, "B2", "x", "s")]
+
+
+def test_replies_with_quotes_and_extra_cells(spark, tmp_path, rows):
+    head = "a\tb\n"
+    (tmp_path / "x.tsv").write_text(head + '"x ""y"""\t1\nz\n"t\tu"\tnan\n')
+    assert rows(src.read_preamble_tsv(spark, str(tmp_path), 0, ["a", "b"]), "a", "b") == [("t\tu", None), ('x "y"', "1"), ("z", None)]
+    (tmp_path / "y.tsv").write_text(head + "1\t2\t3\n")
+    with pytest.raises(Exception, match="more cells than columns"):
+        src.read_preamble_tsv(spark, str(tmp_path), 0, ["a", "b"]).select("b").collect()
+
+
 def test_update_stamp(spark, rows):
     span = '<span class="automatic-local-datetime" data-datetime="{}">x</span>'
     labelled = f'<tr><th>Última Atualização</th><td>{span.format("2025-10-06T11:01:00+0000")}</td></tr>'
@@ -132,6 +151,19 @@ def test_payloads(spark, rows):
     assert [(r["content"], r["n_bytes"]) for r in src.decode_payload(replies).collect()] == [(b"%PDF-1", 6), (None, None)]
 
 
+def test_payloads_in_any_place(spark, rows):
+    p = lambda t: f"<ImagemObjetoArquivoPdf>{t}</ImagemObjetoArquivoPdf>"
+    xml = (
+        f"<R><S a='http://x/y>'><Id>1</Id><NomeArquivoPdf>a &amp; b</NomeArquivoPdf><!-- {p('QQ==')} -->{p('QQ==')}</S>"
+        f"<T>{p('Qg==')}<D/><NomeArquivoPdf>t</NomeArquivoPdf></T><U>{p('Qw==')}{p(' ')}</U></R>"
+    )
+    df = spark.createDataFrame([(1, xml, "k"), (2, None, "k")], "id int, xml string, other string")
+    assert rows(src.extract_payloads(df), "ordinal", "tag", "file_name", "n_bytes") == [(0, "S", "a & b", 1), (1, "T", "t", 1), (2, "U", None, 1)]
+    stripped = {r["id"]: r["xml"] for r in src.strip_payloads(df).collect()}
+    assert stripped[2] is None
+    assert stripped[1] == xml.replace(" -->" + p("QQ=="), " -->" + p("")).replace(p("Qg=="), p("")).replace(p("Qw=="), p(""))
+
+
 def test_manifest_paths(spark, rows):
     df = spark.createDataFrame(
         [("c", "Fato Relevante", "u1", "2", "2024-01-05"), ("c", "Ata", "u2", "1", "2024-01-06")],

@@ -64,8 +64,32 @@ def test_gold_refresh_equals_one_pass(spark, tmp_path):
     ]
     for batch in batches:
         land(spark, landing, batch, STATEMENT)
-        st.stream_gold_refresh(read(spark, landing, STATEMENT), history, gold, progress).awaitTermination()
+        st.stream_gold_refresh(read(spark, landing, STATEMENT), history, gold, progress, issuer_buckets=8).awaitTermination()
     everything = spark.createDataFrame([r for b in batches for r in b], STATEMENT)
     want = op.financials_quarterly(op.filter_last_exercise(op.scale_amounts(everything)))
     got = spark.read.parquet(gold).select(*want.columns)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_gold_refresh_adds_a_batch_once(spark, tmp_path):
+    landing, sums, gold = (str(tmp_path / n) for n in ("in", "sums", "gold"))
+    land(spark, landing, [("Consolidado", f"c{i}", dt.date(2024, 3, 31), "ÚLTIMO", "3.01", 1.0, "MIL") for i in range(5)], STATEMENT)
+    # The same batch under the same number again, as after a failure that lost the progress of the stream.
+    for progress in ("one", "two"):
+        st.stream_gold_refresh(read(spark, landing, STATEMENT), sums, gold, str(tmp_path / progress)).awaitTermination()
+    assert {r["revenue"] for r in spark.read.parquet(gold).collect()} == {1000.0}
+    stored = spark.read.parquet(sums)
+    assert stored.count() == 5
+
+
+def test_compacted_catalog_serves_the_stream(spark, tmp_path):
+    landing, catalog, compact, progress = (str(tmp_path / n) for n in ("in", "catalog", "compact", "progress"))
+    for i in range(3):
+        land(spark, landing, [(i, "f", f"h{i}"), (10 + i, "f", "h0")], OBJECT)
+        st.stream_ingest(read(spark, landing, OBJECT), catalog, progress, [F.asc("doc_id")]).awaitTermination()
+    st.compact_catalog(spark, catalog, compact)
+    assert spark.read.parquet(compact).select("batch_id").distinct().count() == 1
+    land(spark, landing, [(20, "f", "h1"), (21, "f", "h9")], OBJECT)
+    st.stream_ingest(read(spark, landing, OBJECT), compact, progress, [F.asc("doc_id")]).awaitTermination()
+    assert sorted(r["doc_id"] for r in spark.read.parquet(compact).collect()) == [0, 1, 2, 21]
+
