@@ -14,7 +14,7 @@ ORACLES["op2_minhash_dedup"] = f"""
 WITH RECURSIVE w AS (SELECT doc_id, {_WHITE.format(_LOWER.format('text'))} AS w FROM documents),
 sets AS (
   SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
-    ELSE list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]) END)) AS s FROM w),
+    ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END)) AS s FROM w),
 nodes AS (SELECT min(doc_id) AS id, s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
 items AS (SELECT id, n, unnest(s) AS g FROM nodes),
 rare AS (SELECT g, count(*) AS c FROM items GROUP BY g),
@@ -51,7 +51,7 @@ _SPLIT = {"hex": "[0-9a-f]{32,}"}
 def _found(n: int, kind: str, role: str, pattern: str, good: str) -> str:
     pattern = _SPLIT.get(kind, pattern)
     return f"""SELECT doc_id, {n} AS rank, '{kind}' AS kind, '{role}' AS role, s AS start, s + length(m) AS "end" FROM (
-  SELECT doc_id, m, list_sum(list_transform(g[:i], x -> length(x))) + coalesce(list_sum(list_transform(h[:i - 1], x -> length(x))), 0) AS s
+  SELECT doc_id, m, list_sum(list_transform(g[:i], lambda x: length(x))) + coalesce(list_sum(list_transform(h[:i - 1], lambda x: length(x))), 0) AS s
   FROM (SELECT doc_id, g, h, unnest(h) AS m, unnest(range(1, len(h) + 1)) AS i FROM (
     SELECT doc_id, string_split_regex(text, '{pattern}') AS g, regexp_extract_all(text, '{pattern}') AS h FROM documents))) WHERE {good}"""
 
@@ -73,10 +73,10 @@ FROM documents LEFT JOIN base USING (doc_id) LEFT JOIN everything USING (doc_id)
 """
 
 ORACLES["op8_exact_topk"] = """
-WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-  AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), i -> q.v[i] * c.v[i]))::BIGINT AS score
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
 r AS (SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
