@@ -62,11 +62,15 @@ def parse_statement_dates(df: DataFrame) -> DataFrame:
 
 
 def leaves(df: DataFrame, keys: list[str], code: str = "CD_CONTA") -> DataFrame:
-    """Rows whose account has no direct child in the same group."""
+    """Rows whose account has no direct child in the same group.
+
+    Written as an outer join: the optimizer would move an anti join below the sums it is to run on.
+    """
     parents = (
         df.select(*keys, F.regexp_extract(code, r"^(.*)\.[^.]+$", 1).alias(code)).filter(F.col(code) != "").distinct()
     )
-    return df.join(parents, [*keys, code], "left_anti")
+    marked = parents.withColumn("_parent", F.lit(True))
+    return df.join(marked, [*keys, code], "left").filter(F.col("_parent").isNull()).drop("_parent")
 
 
 def account_sums(
