@@ -6,6 +6,7 @@ libraries, but not this package.
 
 from __future__ import annotations
 
+import math
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -42,6 +43,24 @@ def bucket(key: str, n: int) -> Column:
     return (F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % F.lit(n)).cast("int")
 
 
+SHARES = 1 << 20
+
+
+def share_of(hashed: Column, rows: int, known: int) -> Column:
+    """Whether a hash falls into the share of hashes that leaves about ``rows`` of ``known`` distinct ones."""
+    return F.pmod(hashed, F.lit(SHARES)) < math.ceil(min(1.0, rows / max(1, known)) * SHARES)
+
+
+def sample_labels(labels: DataFrame, key: str, label: str, rows: int) -> DataFrame:
+    """__key, __label: about ``rows`` distinct labelled keys, taken by hash of the key, and twice as many at most.
+
+    Keys are chosen where they are scanned, so no task gathers more than the sample.
+    """
+    known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull())
+    known = known.select(F.col(key).alias("__key"), F.col(label).cast("int").alias("__label")).distinct()
+    return known.where(share_of(F.xxhash64(F.lit(7), "__key"), rows, known.count())).limit(2 * rows)
+
+
 def worker_cache(name: str, make: Callable[[], Any]) -> Any:
     """An object kept for the life of a Python worker, across its tasks."""
     store = sys.modules.setdefault("_llm_worker_cache", types.ModuleType("_llm_worker_cache")).__dict__

@@ -21,13 +21,13 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from issuerlake.llm.common import map_columns, worker_cache
+from issuerlake.llm.common import SHARES, map_columns, worker_cache
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 N_MAX = 3
-# Bounds of the fitting sample: rows and landmarks per language, characters of a sampled text, rows in all.
-ROWS_PER_LANGUAGE, LANDMARKS_PER_LANGUAGE, SAMPLE_CHARS, SAMPLE_ROWS = 200, 24, 20_000, 10_000
+# Bounds of the fitting sample: languages (most frequent first), rows and landmarks per language, characters of a sampled text, rows in all.
+LANGUAGES, ROWS_PER_LANGUAGE, LANDMARKS_PER_LANGUAGE, SAMPLE_CHARS, SAMPLE_ROWS = 500, 200, 24, 20_000, 10_000
 RIDGE = 0.003
 SHARPNESS = 6.0
 SLOT_BITS = 21
@@ -133,10 +133,17 @@ def fit(rows: list[tuple[str, str]], landmarks_per_language: int = LANDMARKS_PER
 
 
 def sample(docs: DataFrame, text: str = "text", lang: str = "lang") -> list[tuple[str, str]]:
-    """A bounded sample of the learnable rows: per language the rows whose text hashes lowest."""
+    """A bounded sample of the learnable rows: per language about ROWS_PER_LANGUAGE different texts, by hash.
+
+    Texts are chosen where they are scanned; only the chosen ones move.
+    """
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= SAMPLE_CHARS))
     known = known.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
-    first = known.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text")))
+    sizes = known.groupBy("lang").agg(F.approx_count_distinct("h").alias("known")).orderBy(F.desc("known"), "lang").limit(LANGUAGES)
+    near = known.join(F.broadcast(sizes), "lang")  # a row per language, LANGUAGES at most
+    share = F.least(F.lit(1.0), 1.5 * ROWS_PER_LANGUAGE / F.col("known"))
+    near = near.where(F.pmod("h", F.lit(SHARES)) < F.ceil(share * SHARES)).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    first = near.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
     rows = first.where(F.col("n") <= ROWS_PER_LANGUAGE).orderBy("n", "lang").limit(SAMPLE_ROWS)
     return [(r["lang"], r["text"]) for r in rows.select("lang", "text").collect()]
 
