@@ -27,7 +27,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from issuerlake.llm.common import map_columns
+from issuerlake.llm.common import map_columns, share_of
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -235,9 +235,11 @@ def counts(source: str) -> list[tuple[str, int, int]]:
 
 
 def train(pages: DataFrame, html: str = "html", sample_pages: int = SAMPLE_PAGES) -> dict[str, float]:
-    """Weights of words and tags from at most ``sample_pages`` labelled pages."""
-    labelled = pages.where(F.lower(html).rlike("<(article|main)\\b")).select(F.col(html).alias("html"))
-    chosen = labelled.select("html", F.xxhash64("html").alias("h")).orderBy("h", "html").limit(sample_pages).repartition(8)
+    """Weights of words and tags from about ``sample_pages`` different labelled pages."""
+    labelled = pages.where(F.lower(html).rlike("<(article|main)\\b")).select(F.col(html).alias("html"), F.xxhash64(html).alias("h"))
+    known = labelled.agg(F.approx_count_distinct("h")).first()[0]
+    # Pages are chosen where they are scanned; copies of a page count once.
+    chosen = labelled.where(share_of(F.col("h"), sample_pages, known)).groupBy("h").agg(F.min("html").alias("html"))
 
     def make():
         def block(sources):
