@@ -21,7 +21,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from issuerlake.llm.common import filter_rows, map_columns
+from issuerlake.llm.common import filter_rows, map_columns, sample_labels
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -199,14 +199,12 @@ def fit(x: np.ndarray, y: np.ndarray) -> Model:
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
           sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Fit on at most ``sample_rows`` labelled rows, taken by hash of their key.
+    """Fit on about ``sample_rows`` labelled rows, taken by hash of their key.
 
     The sample's keys and labels are bounded by that number, so they go to the documents; only the
     features of matching documents come back.
     """
-    known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull())
-    chosen = known.select(F.col(key).alias("__key"), F.col(label).cast("int").alias("__label"))
-    chosen = chosen.orderBy(F.xxhash64("__key"), "__key", "__label").limit(sample_rows)
+    chosen = sample_labels(labels, key, label, sample_rows)
     rows = docs.join(F.broadcast(chosen), F.col(key) == F.col("__key")).select("__key", "__label", F.col(text).alias("__text"))
 
     def make():
