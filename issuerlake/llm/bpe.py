@@ -26,7 +26,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 NONE = np.int64(1 << 40)
 # White-space separated chunks cached per worker before the cache starts afresh.
-CACHED_CHUNKS = 500_000
+CACHED_CHUNKS = 150_000
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # The vocabulary's own pre-tokenizer pattern, white space spelled out: a fixed value.
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{WHITE}\p{{L}}\p{{N}}]+"
@@ -172,7 +172,7 @@ def tables(spec: str) -> Merges:
     return worker_cache("bpe-" + hashlib.sha256(spec.encode()).hexdigest(), lambda: Merges(spec))
 
 
-def slices(texts: list[str | None], chars: int = 4_000_000):
+def slices(texts: list[str | None], chars: int = 1_000_000):
     """Consecutive runs of texts of limited total length; a longer text stands alone."""
     start, total = 0, 0
     for i, t in enumerate(texts):

@@ -44,6 +44,9 @@ def bucket(key: str, n: int) -> Column:
 
 
 SHARES = 1 << 20
+PIECE_BYTES = 1_000_000
+# Rows of an Arrow batch, where the session has not set its own number: texts can be long.
+BATCH_ROWS = 512
 
 
 def share_of(hashed: Column, rows: int, known: int) -> Column:
@@ -62,11 +65,31 @@ def sample_labels(labels: DataFrame, key: str, label: str, rows: int) -> DataFra
 
 
 def worker_cache(name: str, make: Callable[[], Any]) -> Any:
-    """An object kept for the life of a Python worker, across its tasks."""
-    store = sys.modules.setdefault("_llm_worker_cache", types.ModuleType("_llm_worker_cache")).__dict__
-    if name not in store:
-        store[name] = make()
-    return store[name]
+    """An object that a Python worker keeps across tasks, until an operator asks for one of another name.
+
+    Workers outlive the query they were started for, so only one object is held.
+    """
+    held = sys.modules.setdefault("_llm_worker_cache", types.ModuleType("_llm_worker_cache"))
+    if getattr(held, "name", None) != name:
+        held.name = held.object = None
+        held.object = make()
+        held.name = name
+    return held.object
+
+
+def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about PIECE_BYTES, so that few of its texts are Python objects at a time."""
+    rows = max(1, batch.num_rows * PIECE_BYTES // max(1, batch.nbytes))
+    for i in range(0, batch.num_rows, rows):
+        yield batch.slice(i, rows)
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """The table, in a session whose Arrow batches hold BATCH_ROWS rows unless it says otherwise."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(name) == "10000":  # Spark's default
+        conf.set(name, str(BATCH_ROWS))
+    return df
 
 
 def map_columns(
@@ -82,12 +105,12 @@ def map_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = make()
-        for batch in batches:
+        for batch in (p for b in batches for p in pieces(b)):
             if batch.num_rows:
                 out = f(*(c.to_pylist() for c in batch.columns))
                 yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(out, arrow)], schema=arrow)
 
-    return df.select(*columns).mapInArrow(run, fields)
+    return small_batches(df.select(*columns)).mapInArrow(run, fields)
 
 
 def filter_rows(df: DataFrame, column: str, make: Callable[[], Callable[[list], np.ndarray]]) -> DataFrame:
@@ -96,7 +119,7 @@ def filter_rows(df: DataFrame, column: str, make: Callable[[], Callable[[list],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = make()
-        for batch in batches:
+        for batch in (p for b in batches for p in pieces(b)):
             yield batch.filter(pa.array(np.asarray(f(batch.column(at).to_pylist()), dtype=bool)))
 
-    return df.mapInArrow(run, df.schema)
+    return small_batches(df).mapInArrow(run, df.schema)

@@ -31,7 +31,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from issuerlake.llm.common import map_columns, white_words, worker_cache
+from issuerlake.llm.common import map_columns, pieces, small_batches, white_words, worker_cache
 from issuerlake.session import shared_dir
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -42,7 +42,7 @@ SYMBOLS = CHUNKS * CHUNK
 CUT = 28
 # Members of a block, and rows of a list of keys that may go to every task; longer lists are joined by shuffle.
 BLOCK, BROADCAST_ROWS = 1_024, 4_000_000
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 _RNG = np.random.default_rng(20_261)
 FLIP = _RNG.integers(0, 1 << 32, SYMBOLS, dtype=np.uint32)[:, None]
 FACTOR = (_RNG.integers(0, 1 << 32, SYMBOLS, dtype=np.uint32) | np.uint32(1))[:, None]
@@ -254,7 +254,7 @@ def per_group(df: DataFrame, keys: list[str], columns: list[str], schema: str, m
             columns = zip(*rows) if rows else [[] for _ in arrow]
             return pa.RecordBatch.from_arrays([pa.array(list(c), t.type) for c, t in zip(columns, arrow)], schema=arrow)
 
-        for batch in batches:
+        for batch in (p for b in batches for p in pieces(b)):
             out = [x for g in groups(zip(*(c.to_pylist() for c in batch.columns))) for x in f(g)]
             if out:
                 yield emit(out)
@@ -262,7 +262,7 @@ def per_group(df: DataFrame, keys: list[str], columns: list[str], schema: str, m
             yield emit(list(f(rest())))
 
     dealt = df.select(*keys, *columns).repartition(*keys).sortWithinPartitions(*keys, columns[0])
-    return dealt.mapInArrow(run, fields)
+    return small_batches(dealt).mapInArrow(run, fields)
 
 
 def open_pairs(slot: int, sig: np.ndarray, n: np.ndarray, lab: np.ndarray, side: np.ndarray, num: int, den: int):
