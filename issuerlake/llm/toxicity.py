@@ -27,14 +27,14 @@ from issuerlake.llm.common import filter_rows, map_columns, plain_words, sample_
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Bound of the fitting sample: labelled rows taken by hash; distinct traits kept of each, lowest hashes first.
-SAMPLE_ROWS, SAMPLE_TRAITS = 6_000, 8_000
+# Bound of the fitting sample: labelled rows taken by hash.
+SAMPLE_ROWS = 6_000
 # Lengths of word beginnings, in characters.
 STEMS = range(4, 9)
 TRAITS, MARKERS, FOLDS, RIDGE, STEPS = 300, 60, 3, 0.05, 8
 CATEGORIES = ["dense", "repeated", "toxic"]
 THRESHOLD = 0.5
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 
 
 class Traits(dict):
@@ -115,28 +115,18 @@ def regress(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def fit(rows: list[tuple[list[int], list[int], int]], y: np.ndarray) -> Model:
-    """``rows`` as of ``hashed``; in an order that does not depend on the cluster."""
+def fit(traits: list[int], markers: list[int], rows: list[tuple[list[int], list[int], int]], y: np.ndarray) -> Model:
+    """Model over chosen traits (``markers`` are numbers of some). A row holds the numbers of its traits, their counts, and
+    its number of words; rows come in an order that does not depend on the cluster."""
     if not len(y):
         return Model()
-    flat = np.concatenate([np.array(r[0], np.int64) for r in rows] or [np.empty(0, np.int64)])
-    row = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
-    names, at = np.unique(flat, return_inverse=True)
-    bad, good = np.bincount(at, y[row], len(names)), np.bincount(at, 1 - y[row], len(names))
-    rate = lambda n, total: (n + 0.5) / (total + 1)
-    odds = np.log(rate(bad, y.sum()) / rate(good, (1 - y).sum()))
-    strength = odds * np.sqrt(np.minimum(bad + good, 200))
-    chosen = np.argsort(-np.abs(strength), kind="stable")[:TRAITS]
-    markers = set(names[[i for i in chosen[:MARKERS] if odds[i] > 2]].tolist())
-    model = Model(np.sort(names[chosen]))
-    column = {h: i for i, h in enumerate(model.traits.tolist())}
-    counted = np.zeros((len(rows), len(column)))
-    for i, (traits, counts, _) in enumerate(rows):
-        known = np.isin(traits, model.traits)
-        counted[i, [column[h] for h in np.array(traits, np.int64)[known].tolist()]] = np.array(counts)[known]
+    model = Model(np.array(traits, np.int64))
+    counted = np.zeros((len(rows), len(traits)))
+    for i, (own, counts, _) in enumerate(rows):
+        counted[i, own] = counts
     x = weight(counted)
     # A word has several traits; the marker found most often stands for them.
-    marked = counted[:, [column[h] for h in markers]].max(axis=1, initial=0)
+    marked = counted[:, markers].max(axis=1, initial=0)
     length = np.array([max(1, r[2]) for r in rows])
     labels = np.c_[y * (marked / length > 0.01), y * (marked > 1), y]
     fold = np.arange(len(rows)) % FOLDS
@@ -154,26 +144,57 @@ def fit(rows: list[tuple[list[int], list[int], int]], y: np.ndarray) -> Model:
     return model
 
 
+def choose_traits(rows: DataFrame) -> tuple[list[int], list[int]]:
+    """(traits, numbers of the markers among them) that tell the labels apart best, counted in Spark."""
+
+    def make():
+        return lambda marks, texts: [marks, [hashed(t)[0] for t in texts]]
+
+    n, bad = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("__label"), F.lit(0))).first()
+    found = map_columns(rows, ["__label", "__text"], "label int, traits array<bigint>", make)
+    counted = found.select("label", F.explode("traits").alias("trait")).groupBy("trait").agg(
+        F.sum("label").alias("bad"), F.count_if(F.col("label") == 0).alias("good")
+    )
+    rate = lambda c, total: (F.col(c) + 0.5) / (total + 1)
+    odds = F.log(rate("bad", bad) / rate("good", n - bad))
+    strength = F.abs(odds) * F.sqrt(F.least(F.col("bad") + F.col("good"), F.lit(200)))
+    best = counted.where("bad + good > 1").select("trait", odds.alias("odds"), strength.alias("strength"))
+    best = best.orderBy(F.desc("strength"), "trait").limit(TRAITS).collect()
+    traits = sorted(r["trait"] for r in best)
+    place = {t: i for i, t in enumerate(traits)}
+    return traits, sorted(place[r["trait"]] for r in best[:MARKERS] if r["odds"] > 2)
+
+
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
           sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Fit on about ``sample_rows`` labelled rows, taken by hash of their key; the sample's keys go to
-    the documents, and only hashes of the matching documents' traits come back."""
+    """Fit on about ``sample_rows`` labelled rows, taken by hash of their key.
+
+    The sample's keys go to the documents. A first pass over the matching ones counts traits in Spark; of a second
+    only the chosen traits' counts come back.
+    """
     chosen = sample_labels(labels, key, label, sample_rows)
     rows = docs.join(F.broadcast(chosen), F.col(key) == F.col("__key")).select("__key", "__label", F.col(text).alias("__text"))
+    traits, markers = choose_traits(rows)
 
     def make():
+        known = np.array(traits, np.int64)
+
+        def features(text):
+            own, counts, n = hashed(text)
+            at = np.isin(own, known)
+            return np.searchsorted(known, np.array(own, np.int64)[at]).tolist(), np.array(counts, np.int64)[at].tolist(), n
+
         def block(keys, marks, texts):
-            found = [hashed(t) for t in texts]
-            return [keys, marks, [w[:SAMPLE_TRAITS] for w, _, _ in found], [c[:SAMPLE_TRAITS] for _, c, _ in found], [n for _, _, n in found]]
+            found = [features(t) for t in texts]
+            return [keys, marks, *([f[i] for f in found] for i in range(3))]
 
         return block
 
     kind = docs.schema[key].dataType.simpleString()
-    schema = f"key {kind}, label int, traits array<bigint>, counts array<int>, n bigint"
-    got = map_columns(rows, ["__key", "__label", "__text"], schema, make)
+    got = map_columns(rows, ["__key", "__label", "__text"], f"key {kind}, label int, traits array<int>, counts array<int>, n bigint", make)
     # A key may repeat in the documents; the bound holds for the rows that reach the driver, too.
-    table = got.orderBy(F.xxhash64("key"), "key", "label", "n", "traits").limit(sample_rows).toPandas()
-    return fit(list(zip(table["traits"], table["counts"], table["n"])), table["label"].to_numpy(float))
+    table = got.orderBy(F.xxhash64("key"), "key", "label", "n", "traits").limit(2 * sample_rows).toPandas()
+    return fit(traits, markers, list(zip(table["traits"], table["counts"], table["n"])), table["label"].to_numpy(float))
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:

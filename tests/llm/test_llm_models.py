@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 import pytest
 
-from issuerlake.llm import html, language, quality
+from issuerlake.llm import html, language, quality, toxicity
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 LARGER = os.path.join(os.path.dirname(SF), "sf0.01")
@@ -153,3 +153,37 @@ def test_kernel_counts_shared_grams():
     sets = [set(language.grams(t).tolist()) & known for t in texts]
     want = [[len(a & b) / max(1e-9, np.sqrt(len(a) * len(b))) for b in (sets[0], sets[1], sets[2])] for a in sets]
     assert np.allclose(model.kernel(texts), want, atol=1e-6)
+
+
+# --- toxicity ----------------------------------------------------------------------------------
+
+
+@needs_data
+def test_toxicity_of_held_out_labels(spark):
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet")
+    labels = spark.read.parquet(f"{LARGER}/labels.parquet")
+    marks = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    learn = labels.where("crc32(cast(doc_id as string)) % 5 <> 0")
+    model = toxicity.train(docs, learn)
+    assert len(model.weights) == 3 and [len(w) for w in model.weights] == [len(model.traits) + i + 1 for i in range(3)]
+    scores = {r["doc_id"]: r["toxic"] for r in toxicity.score(docs, model).collect()}
+    held = [(scores[i] >= 0.5, m) for i, m in marks.items() if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert np.mean([p == bool(m) for p, m in held]) > 0.9 and not any(p and not m for p, m in held)
+    kept = {r["doc_id"] for r in toxicity.keep_civil(docs, model).collect()}
+    assert kept == {i for i, s in scores.items() if s < 0.5}
+    again = toxicity.score(docs, toxicity.train(docs.repartition(5), learn.repartition(3))).collect()
+    assert {r["doc_id"]: r["toxic"] for r in again} == scores
+
+
+def test_toxicity_of_awkward_rows(spark):
+    texts = [None, "", " ", "you moron", "a kind word", "moronic morons", "word " * 100_000, "moron"] + ["plain text here"] * 20 + ["such a moron"] * 20
+    docs = spark.createDataFrame([(i, t, "x", 0.5) for i, t in enumerate(texts)] + [(None, "moron", "x", 0.5)], "doc_id bigint, text string, dense string, toxic double")
+    rows = [(i, int(i in (3, 7) or i >= 28)) for i in range(len(texts)) if i != 5] + [(99, 1), (None, 1), (4, None), (5, 7), (2, 0)]
+    labels = spark.createDataFrame(rows, "doc_id bigint, toxic int")
+    found = toxicity.score(docs, toxicity.train(docs, labels)).collect()
+    by = {r["doc_id"]: r["toxic"] for r in found}
+    assert len(found) == len(texts) + 1 and all(0 <= r[c] <= 1 for r in found for c in toxicity.CATEGORIES)
+    assert by[0] == by[1] == by[2] and by[3] > 0.5 > by[4] and by[5] > 0.5 and by[6] < 0.5 and by[None] > 0.5
+    nothing = toxicity.train(docs, labels.limit(0))
+    assert {r["toxic"] for r in toxicity.score(docs, nothing).collect()} == {0.0}
+    assert toxicity.score(docs.limit(0), nothing).count() == 0
