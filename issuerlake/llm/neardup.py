@@ -14,9 +14,10 @@ one gets these members' texts and tests their pairs on full sets, leaving out pa
 already connected. Only links leave the tasks. Every pair that shares a key is thus linked, tested, or
 connected by links already, and connected components need no more.
 
-Documents of equal sets are one node, named by their smallest key. Rows without words (null, empty,
-white space) have size 0 and are linked with nothing. A row with a null key is linked with nothing
-and kept. Rows that repeat a key share its component. Texts count whole.
+Documents of equal sets are one node, named by 64 bits of the set's digest. Rows without words (null,
+empty, white space) have size 0 and are linked with nothing. A row with a null key is linked with
+nothing and kept. Texts count whole. Where a key repeats with other texts, ``link`` gives nodes with
+the same smallest key one component, and ``keep_first`` judges every text by its own node.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from issuerlake.llm.common import map_columns, pieces, small_batches, white_words, worker_cache
 from issuerlake.session import shared_dir
@@ -111,8 +113,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def halves(hashes: np.ndarray) -> tuple[int, int]:
+    """The two halves of a set's digest."""
+    return tuple(np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), np.int64).tolist())
+
+
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """id, n, two halves of the set's digest, signature (null without words)."""
+    """doc, n, two halves of the set's digest, signature (null without words)."""
 
     def make():
         def block(keys, texts):
@@ -121,9 +128,9 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                 u = shingles(t, width)
                 n.append(len(u))
                 if len(u):
-                    digest = np.frombuffer(xxhash.xxh3_128_digest(u.tobytes()), np.int64)
-                    a.append(int(digest[0]))
-                    b.append(int(digest[1]))
+                    x, y = halves(u)
+                    a.append(x)
+                    b.append(y)
                     s.append(signature(u).tobytes())
                 else:
                     a.append(None)
@@ -133,8 +140,8 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
 
         return block
 
-    kind = docs.schema["id"].dataType.simpleString()
-    return map_columns(docs, ["id", "text"], f"id {kind}, n bigint, a bigint, b bigint, sig binary", make)
+    kind = docs.schema["doc"].dataType.simpleString()
+    return map_columns(docs, ["doc", "text"], f"doc {kind}, n bigint, a bigint, b bigint, sig binary", make)
 
 
 def keyed(nodes: DataFrame) -> DataFrame:
@@ -174,24 +181,23 @@ def keep_near(pairs: DataFrame, num: int, den: int) -> DataFrame:
 
 def texts_of(docs: DataFrame, ids: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     """id, text of the named nodes. Ids go to the documents if they are few enough; texts move otherwise."""
-    named = ids.join(nodes, "id").select("id", F.col("a").alias("wanted"))
+    named = ids.join(nodes, "id").select("doc", F.col("id").alias("wanted"))
     if named.count() <= BROADCAST_ROWS:
         named = F.broadcast(named)
 
     def make():
-        def block(keys, texts, wanted):
+        def block(texts, wanted):
             out = [], []
-            for k, t, a in zip(keys, texts, wanted):
+            for t, a in zip(texts, wanted):
                 # A key that repeats with another text is another node.
-                if int(np.frombuffer(xxhash.xxh3_128_digest(shingles(t, width).tobytes()), np.int64)[0]) == a:
-                    out[0].append(k)
+                if halves(shingles(t, width))[0] == a:
+                    out[0].append(a)
                     out[1].append(t)
             return list(out)
 
         return block
 
-    kind = docs.schema["id"].dataType.simpleString()
-    got = map_columns(docs.join(named, "id"), ["id", "text", "wanted"], f"id {kind}, text string", make)
+    got = map_columns(docs.join(named, "doc"), ["text", "wanted"], "id bigint, text string", make)
     return written(got, "neardup-texts")
 
 
@@ -242,7 +248,6 @@ def per_group(df: DataFrame, keys: list[str], columns: list[str], schema: str, m
         return f, groups, lambda: held
 
     from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
 
     fields = StructType.fromDDL(schema)
     arrow = to_arrow_schema(fields)
@@ -374,20 +379,15 @@ def components(edges: DataFrame) -> DataFrame:
         mark = now
 
 
-def link(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, similarity: tuple[int, int] = (80, 100)
-) -> DataFrame:
-    """key, n_shingles, component_id, kept for every document.
+def grouped(sketched: DataFrame, rows: DataFrame, width: int, similarity: tuple[int, int], by_key: bool) -> DataFrame:
+    """a, b, component_id of every set: the smallest key of the component of its node.
 
-    Documents are linked if ``den * intersection >= num * union`` on full sets, with
-    ``similarity = (num, den)``; components are those of the links.
+    With ``by_key`` nodes that have the same smallest key are in one component.
     """
     num, den = similarity
-    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    sketched = written(sketches(rows, width), "neardup-sketches")
-    known = sketched.where("n > 0 and id is not null")
-    nodes = known.groupBy("a", "b").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.min("sig").alias("sig"))
-    nodes = written(nodes, "neardup-nodes")
+    known = sketched.where("n > 0 and doc is not null")
+    nodes = known.groupBy("a", "b").agg(F.min("doc").alias("doc"), F.min("n").alias("n"), F.min("sig").alias("sig"))
+    nodes = written(nodes.withColumn("id", F.col("a")), "neardup-nodes")
     keys = keyed(nodes)
     heads = keys.groupBy("key").agg(F.min("id").alias("head"), F.count("*").alias("size")).where("size > 1")
     members = written(keys.join(heads, "key"), "neardup-members")
@@ -414,19 +414,66 @@ def link(
     texts = texts_of(rows, rest.select("id").distinct(), nodes, width)
     more = test_open(rest.join(texts, "id"), width, num, den)
 
-    found = components(star.union(more))
-    named = nodes.join(found, "id", "left").select("a", "b", F.coalesce("component", "id").alias("component_id"))
-    out = sketched.select("id", "n", "a", "b").join(named, ["a", "b"], "left")
-    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
-    component = F.when(F.col("id").isNotNull(), component)
-    return out.select(
-        F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"),
-        F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
-    )
+    edges = star.union(more)
+    if by_key:
+        shared = nodes.groupBy("doc").agg(F.min("id").alias("v"), F.count("*").alias("sets")).where("sets > 1")
+        edges = edges.union(nodes.join(shared, "doc").select(F.col("id").alias("u"), "v"))
+    found = components(edges)
+    # Components of one node are left out: their smallest key is the node's own.
+    found = found.union(found.select("component", "component").distinct())
+    low = found.join(nodes.select("id", "doc"), "id").groupBy("component").agg(F.min("doc").alias("low"))
+    found = found.join(low, "component").select("id", "low")
+    return nodes.join(found, "id", "left").select("a", "b", F.coalesce("low", "doc").alias("component_id"))
+
+
+def decided(docs: DataFrame, key: str, text: str, width: int, similarity: tuple[int, int], by_key: bool) -> DataFrame:
+    """doc, n, a, b, component_id, kept of every row."""
+    rows = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
+    sketched = written(sketches(rows, width), "neardup-sketches")
+    named = grouped(sketched, rows, width, similarity, by_key)
+    out = sketched.select("doc", "n", "a", "b").join(named, ["a", "b"], "left")
+    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc"))
+    component = F.when(F.col("doc").isNotNull(), component)
+    out = out.withColumn("component_id", component)
+    return out.withColumn("kept", F.coalesce(F.col("doc") == F.col("component_id"), F.lit(True)))
+
+
+def link(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, similarity: tuple[int, int] = (80, 100)
+) -> DataFrame:
+    """key, n_shingles, component_id, kept for every document.
+
+    Documents are linked if ``den * intersection >= num * union`` on full sets, with
+    ``similarity = (num, den)``; components are those of the links.
+    """
+    out = decided(docs, key, text, width, similarity, by_key=True)
+    return out.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), "component_id", "kept")
+
+
+def with_digest(docs: DataFrame, text: str, width: int) -> DataFrame:
+    """The table with the halves of the set's digest of every row as __a and __b, null without words."""
+    at = docs.columns.index(text)
+    fields = StructType([*docs.schema.fields, StructField("__a", LongType()), StructField("__b", LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (p for b in batches for p in pieces(b)):
+            sets = (shingles(t, width) for t in batch.column(at).to_pylist())
+            digests = [halves(u) if len(u) else (None, None) for u in sets]
+            more = [pa.array([d[i] for d in digests], pa.int64()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "__a", "__b"])
+
+    return small_batches(docs).mapInArrow(run, fields)
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5,
                similarity: tuple[int, int] = (80, 100)) -> DataFrame:
-    """One document of each component, the one with the smallest key; all columns unchanged."""
-    gone = link(docs, key, text, width, similarity).where("not kept").select(F.col(key).alias("__gone")).distinct()
-    return docs.join(gone, docs[key] == gone["__gone"], "left_anti")
+    """One document of each component, the one with the smallest key; all columns unchanged.
+
+    Rows go by key and set: of a key with several texts only those go of which another row stays.
+    """
+    gone = decided(docs, key, text, width, similarity, by_key=False).where("not kept")
+    gone = gone.select(F.col("doc").alias("__gone"), F.col("a").alias("__x"), F.col("b").alias("__y")).distinct()
+    # Rows that go have a key and words, so nulls need not match.
+    rows = with_digest(docs, text, width)
+    same = (rows[key] == gone["__gone"]) & (rows["__a"] == gone["__x"]) & (rows["__b"] == gone["__y"])
+    return rows.join(gone, same, "left_anti").select(*docs.columns)

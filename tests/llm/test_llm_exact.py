@@ -212,6 +212,19 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, width, block, row
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted((i for i, *_, k in want if k), key=str)
 
 
+def test_removal_of_a_key_with_several_texts(spark):
+    rng = np.random.default_rng(5)
+    text = lambda: " ".join(f"v{i}" for i in rng.integers(0, 10**6, 60))
+    copied, near, lone, twin = text(), text(), text(), text()
+    rows = [(3, copied), (5, copied), (5, lone), (4, near), (7, near + " end"), (7, twin), (8, twin), (5, None), (5, ""), (None, copied), (9, twin + " z"), (3, lone[::-1])]
+    for n in range(40):  # a key that holds most rows, one of them a copy
+        rows.append((6, text()))
+    rows.append((6, copied))
+    kept = neardup.keep_first(documents(spark, [t for _, t in rows], [i for i, _ in rows]).repartition(3))
+    gone = [(5, copied), (7, near + " end"), (8, twin), (9, twin + " z"), (6, copied)]
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted((r for r in rows if r not in gone), key=str)
+
+
 def test_near_duplicates_of_empty_table(spark):
     assert neardup.link(documents(spark, [])).count() == 0
     assert neardup.link(documents(spark, [None, ""])).count() == 2
