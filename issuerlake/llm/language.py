@@ -26,8 +26,9 @@ from issuerlake.llm.common import SHARES, map_columns, worker_cache
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 N_MAX = 3
-# Bounds of the fitting sample: languages (most frequent first), rows and landmarks per language, characters of a sampled text, rows in all.
-LANGUAGES, ROWS_PER_LANGUAGE, LANDMARKS_PER_LANGUAGE, SAMPLE_CHARS, SAMPLE_ROWS = 500, 200, 24, 20_000, 10_000
+# Bounds of the fitting sample: languages (most frequent first), rows and landmarks per language, rows in all, and
+# bytes of n-gram hashes in all, shared evenly between the languages (the last row of each is taken whole).
+LANGUAGES, ROWS_PER_LANGUAGE, LANDMARKS_PER_LANGUAGE, SAMPLE_ROWS, SAMPLE_BYTES = 500, 200, 24, 10_000, 128_000_000
 RIDGE = 0.003
 SHARPNESS = 6.0
 SLOT_BITS = 21
@@ -77,16 +78,16 @@ class Model:
     landmarks: np.ndarray  # n-gram x landmark, presence over the root of the landmark's number
     weights: np.ndarray  # landmark x language: inverse root times ridge solution
 
-    def present(self, text: str) -> np.ndarray:
-        """Numbers of the known n-grams present in a text."""
-        h = grams(text)
+    def present(self, text: str | np.ndarray) -> np.ndarray:
+        """Numbers of the known n-grams present in a text, or among its n-gram hashes."""
+        h = grams(text) if isinstance(text, str) else text
         at = self.slots[h >> np.uint32(32 - SLOT_BITS)]
         seen = np.zeros(len(self.hashes) + 1, bool)
         seen[at[self.hashes[np.minimum(at, len(self.hashes) - 1)] == h]] = True
         seen[-1] = False
         return np.flatnonzero(seen)
 
-    def kernel(self, texts: list[str]) -> np.ndarray:
+    def kernel(self, texts: list[str] | list[np.ndarray]) -> np.ndarray:
         m = np.zeros((len(texts), len(self.hashes)), np.float32)
         for i, t in enumerate(texts):
             p = self.present(t)
@@ -101,18 +102,25 @@ class Model:
         return e / e.sum(axis=1, keepdims=True)
 
 
-def fit(rows: list[tuple[str, str]], landmarks_per_language: int = LANDMARKS_PER_LANGUAGE, ridge: float = RIDGE) -> Model | None:
-    """Model of (language, text) rows; None if no row has a letter."""
-    rows = sorted((lang, text) for lang, text in rows if len(grams(text)))
+def fit(
+    rows: list[tuple[str, str | np.ndarray]], landmarks_per_language: int = LANDMARKS_PER_LANGUAGE, ridge: float = RIDGE
+) -> Model | None:
+    """Model of (language, text or its distinct n-gram hashes) rows; None if no row has a letter."""
+    # Hashes stay in the order given.
+    rows = sorted(rows, key=lambda r: (r[0], r[1] if isinstance(r[1], str) else ""))
+    rows = [(lang, np.unique(grams(t)) if isinstance(t, str) else t) for lang, t in rows]
+    rows = [(lang, h) for lang, h in rows if len(h)]
     if not rows:
         return None
     languages = sorted({lang for lang, _ in rows})
-    chosen: list[str] = []
+    chosen: list[np.ndarray] = []
     for lang in languages:
         own = [t for g, t in rows if g == lang]
         step = max(1, len(own) // landmarks_per_language)
         chosen += own[::step][:landmarks_per_language]
-    hashes = np.unique(np.concatenate([grams(t) for t in chosen]))
+    hashes = np.unique(np.concatenate(chosen))
+    # Of n-grams of one slot only the last can be found.
+    hashes = hashes[np.r_[np.diff(hashes >> np.uint32(32 - SLOT_BITS)) > 0, True]]
     slots = np.full(1 << SLOT_BITS, len(hashes), np.int32)
     slots[hashes >> np.uint32(32 - SLOT_BITS)] = np.arange(len(hashes))
     model = Model(languages, hashes, slots, np.zeros((len(hashes), len(chosen)), np.float32), np.zeros((len(chosen), 1), np.float32))
@@ -132,20 +140,37 @@ def fit(rows: list[tuple[str, str]], landmarks_per_language: int = LANDMARKS_PER
     return model
 
 
-def sample(docs: DataFrame, text: str = "text", lang: str = "lang") -> list[tuple[str, str]]:
+def reduced(near: DataFrame) -> DataFrame:
+    """lang, h, grams: the distinct n-gram hashes of every text, as bytes; no row without letters."""
+
+    def make():
+        return lambda langs, hashes, texts: [langs, hashes, [np.unique(grams(t)).tobytes() for t in texts]]
+
+    return map_columns(near, ["lang", "h", "text"], "lang string, h bigint, grams binary", make).where(F.length("grams") > 0)
+
+
+def sample(docs: DataFrame, text: str = "text", lang: str = "lang") -> list[tuple[str, np.ndarray]]:
     """A bounded sample of the learnable rows: per language about ROWS_PER_LANGUAGE different texts, by hash.
 
-    Texts are chosen where they are scanned; only the chosen ones move.
+    Texts of any length are chosen where they are scanned, and reduced there to their distinct n-gram hashes;
+    only these move. A language gets fewer rows where they would exceed its share of SAMPLE_BYTES, but one at least.
     """
-    known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= SAMPLE_CHARS))
+    known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     known = known.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
     sizes = known.groupBy("lang").agg(F.approx_count_distinct("h").alias("known")).orderBy(F.desc("known"), "lang").limit(LANGUAGES)
-    near = known.join(F.broadcast(sizes), "lang")  # a row per language, LANGUAGES at most
-    share = F.least(F.lit(1.0), 1.5 * ROWS_PER_LANGUAGE / F.col("known"))
-    near = near.where(F.pmod("h", F.lit(SHARES)) < F.ceil(share * SHARES)).groupBy("lang", "h").agg(F.min("text").alias("text"))
-    first = near.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
-    rows = first.where(F.col("n") <= ROWS_PER_LANGUAGE).orderBy("n", "lang").limit(SAMPLE_ROWS)
-    return [(r["lang"], r["text"]) for r in rows.select("lang", "text").collect()]
+    sizes = [tuple(r) for r in sizes.collect()]  # a row per language
+    share = SAMPLE_BYTES // max(1, len(sizes))
+    sizes = docs.sparkSession.createDataFrame(sizes, "lang string, known bigint")
+    near = known.join(F.broadcast(sizes), "lang")
+    part = F.least(F.lit(1.0), 1.5 * ROWS_PER_LANGUAGE / F.col("known"))
+    near = near.where(F.pmod("h", F.lit(SHARES)) < F.ceil(part * SHARES))
+    near = reduced(near).groupBy("lang", "h").agg(F.min("grams").alias("grams"))
+    by_hash = Window.partitionBy("lang").orderBy("h")
+    first = near.withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= ROWS_PER_LANGUAGE)
+    total = F.sum(F.length("grams")).over(by_hash.rowsBetween(Window.unboundedPreceding, 0))
+    first = first.withColumn("before", total - F.length("grams")).where(F.col("before") < share)
+    rows = first.orderBy("n", "lang").limit(SAMPLE_ROWS)
+    return [(r["lang"], np.frombuffer(bytes(r["grams"]), np.uint32)) for r in rows.select("lang", "grams").collect()]
 
 
 def predict(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -146,6 +146,21 @@ def test_language_of_awkward_rows(spark):
     assert {r["lang_pred"] for r in language.predict(docs, language.fit(language.sample(docs.limit(0)))).collect()} == {"und"}
 
 
+def test_language_of_long_texts_only(spark):
+    rows = [(i, f"the cat and the dog number {i} " * 800, "en") for i in range(3)] + [(9, "le chat et le chien", "fr"), (10, "der hund und die katze", "de")]
+    docs = spark.createDataFrame(rows + [(11, "the dog and the cat", None)], "doc_id bigint, text string, lang string")
+    model = language.fit(language.sample(docs))
+    assert model.languages == ["de", "en", "fr"]
+    got = {r["doc_id"]: r["lang_pred"] for r in language.predict(docs, model).collect()}
+    assert got == {0: "en", 1: "en", 2: "en", 9: "fr", 10: "de", 11: "en"}
+
+
+def test_language_sample_is_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_BYTES", 10)
+    docs = spark.createDataFrame([(f"some text {i}", lang) for i in range(5) for lang in ("en", "fr")], "text string, lang string")
+    assert sorted(lang for lang, _ in language.sample(docs)) == ["en", "fr"]
+
+
 def test_kernel_counts_shared_grams():
     texts = ["the cat sat", "the hat", "un chat noir", "cat", "zzz"]
     model = language.fit([("en", texts[0]), ("en", texts[1]), ("fr", texts[2])])
