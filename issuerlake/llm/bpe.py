@@ -147,7 +147,7 @@ class Merges:
             parts = self.marks.split(text)
             return [w for i, p in enumerate(parts) for w in (["\0 " + p] if i % 2 else self.split(p))]
         # U+001C to U+001F are white space to Python only.
-        return self.spaces.split(text.strip()) if self.controls.search(text) else text.split()
+        return [c for c in self.spaces.split(text) if c] if self.controls.search(text) else text.split()
 
     def block(self, texts: list[str | None]) -> list[list[str]]:
         """Every text's chunks, all of them in the cache afterwards."""

@@ -128,6 +128,17 @@ def test_bpe_equals_the_library(spark):
     assert {r["doc_id"]: r["decoded"] for r in bpe.decode(encoded, path).collect()} == {i: d for i, (_, d) in want.items()}
 
 
+def test_bpe_keeps_controls_at_the_ends(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    t = Tokenizer.from_file(path)
+    texts = ["\x1cabc", "abc\x1f", "\x1d", " \x1c\x1e\x1f ", "\x1e<|endoftext|>\x1c", "<|endoftext|> \x1f<|endoftext|> a\x1d b", "\t\x1c\n", "<|endoftext|> \x1d "]
+    want = {}
+    for i, x in enumerate(texts):
+        e = t.encode(x, add_special_tokens=False)
+        want[i] = (len(e.ids), sha(" ".join(map(str, e.ids))), sha(t.decode(e.ids, skip_special_tokens=False)))
+    assert {r["doc_id"]: tuple(r)[1:] for r in bpe.digest(documents(spark, texts), path).collect()} == want
+
+
 def test_bpe_decodes_odd_ids_and_empty_tables(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     rows = spark.createDataFrame([(1, None), (2, []), (3, [518, None, 10**7])], "doc_id bigint, ids array<int>")
