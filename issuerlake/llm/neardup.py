@@ -180,7 +180,7 @@ def keep_near(pairs: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def texts_of(docs: DataFrame, ids: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """id, text of the named nodes. Ids go to the documents if they are few enough; texts move otherwise."""
+    """id, text of the named nodes, one row each. Ids go to the documents if they are few enough; texts move otherwise."""
     named = ids.join(nodes, "id").select("doc", F.col("id").alias("wanted"))
     if named.count() <= BROADCAST_ROWS:
         named = F.broadcast(named)
@@ -198,7 +198,8 @@ def texts_of(docs: DataFrame, ids: DataFrame, nodes: DataFrame, width: int) -> D
         return block
 
     got = map_columns(docs.join(named, "doc"), ["text", "wanted"], "id bigint, text string", make)
-    return written(got, "neardup-texts")
+    # Rows may repeat key and text; repeats are dropped before they move.
+    return written(got.groupBy("id").agg(F.min("text").alias("text")), "neardup-texts")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, num: int, den: int) -> DataFrame:

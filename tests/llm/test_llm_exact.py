@@ -236,6 +236,14 @@ def test_removal_of_a_key_with_several_texts(spark):
     assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted((r for r in rows if r not in gone), key=str)
 
 
+def test_texts_are_one_per_node(spark):
+    rows = spark.createDataFrame([(1, "a b c")] * 50 + [(1, "d e f"), (2, "g h")], "doc bigint, text string").repartition(4)
+    known = neardup.sketches(rows, 2)
+    nodes = known.groupBy("a", "b").agg({"doc": "min"}).withColumnRenamed("min(doc)", "doc").selectExpr("doc", "a", "b", "a AS id")
+    got = neardup.texts_of(rows, nodes.select("id"), nodes, 2)
+    assert sorted(r["text"] for r in got.collect()) == ["a b c", "d e f", "g h"]
+
+
 def test_near_duplicates_of_empty_table(spark):
     assert neardup.link(documents(spark, [])).count() == 0
     assert neardup.link(documents(spark, [None, ""])).count() == 2
