@@ -5,7 +5,7 @@ shingle). A signature has CHUNKS * CHUNK symbols of b = 16 bits. Two signatures
 2 * CHUNKS symbols agree, by pigeonhole, in some chunk but for one symbol at most. The allowed error is
 enumerated by leaving out each symbol of a chunk in turn: such pairs share one of CHUNKS * CHUNK keys, so
 the join finds all of them. At a similarity of 0.8 a pair differs in 12 of 60 symbols on average, and
-in 24 or more about once in ten thousand; most of those share a key all the same.
+in 24 or more three times in ten thousand; most of those share a key all the same.
 
 No bucket is expanded into its pairs. First every member is compared with its bucket's smallest member,
 on full sets. Buckets that still hold documents not linked to one another are then searched in
@@ -40,7 +40,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CHUNKS, CHUNK = 12, 5
 SYMBOLS = CHUNKS * CHUNK
-# Candidates that differ in more symbols are not tested: 5 standard deviations from a similarity of 0.8.
+# Candidates that differ in more symbols are not tested: of pairs at a similarity of 0.8 about 8 in 10 million.
 CUT = 28
 # Members of a block, and rows of a list of keys that may go to every task; longer lists are joined by shuffle.
 BLOCK, BROADCAST_ROWS = 1_024, 4_000_000
