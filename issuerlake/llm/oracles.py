@@ -1,9 +1,12 @@
 """DuckDB SQL of the queries that SQL can express.
 
-Page texts, trained classifiers, token merges and matching with errors have no SQL form; the tests
-compare those queries with a brute-force version, the public library or labels held out.
+Page texts, trained classifiers, token merges and matching with errors have no SQL form, and runs of words none
+that ends in time on long texts; the tests compare those queries with a brute-force version, the public library or
+labels held out.
 """
 
+from issuerlake.llm import lines as _lines
+
 ORACLES: dict[str, str] = {}
 
 _LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -96,3 +99,47 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+_MENU = ", ".join(f"'{w}'" for w in _lines.MENU)
+_REPEATS = "len(list_filter(range(1, n), lambda i: w[i] = w[i + 1]))"
+ORACLES["op11_quality_rules"] = f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, {_WHITE.format("coalesce(text, '')")} AS w FROM documents),
+cut AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs),
+known AS (SELECT doc_id, line, {_LOWER.format('line')} AS lower, {_WHITE.format(_LOWER.format('line'))} AS w, len(w) AS n
+  FROM cut WHERE len({_WHITE.format('line')}) > 0),
+judged AS (SELECT doc_id, line, n, CASE
+  WHEN NOT regexp_matches(lower, '{_lines.SENTENCE.replace("'", "''")}') THEN 0
+  WHEN len(regexp_extract_all(lower, '{_lines.ODD}')) >= 2 AND 2 * len(regexp_extract_all(lower, '{_lines.ODD}')) >= n THEN 0
+  WHEN len(regexp_extract_all(lower, '{_lines.SEPARATOR}')) >= 2 AND 4 * len(regexp_extract_all(lower, '{_lines.SEPARATOR}')) >= n THEN 1
+  WHEN n <= 8 AND len(list_filter(w, lambda x: rtrim(x, '.!?') NOT IN ({_MENU}))) = 0 THEN 1
+  WHEN n <= 20 AND regexp_matches(lower, '{"|".join(_lines.PHRASES)}') THEN 2
+  WHEN {_REPEATS} >= 3 AND 2 * {_REPEATS} >= n THEN 2 END AS rule FROM known),
+per_line AS (SELECT doc_id, count(*) - count(DISTINCT line) AS dup, coalesce(sum(n) FILTER (rule = 0), 0)::BIGINT AS a,
+  coalesce(sum(n) FILTER (rule = 1), 0)::BIGINT AS b, coalesce(sum(n) FILTER (rule = 2), 0)::BIGINT AS c FROM judged GROUP BY doc_id),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM docs)),
+twice AS (SELECT doc_id, g FROM windows GROUP BY doc_id, g HAVING count(*) > 1),
+repeated AS (SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS k FROM windows JOIN twice USING (doc_id, g)) GROUP BY doc_id),
+counted AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+  length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(dup, 0) AS n_dup_lines,
+  coalesce(r.n, 0) AS n_repeat_words, coalesce(a, 0) AS lost_punctuation, coalesce(b, 0) AS lost_navigation, coalesce(c, 0) AS lost_boilerplate
+  FROM docs LEFT JOIN per_line USING (doc_id) LEFT JOIN repeated r USING (doc_id))
+SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND 2 * (lost_punctuation + lost_navigation + lost_boilerplate) <= n_words AS kept
+FROM counted
+"""
+
+ORACLES["op13_hard_negatives"] = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+  list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * c.v[i]))::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v) WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+  row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from issuerlake.llm import bpe, contamination, html, language, licenses, neardup, quality, secrets, topk, toxicity
+from issuerlake.llm import (
+    bpe, contamination, html, language, licenses, lines, neardup, negatives, periodic, quality, secrets, topk, toxicity,
+)
 from issuerlake.llm.common import bucket
 
 REGISTRY = {}
@@ -86,3 +88,20 @@ def op9_decontamination(spark, sf):
 @query
 def op10_license_scan(spark, sf):
     return licenses.digest(licenses.scan(table(spark, sf, "documents")))
+
+
+@query
+def op11_quality_rules(spark, sf):
+    return lines.digest(lines.measure(table(spark, sf, "documents")))
+
+
+@query
+def op12_periodic_runs(spark, sf):
+    return periodic.digest(table(spark, sf, "documents"), rewrite=periodic.repeat_tail)
+
+
+@query
+def op13_hard_negatives(spark, sf):
+    rows = negatives.prepare(table(spark, sf, "embeddings"), "vec_id", "embedding", "label")
+    rows = rows.withColumn("label", F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return negatives.mine(rows.where(F.col("id") % 100 == 0), rows)
