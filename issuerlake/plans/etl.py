@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from issuerlake import operators as op
 from issuerlake import schemas as sc
@@ -44,38 +45,44 @@ def financial_statements(
     """Quarterly and annual statement files -> enriched silver rows -> ``financials_quarterly``.
 
     A run covers the files it reads, for the issuers it names or all. In silver, which keeps rows by source
-    file, it replaces what it covers and leaves the rest; gold is then rebuilt from all of silver for the
-    aggregation types and years that the files have rows of, before or after. Runs over subsets of
-    issuers or over new files only thus end where one run over everything does.
+    file, it replaces what it covers and leaves the rest; gold, whose years are those of the reference date, is then
+    rebuilt from all of silver for the aggregation types and years that the files have rows of, before or after.
+    Runs over subsets of issuers or over new files only thus end where one run over everything does.
     """
-    rows = src.tag_origin_file(src.tag_files(src.with_path(src.read_delimited(spark, landing, schema))))
-    if as_of is not None:
-        rows = op.filter_years(rows, as_of, years_back, year="file_year", form="ORIGIN_FILE")
+
+    def covered(paths: DataFrame) -> DataFrame:
+        tagged = src.tag_origin_file(src.tag_files(paths))
+        return tagged if as_of is None else op.filter_years(tagged, as_of, years_back, year="file_year", form="ORIGIN_FILE")
+
+    rows = covered(src.with_path(src.read_delimited(spark, landing, schema)))
     if issuers is not None:
         rows = op.filter_issuer(rows, issuers)
     cleaned = op.parse_statement_dates(op.filter_last_exercise(rows))
     enriched = op.split_by_aggregation(op.enrich(op.scale_amounts(cleaned), run))
     enriched = enriched.withColumn("source_file", F.element_at(F.split("source_path", "/"), -1)).drop("source_path")
-    silver = f"{out}/silver/enriched/statements"
+    silver, table = f"{out}/silver/enriched/statements", f"{out}/gold/serving/financials_quarterly"
     stored = op.table_or_empty(spark, silver, enriched.schema)
-    # One name per file, and one pair per aggregation type and year.
-    files = [r[0] for r in _landed(spark, landing).select(F.element_at(F.split("path", "/"), -1)).distinct().collect()]
-    before = stored.filter(F.col("source_file").isin(files))
-    years = ["enr_aggregation_type", "enr_year"]
-    touched = {tuple(r) for r in before.select(*years).distinct().collect()}
+    landed = covered(_landed(spark, landing).withColumnRenamed("path", "source_path"))
+    files = landed.select(F.element_at(F.split("source_path", "/"), -1).alias("source_file")).distinct()
+    before = stored.join(files, "source_file", "left_semi")
     merged = enriched
     if issuers is not None:
         merged = enriched.unionByName(before.join(issuers.select(F.col("issuer_cnpj").alias("CNPJ_CIA")), "CNPJ_CIA", "left_anti"))
-    op.write_gold(merged, silver, ["enr_aggregation_type", "source_file"])
-    stored = spark.read.schema(enriched.schema).parquet(silver)
-    now = stored.filter(F.col("source_file").isin(files))
+    staged = op.stage_gold(merged, silver, ["enr_aggregation_type", "source_file"])
+    now = spark.read.schema(enriched.schema).parquet(staged)
     require(op.quality_report(now, {"issuer_missing": F.col("CNPJ_CIA").isNull()}), ["issuer_missing"])
-    touched |= {tuple(r) for r in now.select(*years).distinct().collect()}
-
-    table = f"{out}/gold/serving/financials_quarterly"
-    changed = spark.createDataFrame(sorted(touched), "enr_aggregation_type string, enr_year int")
-    rebuilt = op.financials_quarterly(stored.filter(F.col("enr_year").isin([y for _, y in touched])).join(changed, years, "left_semi"))
-    op.write_gold(rebuilt.withColumn("ref_year", F.col("year")), table, ["enr_aggregation_type", "ref_year"])
+    years = ["enr_aggregation_type", F.year("DT_REFER").alias("ref_year")]
+    # As many rows as aggregation types have years.
+    touched = {tuple(r) for part in (before, now) for r in part.select(*years).distinct().collect() if r[1] is not None}
+    changed = spark.createDataFrame(sorted(touched), "enr_aggregation_type string, ref_year int")
+    keys = changed.columns
+    op.switch_gold(spark, silver, staged, before.select("enr_aggregation_type", "source_file"))
+
+    stored = op.table_or_empty(spark, silver, enriched.schema).withColumn("ref_year", F.year("DT_REFER"))
+    rebuilt = op.financials_quarterly(stored.join(changed, keys, "left_semi"))
+    in_gold = T.StructType([*rebuilt.schema.fields, T.StructField("ref_year", T.IntegerType())])
+    outdated = op.table_or_empty(spark, table, in_gold).join(changed, keys, "left_semi")
+    op.write_gold(rebuilt.withColumn("ref_year", F.col("year")), table, keys, clear=outdated.select(*keys))
     gold = spark.read.parquet(table).select("enr_aggregation_type", *sc.FINANCIALS_COLUMNS)
     op.export_sheets(gold, f"{out}/gold/export/financials_quarterly")
     _serve(gold, out, "financials_quarterly", run, ["issuer_cnpj", "date"], "enr_aggregation_type")

@@ -1,5 +1,5 @@
 from issuerlake.streaming.jobs import (  # noqa: F401
-    compact_catalog, stream_gold_refresh, stream_ingest, stream_request_log,
+    compact_catalog, compact_sums, stream_gold_refresh, stream_ingest, stream_request_log,
 )
 from issuerlake.streaming.replays import (  # noqa: F401
     stream_gold_from_statements, stream_ingest_documents, stream_request_windows,

@@ -1,7 +1,7 @@
 """Incremental jobs. Each takes a streaming DataFrame and returns the started query.
 
-Batches are written under their batch id with dynamic partition overwrite, so a batch that is run
-again after a failure replaces its own output instead of adding to it.
+Batches are written under their batch id, so a batch that is run again after a failure replaces its own
+output instead of adding to it. Partitions are replaced without a moment in which a stop loses them.
 """
 
 from __future__ import annotations
@@ -16,7 +16,10 @@ from issuerlake.operators.checks import filter_last_exercise
 from issuerlake.operators.sinks import table_or_empty, write_gold
 from issuerlake.operators.statements import GROUP_KEYS, account_sums, financials_of_sums, scale_amounts
 
-BATCH_ID = "batch_id"
+STREAM_ID, BATCH_ID = "stream_id", "batch_id"
+# The number of compacted rows, which no batch has.
+COMPACTED = -1
+SUM = "decimal(38,6)"
 # Default number of issuer buckets; it has to stay the same for a table.
 ISSUER_BUCKETS = 64
 
@@ -26,16 +29,20 @@ def stream_ingest(objects: DataFrame, catalog_path: str, checkpoint: str, order:
 
     The catalog table is the memory of what has landed, so no stream state grows with it. It is cut to the
     folders and hashes of the batch where it is scanned; only what the batch could repeat moves. Every batch
-    adds a partition; ``compact_catalog`` makes them one.
+    adds a partition, named by stream and batch, as another stream on the same catalog counts its batches from 0
+    as well. ``compact_catalog`` makes them one.
     """
     keys = ["folder", "file_hash"]
-    schema = T.StructType([*objects.schema.fields, T.StructField(BATCH_ID, T.LongType())])
+    schema = T.StructType([*objects.schema.fields, T.StructField(STREAM_ID, T.StringType()), T.StructField(BATCH_ID, T.LongType())])
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        stored = table_or_empty(batch.sparkSession, catalog_path, schema).filter(F.col(BATCH_ID) != batch_id)
-        known = stored.select(*keys).join(batch.select(*keys).distinct(), keys, "left_semi")
-        new = dedup_content(batch, known, order).withColumn(BATCH_ID, F.lit(batch_id).cast("bigint"))
-        write_gold(new, catalog_path, [BATCH_ID])
+        session = batch.sparkSession
+        stream = session.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+        stored = table_or_empty(session, catalog_path, schema)
+        others = stored.filter(~(F.col(STREAM_ID).eqNullSafe(stream) & (F.col(BATCH_ID) == batch_id)))
+        known = others.select(*keys).join(batch.select(*keys).distinct(), keys, "left_semi")
+        new = dedup_content(batch, known, order).withColumns({STREAM_ID: F.lit(stream), BATCH_ID: F.lit(batch_id).cast("bigint")})
+        write_gold(new, catalog_path, [STREAM_ID, BATCH_ID])
 
     return (
         objects.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -45,11 +52,12 @@ def stream_ingest(objects: DataFrame, catalog_path: str, checkpoint: str, order:
 def compact_catalog(spark: SparkSession, catalog_path: str, target: str) -> None:
     """The catalog with all its batches in one partition, written to ``target``, while no stream writes to it.
 
-    The partition has the number of the last batch, so the stream can go on with either table.
+    The partition has the name of no batch, so a stream can go on with either table, and a batch that
+    it runs again finds its objects in the catalog.
     """
     rows = spark.read.parquet(catalog_path)
-    last = rows.agg(F.max(BATCH_ID)).first()[0]
-    write_gold(rows.withColumn(BATCH_ID, F.lit(last).cast("bigint")), target, [BATCH_ID])
+    compacted = {STREAM_ID: F.lit("compacted"), BATCH_ID: F.lit(COMPACTED).cast("bigint")}
+    write_gold(rows.withColumns(compacted), target, [STREAM_ID, BATCH_ID])
 
 
 def stream_request_log(
@@ -69,37 +77,47 @@ def stream_request_log(
     )
 
 
+def add_up(sums: DataFrame, names: list[str]) -> DataFrame:
+    """One row per group of the sums that batches have added."""
+    return sums.groupBy(*GROUP_KEYS).agg(*[F.sum(c).cast(SUM).alias(c) for c in names])
+
+
+def compact_sums(spark: SparkSession, sums: str, target: str) -> None:
+    """The sums added up in one partition of ``target``, but for those of the last batch, while no stream writes to them.
+
+    The last batch alone may run again; its partition stays, so that it can be replaced.
+    """
+    rows = spark.read.parquet(sums).withColumn(BATCH_ID, F.col(BATCH_ID).cast("bigint"))
+    names = [c for c in rows.columns if c not in (*GROUP_KEYS, BATCH_ID)]
+    last = rows.agg(F.max(BATCH_ID)).first()[0]
+    older = add_up(rows.filter(F.col(BATCH_ID) < last), names).withColumn(BATCH_ID, F.lit(COMPACTED).cast("bigint"))
+    write_gold(older.unionByName(rows.filter(F.col(BATCH_ID) == last)), target, [BATCH_ID])
+
+
 def stream_gold_refresh(
     statements: DataFrame, sums: str, gold: str, checkpoint: str, issuer_buckets: int = ISSUER_BUCKETS
 ) -> StreamingQuery:
     """Gold metrics kept current: account sums are additive, so each batch's sums are added to the stored ones.
 
-    ``sums`` holds one row per aggregation type, issuer and date, whatever the number of statements behind it.
-    A batch reads and rewrites the buckets of the issuers it has rows of, and their gold. A row remembers
-    the batch that changed it last, so a batch that is run again after a failure adds nothing twice.
+    ``sums`` belongs to one stream and holds one row per aggregation type, issuer, date and batch, whatever the number of statements behind
+    it: a batch adds a partition and rewrites none, and one that is run again after a failure replaces its own.
+    ``compact_sums`` adds up what has gathered. Of gold a batch rewrites the buckets of the issuers it has rows of.
     """
 
     def bucket(c: str) -> Column:
         return F.pmod(F.xxhash64(c), F.lit(issuer_buckets)).cast("int")
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
         added = account_sums(filter_last_exercise(scale_amounts(batch)))
         names = [c for c in added.columns if c not in GROUP_KEYS]
-        added = added.select(*GROUP_KEYS, *[F.col(c).cast("decimal(38,6)").alias(c) for c in names])
-        added = added.withColumns({"issuer_bucket": bucket("CNPJ_CIA"), BATCH_ID: F.lit(batch_id).cast("bigint")})
+        added = added.select(*GROUP_KEYS, *[F.col(c).cast(SUM).alias(c) for c in names]).withColumn(BATCH_ID, F.lit(batch_id).cast("bigint"))
+        write_gold(added, sums, [BATCH_ID])
+        stored = table_or_empty(session, sums, added.schema).withColumn("issuer_bucket", bucket("CNPJ_CIA"))
         # As many rows as there are buckets at most.
-        touched = [r[0] for r in batch.select(bucket("CNPJ_CIA").alias("b")).distinct().collect()]
-        if not touched:
-            return
-        stored = table_or_empty(batch.sparkSession, sums, added.schema).filter(F.col("issuer_bucket").isin(touched))
-        # What this batch has already added is not added again.
-        fresh = added.join(stored.filter(F.col(BATCH_ID) == batch_id).select(*GROUP_KEYS), GROUP_KEYS, "left_anti")
-        total = stored.unionByName(fresh).groupBy(*GROUP_KEYS, "issuer_bucket").agg(
-            *[F.sum(c).cast("decimal(38,6)").alias(c) for c in names], F.max(BATCH_ID).alias(BATCH_ID)
-        )
-        write_gold(total, sums, ["issuer_bucket"])
-        current = batch.sparkSession.read.schema(added.schema).parquet(sums).filter(F.col("issuer_bucket").isin(touched))
-        write_gold(financials_of_sums(current).withColumn("issuer_bucket", bucket("issuer_cnpj")), gold, ["issuer_bucket"])
+        touched = stored.filter(F.col(BATCH_ID) == batch_id).select("issuer_bucket").distinct()
+        total = add_up(stored.join(F.broadcast(touched), "issuer_bucket", "left_semi"), names)
+        write_gold(financials_of_sums(total).withColumn("issuer_bucket", bucket("issuer_cnpj")), gold, ["issuer_bucket"])
 
     return (
         statements.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)

@@ -17,11 +17,11 @@ def file_stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def batched_stream(spark: SparkSession, sf: str, name: str, key: str, batches: int = 3) -> DataFrame:
-    """The table arriving in key order, in ``batches`` parts or more, as files that are a batch each."""
+    """The table arriving in key order, in ``batches`` parts of as wide a range of keys or more, as files that are a batch each."""
     path = shared_dir(spark, f"arriving-{name}")
     rows = fx.table(spark, sf, name)
-    cuts = rows.approxQuantile(key, [i / batches for i in range(1, batches)], 0.01)
-    part = sum((F.col(key) > c).cast("int") for c in cuts)
+    low, high = (x or 0 for x in rows.agg(F.min(key), F.max(key)).first())
+    part = F.least(F.floor((F.col(key) - low) * batches / (high - low + 1)), F.lit(batches - 1))
     for i in range(batches):
         rows.filter(F.coalesce(part, F.lit(0)) == i).write.mode("append").parquet(path)
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
@@ -31,7 +31,7 @@ def stream_ingest_documents(spark: SparkSession, sf: str) -> DataFrame:
     root = shared_dir(spark, "ingest")
     objects = fx.filings(spark, sf, batched_stream(spark, sf, "documents", "doc_id")).select("doc_id", "folder", "file_hash", "object_path")
     jobs.stream_ingest(objects, f"{root}/catalog", f"{root}/progress", [F.asc("doc_id")]).awaitTermination()
-    return spark.read.parquet(f"{root}/catalog").drop(jobs.BATCH_ID)
+    return spark.read.parquet(f"{root}/catalog").drop(jobs.STREAM_ID, jobs.BATCH_ID)
 
 
 def stream_request_windows(spark: SparkSession, sf: str) -> DataFrame:

@@ -138,3 +138,37 @@ def test_index_documents_skips_complete_ones(spark, rows):
     stored = first.filter("doc_id = 'p1'").select("doc_id")
     assert rows(etl.index_documents(docs, meta, stored), "chunk_id") == [("p2#chunk_0",)]
     assert etl.index_documents(docs, meta, stored, force=True).count() == 2
+
+
+def dated(cnpj, refer, end, value):
+    return f"{cnpj};{refer};1;{end};ÚLTIMO;MIL;3.01;x;{value}\n"
+
+
+def test_years_of_reference_and_period_end_may_differ(spark, tmp_path, rows):
+    """Gold is chosen and replaced by the year of the reference date: no issuer goes because another one comes."""
+    lake = str(tmp_path / "lake")
+    write(tmp_path / "a", "itr_cia_aberta_DRE_con_2024.csv", HEADER + dated("X", "2024-12-31", "2023-12-31", 1) + dated("Y", "2024-12-31", "2024-12-31", 2))
+    etl.financial_statements(spark, str(tmp_path / "a"), lake, RUN)
+    write(tmp_path / "b", "dfp_cia_aberta_DRE_con_2024.csv", HEADER + dated("Z", "2024-12-31", "2024-12-31", 3))
+    gold = etl.financial_statements(spark, str(tmp_path / "b"), lake, RUN)
+    assert rows(gold, "issuer_cnpj", "year", "revenue") == [("X", 2024, 1e3), ("Y", 2024, 2e3), ("Z", 2024, 3e3)]
+
+
+def test_years_a_file_no_longer_has_leave_gold(spark, tmp_path, rows):
+    lake = str(tmp_path / "lake")
+    name = "itr_cia_aberta_DRE_con_2024.csv"
+    write(tmp_path / "a", name, HEADER + dated("X", "2023-12-31", "2023-12-31", 1) + dated("X", "2024-12-31", "2024-12-31", 2))
+    write(tmp_path / "a", "itr_cia_aberta_DRE_ind_2024.csv", HEADER + dated("X", "2024-12-31", "2024-12-31", 5))
+    assert etl.financial_statements(spark, str(tmp_path / "a"), lake, RUN).count() == 3
+    write(tmp_path / "b", name, HEADER + dated("X", "2024-12-31", "2024-12-31", 2))
+    write(tmp_path / "b", "itr_cia_aberta_DRE_ind_2024.csv", HEADER)
+    gold = etl.financial_statements(spark, str(tmp_path / "b"), lake, RUN)
+    assert rows(gold, "enr_aggregation_type", "year", "revenue") == [("Consolidado", 2024, 2e3)]
+    # A file whose year is not covered by the run is not replaced, and a run that fails replaces nothing.
+    write(tmp_path / "c", name, HEADER)
+    with pytest.raises(ValueError, match="issuer_missing"):
+        etl.financial_statements(spark, str(tmp_path / "c"), lake, RUN)
+    assert rows(spark.read.parquet(f"{lake}/silver/enriched/statements"), "CNPJ_CIA", "DT_REFER") == [("X", dt.date(2024, 12, 31))]
+    write(tmp_path / "d", name, HEADER + dated("X", "2024-12-31", "2024-12-31", 9))
+    write(tmp_path / "d", "itr_cia_aberta_DRE_con_2030.csv", HEADER + dated("X", "2030-03-31", "2030-03-31", 4))
+    assert rows(etl.financial_statements(spark, str(tmp_path / "d"), lake, RUN, as_of=2030), "year", "revenue") == [(2024, 2e3), (2030, 4e3)]

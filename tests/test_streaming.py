@@ -93,3 +93,39 @@ def test_compacted_catalog_serves_the_stream(spark, tmp_path):
     st.stream_ingest(read(spark, landing, OBJECT), compact, progress, [F.asc("doc_id")]).awaitTermination()
     assert sorted(r["doc_id"] for r in spark.read.parquet(compact).collect()) == [0, 1, 2, 21]
 
+
+
+def test_last_batch_may_run_again_after_compaction(spark, tmp_path):
+    """The commit of the last batch was not written: the stream runs it again on the compacted catalog."""
+    landing, catalog, compact, progress = (str(tmp_path / n) for n in ("in", "catalog", "compact", "progress"))
+    for i in range(2):
+        land(spark, landing, [(10 * i + n, "f", f"h{i}{n}") for n in range(10)], OBJECT)
+        st.stream_ingest(read(spark, landing, OBJECT), catalog, progress, [F.asc("doc_id")]).awaitTermination()
+    st.compact_catalog(spark, catalog, compact)
+    for name in ("1", ".1.crc"):
+        (tmp_path / "progress" / "commits" / name).rename(tmp_path / f"gone{name}")
+    st.stream_ingest(read(spark, landing, OBJECT), compact, progress, [F.asc("doc_id")]).awaitTermination()
+    assert sorted(r["doc_id"] for r in spark.read.parquet(compact).collect()) == list(range(20))
+
+
+def test_streams_share_a_catalog(spark, tmp_path):
+    """Batches of two streams have the same numbers, and do not replace each other."""
+    catalog = str(tmp_path / "catalog")
+    for n, name in enumerate(("a", "b")):
+        land(spark, str(tmp_path / name), [(n, "f", f"h{n}"), (5 + n, "f", "h9")], OBJECT)
+        st.stream_ingest(read(spark, str(tmp_path / name), OBJECT), catalog, str(tmp_path / f"p{n}"), [F.asc("doc_id")]).awaitTermination()
+    assert sorted(r["doc_id"] for r in spark.read.parquet(catalog).collect()) == [0, 1, 5]
+
+
+def test_compacted_sums_serve_the_stream(spark, tmp_path):
+    landing, sums, compact, gold, progress = (str(tmp_path / n) for n in ("in", "sums", "compact", "gold", "progress"))
+    for v in (1.0, 2.0, 4.0):
+        land(spark, landing, [("Consolidado", "c", dt.date(2024, 3, 31), "ÚLTIMO", "3.01", v, "UNIDADE")], STATEMENT)
+        st.stream_gold_refresh(read(spark, landing, STATEMENT), sums, gold, progress).awaitTermination()
+    st.compact_sums(spark, sums, compact)
+    assert spark.read.parquet(compact).count() == 2
+    for name in ("2", ".2.crc"):
+        (tmp_path / "progress" / "commits" / name).rename(tmp_path / f"gone{name}")
+    land(spark, landing, [("Consolidado", "c", dt.date(2024, 3, 31), "ÚLTIMO", "3.01", 8.0, "UNIDADE")], STATEMENT)
+    st.stream_gold_refresh(read(spark, landing, STATEMENT), compact, gold, progress).awaitTermination()
+    assert [r["revenue"] for r in spark.read.parquet(gold).collect()] == [15.0]
