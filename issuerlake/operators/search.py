@@ -17,6 +17,7 @@ from issuerlake.operators.common import first_per_group, top_per_group, unnest
 from issuerlake.schemas import (
     EXACT_MATCH_BOOST, KEYWORD_WEIGHT, RERANK_TOP_K, RETRIEVAL_TOP_K, SIMILARITY_THRESHOLD, SYNONYMS, VECTOR_WEIGHT,
 )
+from issuerlake.session import shared_dir
 
 K1, B = 1.2, 0.75
 # Queries, and distinct terms of queries, that a pass over the corpus serves. Results do not depend on them.
@@ -84,20 +85,24 @@ def bm25_topk(
     (doc_id bigint, text, ...). Document count and mean length are over the filtered corpus, empty
     documents included. Every row is a document and a hit of its own, also where its doc_id repeats.
 
-    Queries are streamed in blocks of limited size. A block's terms are all that leaves the scan of a
-    document; one pass counts document frequencies, a second scores the terms that occur and keeps each
-    task's k best. Nothing of the corpus is shuffled. Statistics are those of the corpus when called.
+    Texts are cut into terms once, into a table of the shared folder. Queries are streamed in blocks of limited
+    size. A block's terms are all that leaves the scan of a document; one pass counts document frequencies, a
+    second scores the terms that occur and keeps each task's k best. Nothing of the corpus is shuffled.
+    Statistics are those of the corpus when called.
     """
     for c, v in (filters or {}).items():
         corpus = corpus.filter(F.col(c) == v)
-    docs = corpus.select(F.col("doc_id").cast("bigint"), tokens(F.coalesce(F.col("text"), F.lit(""))).alias("terms"))
-    n_docs, mean = docs.agg(F.count(F.lit(1)), F.avg(F.size("terms"))).first()
+    path = shared_dir(corpus.sparkSession, "terms")
+    cut = corpus.select(F.col("doc_id").cast("bigint"), tokens(F.coalesce(F.col("text"), F.lit(""))).alias("terms"))
+    cut.select("doc_id", F.size("terms").alias("len"), "terms").write.parquet(path)
+    docs = corpus.sparkSession.read.parquet(path)
+    n_docs, mean = docs.agg(F.count(F.lit(1)), F.avg("len")).first()
     context = docs.sparkSession.sparkContext
     partial = []
     for block in _term_blocks(queries.select(F.col("query_id").cast("bigint"), "term").distinct(), block_queries, block_terms):
         words = sorted({t for _, ts in block for t in ts})
         place = {w: i for i, w in enumerate(words)}
-        known = docs.select("doc_id", F.size("terms").alias("len"), F.filter("terms", lambda t: t.isin(words)).alias("terms"))
+        known = docs.select("doc_id", "len", F.filter("terms", lambda t: t.isin(words)).alias("terms"))
         vocabulary = context.broadcast(pa.array(words, pa.string()))
         counted = known.select("terms").mapInArrow(term_counter(vocabulary), "slot bigint, n bigint")
         df = np.zeros(len(words))

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from issuerlake.functions.clean import map_labels
 from issuerlake.operators.common import unnest
 from issuerlake.schemas import AGGREGATIONS, STATEMENT_CODES
+from issuerlake.sources.parsers import quoted_records
 
 # Texts the sources' usual reader takes for a missing value.
 MISSING = [
@@ -75,8 +76,10 @@ def read_preamble_tsv(
     """Tab-separated replies with ``skip`` lines before the header, one reply per file, all columns text.
 
     Work is parallel over files; a reply is what one request returned, so each fits a task. Cells may be
-    quoted, with quotes doubled inside. A header other than ``columns`` fails the job, and so does a row
-    with more cells than the header; missing cells are null. ``names`` renames the columns in the same order.
+    quoted, with quotes doubled and line breaks inside; ``line_no`` counts records. Only replies with a quote behind
+    the header go through Python, which cuts them. A header other than ``columns`` fails the job, and so does a
+    row with more cells than the header or a quote that is not closed; missing cells are null. ``names`` renames the
+    columns in the same order.
     """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
@@ -87,7 +90,11 @@ def read_preamble_tsv(
     checked = F.when(header == F.lit(sep.join(columns)), F.slice("lines", skip + 2, F.greatest(F.size("lines"), F.lit(1)))).otherwise(
         F.raise_error(F.concat(F.lit("unexpected header in "), F.col("source_path"))).cast("array<string>")
     )
-    rows = unnest(lines, ["source_path"], checked, "line", "line_no").filter(F.col("line") != "")
+    content = lines.select("source_path", checked.alias("lines"))
+    quoted = F.when(F.exists("lines", lambda x: F.contains(x, F.lit('"'))), F.array_join("lines", "\n"))
+    cut = F.pandas_udf(quoted_records(sep), "array<string>")
+    content = content.select("source_path", F.coalesce(cut(quoted), F.col("lines")).alias("lines"))
+    rows = unnest(content, ["source_path"], F.col("lines"), "line", "line_no").filter(F.col("line") != "")
     # One field more than the header has takes what is too much.
     fields = ", ".join(f"_{i} string" for i in range(len(columns) + 1))
     cells = F.from_csv("line", F.lit(fields), {"sep": sep, "quote": '"', "escape": '"', "maxCharsPerColumn": "-1"})

@@ -8,9 +8,11 @@ from __future__ import annotations
 import html
 import re
 import sys
+from collections import Counter
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
+import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -21,9 +23,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # The elements that hold an embedded file and its name.
 PAYLOAD, PAYLOAD_NAME = "ImagemObjetoArquivoPdf", "NomeArquivoPdf"
+# Quoted values may hold ">" but no "<"; what is not closed by the end of the text is taken to reach there, or is no tag.
 TOKEN = re.compile(
-    r"<!--.*?-->|<!\[CDATA\[(?P<cdata>.*?)\]\]>|<[?!][^>]*>"
-    r"|<(?P<close>/)?(?P<name>[^\s/>!?]+)(?:[^>\"']|\"[^\"]*\"|'[^']*')*?(?P<empty>/)?>", re.S
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[?!][^>]*(?:>|\Z)"
+    r"|<(?P<close>/)?(?P<name>[^\s/><!?]++)(?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*?(?P<empty>/)?>", re.S
 )
 
 
@@ -42,6 +45,33 @@ def parse_column(df: DataFrame, column: str, fields: str, parse: Callable[[str |
     return df.select(column, *keep).mapInArrow(run, schema)
 
 
+def records(text: str | None, sep: str) -> list[str] | None:
+    """Lines of a delimited text, where a line break inside a quoted cell ends none. A cell is quoted if it begins with a quote."""
+    if text is None:
+        return None
+    other = re.escape(sep)
+    cell = re.compile(rf'(?:"[^"]*(?:""[^"]*)*(")?)?[^{other}\n]*')
+    out, start, at = [], 0, 0
+    while True:
+        m = cell.match(text, at)
+        if text.startswith('"', at) and m[1] is None:
+            raise ValueError(f"a quoted cell is not closed: {text[at:at + 60]!r}")
+        at = m.end()
+        if at == len(text) or text[at] == "\n":
+            out.append(text[start:at].removesuffix("\r"))
+            start = at + 1
+            if at == len(text):
+                return out
+        at += 1
+
+
+def quoted_records(sep: str) -> Callable[[pd.Series], pd.Series]:
+    def split(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: records(t, sep))
+
+    return split
+
+
 class ListingParser(HTMLParser):
     """Cells of the tables of one class. A nested table belongs to the cell that holds it."""
 
@@ -122,9 +152,11 @@ def payloads(xml: str | None) -> tuple[list[dict], list[tuple[int, int]]]:
     source = xml or ""
     root = {"tag": None, "name": None, "files": []}
     stack, done, places = [root], [], []
+    opened: Counter = Counter()
 
     def close():
         node = stack.pop()
+        opened[node["tag"]] -= 1
         done.extend(node["files"])
         for f in node["files"]:
             f["file_name"], f["tag"] = node["name"], node["tag"]
@@ -143,7 +175,7 @@ def payloads(xml: str | None) -> tuple[list[dict], list[tuple[int, int]]]:
         if not name:
             continue
         if m["close"]:
-            if any(n["tag"] == name for n in stack[1:]):
+            if opened[name]:
                 while stack[-1]["tag"] != name:
                     stack[-1]["end"] = m.start()
                     close()
@@ -154,6 +186,7 @@ def payloads(xml: str | None) -> tuple[list[dict], list[tuple[int, int]]]:
             if name in (PAYLOAD, PAYLOAD_NAME):
                 node["text"] = ""
             stack.append(node)
+            opened[name] += 1
     while len(stack) > 1:
         close()
     done.extend(root["files"])

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import base64
 import json
+import time
 
 import pytest
 
@@ -175,3 +176,37 @@ def test_manifest_paths(spark, rows):
 def test_ragged_layouts(spark):
     df = src.select_ragged(spark.createDataFrame([("x",)], "a string"), ["a", "b"])
     assert df.columns == ["a", "b"] and df.first()["b"] is None
+
+
+def test_quoted_cells_may_hold_line_breaks(spark, tmp_path, rows):
+    body = 'a\tb\n1\t"two\nlines"\n\n"3 ""x""\r\n"\t4\r\n"t\tab"\tno "quote" here\n5\t"last"'
+    (tmp_path / "a.tsv").write_bytes(body.encode())
+    (tmp_path / "b.tsv").write_bytes(b"a\tb\n6\t7\n")
+    got = rows(src.read_preamble_tsv(spark, str(tmp_path), 0, ["a", "b"]), "line_no", "a", "b")
+    assert got == [(0, "1", "two\nlines"), (0, "6", "7"), (2, '3 "x"\n', "4"), (3, "t\tab", 'no "quote" here'), (4, "5", "last")]
+    (tmp_path / "c.tsv").write_bytes(b'a\tb\n1\t"open\n2\t3\n')
+    with pytest.raises(Exception, match="not closed"):
+        src.read_preamble_tsv(spark, str(tmp_path), 0, ["a", "b"]).collect()
+
+
+def test_records_take_linear_time():
+    from issuerlake.sources.parsers import records
+
+    assert records(None, "\t") is None and records("", "\t") == [""]
+    for piece in ('"a""b\n', '""', '"x"\t"y\nz"\n', 'a"b"c\t\n'):
+        text = piece * (600_000 // len(piece) // 2 * 2)
+        start = time.perf_counter()
+        try:
+            records(text, "\t")
+        except ValueError:
+            pass
+        assert time.perf_counter() - start < 5
+
+
+@pytest.mark.parametrize("piece", ['<a b="x ', "<a<a", "<a ", "<!--", "<![CDATA[", "<?x", "<a b='c>d' ", "<SecText><", "a<b", "<b></i>"])
+def test_malformed_xml_takes_linear_time(piece):
+    from issuerlake.sources.parsers import payloads
+
+    start = time.perf_counter()
+    payloads(piece * (500_000 // len(piece)))
+    assert time.perf_counter() - start < 5
