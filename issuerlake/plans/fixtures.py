@@ -106,10 +106,24 @@ def raw_events(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def event_replies(spark: SparkSession, sf: str, rows_per_reply: int = 2000) -> str:
-    """F2 written as replies with a preamble, one file each; returns the folder."""
+def past_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Events paid in the years of the price table; a few have no date."""
+    return table(spark, sf, "events").selectExpr(
+        "event_id",
+        f"{asset('user_id', 210)} AS asset_code",
+        "CASE WHEN event_id % 97 <> 0 THEN date_add(date'1994-12-01', cast(event_id * 37 % 2600 as int)) END AS payment_date",
+    )
+
+
+def event_replies(spark: SparkSession, sf: str, rows_per_reply: int = 2000, quoted: bool = False) -> str:
+    """F2 written as replies with a preamble, one file each; returns the folder. With ``quoted`` every 19th issuer is a
+    quoted cell of two lines, in two replies of three."""
     path = shared_dir(spark, "event-replies")
-    line = F.concat_ws("\t", *[F.col(c) for c in EVENTS_SCHEDULE_COLUMNS])
+    cells = {c: F.col(c) for c in EVENTS_SCHEDULE_COLUMNS}
+    if quoted:
+        cells["issuer"] = F.expr(f"""CASE WHEN event_id % 19 = 0 AND (event_id div {rows_per_reply}) % 3 > 0
+          THEN concat('"', issuer, '\n""matriz"" / SP"') ELSE issuer END""")
+    line = F.concat_ws("\t", *cells.values())
     head = "\n".join([*PREAMBLE, "\t".join(EVENTS_SCHEDULE_SOURCE)])
     body = F.array_join(
         F.transform(F.array_sort(F.collect_list(F.struct("event_id", line.alias("line")))), lambda x: x["line"]), "\n"

@@ -151,6 +151,12 @@ add("scan_preamble_tsv", with_(F2) + f"""SELECT
   {dmy('event_d')} AS event_date, CASE WHEN pay_d IS NULL THEN '31/02/2024' ELSE {dmy('pay_d')} END AS payment_date, issuer,
   asset_code, CASE event WHEN 'Juros' THEN ' Juros ' ELSE event END AS event, event_type || event_type AS yield_type,
   CASE WHEN rate_text NOT IN ('', 'nan') THEN rate_text END AS rate_or_percent, {dmy('settle_d')} AS settlement_date FROM f2""")
+add("scan_quoted_tsv", with_(F2) + f"""SELECT
+  CAST(row_number() OVER (PARTITION BY event_id // 500 ORDER BY event_id) - 1 AS INTEGER) AS line_no,
+  {dmy('event_d')} AS event_date, CASE WHEN pay_d IS NULL THEN '31/02/2024' ELSE {dmy('pay_d')} END AS payment_date,
+  CASE WHEN event_id % 19 = 0 AND (event_id // 500) % 3 > 0 THEN issuer || chr(10) || '"matriz" / SP' ELSE issuer END AS issuer,
+  asset_code, CASE event WHEN 'Juros' THEN ' Juros ' ELSE event END AS event, event_type || event_type AS yield_type,
+  CASE WHEN rate_text NOT IN ('', 'nan') THEN rate_text END AS rate_or_percent, {dmy('settle_d')} AS settlement_date FROM f2""")
 add("select_statement_files", with_(F1) + """SELECT stmt AS statement_code, enr_origin_document_type, enr_aggregation_type,
   file_year, count(*) AS n_rows FROM f1 GROUP BY ALL""")
 add("tag_origin_file", with_(F1) + "SELECT source_path, ORIGIN_FILE, count(*) AS n_rows FROM f1 GROUP BY ALL")
@@ -517,3 +523,55 @@ add("stream_ingest", with_(F7) + """SELECT min(doc_id) AS doc_id, folder, file_h
 add("stream_request_log", """SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, event_type AS endpoint, count(*) AS n_requests
   FROM (SELECT date_trunc('hour', ts) AS w, event_type FROM events)
   WHERE w + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE GROUP BY 1, 2""")
+
+# --- time ----------------------------------------------------------------------------------------
+
+PAST = f"""past AS (SELECT event_id, {asset('user_id', 210)} AS asset_code,
+  CASE WHEN event_id % 97 <> 0 THEN DATE '1994-12-01' + CAST(event_id * 37 % 2600 AS INTEGER) END AS payment_date FROM events)"""
+add("price_in_force", with_(F3, PAST) + """, best AS (SELECT asset_code, d AS ref_date, arg_max(ISIN, {'i': ISIN, 'c': cents}) AS ISIN,
+  arg_max(cents / 100.0::DOUBLE, {'i': ISIN, 'c': cents}) AS avg_unit_price FROM f3 GROUP BY ALL)
+SELECT event_id, asset_code, payment_date, CASE WHEN near THEN ref_date END AS ref_date, CASE WHEN near THEN ISIN END AS ISIN,
+  CASE WHEN near THEN avg_unit_price END AS avg_unit_price
+FROM (SELECT p.*, b.ref_date, b.ISIN, b.avg_unit_price, p.payment_date - b.ref_date <= 3 AS near
+  FROM past p ASOF LEFT JOIN best b ON p.asset_code = b.asset_code AND p.payment_date >= b.ref_date)""")
+VERSIONS = """versions AS (SELECT issuer_cnpj, category, doc_id, CAST(receipt_date AS DATE) AS valid_from,
+  lead(CAST(receipt_date AS DATE)) OVER (PARTITION BY issuer_cnpj, category ORDER BY receipt_date, doc_id) AS valid_until FROM f7)"""
+add("filing_in_force", with_(F7, VERSIONS) + f"""SELECT event_id AS request_id, v.* FROM (SELECT event_id, ts, {cnpj('user_id')} AS issuer_cnpj FROM events) e
+  JOIN versions v USING (issuer_cnpj) WHERE ts >= valid_from AND (valid_until IS NULL OR ts < valid_until)""")
+add("filings_by_month", with_(F7, VERSIONS) + """SELECT DISTINCT m.issuer_cnpj, m.month, category, doc_id, valid_from, valid_until
+  FROM (SELECT DISTINCT issuer_cnpj, CAST(date_trunc('month', CAST(receipt_date AS DATE)) AS DATE) AS month FROM f7) m
+  JOIN versions v USING (issuer_cnpj) WHERE valid_from < m.month + INTERVAL 1 MONTH AND (valid_until IS NULL OR (valid_until > m.month AND valid_until > valid_from))""")
+
+
+def flow(f: str) -> str:
+    return f"""s.{f}::DOUBLE AS {f}_quarter, CASE WHEN y.n_{f} = 4 THEN y.{f}::DECIMAL(18,2) END::DOUBLE AS {f}_ttm,
+      CASE WHEN e.{f} <> 0 THEN (s.{f}::DOUBLE - e.{f}::DOUBLE) / abs(e.{f}::DOUBLE) END AS {f}_yoy"""
+
+
+FLOWS = ("revenue", "ebit", "wc_change")
+add("quarterly_flows", with_(F1, sums("f1")) + f""", g AS (SELECT enr_aggregation_type, issuer_cnpj, date, year(date) * 4 + quarter(date) AS q,
+    {", ".join(f"CAST({f} AS DECIMAL(18,2)) AS {f}" for f in FLOWS)} FROM ({FINANCIALS})),
+  kept AS (SELECT * FROM g WHERE (CAST(right(issuer_cnpj, 2) AS INTEGER) + q) % 7 > 0),
+  single AS (SELECT a.enr_aggregation_type, a.issuer_cnpj, a.date, a.q,
+    {", ".join(f"CASE WHEN quarter(a.date) = 1 THEN a.{f} ELSE CAST(a.{f} - b.{f} AS DECIMAL(18,2)) END AS {f}" for f in FLOWS)}
+    FROM kept a LEFT JOIN kept b ON a.enr_aggregation_type = b.enr_aggregation_type AND a.issuer_cnpj = b.issuer_cnpj AND b.q = a.q - 1),
+  years AS (SELECT a.enr_aggregation_type, a.issuer_cnpj, a.q, {", ".join(f"sum(b.{f}) AS {f}, count(b.{f}) AS n_{f}" for f in FLOWS)}
+    FROM single a JOIN single b ON a.enr_aggregation_type = b.enr_aggregation_type AND a.issuer_cnpj = b.issuer_cnpj AND b.q BETWEEN a.q - 3 AND a.q GROUP BY ALL)
+SELECT s.enr_aggregation_type, s.issuer_cnpj, s.date, {", ".join(flow(f) for f in FLOWS)}
+FROM single s JOIN years y USING (enr_aggregation_type, issuer_cnpj, q)
+  LEFT JOIN single e ON s.enr_aggregation_type = e.enr_aggregation_type AND s.issuer_cnpj = e.issuer_cnpj AND e.q = s.q - 4""")
+
+# --- summaries -----------------------------------------------------------------------------------
+
+add("distinct_documents", with_(F7) + """SELECT CAST(date_trunc('month', CAST(ref_date AS DATE)) AS DATE) AS month, document_type, source,
+  count(*) AS n_rows, count(DISTINCT file_hash) AS n_exact, true AS within_bound FROM f7 GROUP BY ALL""")
+SPREADS = f"""spreads AS (SELECT indexer, CAST(round(((cents * 11 // 10) / 100.0::DOUBLE - (cents * 9 // 10) / 100.0::DOUBLE) * 100) AS BIGINT) AS spread_cents
+  FROM f3 LEFT JOIN (SELECT {asset('p_partkey', 250)} AS asset_code, min(p_type) AS indexer FROM part GROUP BY 1) USING (asset_code)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY indexer ORDER BY spread_cents) AS r, count(*) OVER (PARTITION BY indexer) AS n FROM spreads)"""
+add("spread_percentiles", with_(F3, SPREADS) + """SELECT indexer, percent, n, spread_cents FROM ranked, (SELECT unnest([1, 25, 50, 75, 99])::INTEGER AS percent)
+  WHERE r = greatest(1, (percent * n + 99) // 100)""")
+add("spread_percentiles_sketched", with_(F3, SPREADS) + """SELECT DISTINCT indexer, percent, n, true AS within_bound
+  FROM ranked, (SELECT unnest([10, 50, 90])::INTEGER AS percent) WHERE indexer IS NOT NULL""")
+add("digest_levels", with_(F7) + """SELECT ref_date, document_type, source, CAST(grouping_id(ref_date, document_type, source) AS INTEGER) AS level,
+  count(*) AS n_documents, count(DISTINCT title) AS n_titles
+  FROM (SELECT * REPLACE (CASE WHEN doc_id % 13 > 0 THEN source END AS source), category AS title FROM f7) GROUP BY CUBE (ref_date, document_type, source)""")

@@ -56,6 +56,16 @@ def scan_preamble_tsv(spark, sf):
     return raw.select("line_no", *sc.EVENTS_SCHEDULE_COLUMNS)
 
 
+@query
+def scan_quoted_tsv(spark, sf):
+    """Replies with cells that hold quotes and line breaks: records are counted, not lines."""
+    raw = src.read_preamble_tsv(
+        spark, fx.event_replies(spark, sf, 500, quoted=True), len(fx.PREAMBLE), sc.EVENTS_SCHEDULE_SOURCE, encoding="UTF-8",
+        names=sc.EVENTS_SCHEDULE_COLUMNS,
+    )
+    return raw.select("line_no", *sc.EVENTS_SCHEDULE_COLUMNS)
+
+
 @query
 def incremental_financials(spark, sf):
     """Gold of three runs on one lake: half of the issuers, the other half, then files that arrived later."""
@@ -715,3 +725,100 @@ def stream_request_log(spark, sf):
 @query
 def stream_gold_refresh(spark, sf):
     return st.stream_gold_from_statements(spark, sf)
+
+
+# --- time ----------------------------------------------------------------------------------------
+
+
+@query
+def price_in_force(spark, sf):
+    """The average price that an asset last had when an event was paid, and its day; none older than three days."""
+    paid = fx.past_events(spark, sf)
+    prices = op.traded_prices(fx.raw_prices(spark, sf))
+    return op.asof_join(
+        paid, prices, ["asset_code"], "payment_date", "ref_date", ["ref_date", "ISIN", "avg_unit_price"], ties=["ISIN", "avg_unit_price"],
+        bucket_seconds=90 * 86_400, tolerance_seconds=3 * 86_400,
+    )
+
+
+def filing_versions(spark, sf):
+    rows = fx.filings(spark, sf).select("issuer_cnpj", "category", "doc_id", "version", F.to_date("receipt_date").alias("valid_from"))
+    return op.validity(rows, ["issuer_cnpj", "category"], "valid_from", [F.asc("doc_id")], "valid_until")
+
+
+@query
+def filing_in_force(spark, sf):
+    """Per request the filing of every category that was the issuer's last one then."""
+    asked = fx.table(spark, sf, "events").selectExpr("event_id AS request_id", "ts", f"{fx.cnpj('user_id')} AS issuer_cnpj")
+    found = op.interval_join(asked, filing_versions(spark, sf), ["issuer_cnpj"], "ts", "valid_from", "valid_until")
+    return found.select("request_id", "issuer_cnpj", "category", "doc_id", "valid_from", "valid_until")
+
+
+@query
+def filings_by_month(spark, sf):
+    """The versions that were valid on some day of a month in which the issuer filed anything."""
+    months = fx.filings(spark, sf).select("issuer_cnpj", F.trunc("receipt_date", "month").alias("month")).distinct()
+    months = months.withColumn("next_month", F.add_months("month", 1))
+    found = op.overlap_join(months, filing_versions(spark, sf), ["issuer_cnpj"], ("month", "next_month"), ("valid_from", "valid_until"))
+    return found.select("issuer_cnpj", "month", "category", "doc_id", "valid_from", "valid_until")
+
+
+@query
+def quarterly_flows(spark, sf):
+    # Every seventh quarter of an issuer is left out, so that there are gaps.
+    gold = op.financials_quarterly(last_exercise(spark, sf))
+    gaps = gold.filter("(cast(right(issuer_cnpj, 2) as int) + year(date) * 4 + quarter(date)) % 7 > 0")
+    return op.quarterly_flows(gaps, ["revenue", "ebit", "wc_change"])
+
+
+# --- summaries -----------------------------------------------------------------------------------
+
+
+@query
+def distinct_documents(spark, sf):
+    """Distinct contents per month, type and source: exact, and from daily sketches merged batch by batch."""
+    docs = fx.filings(spark, sf).select("doc_id", F.to_date("ref_date").alias("day"), "document_type", "source", "file_hash")
+    path = shared_dir(spark, "sketches")
+    by = ["day", "document_type", "source"]
+    for batch in range(3):
+        op.add_sketches(spark, path, op.distinct_sketches(docs.filter(F.pmod("doc_id", F.lit(3)) == batch), by, "file_hash"), "day")
+    span = [F.trunc("day", "month").alias("month"), F.col("document_type"), F.col("source")]
+    estimated = op.distinct_estimates(spark.read.parquet(path), span)
+    exact = docs.groupBy(*span).agg(F.count_distinct("file_hash").alias("n_exact"))
+    off = F.abs(F.col("n_distinct") - F.col("n_exact"))
+    keys = ["month", "document_type", "source"]
+    return estimated.join(exact, keys).select(*keys, "n_rows", "n_exact", (off <= F.greatest(F.lit(1.0), 0.06 * F.col("n_exact"))).alias("within_bound"))
+
+
+def price_spreads(spark, sf):
+    """Spread of a traded price in cents, with the indexer of its asset."""
+    indexers = fx.table(spark, sf, "part").groupBy(F.expr(fx.asset("p_partkey", 250)).alias("asset_code")).agg(F.min("p_type").alias("indexer"))
+    prices = op.traded_prices(fx.raw_prices(spark, sf))
+    spread = F.round((F.col("max_unit_price") - F.col("min_unit_price")) * 100).cast("bigint")
+    return prices.select("asset_code", spread.alias("spread_cents")).join(indexers, "asset_code", "left")
+
+
+@query
+def spread_percentiles(spark, sf):
+    """Exact percentiles of the price spread per indexer."""
+    return op.exact_percentiles(price_spreads(spark, sf), ["indexer"], "spread_cents", [1, 25, 50, 75, 99])
+
+
+@query
+def spread_percentiles_sketched(spark, sf):
+    """Percentiles per indexer from sketches per asset, and whether their exact rank is within one percent of the rows."""
+    spreads = price_spreads(spark, sf)
+    sketches = op.percentile_sketches(spreads, ["indexer", "asset_code"], "spread_cents")
+    found = op.approximate_percentiles(sketches, ["indexer"], [10, 50, 90], "approximate")
+    below = spreads.join(found, "indexer").groupBy("indexer", "percent", "n").agg(
+        F.count_if(F.col("spread_cents") < F.col("approximate")).alias("_lt"), F.count_if(F.col("spread_cents") <= F.col("approximate")).alias("_le")
+    )
+    wanted, slack = F.col("percent") * F.col("n") / 100, F.col("n") / 100 + 1
+    return below.select("indexer", "percent", "n", ((F.col("_lt") <= wanted + slack) & (F.col("_le") >= wanted - slack)).alias("within_bound"))
+
+
+@query
+def digest_levels(spark, sf):
+    """The ingest digest on every level of day, type and source, total rows told from those of unknown sources."""
+    rows = fx.filings(spark, sf).withColumn("source", F.when(F.col("doc_id") % 13 > 0, F.col("source")))
+    return op.digest_levels(rows, ["ref_date", "document_type", "source"])
