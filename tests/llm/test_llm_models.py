@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import time
 import zlib
 
 import numpy as np
@@ -30,6 +31,17 @@ PAGES = {
     9: ("<article><p>never closed <b>bold<p>next", "never closed bold\n\nnext"),
     10: ("<article>" + "<p>long text here</p>" * 20_000 + "</article>", "\n\n".join(["long text here"] * 20_000)),
     11: ("<b>" * 20_000 + "deep" + "</i>" * 20_000, "deep"),
+    # Names alone cut no element that holds the article.
+    12: ('<article class="post no-sidebar"><p>one two three</p></article><div class=sidebar>s</div>', "one two three"),
+    13: ('<div class="site has-banner"><main><p>one two three</p></main><div class="banner">b</div></div>', "one two three"),
+    14: ('<section id="ad-hoc-networks"><p>one two three</p><p>four</p></section>', "one two three\n\nfour"),
+    15: ('<div id="sharing-economy"><p>one two three</p></div><footer>f</footer>', "one two three"),
+    16: ("<body><form>" + SIDE + "<p>" + "words of a whole page in a form " * 5 + "</p></form></body>", ("words of a whole page in a form " * 5).strip()),
+    17: ("<form><article>one two</article><div class=comments>" + "<p>nice</p>" * 9 + "</div></form>", "one two"),
+    18: ("<div class=wrap><p>" + "main text " * 30 + "</p><div class='article-comments'>" + "<p>I think so too.</p>" * 20 + "</div></div>", ("main text " * 30).strip()),
+    # Quotes that are not closed end with their tag.
+    19: ('<p title="abc>one two</p><p class="x">three</p>', "one two\n\nthree"), 20: ("<p title='a < b > c'>kept</p>", "kept"),
+    21: ('<p title="abc' + " x" * 5000, ""), 22: ("a < b and c <3 d", "a < b and c <3 d"), 23: ("<p>x<![CDATA[<b>]]>y</p", "x<b>y"),
 }
 
 
@@ -45,6 +57,43 @@ def test_main_text_of_pages(spark):
     assert all(plain[i] == t for i, (_, t) in PAGES.items())
 
 
+def test_weights_are_learned():
+    """Names that no list has, and listed names of an element that holds articles, are told apart by labelled pages only."""
+    junk, body = "<div class='zzteaser'>" + "read this too now " * 6 + "</div>", "<p>" + "words of the article itself " * 6 + "</p>"
+    found: dict = {}
+    for _ in range(30):
+        for page in (f"{junk}<article>{body}</article>{junk}", f"<div class=promo><article>{body}</article></div><div>{'x ' * 30}</div>"):
+            for name, a, b in html.counts(page):
+                x = found.setdefault(name, [0, 0])
+                x[0], x[1] = x[0] + a, x[1] + b
+    weights = {k: html.log_odds(k, *v) for k, v in found.items()}
+    text = ("words of the article itself " * 6).strip()
+    pages = {f"{junk}{body}{junk}": text, f"<div class=promo>{body}</div><p>some other line of words at the end of it all</p>": None}
+    first, second = pages
+    assert html.Page(first).text(weights) == text and html.Page(first).text({}) != text
+    assert html.Page(second).text(weights).startswith(text) and text not in html.Page(second).text({})
+
+
+@pytest.mark.parametrize("piece", [
+    '<p title="ab ', '<a href="x>y ', "<a ", "<!--", "<![CDATA[", "</", "<p '\"", "<article>x", '<div class="ad">x', "<p a=\"b\" c='d' e>t", "<title>", "<p <", '"<p a="',
+])
+def test_malformed_pages_take_linear_time(piece):
+    def seconds(size):
+        source = piece * (size // len(piece))
+        start = time.perf_counter()
+        html.Page(source).text({})
+        html.counts(source)
+        return time.perf_counter() - start
+
+    small = seconds(125_000)
+    assert seconds(1_000_000) < max(1.0, 20 * small)
+
+
+def test_pages_of_an_empty_table(spark):
+    pages = spark.createDataFrame([], "page_id bigint, url string, html string")
+    assert html.train(pages) == {} and html.extract(pages, {}, ["page_id"]).count() == 0
+
+
 @needs_data
 def test_pages_give_their_articles(spark):
     pages = spark.read.parquet(f"{LARGER}/pages.parquet")

@@ -42,7 +42,7 @@ def test_query_matches_sql(spark, duck, name):
 def test_queries_are_registered_over_whole_tables(spark):
     assert set(REGISTRY) | {"pipeline"} <= set(entry.queries())
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in REGISTRY)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     source = {"op1": "pages", "op8": "embeddings"}
     for name, f in REGISTRY.items():
         if name.startswith("op8"):
