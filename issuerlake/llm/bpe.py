@@ -61,12 +61,17 @@ class Merges:
         self.spaces = regex.compile(f"[{WHITE}]+")
         self.controls = regex.compile(r"[\x1c-\x1f]")
         self.marks = regex.compile("(" + "|".join(regex.escape(s) for s in self.special) + ")") if self.special else None
-        self.names = {i: (str(i).encode(), t.encode()) for i, t in self.tokens.items()}
+        self.names = {i: str(i).encode() for i in self.tokens}
+        # Decimal id -> token.
+        self.spelled = {self.names[i]: t.encode() for i, t in self.tokens.items()}
         self.clear()
 
     def clear(self) -> None:
         self.ids: dict[str, bytes] = {}
-        self.decoded: dict[str, bytes] = {}
+
+    def decode(self, ids: list[bytes]) -> bytes:
+        """The tokens of decimal ids, joined by spaces; ids that the vocabulary does not have are skipped."""
+        return b" ".join([t for t in map(self.spelled.get, ids) if t is not None])
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = (left << 20) | right
@@ -137,9 +142,8 @@ class Merges:
         for c, words in zip(chunks, split):
             self.add(c, of[words[0]] if len(words) == 1 else [t for w in words for t in of[w]])
 
-    def add(self, chunk: str, names: list[tuple[bytes, bytes]]) -> None:
-        self.ids[chunk] = b" ".join([a for a, _ in names])
-        self.decoded[chunk] = b" ".join([b for _, b in names])
+    def add(self, chunk: str, names: list[bytes]) -> None:
+        self.ids[chunk] = b" ".join(names)
 
     def split(self, text: str) -> list[str]:
         """White-space separated chunks, which no word crosses; special tokens stand behind a NUL and a space."""
@@ -220,7 +224,7 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id", ids: str = "ids")
         m = tables(spec.value)
 
         def block(keys, arrays):
-            return [keys, [" ".join([m.tokens[i] for i in a or [] if i in m.tokens]) for a in arrays]]
+            return [keys, [m.decode([b"%d" % i for i in a or [] if i is not None]).decode() for a in arrays]]
 
         return block
 
@@ -232,7 +236,7 @@ DIGEST = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
 def digest(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, token count and digests of ids and decoded text, without moving the ids to the JVM."""
+    """key, token count and digests of the ids and of the text that is decoded from them, without moving the ids to the JVM."""
     spec = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))
 
     def make():
@@ -243,9 +247,10 @@ def digest(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
             for a, b in slices(texts):
                 for chunks in m.block(texts[a:b]):
                     joined = b" ".join(map(m.ids.__getitem__, chunks))
-                    counts.append(joined.count(b" ") + 1 if joined else 0)
+                    own = joined.split()
+                    counts.append(len(own))
                     ids.append(hashlib.sha256(joined).hexdigest())
-                    decoded.append(hashlib.sha256(b" ".join(map(m.decoded.__getitem__, chunks))).hexdigest())
+                    decoded.append(hashlib.sha256(m.decode(own)).hexdigest())
             return [keys, counts, ids, decoded]
 
         return block

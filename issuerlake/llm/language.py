@@ -2,7 +2,8 @@
 
 The kernel of two texts is the number of n-grams (n from 1 to ``n_max``, blended) present in both,
 divided by the root of the product of their numbers. Landmarks are texts of the learned languages;
-only n-grams that occur in a landmark are counted. A text is mapped by its kernel values with the
+only n-grams that occur in a landmark are counted, and all of these. The landmarks' presence matrix is sparse: by
+n-gram, the numbers of the landmarks that have it. A text is mapped by its kernel values with the
 landmarks and the inverse root of the landmarks' own kernel matrix (Nyström), and one-versus-rest
 kernel ridge regression is then a linear map. Blocks of texts are scored by two matrix products.
 
@@ -26,13 +27,15 @@ from issuerlake.llm.common import SHARES, map_columns, worker_cache
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 N_MAX = 3
-# Bounds of the fitting sample: languages (most frequent first), rows and landmarks per language, rows in all, and
-# bytes of n-gram hashes in all, shared evenly between the languages (the last row of each is taken whole).
-LANGUAGES, ROWS_PER_LANGUAGE, LANDMARKS_PER_LANGUAGE, SAMPLE_ROWS, SAMPLE_BYTES = 500, 200, 24, 10_000, 128_000_000
+# Bounds of the fitting sample, all parameters of ``sample`` and ``fit``: languages (those with most texts), rows a language,
+# rows in all, and bytes of n-gram hashes in all, shared evenly between the languages (the last row of each is taken
+# whole); landmarks a language, and in all.
+LANGUAGES, ROWS_PER_LANGUAGE, SAMPLE_ROWS, SAMPLE_BYTES = 500, 200, 10_000, 128_000_000
+LANDMARKS_PER_LANGUAGE, LANDMARKS = 24, 2_400
 RIDGE = 0.003
 SHARPNESS = 6.0
-SLOT_BITS = 21
-BLOCK = 64
+# Texts scored at once, and entries of the presence matrix taken at once.
+BLOCK, ENTRIES = 64, 4_000_000
 
 
 def letters() -> np.ndarray:
@@ -73,27 +76,41 @@ def grams(text: str, n_max: int = N_MAX) -> np.ndarray:
 @dataclass
 class Model:
     languages: list[str]
-    hashes: np.ndarray  # n-grams of the landmarks
-    slots: np.ndarray  # slot of a hash -> n-gram number, or the number of n-grams for none
-    landmarks: np.ndarray  # n-gram x landmark, presence over the root of the landmark's number
+    hashes: np.ndarray  # n-grams of the landmarks, ascending
+    first: np.ndarray  # where the n-grams of every slot (the hash's high bits) begin
+    starts: np.ndarray  # where the landmarks of every n-gram begin
+    landmarks: np.ndarray  # numbers of landmarks, by n-gram
+    sizes: np.ndarray  # n-grams of every landmark
     weights: np.ndarray  # landmark x language: inverse root times ridge solution
 
     def present(self, text: str | np.ndarray) -> np.ndarray:
         """Numbers of the known n-grams present in a text, or among its n-gram hashes."""
-        h = grams(text) if isinstance(text, str) else text
-        at = self.slots[h >> np.uint32(32 - SLOT_BITS)]
-        seen = np.zeros(len(self.hashes) + 1, bool)
-        seen[at[self.hashes[np.minimum(at, len(self.hashes) - 1)] == h]] = True
-        seen[-1] = False
-        return np.flatnonzero(seen)
+        h = np.unique(grams(text)) if isinstance(text, str) else text
+        slot = h >> np.uint32(33 - len(self.first).bit_length())
+        at, end = self.first[slot], self.first[slot + np.uint32(1)]
+        out = []
+        while len(at):  # as often as a slot has n-grams
+            inside = at < end
+            at, end, h = at[inside], end[inside], h[inside]
+            same = self.hashes[at] == h
+            out.append(at[same])
+            at, end, h = at[~same] + 1, end[~same], h[~same]
+        return np.sort(np.concatenate(out)) if out else np.empty(0, np.int64)
+
+    def common(self, known: list[np.ndarray]) -> np.ndarray:
+        """text x landmark: how many n-grams are in both."""
+        out = np.zeros((len(known), len(self.sizes)), np.float32)
+        for i, p in enumerate(known):
+            n = np.diff(self.starts)[p]
+            for a, b in cuts(n, ENTRIES):
+                at = np.repeat(self.starts[p[a:b]] - (np.cumsum(n[a:b]) - n[a:b]), n[a:b]) + np.arange(n[a:b].sum())
+                out[i] += np.bincount(self.landmarks[at], minlength=len(self.sizes))
+        return out
 
     def kernel(self, texts: list[str] | list[np.ndarray]) -> np.ndarray:
-        m = np.zeros((len(texts), len(self.hashes)), np.float32)
-        for i, t in enumerate(texts):
-            p = self.present(t)
-            if len(p):
-                m[i, p] = 1 / np.sqrt(len(p))
-        return m @ self.landmarks
+        known = [self.present(t) for t in texts]
+        root = np.sqrt(np.maximum(1, np.array([len(p) for p in known], np.float32)))
+        return self.common(known) / root[:, None] / np.sqrt(np.maximum(1, self.sizes)).astype(np.float32)
 
     def scores(self, texts: list[str]) -> np.ndarray:
         """text x language, each row positive with sum 1."""
@@ -102,39 +119,56 @@ class Model:
         return e / e.sum(axis=1, keepdims=True)
 
 
+def cuts(sizes: np.ndarray, limit: int) -> list[tuple[int, int]]:
+    """Consecutive ranges whose sizes add up to about ``limit``, one element at least."""
+    out, start, total = [], 0, 0
+    for i, n in enumerate(sizes.tolist()) if sizes.sum() > limit else ():
+        if i > start and total + n > limit:
+            out.append((start, i))
+            start, total = i, 0
+        total += n
+    return [*out, (start, len(sizes))]
+
+
 def fit(
-    rows: list[tuple[str, str | np.ndarray]], landmarks_per_language: int = LANDMARKS_PER_LANGUAGE, ridge: float = RIDGE
+    rows: list[tuple[str, str | np.ndarray]], landmarks_per_language: int = LANDMARKS_PER_LANGUAGE, ridge: float = RIDGE,
+    landmarks: int = LANDMARKS,
 ) -> Model | None:
     """Model of (language, text or its distinct n-gram hashes) rows; None if no row has a letter."""
     # Hashes stay in the order given.
     rows = sorted(rows, key=lambda r: (r[0], r[1] if isinstance(r[1], str) else ""))
     rows = [(lang, np.unique(grams(t)) if isinstance(t, str) else t) for lang, t in rows]
-    rows = [(lang, h) for lang, h in rows if len(h)]
-    if not rows:
+    by_language: dict[str, list[np.ndarray]] = {}
+    for lang, h in rows:
+        if len(h):
+            by_language.setdefault(lang, []).append(h)
+    if not by_language:
         return None
-    languages = sorted({lang for lang, _ in rows})
+    languages = sorted(by_language)
+    wanted = max(1, min(landmarks_per_language, landmarks // len(languages)))
     chosen: list[np.ndarray] = []
     for lang in languages:
-        own = [t for g, t in rows if g == lang]
-        step = max(1, len(own) // landmarks_per_language)
-        chosen += own[::step][:landmarks_per_language]
-    hashes = np.unique(np.concatenate(chosen))
-    # Of n-grams of one slot only the last can be found.
-    hashes = hashes[np.r_[np.diff(hashes >> np.uint32(32 - SLOT_BITS)) > 0, True]]
-    slots = np.full(1 << SLOT_BITS, len(hashes), np.int32)
-    slots[hashes >> np.uint32(32 - SLOT_BITS)] = np.arange(len(hashes))
-    model = Model(languages, hashes, slots, np.zeros((len(hashes), len(chosen)), np.float32), np.zeros((len(chosen), 1), np.float32))
-    for j, t in enumerate(chosen):
-        p = model.present(t)
-        model.landmarks[p, j] = 1 / np.sqrt(max(1, len(p)))
+        own = by_language[lang]
+        step = max(1, len(own) // wanted)
+        chosen += own[::step][:wanted]
+    flat = np.concatenate(chosen)
+    owner = np.repeat(np.arange(len(chosen)), [len(t) for t in chosen])
+    order = np.lexsort((owner, flat))
+    hashes, starts = np.unique(flat[order], return_index=True)
+    bits = min(22, max(8, 2 + len(hashes).bit_length()))
+    first = np.searchsorted(hashes >> np.uint32(32 - bits), np.arange((1 << bits) + 1))
+    sizes = np.array([len(t) for t in chosen])
+    model = Model(languages, hashes, first, np.append(starts, len(flat)), owner[order].astype(np.int32), sizes, np.zeros((len(chosen), 1), np.float32))
     own = model.kernel(chosen).astype(np.float64)
     values, vectors = np.linalg.eigh((own + own.T) / 2)
     good = values > 1e-6 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])
-    x = np.concatenate([model.kernel([t for _, t in rows[i : i + BLOCK]]) for i in range(0, len(rows), BLOCK)]) @ root
-    y = np.array([[1.0 if lang == g else -1.0 for g in languages] for lang, _ in rows])
+    known = [(number, h) for number, lang in enumerate(languages) for h in by_language[lang]]
+    x = np.concatenate([model.kernel([h for _, h in known[i : i + BLOCK]]) for i in range(0, len(known), BLOCK)]) @ root
+    numbers = np.array([number for number, _ in known])
+    y = np.where(numbers[:, None] == np.arange(len(languages)), 1.0, -1.0)
     # Every language weighs the same, however many rows it has.
-    n = np.array([1 / sum(1 for g, _ in rows if g == lang) for lang, _ in rows])[:, None]
+    n = (1 / np.bincount(numbers))[numbers][:, None]
     solved = np.linalg.solve(x.T @ (n * x) + ridge * np.eye(x.shape[1]), x.T @ (n * y))
     model.weights = (root @ solved).astype(np.float32)
     return model
@@ -149,27 +183,31 @@ def reduced(near: DataFrame) -> DataFrame:
     return map_columns(near, ["lang", "h", "text"], "lang string, h bigint, grams binary", make).where(F.length("grams") > 0)
 
 
-def sample(docs: DataFrame, text: str = "text", lang: str = "lang") -> list[tuple[str, np.ndarray]]:
-    """A bounded sample of the learnable rows: per language about ROWS_PER_LANGUAGE different texts, by hash.
+def sample(
+    docs: DataFrame, text: str = "text", lang: str = "lang", languages: int = LANGUAGES, rows_per_language: int = ROWS_PER_LANGUAGE,
+    sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES,
+) -> list[tuple[str, np.ndarray]]:
+    """A bounded sample of the learnable rows: per language about ``rows_per_language`` different texts, by hash.
 
     Texts of any length are chosen where they are scanned, and reduced there to their distinct n-gram hashes;
-    only these move. A language gets fewer rows where they would exceed its share of SAMPLE_BYTES, but one at least.
+    only these move. A language gets fewer rows where they would exceed its share of ``sample_bytes``, but one at
+    least. Languages beyond ``languages``, those with fewest texts, are not learned.
     """
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     known = known.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
-    sizes = known.groupBy("lang").agg(F.approx_count_distinct("h").alias("known")).orderBy(F.desc("known"), "lang").limit(LANGUAGES)
+    sizes = known.groupBy("lang").agg(F.approx_count_distinct("h").alias("known")).orderBy(F.desc("known"), "lang").limit(languages)
     sizes = [tuple(r) for r in sizes.collect()]  # a row per language
-    share = SAMPLE_BYTES // max(1, len(sizes))
+    share = sample_bytes // max(1, len(sizes))
     sizes = docs.sparkSession.createDataFrame(sizes, "lang string, known bigint")
     near = known.join(F.broadcast(sizes), "lang")
-    part = F.least(F.lit(1.0), 1.5 * ROWS_PER_LANGUAGE / F.col("known"))
+    part = F.least(F.lit(1.0), 1.5 * rows_per_language / F.col("known"))
     near = near.where(F.pmod("h", F.lit(SHARES)) < F.ceil(part * SHARES))
     near = reduced(near).groupBy("lang", "h").agg(F.min("grams").alias("grams"))
     by_hash = Window.partitionBy("lang").orderBy("h")
-    first = near.withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= ROWS_PER_LANGUAGE)
+    first = near.withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= rows_per_language)
     total = F.sum(F.length("grams")).over(by_hash.rowsBetween(Window.unboundedPreceding, 0))
     first = first.withColumn("before", total - F.length("grams")).where(F.col("before") < share)
-    rows = first.orderBy("n", "lang").limit(SAMPLE_ROWS)
+    rows = first.orderBy("n", "lang").limit(sample_rows)
     return [(r["lang"], np.frombuffer(bytes(r["grams"]), np.uint32)) for r in rows.select("lang", "grams").collect()]
 
 

@@ -1,9 +1,11 @@
 """License scans: exact phrases, and short notices with a bounded number of errors.
 
-A notice of n characters may hold n // ``per_error`` errors (insertions, deletions, substitutions).
-It is cut into one piece more than that, so at least one piece of any such occurrence is free of
+A notice of n characters may hold n // ``per_error`` errors (insertions, deletions, substitutions): one in 11, so
+that a notice of 45 characters is found with four errors and not with five. It is cut into two pieces more than
+that, so at least two pieces of any such occurrence are free of errors, and as far apart as in the notice but for the
 errors: finding the pieces exactly locates all candidates. Around each candidate the regex library's
-bounded-error matching confirms the notice and gives its span and errors.
+bounded-error matching confirms the notice and gives its span and errors. Of notices that overlap the one with the
+higher score stays, then the longer, then the first.
 
 Texts are taken whole, as lower-cased words joined by one space. Null and empty texts have no words,
 no labels and score 0. Rows may repeat; each is scanned by itself.
@@ -12,7 +14,9 @@ no labels and score 0. Rows may repeat; each is scanned by itself.
 from __future__ import annotations
 
 import sys
+from bisect import bisect_left
 
+import numpy as np
 import regex
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -40,26 +44,36 @@ NOTICES = (
     ("dedicated to the public domain", "public-domain"),
     ("copyright all rights reserved", "reserved"),
 )
-PER_ERROR = 12
+PER_ERROR = 11
 
 
 class Notice:
     def __init__(self, text: str, label: str, per_error: int):
         self.text, self.label = text, label
         self.errors = len(text) // per_error
-        n = self.errors + 1
+        n = self.errors + 2
         cuts = [len(text) * i // n for i in range(n + 1)]
         self.pieces = [(text[a:b], a) for a, b in zip(cuts, cuts[1:])]
         self.pattern = regex.compile(f"(?b)(?:{regex.escape(text)}){{e<={self.errors}}}")
 
     def find(self, joined: str) -> list[tuple[int, int, int]]:
         """(start, end, errors) of occurrences in the joined words, from the left, without overlap."""
-        starts = set()
-        for piece, offset in self.pieces:
+        # Where the notice would begin, by every place of every piece.
+        places: list[tuple[int, int]] = []
+        for number, (piece, offset) in enumerate(self.pieces):
             at = joined.find(piece)
             while at >= 0:
-                starts.add(at - offset)
+                places.append((at - offset, number))
                 at = joined.find(piece, at + 1)
+        places.sort()
+        starts = set()
+        for i, (start, number) in enumerate(places):
+            j = i + 1
+            while j < len(places) and places[j][0] - start <= self.errors:
+                if places[j][1] != number:
+                    starts |= {start, places[j][0]}
+                    break
+                j += 1
         out: list[tuple[int, int, int]] = []
         e = self.errors
         clusters: list[list[int]] = []
@@ -77,14 +91,14 @@ class Notice:
 
 
 def best(found: list[dict]) -> list[dict]:
-    """Of overlapping notices the one with the higher score, then the longer one; by place."""
+    """The notices that no better one overlaps, taken by score, then length, then place; in order of place."""
+    starts: list[int] = []
     kept: list[dict] = []
-    for x in sorted(found, key=lambda x: x["start"]):
-        rank = lambda y: (y["score"], y["end"] - y["start"])
-        if kept and x["start"] < kept[-1]["end"]:
-            kept[-1] = max(kept[-1], x, key=rank)
-        else:
-            kept.append(x)
+    for x in sorted(found, key=lambda x: (-x["score"], x["start"] - x["end"], x["start"], x["label"])):
+        i = bisect_left(starts, x["start"])
+        if (i == 0 or kept[i - 1]["end"] <= x["start"]) and (i == len(kept) or x["end"] <= kept[i]["start"]):
+            starts.insert(i, x["start"])
+            kept.insert(i, x)
     return kept
 
 
@@ -116,10 +130,13 @@ def scan(
                         exact.append({"word": word, "label": label})
                         at = joined.find(sought, at + 1)
                 near = []
-                for s in seekers:
-                    for a, b, errors in s.find(joined):
+                hits = [(s, *hit) for s in seekers for hit in s.find(joined)]
+                if hits:
+                    spaces = np.flatnonzero(np.frombuffer(joined.encode("utf-32-le"), np.uint32) == 32)
+                    before = lambda at: int(np.searchsorted(spaces, at))  # noqa: B023,E731
+                    for s, a, b, errors in hits:
                         near.append({
-                            "start": max(0, joined.count(" ", 0, a + 1) - 1), "end": joined.count(" ", 0, b),
+                            "start": max(0, before(a + 1) - 1), "end": before(b),
                             "errors": errors, "score": 1.0 - errors / len(s.text), "label": s.label,
                         })
                 counts.append(len(words))

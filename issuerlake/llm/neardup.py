@@ -29,9 +29,9 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from issuerlake.llm.common import map_columns, pieces, small_batches, white_words, worker_cache
 from issuerlake.session import shared_dir
@@ -40,7 +40,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CHUNKS, CHUNK = 12, 5
 SYMBOLS = CHUNKS * CHUNK
-# Candidates that differ in more symbols are not tested: of pairs at a similarity of 0.8 about 8 in 10 million.
+# Candidates that differ in more symbols are not tested, unless a call says otherwise (SYMBOLS tests all): of pairs at
+# a similarity of 0.8 about 8 in 10 million differ in more.
 CUT = 28
 # Members of a block, and rows of a list of keys that may go to every task; longer lists are joined by shuffle.
 BLOCK, BROADCAST_ROWS = 1_024, 4_000_000
@@ -118,11 +119,11 @@ def halves(hashes: np.ndarray) -> tuple[int, int]:
     return tuple(np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), np.int64).tolist())
 
 
-def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """doc, n, two halves of the set's digest, signature (null without words)."""
+def sketches(docs: DataFrame, width: int, carried: list[str] = ()) -> DataFrame:
+    """doc, n, two halves of the set's digest, signature (null without words), and the carried columns of whole numbers."""
 
     def make():
-        def block(keys, texts):
+        def block(keys, texts, *more):
             n, a, b, s = [], [], [], []
             for t in texts:
                 u = shingles(t, width)
@@ -136,12 +137,12 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                     a.append(None)
                     b.append(None)
                     s.append(None)
-            return [keys, n, a, b, s]
+            return [keys, n, a, b, s, *more]
 
         return block
 
-    kind = docs.schema["doc"].dataType.simpleString()
-    return map_columns(docs, ["doc", "text"], f"doc {kind}, n bigint, a bigint, b bigint, sig binary", make)
+    kind, own = docs.schema["doc"].dataType.simpleString(), "n bigint, a bigint, b bigint, sig binary"
+    return map_columns(docs, ["doc", "text", *carried], ", ".join([f"doc {kind}, {own}", *[f"{c} bigint" for c in carried]]), make)
 
 
 def keyed(nodes: DataFrame) -> DataFrame:
@@ -164,13 +165,13 @@ def linked(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
     return den * both >= num * (len(a) + len(b) - both)
 
 
-def keep_near(pairs: DataFrame, num: int, den: int) -> DataFrame:
+def keep_near(pairs: DataFrame, num: int, den: int, cut: int = CUT) -> DataFrame:
     """Of pairs with both signatures and sizes, those that can be similar enough."""
 
     def make():
         def block(a, b, sa, sb, na, nb):
             x, y = (np.frombuffer(b"".join(s), np.uint16).reshape(len(s), SYMBOLS) for s in (sa, sb))
-            ok = ((x != y).sum(axis=1) <= CUT) & similar_size(np.array(na), np.array(nb), num, den)
+            ok = ((x != y).sum(axis=1) <= cut) & similar_size(np.array(na), np.array(nb), num, den)
             return [[v for v, k in zip(c, ok) if k] for c in (a, b)]
 
         return block
@@ -271,7 +272,7 @@ def per_group(df: DataFrame, keys: list[str], columns: list[str], schema: str, m
     return small_batches(dealt).mapInArrow(run, fields)
 
 
-def open_pairs(slot: int, sig: np.ndarray, n: np.ndarray, lab: np.ndarray, side: np.ndarray, num: int, den: int):
+def open_pairs(slot: int, sig: np.ndarray, n: np.ndarray, lab: np.ndarray, side: np.ndarray, num: int, den: int, cut: int = CUT):
     """(i, numbers of later members whose pair with i is open here).
 
     A pair is open in the first bucket its documents share; members of one block pair meet across blocks
@@ -290,12 +291,12 @@ def open_pairs(slot: int, sig: np.ndarray, n: np.ndarray, lab: np.ndarray, side:
         errors = differ.sum(axis=2)
         first = (errors <= 1).argmax(axis=1)
         place = np.where(errors[:, chunk] == 1, differ[:, chunk].argmax(axis=1), 0)
-        j = j[(errors.sum(axis=1) <= CUT) & (first == chunk) & (place == gap)]
+        j = j[(errors.sum(axis=1) <= cut) & (first == chunk) & (place == gap)]
         if len(j):
             yield i, j
 
 
-def find_open(rows: DataFrame, num: int, den: int) -> DataFrame:
+def find_open(rows: DataFrame, num: int, den: int, cut: int = CUT) -> DataFrame:
     """Members of block pairs that have an open pair there."""
     kind = rows.schema["id"].dataType.simpleString()
 
@@ -306,7 +307,7 @@ def find_open(rows: DataFrame, num: int, den: int) -> DataFrame:
             sig = np.frombuffer(b"".join(m[8] for m in members), np.uint16).reshape(len(members), SYMBOLS)
             n, lab, side = (np.array([m[i] for m in members]) for i in (7, 6, 5))
             open_ = np.zeros(len(members), bool)
-            for i, j in open_pairs(members[0][4], sig, n, lab, side, num, den):
+            for i, j in open_pairs(members[0][4], sig, n, lab, side, num, den, cut):
                 open_[i] = True
                 open_[j] = True
             for m, o in zip(members, open_):
@@ -319,7 +320,7 @@ def find_open(rows: DataFrame, num: int, den: int) -> DataFrame:
     return per_group(rows, ["key", "left", "right"], ["id", "slot", "side", "lab", "n", "sig"], schema, make)
 
 
-def test_open(rows: DataFrame, width: int, num: int, den: int) -> DataFrame:
+def test_open(rows: DataFrame, width: int, num: int, den: int, cut: int = CUT) -> DataFrame:
     """Links between members of block pairs, tested on the sets of their texts; at most one per member."""
     kind = rows.schema["id"].dataType.simpleString()
 
@@ -339,7 +340,7 @@ def test_open(rows: DataFrame, width: int, num: int, den: int) -> DataFrame:
             ends = np.cumsum(n)
             _, local = np.unique(np.concatenate(sets), return_inverse=True)
             seen = np.zeros(int(local.max()) + 1, bool)
-            for i, js in open_pairs(members[0][4], sig, n, lab, side, num, den):
+            for i, js in open_pairs(members[0][4], sig, n, lab, side, num, den, cut):
                 own = local[ends[i] - n[i] : ends[i]]
                 seen[own] = True
                 for j in js.tolist():
@@ -380,7 +381,7 @@ def components(edges: DataFrame) -> DataFrame:
         mark = now
 
 
-def grouped(sketched: DataFrame, rows: DataFrame, width: int, similarity: tuple[int, int], by_key: bool) -> DataFrame:
+def grouped(sketched: DataFrame, rows: DataFrame, width: int, similarity: tuple[int, int], by_key: bool, cut: int = CUT) -> DataFrame:
     """a, b, component_id of every set: the smallest key of the component of its node.
 
     With ``by_key`` nodes that have the same smallest key are in one component.
@@ -397,7 +398,7 @@ def grouped(sketched: DataFrame, rows: DataFrame, width: int, similarity: tuple[
     light = nodes.select("id", "n", "sig")
     pairs = members.where("id <> head").select(F.col("id").alias("u"), F.col("head").alias("v")).distinct()
     pairs = pairs.join(light.toDF("u", "nu", "su"), "u").join(light.toDF("v", "nv", "sv"), "v")
-    near = written(keep_near(pairs, num, den), "neardup-pairs")
+    near = written(keep_near(pairs, num, den, cut), "neardup-pairs")
     ids = near.select(F.col("u").alias("id")).union(near.select("v")).distinct()
     star = written(verified(near, texts_of(rows, ids, nodes, width), width, num, den), "neardup-links")
 
@@ -411,9 +412,9 @@ def grouped(sketched: DataFrame, rows: DataFrame, width: int, similarity: tuple[
         "key", "id", "slot", "side", "lab", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
     )
     rest = rest.withColumn("left", F.least("side", "other")).withColumn("right", F.greatest("side", "other"))
-    rest = written(find_open(rest.join(light, "id"), num, den), "neardup-open")
+    rest = written(find_open(rest.join(light, "id"), num, den, cut), "neardup-open")
     texts = texts_of(rows, rest.select("id").distinct(), nodes, width)
-    more = test_open(rest.join(texts, "id"), width, num, den)
+    more = test_open(rest.join(texts, "id"), width, num, den, cut)
 
     edges = star.union(more)
     if by_key:
@@ -427,12 +428,15 @@ def grouped(sketched: DataFrame, rows: DataFrame, width: int, similarity: tuple[
     return nodes.join(found, "id", "left").select("a", "b", F.coalesce("low", "doc").alias("component_id"))
 
 
-def decided(docs: DataFrame, key: str, text: str, width: int, similarity: tuple[int, int], by_key: bool) -> DataFrame:
-    """doc, n, a, b, component_id, kept of every row."""
-    rows = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
-    sketched = written(sketches(rows, width), "neardup-sketches")
-    named = grouped(sketched, rows, width, similarity, by_key)
-    out = sketched.select("doc", "n", "a", "b").join(named, ["a", "b"], "left")
+def decided(
+    docs: DataFrame, key: str, text: str, width: int, similarity: tuple[int, int], by_key: bool, cut: int, carried: list[Column] = (),
+) -> DataFrame:
+    """doc, n, a, b, component_id, kept and the carried columns of every row."""
+    rows = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"), *carried)
+    extra = rows.columns[2:]
+    sketched = written(sketches(rows, width, extra), "neardup-sketches")
+    named = grouped(sketched, rows, width, similarity, by_key, cut)
+    out = sketched.select("doc", "n", "a", "b", *extra).join(named, ["a", "b"], "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc"))
     component = F.when(F.col("doc").isNotNull(), component)
     out = out.withColumn("component_id", component)
@@ -440,41 +444,32 @@ def decided(docs: DataFrame, key: str, text: str, width: int, similarity: tuple[
 
 
 def link(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, similarity: tuple[int, int] = (80, 100)
+    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, similarity: tuple[int, int] = (80, 100),
+    cut: int = CUT,
 ) -> DataFrame:
     """key, n_shingles, component_id, kept for every document.
 
     Documents are linked if ``den * intersection >= num * union`` on full sets, with
-    ``similarity = (num, den)``; components are those of the links.
+    ``similarity = (num, den)``; components are those of the links. Of pairs that share a key those are tested
+    that differ in ``cut`` symbols at most; ``cut=SYMBOLS`` tests all.
     """
-    out = decided(docs, key, text, width, similarity, by_key=True)
+    out = decided(docs, key, text, width, similarity, True, cut)
     return out.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), "component_id", "kept")
 
 
-def with_digest(docs: DataFrame, text: str, width: int) -> DataFrame:
-    """The table with the halves of the set's digest of every row as __a and __b, null without words."""
-    at = docs.columns.index(text)
-    fields = StructType([*docs.schema.fields, StructField("__a", LongType()), StructField("__b", LongType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (p for b in batches for p in pieces(b)):
-            sets = (shingles(t, width) for t in batch.column(at).to_pylist())
-            digests = [halves(u) if len(u) else (None, None) for u in sets]
-            more = [pa.array([d[i] for d in digests], pa.int64()) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "__a", "__b"])
-
-    return small_batches(docs).mapInArrow(run, fields)
-
-
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5,
-               similarity: tuple[int, int] = (80, 100)) -> DataFrame:
-    """One document of each component, the one with the smallest key; all columns unchanged.
+               similarity: tuple[int, int] = (80, 100), cut: int = CUT) -> DataFrame:
+    """One document of each component, the one with the smallest key; all columns unchanged, whatever their names.
 
-    Rows go by key and set: of a key with several texts only those go of which another row stays.
+    Rows go by key and text: of a key with several texts only those go of which another row stays.
     """
-    gone = decided(docs, key, text, width, similarity, by_key=False).where("not kept")
-    gone = gone.select(F.col("doc").alias("__gone"), F.col("a").alias("__x"), F.col("b").alias("__y")).distinct()
+    x, y = "__x", "__y"
+    while {x, y} & set(docs.columns):
+        x, y = x + "_", y + "_"
+    hashes = [F.xxhash64(text).alias(x), F.xxhash64(F.lit(1), text).alias(y)]
+    gone = decided(docs, key, text, width, similarity, False, cut, hashes).where("not kept")
+    gone = gone.select(F.col("doc").alias("doc"), x, y).distinct().alias("gone")
     # Rows that go have a key and words, so nulls need not match.
-    rows = with_digest(docs, text, width)
-    same = (rows[key] == gone["__gone"]) & (rows["__a"] == gone["__x"]) & (rows["__b"] == gone["__y"])
+    rows = docs.select("*", *hashes).alias("rows")
+    same = (F.col(f"rows.{key}") == F.col("gone.doc")) & (F.col(f"rows.{x}") == F.col(f"gone.{x}")) & (F.col(f"rows.{y}") == F.col(f"gone.{y}"))
     return rows.join(gone, same, "left_anti").select(*docs.columns)

@@ -8,8 +8,8 @@ are taken, and of scores equal to it, as many as are missing, smallest ids first
 
 Vectors are turned into floor(scale * x). Vectors that are null or hold null or non-finite components,
 and rows without an id, take no part. Only vectors of the query's dimension are its candidates, and no
-row with the query's own id. An id that repeats among the queries is asked once, with its smallest
-vector; repeated candidates count as often as they occur. Fewer candidates than k give all of them.
+row with the query's own id. Queries that repeat both id and vector are asked once, those that repeat the id
+alone each for itself; repeated candidates count as often as they occur. Fewer candidates than k give all of them.
 Scores must fit into 64 bits.
 """
 
@@ -24,6 +24,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from issuerlake.session import shared_dir
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BINS = 1_024
@@ -67,9 +69,9 @@ def scored(batches: Iterator[pa.RecordBatch], block: Block) -> Iterator[tuple[np
         for i in range(0, len(ids), step):
             part = ids[i : i + step]
             counts = np.ones((len(part), len(block.ids)), bool)
-            at = np.minimum(np.searchsorted(block.ids, part), len(block.ids) - 1)
-            own = np.flatnonzero(block.ids[at] == part)
-            counts[own, at[own]] = False
+            first, last = np.searchsorted(block.ids, part), np.searchsorted(block.ids, part, "right")
+            for own in np.flatnonzero(last > first).tolist():
+                counts[own, first[own] : last[own]] = False
             yield part, block.score(m[i : i + step]), counts
 
 
@@ -116,7 +118,7 @@ def narrow(vectors: DataFrame, block: Block, k: int) -> None:
 
 
 def select(vectors: DataFrame, block: Block, k: int) -> DataFrame:
-    """query_id, vec_id, score: scores above the k-th one, and per task the smallest ids of those equal to it."""
+    """query (number), query_id, vec_id, score: scores above the k-th one, and per task the smallest ids of those equal to it."""
     shared = vectors.sparkSession.sparkContext.broadcast(block)
 
     def run(batches):
@@ -124,7 +126,7 @@ def select(vectors: DataFrame, block: Block, k: int) -> DataFrame:
         ties: list[list[int]] = [[] for _ in b.ids]
         for ids, s, counts in scored(batches, b):
             c, q = np.nonzero(counts & (s > b.low))
-            out = [(b.ids[q], ids[c], s[c, q])]
+            out = [(q, b.ids[q], ids[c], s[c, q])]
             c, q = np.nonzero(counts & (s == b.low))
             order = np.lexsort((ids[c], q))
             c, q = c[order], q[order]
@@ -132,19 +134,19 @@ def select(vectors: DataFrame, block: Block, k: int) -> DataFrame:
             for x, y in zip(q[rank < k].tolist(), ids[c[rank < k]].tolist()):
                 ties[x].append(y)
             yield table(*(np.concatenate(x) for x in zip(*out)))
-        rows = [(b.ids[q], y, b.low[q]) for q, own in enumerate(ties) for y in sorted(own)[:k]]
+        rows = [(q, b.ids[q], y, b.low[q]) for q, own in enumerate(ties) for y in sorted(own)[:k]]
         if rows:
             yield table(*(np.array(x, np.int64) for x in zip(*rows)))
 
     def table(*columns):
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query", "query_id", "vec_id", "score"])
 
-    return vectors.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
+    return vectors.mapInArrow(run, "query bigint, query_id bigint, vec_id bigint, score bigint")
 
 
 def blocks(queries: DataFrame, size: int) -> Iterator[Block]:
     """Query blocks of one dimension and limited size, streamed through the driver in order of dimension and id."""
-    once = queries.groupBy("id").agg(F.min("v").alias("v")).withColumn("d", F.size("v")).orderBy("d", "id")
+    once = queries.select("id", "v").distinct().withColumn("d", F.size("v")).orderBy("d", "id", "v")
     ids: list[int] = []
     rows: list[list[int]] = []
     for r in once.toLocalIterator():
@@ -160,12 +162,16 @@ def blocks(queries: DataFrame, size: int) -> Iterator[Block]:
 def search(queries: DataFrame, candidates: DataFrame, k: int, block_queries: int = BLOCK_QUERIES) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: each query's k best candidates; ties to the smaller id.
 
-    Both tables have id and v (see ``integers``). Per block of queries a few passes read all candidates;
-    nothing but histogram bins and hits is shuffled.
+    Both tables have id and v (see ``integers``). Per block of queries, of which the driver holds one at a time, a few
+    passes read all candidates; nothing but histogram bins and hits is shuffled. A block's hits are written
+    to a shared folder, so no plan grows with the queries.
     """
+    session = candidates.sparkSession
+    path, schema = shared_dir(session, "topk"), "query_id bigint, rank int, vec_id bigint, score bigint"
+    session.createDataFrame([], schema).write.parquet(path)
     norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     longest = float(candidates.agg(F.max(F.sqrt(norm))).first()[0] or 0)
-    hits = None
+    order = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
     for block in blocks(queries, block_queries):
         reach = np.sqrt((block.rows.astype(np.float64) ** 2).sum(axis=1)) * longest * (1 + 1e-9) + 1
         block.high = np.minimum(reach, float(1 << 61)).astype(np.int64)
@@ -173,10 +179,6 @@ def search(queries: DataFrame, candidates: DataFrame, k: int, block_queries: int
         block.above = np.zeros(len(block.ids), np.int64)
         while (block.high > block.low).any():
             narrow(candidates, block, k)
-        found = select(candidates, block, k)
-        hits = found if hits is None else hits.union(found)
-    if hits is None:
-        hits = candidates.sparkSession.createDataFrame([], "query_id bigint, vec_id bigint, score bigint")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+        ranked = select(candidates, block, k).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        ranked.select("query_id", "rank", "vec_id", "score").write.mode("append").parquet(path)
+    return session.read.schema(schema).parquet(path)

@@ -382,3 +382,19 @@ def test_every_notice_with_allowed_errors_is_found():
                 else:
                     letters.insert(at, "q")
             assert notice.find(" lorem ipsum " + "".join(letters) + " dolor ")
+
+
+def test_removal_with_columns_of_any_name(spark):
+    text = "one two three four five six seven eight nine ten"
+    schema = "doc_id bigint, text string, __a bigint, __b bigint, __x string, __y int, doc string, id int, a int, n int, kept boolean"
+    rows = [(i, t, 1, 2, "x", 3, "d", 4, 5, 6, False) for i, t in enumerate([text, text, text + " x", None, "other words"])]
+    kept = neardup.keep_first(spark.createDataFrame(rows, schema), width=2)
+    assert kept.columns == [f.split()[0] for f in schema.split(", ")]
+    assert sorted(map(tuple, kept.collect())) == [rows[0], rows[3], rows[4]]
+
+
+def test_all_candidates_may_be_tested(spark):
+    rows = near_rows()
+    docs = documents(spark, [t for _, t in rows], [i for i, _ in rows]).repartition(4)
+    got = neardup.link(docs, width=2, cut=neardup.SYMBOLS)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute_components(rows, 2)
