@@ -524,6 +524,22 @@ add("stream_request_log", """SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_s
   FROM (SELECT date_trunc('hour', ts) AS w, event_type FROM events)
   WHERE w + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE GROUP BY 1, 2""")
 
+MICRO = "strftime({0}, '%Y-%m-%d %H:%M:%S.%f')"
+add("stream_request_sliding", f"""SELECT {MICRO.format('w')} AS window_start, event_type AS endpoint, count(*) AS n_requests
+  FROM (SELECT unnest([time_bucket(INTERVAL 30 MINUTE, ts) - INTERVAL 30 MINUTE * k FOR k IN range(4)]) AS w, event_type FROM events)
+  WHERE w + INTERVAL 2 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE GROUP BY ALL""")
+add("stream_request_sessions", f"""WITH marked AS (SELECT ts, event_type, CASE WHEN ts - lag(ts) OVER (PARTITION BY event_type ORDER BY ts) <= INTERVAL 30 MINUTE
+    THEN 0 ELSE 1 END AS fresh FROM events),
+  numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY event_type ORDER BY ts ROWS UNBOUNDED PRECEDING) AS n FROM marked)
+SELECT {MICRO.format('min(ts)')} AS session_start, {MICRO.format('max(ts) + INTERVAL 30 MINUTE')} AS session_end, event_type AS endpoint, count(*) AS n_requests
+FROM numbered GROUP BY event_type, n HAVING max(ts) + INTERVAL 30 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""")
+add("stream_matched_requests", f"""WITH landed AS (SELECT doc_id AS object_id, TIMESTAMP '2024-01-01' + INTERVAL 1 SECOND * (doc_id * 2591 % 2592000) AS landed_at FROM documents),
+  met AS (SELECT l.object_id, landed_at, event_id, ts AS asked_at FROM landed l LEFT JOIN events e
+    ON e.event_id % 200 = l.object_id AND ts >= landed_at AND ts < landed_at + INTERVAL 1 DAY),
+  mark AS (SELECT least((SELECT max(landed_at) FROM landed), (SELECT max(ts) FROM events)) - INTERVAL 10 MINUTE AS m)
+SELECT object_id, {MICRO.format('landed_at')} AS landed_at, event_id, {MICRO.format('asked_at')} AS asked_at
+FROM met, mark WHERE event_id IS NOT NULL OR landed_at + INTERVAL 1 DAY <= m""")
+
 # --- time ----------------------------------------------------------------------------------------
 
 PAST = f"""past AS (SELECT event_id, {asset('user_id', 210)} AS asset_code,
@@ -575,3 +591,27 @@ add("spread_percentiles_sketched", with_(F3, SPREADS) + """SELECT DISTINCT index
 add("digest_levels", with_(F7) + """SELECT ref_date, document_type, source, CAST(grouping_id(ref_date, document_type, source) AS INTEGER) AS level,
   count(*) AS n_documents, count(DISTINCT title) AS n_titles
   FROM (SELECT * REPLACE (CASE WHEN doc_id % 13 > 0 THEN source END AS source), category AS title FROM f7) GROUP BY CUBE (ref_date, document_type, source)""")
+
+# --- multisets and balances ----------------------------------------------------------------------
+
+add("reconcile_export", with_(F1, sums("f1")) + f""", g AS ({FINANCIALS}), n AS (SELECT *, CAST(right(issuer_cnpj, 2) AS INTEGER) + quarter(date) AS k FROM g)
+  SELECT * EXCLUDE (k), 1::BIGINT AS n_left, ((k % 11 > 0)::INTEGER + (k % 13 = 0)::INTEGER)::BIGINT AS n_right FROM n
+  WHERE (k % 11 > 0)::INTEGER + (k % 13 = 0)::INTEGER <> 1""")
+LOT = f"SELECT {asset('l_partkey', 200)} AS asset_code, CAST(l_quantity AS BIGINT) AS qty, CASE WHEN l_orderkey % 5 > 0 THEN l_returnflag END AS flag FROM lineitem WHERE l_linenumber % 2 = "
+add("lots_in_both", f"({LOT} 0) INTERSECT ALL ({LOT} 1)")
+add("lots_in_first_only", f"({LOT} 0) EXCEPT ALL ({LOT} 1)")
+add("outstanding_balance", f"""WITH e AS (SELECT event_id, {asset('user_id', 200)} AS asset_code, ts,
+    CASE WHEN event_type IN ('purchase', 'signup') THEN 1 ELSE -1 END * CAST(round(value * 100) AS BIGINT) AS c FROM events WHERE value IS NOT NULL),
+  s AS (SELECT *, sum(c) OVER w AS s FROM e WINDOW w AS (PARTITION BY asset_code ORDER BY ts, event_id))
+SELECT event_id, asset_code, CAST(s - least(0, min(s) OVER (PARTITION BY asset_code ORDER BY ts, event_id)) AS BIGINT) / 100.0::DOUBLE AS balance FROM s""")
+add("cash_flow_table", f"""WITH RECURSIVE e AS (SELECT {asset('user_id', 200)} AS asset_code,
+    CAST(date_trunc('month', DATE '2023-01-01' + CAST(event_id % 700 AS INTEGER)) AS DATE) AS period,
+    CAST(round(value * 100) AS BIGINT) AS c, CASE WHEN event_type IN ('purchase', 'signup') THEN 1 WHEN event_type = 'view' THEN 2 ELSE 3 END AS kind
+    FROM events WHERE value IS NOT NULL),
+  p AS (SELECT asset_code, period, coalesce(sum(c) FILTER (kind = 1), 0)::BIGINT AS paid, coalesce(sum(c) FILTER (kind = 2), 0)::BIGINT AS interest,
+    coalesce(sum(c) FILTER (kind = 3), 0)::BIGINT AS due, row_number() OVER (PARTITION BY asset_code ORDER BY period) AS i FROM e GROUP BY 1, 2),
+  flow AS (SELECT asset_code, period, i, 0::BIGINT AS opening, paid, interest, least(due, paid) AS amortized, paid - least(due, paid) AS closing FROM p WHERE i = 1
+    UNION ALL SELECT p.asset_code, p.period, p.i, f.closing, p.paid, p.interest, least(p.due, f.closing + p.paid), f.closing + p.paid - least(p.due, f.closing + p.paid)
+    FROM flow f JOIN p ON p.asset_code = f.asset_code AND p.i = f.i + 1)
+SELECT asset_code, period, opening / 100.0::DOUBLE AS opening, paid / 100.0::DOUBLE AS paid_in, interest / 100.0::DOUBLE AS interest,
+  amortized / 100.0::DOUBLE AS amortized, closing / 100.0::DOUBLE AS closing FROM flow""")

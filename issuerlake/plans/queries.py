@@ -727,6 +727,21 @@ def stream_gold_refresh(spark, sf):
     return st.stream_gold_from_statements(spark, sf)
 
 
+@query
+def stream_request_sessions(spark, sf):
+    return st.stream_sessions_of_requests(spark, sf)
+
+
+@query
+def stream_request_sliding(spark, sf):
+    return st.stream_sliding_requests(spark, sf)
+
+
+@query
+def stream_matched_requests(spark, sf):
+    return st.stream_documents_requested(spark, sf)
+
+
 # --- time ----------------------------------------------------------------------------------------
 
 
@@ -822,3 +837,56 @@ def digest_levels(spark, sf):
     """The ingest digest on every level of day, type and source, total rows told from those of unknown sources."""
     rows = fx.filings(spark, sf).withColumn("source", F.when(F.col("doc_id") % 13 > 0, F.col("source")))
     return op.digest_levels(rows, ["ref_date", "document_type", "source"])
+
+
+# --- multisets and balances ----------------------------------------------------------------------
+
+
+@query
+def reconcile_export(spark, sf):
+    """Gold rows against an export that lost the rows of some quarters and has others twice."""
+    gold = op.financials_quarterly(last_exercise(spark, sf))
+    n = "cast(right(issuer_cnpj, 2) as int) + quarter(date)"
+    path = shared_dir(spark, "export")
+    exported = gold.filter(f"({n}) % 11 > 0").unionByName(gold.filter(f"({n}) % 13 = 0"))
+    op.export_sheets(exported, path)
+    back = spark.read.option("header", True).schema(gold.schema).csv(path)
+    return op.reconcile(gold, back)
+
+
+def lots(spark, sf, odd: int):
+    return fx.table(spark, sf, "lineitem").filter(f"l_linenumber % 2 = {odd}").selectExpr(
+        f"{fx.asset('l_partkey', 200)} AS asset_code", "cast(l_quantity AS bigint) AS qty", "CASE WHEN l_orderkey % 5 > 0 THEN l_returnflag END AS flag"
+    )
+
+
+@query
+def lots_in_both(spark, sf):
+    return op.multiset_intersect(lots(spark, sf, 0), lots(spark, sf, 1))
+
+
+@query
+def lots_in_first_only(spark, sf):
+    return op.multiset_difference(lots(spark, sf, 0), lots(spark, sf, 1))
+
+
+@query
+def outstanding_balance(spark, sf):
+    """What is outstanding of a debenture after every event: some pay in, the others amortize as far as anything is owed."""
+    events = fx.table(spark, sf, "events").selectExpr(
+        "event_id", f"{fx.asset('user_id', 200)} AS asset_code", "ts", "event_type", "cast(round(value * 100) AS bigint) / 100 AS amount",
+    ).withColumn("amount", F.col("amount").cast("decimal(18,2)"))
+    change = F.when(F.col("event_type").isin("purchase", "signup"), F.col("amount")).otherwise(-F.col("amount"))
+    found = op.running_balance(events, ["asset_code"], "ts", ["event_id"], change, bucket_seconds=3 * 86_400)
+    return found.select("event_id", "asset_code", F.col("balance").cast("double").alias("balance"))
+
+
+@query
+def cash_flow_table(spark, sf):
+    kind = "CASE WHEN event_type IN ('purchase', 'signup') THEN 'paid_in' WHEN event_type = 'view' THEN 'interest' ELSE 'amortized' END AS kind"
+    events = fx.table(spark, sf, "events").selectExpr(
+        f"{fx.asset('user_id', 200)} AS asset_code", "date_add(date'2023-01-01', cast(event_id % 700 AS int)) AS event_date", kind,
+        "cast(round(value * 100) AS bigint) / 100 AS amount",
+    )
+    flows = op.cash_flow_table(events)
+    return flows.select("asset_code", "period", *[F.col(c).cast("double").alias(c) for c in ("opening", "paid_in", "interest", "amortized", "closing")])

@@ -60,21 +60,63 @@ def compact_catalog(spark: SparkSession, catalog_path: str, target: str) -> None
     write_gold(rows.withColumns(compacted), target, [STREAM_ID, BATCH_ID])
 
 
+def _append(rows: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
+    return (
+        rows.writeStream.outputMode("append").format("parquet").option("path", sink)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
 def stream_request_log(
     log: DataFrame, sink: str, checkpoint: str, ts: str = "ts", endpoint: str = "endpoint",
-    size: str = "1 hour", delay: str = "10 minutes",
+    size: str = "1 hour", delay: str = "10 minutes", slide: str | None = None,
 ) -> StreamingQuery:
-    """Requests per endpoint and tumbling window; a window is written once the watermark has passed it."""
+    """Requests per endpoint and window; a window is written once the watermark has passed it.
+
+    Windows follow each other, or with ``slide`` begin that far apart and overlap.
+    """
     counts = (
         log.withWatermark(ts, delay)
-        .groupBy(F.window(ts, size).alias("w"), endpoint)
+        .groupBy(F.window(ts, size, slide).alias("w"), endpoint)
         .agg(F.count(F.lit(1)).alias("n_requests"))
         .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), endpoint, "n_requests")
     )
-    return (
-        counts.writeStream.outputMode("append").format("parquet").option("path", sink)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return _append(counts, sink, checkpoint)
+
+
+def stream_request_sessions(
+    log: DataFrame, sink: str, checkpoint: str, ts: str = "ts", endpoint: str = "endpoint",
+    gap: str = "30 minutes", delay: str = "10 minutes",
+) -> StreamingQuery:
+    """Sessions per endpoint: requests that follow each other within ``gap``, with start, end (last request and gap) and number.
+
+    A session that is open when a batch ends is state, one row each; a late request extends or joins sessions until the
+    watermark has passed their end, then they are written. Each task merges its requests to sessions before they
+    move, so an endpoint with most requests sends few rows.
+    """
+    log.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+    sessions = (
+        log.withWatermark(ts, delay)
+        .groupBy(F.session_window(ts, gap).alias("w"), endpoint)
+        .agg(F.count(F.lit(1)).alias("n_requests"))
+        .select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), endpoint, "n_requests")
     )
+    return _append(sessions, sink, checkpoint)
+
+
+def stream_matched_requests(
+    landed: DataFrame, requests: DataFrame, sink: str, checkpoint: str, key: str = "object_id", landed_at: str = "landed_at",
+    asked_at: str = "asked_at", within: str = "1 day", delay: str = "10 minutes",
+) -> StreamingQuery:
+    """Landed objects with the requests for them ``within`` that time; an object without any is written once, with nulls.
+
+    Both sides are state only as long as the other can still match: watermarks on both times and the time range
+    bound it. Unmatched objects are written when the watermark has passed their last moment. The columns
+    of the sides, but for the key, need different names.
+    """
+    asked = requests.withColumnRenamed(key, "_asked_key").withWatermark(asked_at, delay)
+    near = F.expr(f"{key} = _asked_key AND {asked_at} >= {landed_at} AND {asked_at} < {landed_at} + INTERVAL {within}")
+    return _append(landed.withWatermark(landed_at, delay).join(asked, near, "leftOuter").drop("_asked_key"), sink, checkpoint)
 
 
 def add_up(sums: DataFrame, names: list[str]) -> DataFrame:

@@ -20,8 +20,9 @@ def batched_stream(spark: SparkSession, sf: str, name: str, key: str, batches: i
     """The table arriving in key order, in ``batches`` parts of as wide a range of keys or more, as files that are a batch each."""
     path = shared_dir(spark, f"arriving-{name}")
     rows = fx.table(spark, sf, name)
-    low, high = (x or 0 for x in rows.agg(F.min(key), F.max(key)).first())
-    part = F.least(F.floor((F.col(key) - low) * batches / (high - low + 1)), F.lit(batches - 1))
+    at = F.expr(key).cast("double")
+    low, high = (x or 0 for x in rows.agg(F.min(at), F.max(at)).first())
+    part = F.least(F.floor((at - low) * batches / (high - low + 1)), F.lit(batches - 1))
     for i in range(batches):
         rows.filter(F.coalesce(part, F.lit(0)) == i).write.mode("append").parquet(path)
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
@@ -43,6 +44,36 @@ def stream_request_windows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def request_batches(spark: SparkSession, sf: str) -> DataFrame:
+    log = batched_stream(spark, sf, "events", "unix_micros(cast(ts AS timestamp))")
+    return log.select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("endpoint"), "event_id")
+
+
+def shown(c: str):
+    return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c)
+
+
+def stream_sliding_requests(spark: SparkSession, sf: str) -> DataFrame:
+    root = shared_dir(spark, "sliding")
+    jobs.stream_request_log(request_batches(spark, sf), f"{root}/windows", f"{root}/progress", size="2 hours", slide="30 minutes").awaitTermination()
+    return spark.read.parquet(f"{root}/windows").select(shown("window_start"), "endpoint", "n_requests")
+
+
+def stream_sessions_of_requests(spark: SparkSession, sf: str) -> DataFrame:
+    root = shared_dir(spark, "sessions")
+    jobs.stream_request_sessions(request_batches(spark, sf), f"{root}/sessions", f"{root}/progress").awaitTermination()
+    return spark.read.parquet(f"{root}/sessions").select(shown("session_start"), shown("session_end"), "endpoint", "n_requests")
+
+
+def stream_documents_requested(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents land over a month, 2,591 seconds apart in order of their id; an event asks for one of the first two hundred."""
+    root = shared_dir(spark, "matched")
+    landed = file_stream(spark, sf, "documents").selectExpr("doc_id AS object_id", "timestamp_seconds(1704067200 + doc_id * 2591 % 2592000) AS landed_at")
+    requests = file_stream(spark, sf, "events").selectExpr("event_id % 200 AS object_id", "event_id", "cast(ts AS timestamp) AS asked_at")
+    jobs.stream_matched_requests(landed, requests, f"{root}/matched", f"{root}/progress").awaitTermination()
+    return spark.read.parquet(f"{root}/matched").select("object_id", shown("landed_at"), "event_id", shown("asked_at"))
+
+
 def stream_gold_from_statements(spark: SparkSession, sf: str) -> DataFrame:
     root = shared_dir(spark, "refresh")
     rows = fx.tagged_statements(spark, sf, batched_stream(spark, sf, "lineitem", "l_orderkey"))

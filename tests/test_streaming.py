@@ -129,3 +129,51 @@ def test_compacted_sums_serve_the_stream(spark, tmp_path):
     land(spark, landing, [("Consolidado", "c", dt.date(2024, 3, 31), "ÚLTIMO", "3.01", 8.0, "UNIDADE")], STATEMENT)
     st.stream_gold_refresh(read(spark, landing, STATEMENT), compact, gold, progress).awaitTermination()
     assert [r["revenue"] for r in spark.read.parquet(gold).collect()] == [15.0]
+
+
+REQUEST = "ts timestamp, endpoint string"
+
+
+def minute(m):
+    return dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m)
+
+
+def test_late_requests_join_sessions_until_the_watermark(spark, tmp_path):
+    landing, sink, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+
+    def run(*rows):
+        land(spark, landing, [(minute(m), e) for m, e in rows], REQUEST)
+        st.stream_request_sessions(read(spark, landing, REQUEST), sink, progress, gap="10 minutes", delay="30 minutes").awaitTermination()
+        out = spark.read.parquet(sink).collect()
+        return sorted((r["endpoint"], (r["session_start"] - minute(0)).seconds // 60, (r["session_end"] - minute(0)).seconds // 60, r["n_requests"]) for r in out)
+
+    assert run((0, "a"), (5, "a"), (20, "a"), (2, "b")) == []
+    # A late request bridges two open sessions of an endpoint, and one endpoint's time moves the watermark of all.
+    assert run((13, "a"), (14, "a"), (55, "c")) == [("b", 2, 12, 1)]
+    assert run((3, "a"), (70, "c")) == [("a", 0, 30, 5), ("b", 2, 12, 1)]  # 3 is too late
+    assert run((200, "c")) == [("a", 0, 30, 5), ("b", 2, 12, 1), ("c", 55, 65, 1), ("c", 70, 80, 1)]
+
+
+def test_sliding_windows_overlap(spark, tmp_path):
+    landing, sink, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    land(spark, landing, [(minute(70), "a"), (minute(95), "a"), (minute(400), "b")], REQUEST)
+    st.stream_request_log(read(spark, landing, REQUEST), sink, progress, size="1 hour", slide="20 minutes").awaitTermination()
+    got = sorted(((r["window_start"] - minute(0)).seconds // 60, r["n_requests"]) for r in spark.read.parquet(sink).filter("endpoint = 'a'").collect())
+    assert got == [(20, 1), (40, 2), (60, 2), (80, 1)]
+
+
+def test_unmatched_objects_are_written_once(spark, tmp_path):
+    a, b, sink, progress = (str(tmp_path / n) for n in ("a", "b", "out", "progress"))
+    landed, asked = "object_id int, landed_at timestamp", "object_id int, request int, asked_at timestamp"
+
+    def run(objects, requests):
+        land(spark, a, [(i, minute(m)) for i, m in objects], landed)
+        land(spark, b, [(i, r, minute(m)) for i, r, m in requests], asked)
+        st.stream_matched_requests(read(spark, a, landed), read(spark, b, asked), sink, progress, within="60 minutes", delay="10 minutes").awaitTermination()
+        return sorted((r["object_id"], r["request"] or 0) for r in spark.read.parquet(sink).collect())
+
+    assert run([(1, 0), (2, 5), (3, 10)], [(1, 11, 30), (1, 12, 59), (1, 13, 60), (2, 21, 4), (9, 91, 20)]) == [(1, 11), (1, 12)]
+    # A request of a later batch meets an object of an earlier one; nothing is unmatched before its time is over.
+    assert run([(4, 40)], [(2, 22, 64), (3, 31, 70), (4, 41, 41)]) == [(1, 11), (1, 12), (2, 22), (4, 41)]
+    assert run([(5, 200)], [(5, 51, 210)]) == [(1, 11), (1, 12), (2, 22), (3, 0), (4, 41), (5, 51)]
+    assert run([(6, 400)], [(7, 71, 500)]) == [(1, 11), (1, 12), (2, 22), (3, 0), (4, 41), (5, 51)]

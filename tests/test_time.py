@@ -216,3 +216,65 @@ def test_levels_tell_totals_from_nulls(spark):
     assert {r["level"] for r in some.collect()} == {0, 3}
     hot = spark.range(0, 50_000, 1, 8).selectExpr("'d' AS day", "CASE WHEN id % 3 > 0 THEN 'hot' ELSE concat('s', id % 9) END AS source", "concat('t', id % 1000) AS title")
     assert {(r["n_documents"], r["n_titles"]) for r in op.digest_levels(hot, ["day", "source"]).filter("level = 3").collect()} == {(50_000, 1000)}
+
+
+# --- multisets ---------------------------------------------------------------------------------
+
+
+def test_multisets_equal_counters(spark, monkeypatch):
+    from collections import Counter
+
+    from issuerlake.operators import multisets
+
+    monkeypatch.setattr(multisets, "COPIES", 7)
+    rng = random.Random(4)
+    rows = lambda n: [(rng.choice(["a", "b", None]), rng.choice([1.0, float("nan"), None]), rng.choice([dt.date(2024, 1, 1), None])) for _ in range(n)]
+    key = lambda r: tuple("nan" if x != x else x for x in r)
+    left, right = rows(120) + [("hot", 1.0, None)] * 500, rows(90) + [("hot", 1.0, None)] * 333
+    schema = "k string, v double, d date"
+    a, b = spark.createDataFrame(left, schema).repartition(4), spark.createDataFrame(right, schema).select("d", "k", "v").repartition(3)
+    x, y = Counter(map(key, left)), Counter(map(key, right))
+    both, more = op.multiset_intersect(a, b), op.multiset_difference(a, b)
+    assert both.columns == more.columns == ["k", "v", "d"]
+    assert Counter(key(r) for r in both.collect()) == x & y and (x & y)["hot", 1.0, None] == 333
+    assert Counter(key(r) for r in more.collect()) == x - y
+    found = {key(r[:3]): tuple(r[3:]) for r in op.reconcile(a, b).collect()}
+    assert found == {k: (x[k], y[k]) for k in x | y if x[k] != y[k]}
+    assert op.reconcile(a, a).count() == 0 and op.multiset_intersect(a, b.limit(0)).count() == 0
+    assert Counter(key(r) for r in op.multiset_difference(a, b.limit(0)).collect()) == x
+    with pytest.raises(ValueError, match="different columns"):
+        op.copies(a, b.drop("v"))
+
+
+# --- balances ----------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("bucket,start", [(60, 0), (3600, 500), (86_400 * 365, 20)])
+def test_running_balance_equals_a_loop(spark, bucket, start):
+    from decimal import Decimal
+
+    rng = random.Random(5)
+    rows = [(i, rng.choice(["hot", "hot", "hot", "b", None]), at(rng.choice([None, *range(-200, 3000)])), rng.choice([None, *range(-40, 36)])) for i in range(600)]
+    df = spark.createDataFrame(rows, "id int, k string, t timestamp, c int").repartition(5)
+    got = op.running_balance(df, ["k"], "t", ["id"], F.col("c") / 100, F.lit(start) / 100, bucket)
+    assert got.columns == ["id", "k", "t", "c", "balance"]
+    want, now = {}, {}
+    for i, k, t, c in sorted((r for r in rows if None not in r), key=lambda r: (r[2], r[0])):
+        now[k] = max(0, now.get(k, start) + c)
+        want[i] = Decimal(now[k]) / 100
+    assert {r["id"]: r["balance"] for r in got.collect()} == want and 0 in want.values()
+
+
+def test_cash_flows_of_a_hot_asset(spark):
+    from decimal import Decimal
+
+    d = lambda m, day=3: dt.date(2024, m, day)
+    rows = [("a", d(1), "paid_in", 100), ("a", d(1, 9), "interest", 2), ("a", d(2), "amortized", 30), ("a", d(4), "amortized", 90), ("a", d(5), "paid_in", 5),
+            ("b", d(2), "amortized", 7), (None, d(2), "paid_in", 7), ("b", None, "paid_in", 7), ("b", d(2), "interest", None)]
+    rows += [("hot", d(1 + i % 12), "paid_in", 1) for i in range(3000)]
+    got = op.cash_flow_table(spark.createDataFrame(rows, "asset_code string, event_date date, kind string, amount int").repartition(4)).collect()
+    table = {(r["asset_code"], r["period"].month): tuple(r)[2:] for r in got}
+    assert table["a", 1] == (0, 100, 2, 0, 100) and table["a", 2] == (100, 0, 0, 30, 70) and table["a", 4] == (70, 0, 0, 70, 0)
+    assert table["a", 5] == (0, 5, 0, 0, 5) and table["b", 2] == (0, 0, 0, 0, 0) and len(table) == 17
+    assert table["hot", 12] == (Decimal(2750), 250, 0, 0, 3000)
+    assert op.cash_flow_table(spark.createDataFrame([], "asset_code string, event_date date, kind string, amount int")).count() == 0
