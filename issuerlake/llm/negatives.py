@@ -125,21 +125,14 @@ class Block:
 
 
 class Best:
-    """The k best hits of every pair: score descending, then id."""
+    """The k best hits of every pair of a cluster (numbered from 0): score descending, then id."""
 
     def __init__(self, pairs: int, k: int):
         self.k, self.floor = k, np.full(pairs, -np.inf)
         self.hits = [np.empty(0, np.int64)] * 3
-        self.pending: list = []
-        self.size = 0
 
     def add(self, pair: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
-        self.pending.append((pair, ids, scores))
-        self.size += len(pair)
-
-    def merge(self) -> None:
-        pair, ids, scores = (np.concatenate(x) for x in zip(self.hits, *self.pending))
-        self.pending, self.size = [], 0
+        pair, ids, scores = (np.concatenate(x) for x in zip(self.hits, (pair, ids, scores)))
         order = np.lexsort((ids, -scores, pair))
         pair, ids, scores = pair[order], ids[order], scores[order]
         place = np.arange(len(pair)) - np.searchsorted(pair, pair)
@@ -154,11 +147,12 @@ def walk(block: Block, best: Best, center: np.ndarray, widest: float, a: int, b:
     bound = norms * np.cos(np.maximum(0.0, angle - widest)) * (1 + SLACK) + SLACK
     order = np.argsort(-bound, kind="stable")
     bound = bound[order]
-    pairs = np.arange(block.first[a], block.first[b])
+    begin = block.first[a]
+    pairs = np.arange(begin, block.first[b])
     at, step = 0, STEP
     while at < len(order) and len(pairs):
         # A row below the bound of the next one cannot enter; an equal score still may, by its id.
-        needed = np.maximum(best.floor[pairs], block.low[pairs])
+        needed = np.maximum(best.floor[pairs - begin], block.low[pairs])
         reach = bound[at] * block.norms[block.anchor[pairs]]
         pairs = pairs[np.maximum(reach, SLACK) >= needed]
         if not len(pairs):
@@ -168,12 +162,11 @@ def walk(block: Block, best: Best, center: np.ndarray, widest: float, a: int, b:
         scores = np.rint(m[rows] @ block.m[members].T)
         counts = labels[rows][:, None] == block.labels[members][None, :]
         counts = (counts if block.same else ~counts) & (ids[rows][:, None] != block.ids[members][None, :])
-        low, high = np.maximum(best.floor[pairs], block.low[pairs]), block.high[pairs]
+        low, high = np.maximum(best.floor[pairs - begin], block.low[pairs]), block.high[pairs]
         wanted = scores[:, member]
         row, col = np.nonzero(counts[:, member] & (wanted >= low) & (wanted <= high))
         if len(row):
-            best.add(pairs[col], ids[rows[row]], wanted[row, col].astype(np.int64))
-            best.merge()
+            best.add(pairs[col] - begin, ids[rows[row]], wanted[row, col].astype(np.int64))
         at += len(rows)
         step *= 2
 
@@ -184,15 +177,16 @@ def search(rows: DataFrame, block: Block, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b = shared.value
-        width, best = b.m.shape[1], Best(len(b.anchor), k)
+        width = b.m.shape[1]
+        best = [Best(int(b.first[end] - b.first[start]), k) for _, _, start, end in b.clusters]
         held: list = []
 
         def flush() -> None:
             ids, labels, m = (np.concatenate(x) for x in zip(*held))
             held.clear()
             norms, units = directions(m)
-            for cluster in b.clusters:
-                walk(b, best, *cluster, ids, labels, m, norms, units)
+            for own, cluster in zip(best, b.clusters):
+                walk(b, own, *cluster, ids, labels, m, norms, units)
 
         for batch in batches:
             lists = batch.column("v")
@@ -203,7 +197,9 @@ def search(rows: DataFrame, block: Block, k: int) -> DataFrame:
                 flush()
         if held:
             flush()
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in best.hits], names=["member", "id", "score"])
+        for own, (_, _, start, _) in zip(best, b.clusters):
+            hits = own.hits[0] + b.first[start], *own.hits[1:]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in hits], names=["member", "id", "score"])
 
     return top(rows.select("id", "label", "v").mapInArrow(run, HITS), "member", k)
 
