@@ -30,6 +30,22 @@ def catalog_rows(
     )
 
 
+def metadata_map(rows: DataFrame, columns: list[str], name: str = "metadata") -> DataFrame:
+    """The columns as one map of strings, as object stores keep metadata; nulls and empty texts are no entry."""
+    entry = lambda c: F.struct(F.lit(c).alias("key"), F.nullif(F.col(c).cast("string"), F.lit("")).alias("value"))
+    entries = F.filter(F.array(*[entry(c) for c in columns]), lambda e: e["value"].isNotNull())
+    return rows.withColumn(name, F.map_from_entries(entries)).select(*[c for c in rows.columns if c not in columns], name)
+
+
+def metadata_columns(rows: DataFrame, schema: dict[str, str], name: str = "metadata") -> DataFrame:
+    """The entries of a map of strings as columns of the given types; without an entry, or one of another type, null. The rest of
+    the entries stays in the map."""
+    known = F.array(*[F.lit(c) for c in schema])
+    rest = F.map_filter(name, lambda k, _: ~F.array_contains(known, k))
+    typed = [F.try_element_at(F.col(name), F.lit(c)).try_cast(t).alias(c) for c, t in schema.items()]
+    return rows.select(*[c for c in rows.columns if c != name], *typed, rest.alias(name))
+
+
 def freshness_gate(available: DataFrame, landed: DataFrame, keys=("document_type", "file_year", "last_update")) -> DataFrame:
     """Offered items that have not landed yet, item by item."""
     return available.join(landed.select(*keys).distinct(), list(keys), "left_anti")

@@ -80,6 +80,29 @@ def reply_checks(replies: DataFrame, columns: list[str], skip: int, required: li
     )
 
 
+def header_report(
+    files: DataFrame, expected: dict[str, list[str]], loose: set[str] = frozenset(), source: str = "source", header: str = "header",
+    sep: str = ";",
+) -> DataFrame:
+    """Per file: the expected columns of its source that its header lacks, those it has besides, and whether only their order differs.
+
+    Names may be quoted. For the sources in ``loose`` further columns and their order do not matter. A source that nothing is
+    expected of has nulls; so has ``order_differs`` where columns are missing or unexpected. The first line of a file is all it takes.
+    """
+    mark = "\\" + sep
+    names = F.transform(F.split(F.coalesce(header, F.lit("")), mark), lambda x: F.regexp_replace(F.trim(x), '^"(.*)"$', "$1"))
+    got = F.when(F.coalesce(F.col(header), F.lit("")) == "", F.array().cast("array<string>")).otherwise(names)
+    wanted = F.create_map(*[c for k, v in expected.items() for c in (F.lit(k), F.array(*[F.lit(x) for x in v]))])
+    rows = files.withColumns({"_got": got, "_want": F.try_element_at(wanted, F.col(source))})
+    strict = ~F.col(source).isin(list(loose)) if loose else F.lit(True)
+    missing = F.array_except("_want", "_got")
+    unexpected = F.when(strict, F.array_except("_got", "_want")).otherwise(F.when(F.col("_want").isNotNull(), F.array().cast("array<string>")))
+    rows = rows.withColumns({"missing": missing, "unexpected": unexpected})
+    same = (F.size("missing") == 0) & (F.size("unexpected") == 0)
+    differs = F.when(F.col("_want").isNotNull() & same, strict & (F.col("_got") != F.col("_want")))
+    return rows.withColumn("order_differs", differs).drop("_got", "_want")
+
+
 def schema_differences(actual: T.StructType, expected: list[str]) -> list[str]:
     """Readable differences between a header and the expected ordered column list."""
     got = actual.fieldNames()

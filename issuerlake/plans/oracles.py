@@ -615,3 +615,13 @@ add("cash_flow_table", f"""WITH RECURSIVE e AS (SELECT {asset('user_id', 200)} A
     FROM flow f JOIN p ON p.asset_code = f.asset_code AND p.i = f.i + 1)
 SELECT asset_code, period, opening / 100.0::DOUBLE AS opening, paid / 100.0::DOUBLE AS paid_in, interest / 100.0::DOUBLE AS interest,
   amortized / 100.0::DOUBLE AS amortized, closing / 100.0::DOUBLE AS closing FROM flow""")
+
+# --- headers and metadata ------------------------------------------------------------------------
+
+add("header_report", with_(F1, F7) + """SELECT source_path, form AS source, CASE WHEN y = 1 THEN 'CNPJ_CIA' ELSE '' END AS missing,
+    CASE WHEN y = 2 THEN 'GRUPO_DFP' ELSE '' END AS unexpected, CASE WHEN y IN (1, 2) THEN NULL ELSE y = 0 END AS order_differs
+  FROM (SELECT DISTINCT source_path, form, file_year % 5 AS y FROM f1)
+UNION ALL SELECT object_path, CASE WHEN doc_id % 29 = 0 THEN 'ipe' ELSE 'fre' END, CASE WHEN doc_id % 29 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN 'DT_RECEB' ELSE '' END,
+  CASE WHEN doc_id % 29 > 0 THEN '' END, CASE WHEN doc_id % 29 > 0 AND doc_id % 7 > 0 THEN false END FROM f7""")
+add("catalog_metadata", with_(F7) + """SELECT doc_id, (5 + (aggregation_type IS NOT NULL)::INTEGER)::INTEGER AS n_entries, CAST(ref_date AS DATE) AS ref_date,
+  CAST(version AS INTEGER) AS version, aggregation_type, NULL::INTEGER AS trace_id, 'document_type,source' AS others FROM f7""")

@@ -890,3 +890,34 @@ def cash_flow_table(spark, sf):
     )
     flows = op.cash_flow_table(events)
     return flows.select("asset_code", "period", *[F.col(c).cast("double").alias(c) for c in ("opening", "paid_in", "interest", "amortized", "closing")])
+
+
+# --- headers and metadata ------------------------------------------------------------------------
+
+
+@query
+def header_report(spark, sf):
+    """Headers of statement files, form lists and replies, some of them in another order, short of a column or with one more."""
+    order = ", ".join(f"'{c}'" for c in CSV_COLUMNS)
+    files = fx.statement_rows(spark, sf).select("source_path", "file_year").distinct().selectExpr(
+        "source_path", "CASE WHEN startswith(source_path, 'bronze/raw/dfp') THEN 'dfp' ELSE 'itr' END AS source",
+        f"""array_join(CASE WHEN file_year % 5 = 0 THEN reverse(array({order})) WHEN file_year % 5 = 1 THEN slice(array({order}), 2, 8)
+        WHEN file_year % 5 = 2 THEN concat(array({order}), array('GRUPO_DFP')) ELSE array({order}) END, ';') AS header""",
+    )
+    forms = fx.filings(spark, sf).selectExpr(
+        "object_path AS source_path", "CASE WHEN doc_id % 29 = 0 THEN 'ipe' ELSE 'fre' END AS source",
+        "CASE WHEN doc_id % 7 = 0 THEN 'CNPJ_CIA;LINK_DOC' ELSE '\"LINK_DOC\"; DT_RECEB ;CNPJ_CIA' END AS header",
+    )
+    expected = {"itr": CSV_COLUMNS, "dfp": CSV_COLUMNS, "fre": ["DT_RECEB", "LINK_DOC"]}
+    found = op.header_report(files.unionByName(forms), expected, loose={"fre"})
+    return found.select("source_path", "source", F.array_join("missing", ",").alias("missing"), F.array_join("unexpected", ",").alias("unexpected"), "order_differs")
+
+
+@query
+def catalog_metadata(spark, sf):
+    """Lineage as a map of strings and back."""
+    rows = op.catalog_rows(fx.filings(spark, sf), fx.RUN, content="text", keep=("doc_id", "version"))
+    packed = op.metadata_map(rows, ["document_type", "ref_date", "aggregation_type", "trace_id", "version", "source"])
+    n = F.size("metadata").alias("n_entries")
+    back = op.metadata_columns(packed.select("doc_id", n, "metadata"), {"ref_date": "date", "version": "int", "aggregation_type": "string", "trace_id": "int"})
+    return back.select("doc_id", "n_entries", "ref_date", "version", "aggregation_type", "trace_id", F.array_join(F.array_sort(F.map_keys("metadata")), ",").alias("others"))

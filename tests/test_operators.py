@@ -304,3 +304,19 @@ def test_replacement_survives_a_stop_at_any_step(spark, tmp_path, rows, monkeypa
     assert got == sorted(new, key=str) or not done and got == sorted(old, key=str)
     assert not [p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("_replace")]
     assert rows(spark.read.schema(schema).parquet(path), "v", "p", "q") == got
+
+
+def test_header_report_tells_names_from_order(spark):
+    rows = [("a", "x;y;z"), ("a", "z;y;x"), ("a", 'x;"y"; z '), ("a", "x;y"), ("a", "x;y;z;w"), ("a", ""), ("a", None), ("b", "z;x;q"), ("b", "q"), ("c", "x")]
+    files = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, source string, header string")
+    got = {r["id"]: (r["missing"], r["unexpected"], r["order_differs"]) for r in op.header_report(files, {"a": ["x", "y", "z"], "b": ["x", "z"]}, {"b"}).collect()}
+    assert got[0] == got[2] == ([], [], False) and got[1] == ([], [], True) and got[3] == (["z"], [], None) and got[4] == ([], ["w"], None)
+    assert got[5] == got[6] == (["x", "y", "z"], [], None) and got[7] == ([], [], False) and got[8] == (["x", "z"], [], None) and got[9] == (None, None, None)
+
+
+def test_metadata_as_a_map_of_strings(spark):
+    df = spark.createDataFrame([(1, "a", 5, None), (2, "", None, 1.5)], "id int, s string, n int, x double")
+    packed = op.metadata_map(df, ["s", "n", "x"])
+    assert {r["id"]: r["metadata"] for r in packed.collect()} == {1: {"s": "a", "n": "5"}, 2: {"x": "1.5"}}
+    back = op.metadata_columns(packed, {"n": "int", "x": "double", "other": "date"})
+    assert sorted(map(tuple, back.collect())) == [(1, 5, None, None, {"s": "a"}), (2, None, 1.5, None, {})]
