@@ -81,7 +81,7 @@ def switch_gold(spark: SparkSession, path: str, staged: str, clear: DataFrame |
 def finish_replacement(spark: SparkSession, path: str) -> None:
     """Complete a replacement that was decided; remove what was staged without being decided.
 
-    A table has one writer at a time. ``stage_gold``, and so every write, and ``table_or_empty`` begin with this.
+    A table has one writer at a time, and it alone calls this: ``stage_gold``, and so every write, begins with it.
     """
     make, fs = _files(spark, path)
     root = make(path)
@@ -115,15 +115,20 @@ def write_gold(
     """Parquet partitioned by ``partitions``; the partitions present in ``df`` are replaced, those named by ``clear`` (see ``switch_gold``)
     at least removed.
 
-    A stop at any point loses nothing: the table has the old partitions, or the new ones as soon as the next
+    A stop at any point loses nothing: the table has the old partitions, or the new ones as soon as the writer's next
     write or ``table_or_empty`` has finished what was begun.
     """
     switch_gold(df.sparkSession, path, stage_gold(df, path, partitions, order), clear)
 
 
-def table_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The parquet table at ``path``; before its first write, an empty one."""
-    finish_replacement(spark, path)
+def table_or_empty(spark: SparkSession, path: str, schema: T.StructType, own: bool = False) -> DataFrame:
+    """The parquet table at ``path``; before its first write, an empty one.
+
+    With ``own`` the caller is the table's one writer, and a replacement that a stop has left undone is finished first.
+    Other readers must not do that beside the writer.
+    """
+    if own:
+        finish_replacement(spark, path)
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:

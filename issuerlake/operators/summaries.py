@@ -30,7 +30,7 @@ def add_sketches(spark: SparkSession, path: str, sketches: DataFrame, partition:
 
     Rows that are added a second time do not count as distinct again, but as rows: add a batch once.
     """
-    stored = table_or_empty(spark, path, sketches.schema)
+    stored = table_or_empty(spark, path, sketches.schema, own=True)
     touched = stored.join(sketches.select(partition).distinct(), partition, "left_semi")
     by = [c for c in sketches.columns if c not in ("n_rows", "sketch")]
     merged = touched.unionByName(sketches).groupBy(*by).agg(F.sum("n_rows").alias("n_rows"), F.hll_union_agg("sketch").alias("sketch"))

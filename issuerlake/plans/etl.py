@@ -61,7 +61,7 @@ def financial_statements(
     enriched = op.split_by_aggregation(op.enrich(op.scale_amounts(cleaned), run))
     enriched = enriched.withColumn("source_file", F.element_at(F.split("source_path", "/"), -1)).drop("source_path")
     silver, table = f"{out}/silver/enriched/statements", f"{out}/gold/serving/financials_quarterly"
-    stored = op.table_or_empty(spark, silver, enriched.schema)
+    stored = op.table_or_empty(spark, silver, enriched.schema, own=True)
     landed = covered(_landed(spark, landing).withColumnRenamed("path", "source_path"))
     files = landed.select(F.element_at(F.split("source_path", "/"), -1).alias("source_file")).distinct()
     before = stored.join(files, "source_file", "left_semi")
@@ -78,10 +78,10 @@ def financial_statements(
     keys = changed.columns
     op.switch_gold(spark, silver, staged, before.select("enr_aggregation_type", "source_file"))
 
-    stored = op.table_or_empty(spark, silver, enriched.schema).withColumn("ref_year", F.year("DT_REFER"))
+    stored = op.table_or_empty(spark, silver, enriched.schema, own=True).withColumn("ref_year", F.year("DT_REFER"))
     rebuilt = op.financials_quarterly(stored.join(changed, keys, "left_semi"))
     in_gold = T.StructType([*rebuilt.schema.fields, T.StructField("ref_year", T.IntegerType())])
-    outdated = op.table_or_empty(spark, table, in_gold).join(changed, keys, "left_semi")
+    outdated = op.table_or_empty(spark, table, in_gold, own=True).join(changed, keys, "left_semi")
     op.write_gold(rebuilt.withColumn("ref_year", F.col("year")), table, keys, clear=outdated.select(*keys))
     gold = spark.read.parquet(table).select("enr_aggregation_type", *sc.FINANCIALS_COLUMNS)
     op.export_sheets(gold, f"{out}/gold/export/financials_quarterly")

@@ -38,7 +38,7 @@ def stream_ingest(objects: DataFrame, catalog_path: str, checkpoint: str, order:
     def land(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         stream = session.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
-        stored = table_or_empty(session, catalog_path, schema)
+        stored = table_or_empty(session, catalog_path, schema, own=True)
         others = stored.filter(~(F.col(STREAM_ID).eqNullSafe(stream) & (F.col(BATCH_ID) == batch_id)))
         known = others.select(*keys).join(batch.select(*keys).distinct(), keys, "left_semi")
         new = dedup_content(batch, known, order).withColumns({STREAM_ID: F.lit(stream), BATCH_ID: F.lit(batch_id).cast("bigint")})
@@ -155,7 +155,7 @@ def stream_gold_refresh(
         names = [c for c in added.columns if c not in GROUP_KEYS]
         added = added.select(*GROUP_KEYS, *[F.col(c).cast(SUM).alias(c) for c in names]).withColumn(BATCH_ID, F.lit(batch_id).cast("bigint"))
         write_gold(added, sums, [BATCH_ID])
-        stored = table_or_empty(session, sums, added.schema).withColumn("issuer_bucket", bucket("CNPJ_CIA"))
+        stored = table_or_empty(session, sums, added.schema, own=True).withColumn("issuer_bucket", bucket("CNPJ_CIA"))
         # As many rows as there are buckets at most.
         touched = stored.filter(F.col(BATCH_ID) == batch_id).select("issuer_bucket").distinct()
         total = add_up(stored.join(F.broadcast(touched), "issuer_bucket", "left_semi"), names)

@@ -300,7 +300,7 @@ def test_replacement_survives_a_stop_at_any_step(spark, tmp_path, rows, monkeypa
     except Stopped:
         done = False
     monkeypatch.setattr(sinks, "_files", real)
-    got = rows(op.table_or_empty(spark, path, spark.createDataFrame([], schema).schema), "v", "p", "q")
+    got = rows(op.table_or_empty(spark, path, spark.createDataFrame([], schema).schema, own=True), "v", "p", "q")
     assert got == sorted(new, key=str) or not done and got == sorted(old, key=str)
     assert not [p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("_replace")]
     assert rows(spark.read.schema(schema).parquet(path), "v", "p", "q") == got
@@ -320,3 +320,17 @@ def test_metadata_as_a_map_of_strings(spark):
     assert {r["id"]: r["metadata"] for r in packed.collect()} == {1: {"s": "a", "n": "5"}, 2: {"x": "1.5"}}
     back = op.metadata_columns(packed, {"n": "int", "x": "double", "other": "date"})
     assert sorted(map(tuple, back.collect())) == [(1, 5, None, None, {"s": "a"}), (2, None, 1.5, None, {})]
+
+
+def test_readers_leave_what_a_writer_has_staged(spark, tmp_path, rows):
+    path, schema = str(tmp_path / "t"), "v int, p string"
+    op.write_gold(spark.createDataFrame([(1, "a"), (2, "b")], schema), path, ["p"])
+    staged = op.stage_gold(spark.createDataFrame([(3, "b")], schema), path, ["p"])
+    kind = spark.createDataFrame([], schema).schema
+    assert rows(op.table_or_empty(spark, path, kind)) == rows(spark.read.schema(schema).parquet(path)) == [(1, "a"), (2, "b")]
+    op.switch_gold(spark, path, staged)
+    assert rows(op.table_or_empty(spark, path, kind)) == [(1, "a"), (3, "b")]
+    # The writer's next look at the table clears away what was never decided.
+    op.stage_gold(spark.createDataFrame([(4, "b")], schema), path, ["p"])
+    assert rows(op.table_or_empty(spark, path, kind, own=True)) == [(1, "a"), (3, "b")]
+    assert not [p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("_replace")]
