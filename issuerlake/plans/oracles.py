@@ -246,6 +246,8 @@ add("collapse_ws", f"SELECT doc_id, {collapsed('text')} AS text FROM documents")
 
 add("filter_issuer", with_(F1, F14) + """SELECT CNPJ_CIA, count(*) AS n_rows FROM f1 WHERE CNPJ_CIA IN
   (SELECT issuer_cnpj FROM f14 WHERE industry IN ('HOUSEHOLD', 'MACHINERY')) GROUP BY 1""")
+add("filter_issuer_rows", with_(F1, F14) + """SELECT CNPJ_CIA, DT_REFER, CD_CONTA, VL_CONTA, source_path FROM f1 WHERE CNPJ_CIA IN
+  (SELECT issuer_cnpj FROM f14 WHERE industry IN ('HOUSEHOLD', 'MACHINERY'))""")
 add("filter_last_exercise", with_(F1) + """SELECT ORDEM_EXERC, CD_CONTA, count(*) AS n_rows FROM f1
   WHERE ORDEM_EXERC = 'ÚLTIMO' GROUP BY ALL""")
 add("filter_categories", with_(F7) + "SELECT doc_id, category, document_type FROM f7 WHERE document_type <> 'OUTROS'")
@@ -278,6 +280,8 @@ add("uncovered_assets", with_(F3, F4) + "SELECT * FROM f4 WHERE asset_code NOT I
 add("union_itr_dfp", with_(F1) + "SELECT stmt, ORIGIN_FILE, count(*) AS n_rows FROM f1 GROUP BY ALL")
 add("union_ragged", with_(F1) + f"""SELECT enr_origin_document_type, {ACCOUNT_TYPE} AS enr_account_type, count(*) AS n_rows
   FROM f1 GROUP BY ALL""")
+add("union_rows", with_(F1) + """SELECT CNPJ_CIA, DT_REFER, CD_CONTA, VL_CONTA, ORIGIN_FILE, NULL::VARCHAR AS ESCALA_MOEDA FROM f1
+  UNION ALL SELECT CNPJ_CIA, NULL, NULL, VL_CONTA, NULL, ESCALA_MOEDA FROM f1 WHERE stmt = 'DRE'""")
 add("split_by_aggregation", with_(F1) + """SELECT enr_aggregation_type, file_year AS enr_year, count(*) AS n_rows,
   CAST(sum(adj) AS DOUBLE) AS total FROM f1 GROUP BY ALL""")
 

@@ -309,6 +309,13 @@ def filter_issuer(spark, sf):
     return kept.groupBy("CNPJ_CIA").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@query
+def filter_issuer_rows(spark, sf):
+    """The filtered rows themselves, with accounts and amounts."""
+    wanted = fx.issuers(spark, sf).filter(F.col("industry").isin("HOUSEHOLD", "MACHINERY"))
+    return op.filter_issuer(fx.statement_rows(spark, sf), wanted).select("CNPJ_CIA", "DT_REFER", "CD_CONTA", "VL_CONTA", "source_path")
+
+
 @query
 def filter_last_exercise(spark, sf):
     return op.filter_last_exercise(fx.statement_rows(spark, sf)).groupBy("ORDEM_EXERC", "CD_CONTA").agg(
@@ -389,6 +396,16 @@ def union_ragged(spark, sf):
     )
 
 
+@query
+def union_rows(spark, sf):
+    """Quarterly and annual rows of layouts with different columns in one table: what a layout lacks is null."""
+    rows = fx.statement_rows(spark, sf)
+    itr = rows.filter("ORIGIN_FILE = 'ITR'").select("CNPJ_CIA", "DT_REFER", "CD_CONTA", "VL_CONTA", "ORIGIN_FILE")
+    dfp = rows.filter("ORIGIN_FILE = 'DFP'").select("ORIGIN_FILE", "VL_CONTA", "DT_REFER", "CNPJ_CIA", "CD_CONTA")
+    scaled = rows.filter("stmt = 'DRE'").select("CNPJ_CIA", "ESCALA_MOEDA", "VL_CONTA")
+    return op.union_ragged(op.union_itr_dfp(itr, dfp), scaled)
+
+
 @query
 def split_by_aggregation(spark, sf):
     return op.split_by_aggregation(enriched_statements(spark, sf)).groupBy("enr_aggregation_type", "enr_year").agg(

@@ -16,10 +16,9 @@ def file_stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
 
 
-def batched_stream(spark: SparkSession, sf: str, name: str, key: str, batches: int = 3) -> DataFrame:
-    """The table arriving in key order, in ``batches`` parts of as wide a range of keys or more, as files that are a batch each."""
-    path = shared_dir(spark, f"arriving-{name}")
-    rows = fx.table(spark, sf, name)
+def batched_stream(spark: SparkSession, rows: DataFrame, key: str, batches: int = 3) -> DataFrame:
+    """The rows arriving in key order, in ``batches`` parts of as wide a range of keys or more, as files that are a batch each."""
+    path = shared_dir(spark, "arriving")
     at = F.expr(key).cast("double")
     low, high = (x or 0 for x in rows.agg(F.min(at), F.max(at)).first())
     part = F.least(F.floor((at - low) * batches / (high - low + 1)), F.lit(batches - 1))
@@ -30,7 +29,8 @@ def batched_stream(spark: SparkSession, sf: str, name: str, key: str, batches: i
 
 def stream_ingest_documents(spark: SparkSession, sf: str) -> DataFrame:
     root = shared_dir(spark, "ingest")
-    objects = fx.filings(spark, sf, batched_stream(spark, sf, "documents", "doc_id")).select("doc_id", "folder", "file_hash", "object_path")
+    listed = fx.filings(spark, sf).select("doc_id", "folder", "file_hash", "object_path")
+    objects = batched_stream(spark, listed, "doc_id")
     jobs.stream_ingest(objects, f"{root}/catalog", f"{root}/progress", [F.asc("doc_id")]).awaitTermination()
     return spark.read.parquet(f"{root}/catalog").drop(jobs.STREAM_ID, jobs.BATCH_ID)
 
@@ -45,7 +45,7 @@ def stream_request_windows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def request_batches(spark: SparkSession, sf: str) -> DataFrame:
-    log = batched_stream(spark, sf, "events", "unix_micros(cast(ts AS timestamp))")
+    log = batched_stream(spark, fx.table(spark, sf, "events"), "unix_micros(cast(ts AS timestamp))")
     return log.select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("endpoint"), "event_id")
 
 
@@ -76,6 +76,7 @@ def stream_documents_requested(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_gold_from_statements(spark: SparkSession, sf: str) -> DataFrame:
     root = shared_dir(spark, "refresh")
-    rows = fx.tagged_statements(spark, sf, batched_stream(spark, sf, "lineitem", "l_orderkey"))
-    jobs.stream_gold_refresh(rows, f"{root}/sums", f"{root}/gold", f"{root}/progress").awaitTermination()
+    rows = fx.tagged_statements(spark, sf, batched_stream(spark, fx.table(spark, sf, "lineitem"), "l_orderkey"))
+    # Fifty issuers need few buckets.
+    jobs.stream_gold_refresh(rows, f"{root}/sums", f"{root}/gold", f"{root}/progress", issuer_buckets=8).awaitTermination()
     return spark.read.parquet(f"{root}/gold").select("enr_aggregation_type", *FINANCIALS_COLUMNS)
