@@ -172,7 +172,7 @@ def digest(found: DataFrame, key: str = "doc_id") -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", width: int = WIDTH,
                       block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The documents in which no window of the items occurs, all columns unchanged, order and places kept."""
+    """The documents in which no window of the items occurs, all columns unchanged."""
 
     def step(rows: DataFrame, block, more: bool) -> DataFrame:
         def make():

@@ -82,8 +82,8 @@ NEGATIONS = set("has no non not with without".split())
 SIDE_ROLES = set("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 CONTENT = {"article", "main"}
 # Counts inside and outside that features have before any page is read, by kind.
-PRIOR_CONTENT, PRIOR_SIDE = (8.0, 1.0), (0.2, 8.0)
-PRIORS = {"links": (1.0, 8.0), "soft": PRIOR_SIDE, "role": PRIOR_SIDE, "word": PRIOR_SIDE, "part": (0.2, 1.0), "other": (20.0, 20.0)}
+PRIOR_CONTENT, PRIOR_SIDE = (8.0, 1.0), (2.0, 80.0)
+PRIORS = {"links": (1.0, 8.0), "soft": PRIOR_SIDE, "role": PRIOR_SIDE, "word": PRIOR_SIDE, "part": (2.0, 10.0), "other": (20.0, 20.0)}
 # The most counted features that a model keeps.
 FEATURES = 2_000
 # Odds from which an element is in doubt; least odds of a listed and of another name; what articles in an element add; words that save it.

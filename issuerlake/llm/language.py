@@ -185,19 +185,19 @@ def reduced(near: DataFrame) -> DataFrame:
 
 def sample(
     docs: DataFrame, text: str = "text", lang: str = "lang", languages: int = LANGUAGES, rows_per_language: int = ROWS_PER_LANGUAGE,
-    sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES,
+    sample_rows: int = SAMPLE_ROWS, sample_bytes: int | None = None,
 ) -> list[tuple[str, np.ndarray]]:
     """A bounded sample of the learnable rows: per language about ``rows_per_language`` different texts, by hash.
 
     Texts of any length are chosen where they are scanned, and reduced there to their distinct n-gram hashes;
     only these move. A language gets fewer rows where they would exceed its share of ``sample_bytes``, but one at
-    least. Languages beyond ``languages``, those with fewest texts, are not learned.
+    least. Languages beyond ``languages``, those with fewest texts, are not learned. ``sample_bytes`` is SAMPLE_BYTES if not given.
     """
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     known = known.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
     sizes = known.groupBy("lang").agg(F.approx_count_distinct("h").alias("known")).orderBy(F.desc("known"), "lang").limit(languages)
     sizes = [tuple(r) for r in sizes.collect()]  # a row per language
-    share = sample_bytes // max(1, len(sizes))
+    share = (SAMPLE_BYTES if sample_bytes is None else sample_bytes) // max(1, len(sizes))
     sizes = docs.sparkSession.createDataFrame(sizes, "lang string, known bigint")
     near = known.join(F.broadcast(sizes), "lang")
     part = F.least(F.lit(1.0), 1.5 * rows_per_language / F.col("known"))
