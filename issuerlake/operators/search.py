@@ -22,6 +22,7 @@ from issuerlake.session import shared_dir
 K1, B = 1.2, 0.75
 # Queries, and distinct terms of queries, that a pass over the corpus serves. Results do not depend on them.
 BLOCK_QUERIES, BLOCK_TERMS = 4_096, 5_000
+TERM_BYTES = 8 << 20
 
 
 def _union(parts: list[DataFrame], empty: DataFrame) -> DataFrame:
@@ -94,7 +95,8 @@ def bm25_topk(
         corpus = corpus.filter(F.col(c) == v)
     path = shared_dir(corpus.sparkSession, "terms")
     cut = corpus.select(F.col("doc_id").cast("bigint"), tokens(F.coalesce(F.col("text"), F.lit(""))).alias("terms"))
-    cut.select("doc_id", F.size("terms").alias("len"), "terms").write.parquet(path)
+    # Small row groups let the passes over one large text file run in several tasks.
+    cut.select("doc_id", F.size("terms").alias("len"), "terms").write.option("parquet.block.size", TERM_BYTES).parquet(path)
     docs = corpus.sparkSession.read.parquet(path)
     n_docs, mean = docs.agg(F.count(F.lit(1)), F.avg("len")).first()
     context = docs.sparkSession.sparkContext
