@@ -51,6 +51,12 @@ def _same(a: str, b: str, columns: list[str]) -> Column:
     return reduce(lambda x, y: x & y, [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in columns], F.lit(True))
 
 
+def _below(bounds: str, value: str, at_most: int) -> Column:
+    """How many of the ascending ``bounds``, ``at_most`` of them, are below the value: a search by halves."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(max(1, at_most.bit_length())))])
+    return F.aggregate(steps, F.lit(0), lambda n, s: F.when(F.get(bounds, n + s - 1) < F.col(value), n + s).otherwise(n))
+
+
 def exact_percentiles(
     rows: DataFrame, group: list[str], value: str, percents: list[int], cuts: int = CUTS, sorted_rows: int = SORTED
 ) -> DataFrame:
@@ -59,10 +65,13 @@ def exact_percentiles(
     A group of any size is never sorted in one place. Every pass cuts the range in which a wanted rank lies at
     approximate percentiles, counts the rows between the cuts exactly, and goes on with the part that holds the rank: about
     1 / ``cuts`` of the rows. When the part is one value, or has at most ``sorted_rows`` rows, its distinct
-    values are added up in order. What passes between two passes has a row per group and percent, and is written.
+    values are added up in order. The rows are computed once and their groups and values written, which every pass reads;
+    what passes between two passes has a row per group and percent, and is written too.
     """
     spark, v = rows.sparkSession, F.col(value)
-    known = rows.where(v.isNotNull() & ~F.isnan(v.cast("double"))).select(*group, v.alias("_v"))
+    root, step = shared_dir(spark, "percentiles"), 0
+    rows.where(v.isNotNull() & ~F.isnan(v.cast("double"))).select(*group, v.alias("_v")).write.parquet(f"{root}/values")
+    known = spark.read.parquet(f"{root}/values")
     kind = known.schema["_v"].dataType
     sizes = known.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
     rank = F.greatest(F.lit(1), F.ceil(F.col("percent") * F.col("n") / 100)).cast("bigint")
@@ -72,7 +81,6 @@ def exact_percentiles(
         F.col("n").alias("_left"), (F.col("_min") == F.col("_max")).alias("_done"),
     )
     part_of = [*group, "_low"]
-    root, step = shared_dir(spark, "percentiles"), 0
     while True:
         path = f"{root}/{step}"
         state.write.parquet(path)
@@ -89,9 +97,13 @@ def exact_percentiles(
         else:
             share = [i / cuts for i in range(1, cuts)]
             bounds = rows_in.groupBy(*part_of).agg(F.array_distinct(F.percentile_approx("_v", share, 10 * cuts)).alias("_bounds"))
+            # A row per part: once written, its size is known, and the rows do not move to meet it.
+            bounds.write.parquet(f"{path}-cuts")
+            bounds = spark.read.parquet(f"{path}-cuts")
             cut = rows_in.alias("r").join(bounds.alias("b"), _same("r", "b", part_of)).select("r.*", "b._bounds")
             # A cut is a part of its own, so that a value that most rows have leaves few between the cuts.
-            place = F.size(F.filter("_bounds", lambda x: x < F.col("_v")))
+            cut = cut.withColumn("_place", _below("_bounds", "_v", cuts - 1))
+            place = F.col("_place")
             exact = F.coalesce(F.get("_bounds", place) == F.col("_v"), F.lit(False)).cast("int")
             below = F.when(place > 0, F.element_at("_bounds", place)).otherwise(F.col("_low"))
             placed = cut.select(*part_of, "_v", (2 * place + exact).alias("_k"), below.alias("_next"))

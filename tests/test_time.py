@@ -278,3 +278,15 @@ def test_cash_flows_of_a_hot_asset(spark):
     assert table["a", 5] == (0, 5, 0, 0, 5) and table["b", 2] == (0, 0, 0, 0, 0) and len(table) == 17
     assert table["hot", 12] == (Decimal(2750), 250, 0, 0, 3000)
     assert op.cash_flow_table(spark.createDataFrame([], "asset_code string, event_date date, kind string, amount int")).count() == 0
+
+
+def test_exact_percentiles_compute_their_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(v):
+        seen.add(1)
+        return v
+
+    rows = spark.range(0, 3000, 1, 4).select(F.lit("g").alias("g"), F.udf(count, "bigint").asNondeterministic()("id").alias("v"))
+    got = {r["percent"]: r["v"] for r in op.exact_percentiles(rows, ["g"], "v", [1, 50, 100], 16, 20).collect()}
+    assert got == {1: 29, 50: 1499, 100: 2999} and seen.value == 3000
