@@ -12,8 +12,9 @@ from issuerlake.streaming import jobs
 
 
 def file_stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """The files of a table, which is one file or a folder of them: a pattern may name either, a plain path of a stream only a folder."""
     schema = fx.table(spark, sf, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+    return spark.readStream.schema(schema).parquet(f"{sf}/{name}.parque[t]")
 
 
 def batched_stream(spark: SparkSession, rows: DataFrame, key: str, batches: int = 3) -> DataFrame:

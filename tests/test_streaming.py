@@ -177,3 +177,12 @@ def test_unmatched_objects_are_written_once(spark, tmp_path):
     assert run([(4, 40)], [(2, 22, 64), (3, 31, 70), (4, 41, 41)]) == [(1, 11), (1, 12), (2, 22), (4, 41)]
     assert run([(5, 200)], [(5, 51, 210)]) == [(1, 11), (1, 12), (2, 22), (3, 0), (4, 41), (5, 51)]
     assert run([(6, 400)], [(7, 71, 500)]) == [(1, 11), (1, 12), (2, 22), (3, 0), (4, 41), (5, 51)]
+
+
+def test_tables_that_are_folders_are_streamed(spark, tmp_path):
+    spark.range(0, 300, 1, 4).selectExpr("id AS doc_id").write.parquet(str(tmp_path / "documents.parquet"))
+    at = "cast(timestamp_seconds(1704067200 + id * 60) AS timestamp_ntz) AS ts"
+    spark.range(0, 4000, 1, 4).selectExpr("id AS event_id", at, "'e' AS event_type").write.parquet(str(tmp_path / "events.parquet"))
+    asked = {(e % 200, e) for e in range(4000) if 0 <= e * 60 - e % 200 * 2591 < 86_400}
+    got = [(r["object_id"], r["event_id"]) for r in st.stream_documents_requested(spark, str(tmp_path)).collect()]
+    assert {x for x in got if x[1] is not None} == asked and len(got) == len(set(got))
