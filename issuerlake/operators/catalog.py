@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from issuerlake.operators.common import first_per_group, top_per_group
+from issuerlake.operators.common import first_per_group, same_keys, top_per_group
 
 
 def parent_folder(path: Column) -> Column:
@@ -58,10 +58,12 @@ def dedup_content(
 
     Copies collapse before the shuffle (a group limit of one row per task), so a content that makes
     up much of the input costs no more than any other. The catalog side is distinct before it moves.
+    Objects without content are copies of each other.
     """
     keys = [scope, hash_col]
     firsts = first_per_group(incoming, keys, order)
-    return firsts.join(catalog.select(*keys).distinct(), keys, "left_anti")
+    known = catalog.select(*keys).distinct()
+    return firsts.alias("f").join(known.alias("k"), same_keys("f", "k", keys), "left_anti")
 
 
 def find_documents(documents: DataFrame, catalog: DataFrame, keyword: str, name: str = "object_path") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +33,11 @@ def unnest(df: DataFrame, keep: list[str], items: Column, value: str, position:
     return df.select(*keep, F.posexplode_outer(items).alias(position, value)).filter(F.col(position).isNotNull())
 
 
+def same_keys(left: str, right: str, keys: list[str]) -> Column:
+    """The join condition that the keys of the two aliases are equal, where two nulls are."""
+    return reduce(lambda a, b: a & b, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in keys])
+
+
 def spread_nulls(key: Column, row_id: Column) -> Column:
     """A join key whose nulls are replaced by values unique to the row.
 

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from issuerlake.operators.catalog import dedup_content
 from issuerlake.operators.checks import filter_last_exercise
+from issuerlake.operators.common import same_keys
 from issuerlake.operators.sinks import table_or_empty, write_gold
 from issuerlake.operators.statements import GROUP_KEYS, account_sums, financials_of_sums, scale_amounts
 
@@ -40,7 +41,8 @@ def stream_ingest(objects: DataFrame, catalog_path: str, checkpoint: str, order:
         stream = session.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
         stored = table_or_empty(session, catalog_path, schema, own=True)
         others = stored.filter(~(F.col(STREAM_ID).eqNullSafe(stream) & (F.col(BATCH_ID) == batch_id)))
-        known = others.select(*keys).join(batch.select(*keys).distinct(), keys, "left_semi")
+        offered = batch.select(*keys).distinct()
+        known = others.select(*keys).alias("o").join(offered.alias("b"), same_keys("o", "b", keys), "left_semi")
         new = dedup_content(batch, known, order).withColumns({STREAM_ID: F.lit(stream), BATCH_ID: F.lit(batch_id).cast("bigint")})
         write_gold(new, catalog_path, [STREAM_ID, BATCH_ID])
 

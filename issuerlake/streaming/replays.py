@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from issuerlake.plans import fixtures as fx
 from issuerlake.schemas import FINANCIALS_COLUMNS
@@ -28,11 +31,25 @@ def batched_stream(spark: SparkSession, rows: DataFrame, key: str, batches: int
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
+def replay(spark: SparkSession, rows: DataFrame, key: str, start: Callable[[DataFrame], StreamingQuery], parts: int = 3) -> None:
+    """The rows arrive in key order, in ``parts`` of as wide a range of keys; the job runs after each of them.
+
+    A run takes all files that have landed as one batch, so neither the number of files nor the order in which the
+    tasks of a part finish matters.
+    """
+    path = shared_dir(spark, "arriving")
+    at = F.expr(key).cast("double")
+    low, high = (x or 0 for x in rows.agg(F.min(at), F.max(at)).first())
+    part = F.least(F.floor((at - low) * parts / (high - low + 1)), F.lit(parts - 1))
+    for i in range(parts):
+        rows.filter(F.coalesce(part, F.lit(0)) == i).write.mode("append").parquet(path)
+        start(spark.readStream.schema(rows.schema).parquet(path)).awaitTermination()
+
+
 def stream_ingest_documents(spark: SparkSession, sf: str) -> DataFrame:
     root = shared_dir(spark, "ingest")
     listed = fx.filings(spark, sf).select("doc_id", "folder", "file_hash", "object_path")
-    objects = batched_stream(spark, listed, "doc_id")
-    jobs.stream_ingest(objects, f"{root}/catalog", f"{root}/progress", [F.asc("doc_id")]).awaitTermination()
+    replay(spark, listed, "doc_id", lambda objects: jobs.stream_ingest(objects, f"{root}/catalog", f"{root}/progress", [F.asc("doc_id")]))
     return spark.read.parquet(f"{root}/catalog").drop(jobs.STREAM_ID, jobs.BATCH_ID)
 
 
@@ -45,9 +62,11 @@ def stream_request_windows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def request_batches(spark: SparkSession, sf: str) -> DataFrame:
-    log = batched_stream(spark, fx.table(spark, sf, "events"), "unix_micros(cast(ts AS timestamp))")
-    return log.select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("endpoint"), "event_id")
+def replay_requests(spark: SparkSession, sf: str, start: Callable[[DataFrame], StreamingQuery]) -> None:
+    def log(events: DataFrame) -> DataFrame:
+        return events.select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("endpoint"), "event_id")
+
+    replay(spark, fx.table(spark, sf, "events"), "unix_micros(cast(ts AS timestamp))", lambda events: start(log(events)))
 
 
 def shown(c: str):
@@ -56,13 +75,15 @@ def shown(c: str):
 
 def stream_sliding_requests(spark: SparkSession, sf: str) -> DataFrame:
     root = shared_dir(spark, "sliding")
-    jobs.stream_request_log(request_batches(spark, sf), f"{root}/windows", f"{root}/progress", size="2 hours", slide="30 minutes").awaitTermination()
+    replay_requests(
+        spark, sf, lambda log: jobs.stream_request_log(log, f"{root}/windows", f"{root}/progress", size="2 hours", slide="30 minutes")
+    )
     return spark.read.parquet(f"{root}/windows").select(shown("window_start"), "endpoint", "n_requests")
 
 
 def stream_sessions_of_requests(spark: SparkSession, sf: str) -> DataFrame:
     root = shared_dir(spark, "sessions")
-    jobs.stream_request_sessions(request_batches(spark, sf), f"{root}/sessions", f"{root}/progress").awaitTermination()
+    replay_requests(spark, sf, lambda log: jobs.stream_request_sessions(log, f"{root}/sessions", f"{root}/progress"))
     return spark.read.parquet(f"{root}/sessions").select(shown("session_start"), shown("session_end"), "endpoint", "n_requests")
 
 

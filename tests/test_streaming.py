@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from issuerlake import operators as op
 from issuerlake import streaming as st
+from issuerlake.streaming import replays
 
 OBJECT = "doc_id bigint, folder string, file_hash string"
 
@@ -186,3 +187,11 @@ def test_tables_that_are_folders_are_streamed(spark, tmp_path):
     asked = {(e % 200, e) for e in range(4000) if 0 <= e * 60 - e % 200 * 2591 < 86_400}
     got = [(r["object_id"], r["event_id"]) for r in st.stream_documents_requested(spark, str(tmp_path)).collect()]
     assert {x for x in got if x[1] is not None} == asked and len(got) == len(set(got))
+
+
+def test_replayed_documents_of_a_folder_keep_their_first_ids(spark, tmp_path):
+    texts = "CASE WHEN id % 25 > 0 THEN concat('t', id % 25) END AS text"
+    docs = spark.range(0, 600, 1, 8).selectExpr("599 - id AS id").selectExpr("id AS doc_id", texts, "concat('s', id % 2) AS source")
+    docs.repartition(8, "doc_id").sortWithinPartitions("doc_id").write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(r["doc_id"] for r in st.stream_ingest_documents(spark, str(tmp_path)).collect())
+    assert got == list(range(50))
