@@ -20,17 +20,6 @@ def file_stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf}/{name}.parque[t]")
 
 
-def batched_stream(spark: SparkSession, rows: DataFrame, key: str, batches: int = 3) -> DataFrame:
-    """The rows arriving in key order, in ``batches`` parts of as wide a range of keys or more, as files that are a batch each."""
-    path = shared_dir(spark, "arriving")
-    at = F.expr(key).cast("double")
-    low, high = (x or 0 for x in rows.agg(F.min(at), F.max(at)).first())
-    part = F.least(F.floor((at - low) * batches / (high - low + 1)), F.lit(batches - 1))
-    for i in range(batches):
-        rows.filter(F.coalesce(part, F.lit(0)) == i).write.mode("append").parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
-
-
 def replay(spark: SparkSession, rows: DataFrame, key: str, start: Callable[[DataFrame], StreamingQuery], parts: int = 3) -> None:
     """The rows arrive in key order, in ``parts`` of as wide a range of keys; the job runs after each of them.
 
@@ -98,7 +87,11 @@ def stream_documents_requested(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_gold_from_statements(spark: SparkSession, sf: str) -> DataFrame:
     root = shared_dir(spark, "refresh")
-    rows = fx.tagged_statements(spark, sf, batched_stream(spark, fx.table(spark, sf, "lineitem"), "l_orderkey"))
-    # Fifty issuers need few buckets.
-    jobs.stream_gold_refresh(rows, f"{root}/sums", f"{root}/gold", f"{root}/progress", issuer_buckets=8).awaitTermination()
+
+    def refresh(lineitem: DataFrame) -> StreamingQuery:
+        rows = fx.tagged_statements(spark, sf, lineitem)
+        # Fifty issuers need few buckets.
+        return jobs.stream_gold_refresh(rows, f"{root}/sums", f"{root}/gold", f"{root}/progress", issuer_buckets=8)
+
+    replay(spark, fx.table(spark, sf, "lineitem"), "l_orderkey", refresh)
     return spark.read.parquet(f"{root}/gold").select("enr_aggregation_type", *FINANCIALS_COLUMNS)

@@ -195,3 +195,17 @@ def test_replayed_documents_of_a_folder_keep_their_first_ids(spark, tmp_path):
     docs.repartition(8, "doc_id").sortWithinPartitions("doc_id").write.parquet(str(tmp_path / "documents.parquet"))
     got = sorted(r["doc_id"] for r in st.stream_ingest_documents(spark, str(tmp_path)).collect())
     assert got == list(range(50))
+
+
+def test_a_replayed_part_is_one_batch_whatever_its_files(spark, tmp_path):
+    spark.range(0, 90, 1, 6).selectExpr("id * 37 % 90 AS k").write.parquet(str(tmp_path / "rows"))
+    sizes = []
+
+    def start(rows):
+        def count(batch, _):
+            sizes.append(batch.count())
+
+        return rows.writeStream.foreachBatch(count).option("checkpointLocation", str(tmp_path / "progress")).trigger(availableNow=True).start()
+
+    replays.replay(spark, spark.read.parquet(str(tmp_path / "rows")), "k", start)
+    assert sizes == [30, 30, 30]
