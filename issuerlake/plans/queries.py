@@ -839,9 +839,13 @@ def spread_percentiles(spark, sf):
 @query
 def spread_percentiles_sketched(spark, sf):
     """Percentiles per indexer from sketches per asset, and whether their exact rank is within one percent of the rows."""
-    spreads = price_spreads(spark, sf)
+    path = shared_dir(spark, "spreads")
+    # Prices are read once, and once the few percentiles are written, the rows do not move to meet them.
+    price_spreads(spark, sf).write.parquet(f"{path}/rows")
+    spreads = spark.read.parquet(f"{path}/rows")
     sketches = op.percentile_sketches(spreads, ["indexer", "asset_code"], "spread_cents")
-    found = op.approximate_percentiles(sketches, ["indexer"], [10, 50, 90], "approximate")
+    op.approximate_percentiles(sketches, ["indexer"], [10, 50, 90], "approximate").write.parquet(f"{path}/found")
+    found = spark.read.parquet(f"{path}/found")
     below = spreads.join(found, "indexer").groupBy("indexer", "percent", "n").agg(
         F.count_if(F.col("spread_cents") < F.col("approximate")).alias("_lt"), F.count_if(F.col("spread_cents") <= F.col("approximate")).alias("_le")
     )

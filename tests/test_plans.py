@@ -102,3 +102,8 @@ def test_leaf_sums_meet_parents_after_summing(spark):
 def test_requests_take_part_in_three_joins(spark):
     text = plan(spark, "resolve_issuer")
     assert len(re.findall(r"Join \[_k#", text)) == 3
+
+
+def test_sketched_percentiles_read_the_prices_once(spark):
+    result = REGISTRY["spread_percentiles_sketched"](spark, SF)
+    assert not [f for f in result.inputFiles() if "lineitem" in f] and result.filter("within_bound").count() == result.count() > 0
