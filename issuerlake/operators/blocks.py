@@ -16,6 +16,8 @@ from pyspark import cloudpickle
 
 # Scores or counts held at once in a task (32 MiB of doubles).
 BLOCK_VALUES = 4_000_000
+# Words of documents looked up at once in a task; a longer document stands alone.
+BLOCK_WORDS = 500_000
 SCORE_DIGITS = 6
 HITS = "query_id bigint not null, doc_id bigint not null, score double not null"
 HIT_ARROW = pa.schema([("query_id", pa.int64()), ("doc_id", pa.int64()), ("score", pa.float64())])
@@ -115,12 +117,19 @@ def vector_scorer(shared, k: int):
     return score
 
 
+def word_blocks(batch: pa.RecordBatch, limit: int = BLOCK_WORDS) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose ``terms`` have ``limit`` words at most, so that what is derived from them does not grow with the texts."""
+    lengths = pc.fill_null(pc.list_value_length(batch.column("terms")), 0).to_numpy(zero_copy_only=False)
+    for lo, hi in row_blocks(lengths, limit):
+        yield batch.slice(lo, hi - lo)
+
+
 def term_counter(vocabulary):
     """Task function counting documents per vocabulary term."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(len(vocabulary.value), dtype=np.int64)
-        for batch in batches:
+        for batch in (part for whole in batches for part in word_blocks(whole)):
             seen += np.bincount(term_entries(batch.column("terms"), vocabulary.value)[1], minlength=len(seen))
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(seen))), pa.array(seen)], ["slot", "n"])
 
@@ -150,7 +159,7 @@ def keyword_scorer(shared, k: int, k1: float, b: float, mean: float):
         ids, vocabulary, starts, queries, weights = shared.value
         best = Best(ids, k)
         fan = np.diff(starts)
-        for batch in batches:
+        for batch in (part for whole in batches for part in word_blocks(whole)):
             rows, slots, tf = term_entries(batch.column("terms"), vocabulary)
             hit, rows = np.unique(rows, return_inverse=True)
             doc_ids = batch.column("doc_id").to_numpy()[hit]

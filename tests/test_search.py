@@ -188,3 +188,33 @@ def test_doc_metadata(spark):
     r = op.extract_doc_metadata(df).first()
     assert r["dates"] == ["01/02/2024", "2024-03-04"] and r["currencies"] == ["R$", "USD"]
     assert r["fiscal_periods"] == ["Q3 2024", "FY2023"] and "1.234,56" in r["numbers"]
+
+
+def test_scoring_long_texts_takes_bounded_memory():
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import numpy as np
+    import pyarrow as pa
+
+    from issuerlake.operators import blocks
+
+    words, n, length = pa.array([f"w{i:03d}" for i in range(200)]), 2_000, 3_000
+    picked = pa.array(np.random.default_rng(1).integers(0, 200, n * length).astype(np.int32))
+    terms = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * length), words.take(picked))
+    columns = [pa.array(np.arange(n)), pa.array(np.full(n, length, dtype=np.int32)), terms]
+    batch = pa.RecordBatch.from_arrays(columns, ["doc_id", "len", "terms"])
+    shared = SimpleNamespace(value=(np.arange(3), words, np.arange(201), np.arange(200) % 3, np.ones(200)))
+
+    def run(batches):
+        tracemalloc.start()
+        found = next(blocks.keyword_scorer(shared, 5, 1.2, 0.75, 3000.0)(iter(batches)))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return found, peak
+
+    one_by_one, _ = run([batch.slice(i, 100) for i in range(0, n, 100)])
+    whole, peak = run([batch])
+    assert whole.equals(one_by_one) and peak < 96 << 20
+    counter = blocks.term_counter(SimpleNamespace(value=words))
+    assert next(counter(iter([batch]))).column("n").to_pylist() == [n] * 200
