@@ -65,8 +65,14 @@ def br_number_for(field: T.StructField) -> Column:
 
 
 def date_strict(c: Column, fmt: str = "yyyy-MM-dd") -> Column:
-    """Fails the job on a value that does not have the format (ANSI mode)."""
-    return F.to_date(c, fmt)
+    """Fails the job on a value that does not have the format (ANSI mode).
+
+    A plain ISO date is cast, which takes a fraction of the time that reading by a format does.
+    """
+    if fmt != "yyyy-MM-dd":
+        return F.to_date(c, fmt)
+    day = c.try_cast("date")
+    return F.when((F.length(c) == 10) & (day.cast("string") == c), day).otherwise(F.to_date(c, fmt))
 
 
 def date_lenient(c: Column, fmt: str = "dd/MM/yyyy") -> Column:

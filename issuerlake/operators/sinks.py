@@ -33,16 +33,19 @@ def _partitions(fs, root) -> list[str]:
     return sorted(found)
 
 
-def stage_gold(df: DataFrame, path: str, partitions: list[str], order: list[str] | None = None) -> str:
+def stage_gold(df: DataFrame, path: str, partitions: list[str], order: list[str] | None = None, as_read: bool = False) -> str:
     """Write what is to replace partitions of the table at ``path``; returns the folder of the new rows.
 
     It lies in the table's folder, where Spark's readers pass it over: the table changes with ``switch_gold``.
     The rebalance hint sizes the files at runtime and splits a partition value that holds much of
     the table, where a plain repartition by these columns would give it to one task. With ``order``
-    the files are ranges of that order instead, each sorted.
+    the files are ranges of that order instead, each sorted. ``as_read`` is for rows that lie together by partition already,
+    as those of scanned files do by file: they are written by the tasks that read them, without a shuffle.
     """
     finish_replacement(df.sparkSession, path)
-    if order:
+    if as_read:
+        laid_out = df
+    elif order:
         laid_out = df.repartitionByRange(*partitions, *order).sortWithinPartitions(*partitions, *order)
     else:
         laid_out = df.hint("rebalance", *partitions)

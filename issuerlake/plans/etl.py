@@ -50,33 +50,36 @@ def financial_statements(
     Runs over subsets of issuers or over new files only thus end where one run over everything does.
     """
 
-    def covered(paths: DataFrame) -> DataFrame:
-        tagged = src.tag_origin_file(src.tag_files(paths))
-        return tagged if as_of is None else op.filter_years(tagged, as_of, years_back, year="file_year", form="ORIGIN_FILE")
-
-    rows = covered(src.with_path(src.read_delimited(spark, landing, schema)))
+    rows = src.with_path(src.read_delimited(spark, landing, schema))
+    # By the path that rows carry too: the reader of whole files writes some characters otherwise.
+    tagged = src.tag_origin_file(src.tag_files(src.with_path(_landed(spark, landing)).drop("path")))
+    if as_of is not None:
+        tagged = op.filter_years(tagged, as_of, years_back, year="file_year", form="ORIGIN_FILE")
+    tagged = op.split_by_aggregation(tagged).withColumn("source_file", F.substring_index("source_path", "/", -1))
+    # One row per file, as the scan's own listing has: a path is read once per file, not once per row. As plain values,
+    # since Spark would otherwise infer the filters on the path for the rows as well.
+    files = F.broadcast(spark.createDataFrame(tagged.distinct().collect(), tagged.schema))
     if issuers is not None:
         rows = op.filter_issuer(rows, issuers)
-    cleaned = op.parse_statement_dates(op.filter_last_exercise(rows))
-    enriched = op.split_by_aggregation(op.enrich(op.scale_amounts(cleaned), run))
-    enriched = enriched.withColumn("source_file", F.element_at(F.split("source_path", "/"), -1)).drop("source_path")
+    cleaned = op.parse_statement_dates(op.filter_last_exercise(rows).join(files, "source_path"))
+    enriched = op.enrich(op.scale_amounts(cleaned), run).drop("source_path")
     silver, table = f"{out}/silver/enriched/statements", f"{out}/gold/serving/financials_quarterly"
     stored = op.table_or_empty(spark, silver, enriched.schema, own=True)
-    landed = covered(_landed(spark, landing).withColumnRenamed("path", "source_path"))
-    files = landed.select(F.element_at(F.split("source_path", "/"), -1).alias("source_file")).distinct()
     before = stored.join(files, "source_file", "left_semi")
-    merged = enriched
+    merged, parts = enriched, ["enr_aggregation_type", "source_file"]
     if issuers is not None:
-        merged = enriched.unionByName(before.join(issuers.select(F.col("issuer_cnpj").alias("CNPJ_CIA")), "CNPJ_CIA", "left_anti"))
-    staged = op.stage_gold(merged, silver, ["enr_aggregation_type", "source_file"])
+        others = before.join(issuers.select(F.col("issuer_cnpj").alias("CNPJ_CIA")), "CNPJ_CIA", "left_anti")
+        # What was stored is laid out anew, so that its files do not pile up over the runs.
+        merged = enriched.unionByName(others.hint("rebalance", *parts))
+    staged = op.stage_gold(merged, silver, parts, as_read=True)
     now = spark.read.schema(enriched.schema).parquet(staged)
     require(op.quality_report(now, {"issuer_missing": F.col("CNPJ_CIA").isNull()}), ["issuer_missing"])
     years = ["enr_aggregation_type", F.year("DT_REFER").alias("ref_year")]
     # As many rows as aggregation types have years.
     touched = {tuple(r) for part in (before, now) for r in part.select(*years).distinct().collect() if r[1] is not None}
-    changed = spark.createDataFrame(sorted(touched), "enr_aggregation_type string, ref_year int")
+    changed = F.broadcast(spark.createDataFrame(sorted(touched), "enr_aggregation_type string, ref_year int"))
     keys = changed.columns
-    op.switch_gold(spark, silver, staged, before.select("enr_aggregation_type", "source_file"))
+    op.switch_gold(spark, silver, staged, before.select(*parts))
 
     stored = op.table_or_empty(spark, silver, enriched.schema, own=True).withColumn("ref_year", F.year("DT_REFER"))
     rebuilt = op.financials_quarterly(stored.join(changed, keys, "left_semi"))

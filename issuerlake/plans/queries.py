@@ -36,7 +36,7 @@ CSV_COLUMNS = [
 def scan_statements(spark, sf):
     """Statement rows written as the source's CSV files, read back strictly and tagged by file."""
     path = shared_dir(spark, "statements")
-    rows = fx.statement_rows(spark, sf).withColumn("file", F.element_at(F.split("source_path", "/"), -1))
+    rows = fx.statement_rows(spark, sf).withColumn("file", F.substring_index("source_path", "/", -1))
     (
         rows.select("file", *CSV_COLUMNS).hint("rebalance", "file").write.partitionBy("file")
         .option("sep", ";").option("header", True).option("encoding", "ISO-8859-1").csv(path)
@@ -72,14 +72,16 @@ def incremental_financials(spark, sf):
     from issuerlake.plans import etl
 
     path, lake = shared_dir(spark, "arriving"), shared_dir(spark, "lake")
-    rows = fx.statement_rows(spark, sf).withColumn("file", F.element_at(F.split("source_path", "/"), -1))
+    rows = fx.statement_rows(spark, sf).withColumn("file", F.substring_index("source_path", "/", -1))
     late = F.col("ORIGIN_FILE") == "DFP"
     for name, part in (("early", rows.filter(~late)), ("late", rows.filter(late))):
         (
             part.select("file", *CSV_COLUMNS).hint("rebalance", "file").write.partitionBy("file")
             .option("sep", ";").option("header", True).option("encoding", "ISO-8859-1").csv(f"{path}/{name}")
         )
-    issuers = fx.issuers(spark, sf).select("issuer_cnpj")
+    # Stored, since runs read them several times, and since a table's size tells Spark whether to broadcast it.
+    fx.issuers(spark, sf).select("issuer_cnpj").write.parquet(f"{path}/issuers")
+    issuers = spark.read.parquet(f"{path}/issuers")
     half = F.crc32(F.col("issuer_cnpj").cast("binary")) % 2 == 0
     etl.financial_statements(spark, f"{path}/early", lake, fx.RUN, issuers=issuers.filter(half))
     etl.financial_statements(spark, f"{path}/early", lake, fx.RUN, issuers=issuers.filter(~half))

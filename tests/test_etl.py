@@ -172,3 +172,38 @@ def test_years_a_file_no_longer_has_leave_gold(spark, tmp_path, rows):
     write(tmp_path / "d", name, HEADER + dated("X", "2024-12-31", "2024-12-31", 9))
     write(tmp_path / "d", "itr_cia_aberta_DRE_con_2030.csv", HEADER + dated("X", "2030-03-31", "2030-03-31", 4))
     assert rows(etl.financial_statements(spark, str(tmp_path / "d"), lake, RUN, as_of=2030), "year", "revenue") == [(2024, 2e3), (2030, 4e3)]
+
+
+def test_paths_are_read_once_per_file_and_rows_are_not_shuffled(spark, tmp_path, rows, monkeypatch):
+    """Names that need escaping in a path match as well."""
+    raw = tmp_path / "raw a%20b"
+    write(raw, "itr_cia_aberta_DRE_con_2024 é 1+1%.csv", HEADER + line("A", "2024-03-31", "ÚLTIMO", "MIL", "3.01", 10) + line("B", "2024-03-31", "ÚLTIMO", "MIL", "3.01", 2))
+    write(raw, "itr_cia_aberta_DVA_con_2024.csv", HEADER + line("A", "2024-03-31", "ÚLTIMO", "MIL", "3.01", 5))
+    plans, stage = [], op.stage_gold
+
+    def seen(df, path, *args, **more):
+        if "/silver/" in path:
+            plans.append(df._jdf.queryExecution().toString())
+        return stage(df, path, *args, **more)
+
+    monkeypatch.setattr(op, "stage_gold", seen)
+    spark.createDataFrame([("A",), ("B",)], "issuer_cnpj string").write.parquet(str(tmp_path / "issuers"))
+    issuers = spark.read.parquet(str(tmp_path / "issuers"))
+    for name in ("A", "B"):
+        gold = etl.financial_statements(spark, str(raw), str(tmp_path / "lake"), RUN, issuers=issuers.filter(f"issuer_cnpj = '{name}'"))
+    assert rows(gold, "issuer_cnpj", "revenue") == [("A", 10e3), ("B", 2e3)]
+    for text in plans:
+        physical = text[text.index("== Physical Plan =="):]
+        assert not any(word in physical for word in ("RLIKE", "regexp_extract", "SortMergeJoin", "ShuffledHashJoin")), physical
+        # The rows stored before are laid out anew, those of the files are not.
+        assert physical.count("REBALANCE") <= 1
+
+
+def test_stored_rows_are_laid_out_anew(spark, tmp_path):
+    """Runs over one issuer each do not leave a file of each run behind."""
+    raw, lake, n = tmp_path / "raw", str(tmp_path / "lake"), 6
+    write(raw, "itr_cia_aberta_DRE_con_2024.csv", HEADER + "".join(line(f"I{i}", "2024-03-31", "ÚLTIMO", "MIL", "3.01", i) for i in range(n)))
+    for i in range(n):
+        gold = etl.financial_statements(spark, str(raw), lake, RUN, issuers=spark.createDataFrame([(f"I{i}",)], "issuer_cnpj string"))
+    assert gold.count() == n
+    assert len(spark.read.parquet(f"{lake}/silver/enriched/statements").inputFiles()) <= 2

@@ -32,6 +32,16 @@ def test_dates(spark):
         apply(spark, fn.date_strict, ["29/02/2024"])
 
 
+@pytest.mark.parametrize("text", ["2024-2-9", "2024-02-30", " 2024-02-9", "2024-02-29T00:00", "2024", "", "2024-02-2x"])
+def test_plain_dates_are_read_as_by_the_format(spark, text):
+    """What a cast would take or make null beyond the format still fails."""
+    good = ["0001-01-01", "1582-10-10", "2018-11-04", "2024-02-29", "9999-12-31", None]
+    by_format = [r[0] for r in spark.createDataFrame([(v,) for v in good], "v string").select(F.to_date("v", "yyyy-MM-dd")).collect()]
+    assert apply(spark, fn.date_strict, good) == by_format
+    with pytest.raises(Exception, match="parse"):
+        apply(spark, fn.date_strict, [text])
+
+
 def test_null_token(spark):
     assert apply(spark, fn.null_token, [" a ", "nan", " None", "-", "", " -\t", "n-a", None]) == ["a", None, None, None, None, None, "n-a", None]
 
